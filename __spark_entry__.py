@@ -249,8 +249,9 @@ def listing_without_detail(i: Inputs) -> DataFrame:
 
 def frontier_unseen(i: Inputs) -> DataFrame:
     """Seen are the links of the numbered listing pages."""
-    links = i.links().withColumn("on_listing", frontier.has_page_parameter(F.col("url"))).select(
-        "page_id", "on_listing", F.col("href").alias("url"))
+    links = i.links().select(
+        "page_id", frontier.has_page_parameter(F.col("url")).alias("on_listing"),
+        urls.resolve(F.col("url"), F.col("href")).alias("url"))
     return frontier.frontier_unseen(links, links.filter("on_listing"))
 
 

@@ -237,9 +237,10 @@ from found""".replace("as n_texts, nullif(trim(", "as n_texts, coalesce(nullif(t
                                   "join detail_8 d on d.p_partkey = l.ukey",
     "listing_without_detail": f"with {_ENRICHED} select '{r.SITE}' || property_url as url, page_num, pos "
                               "from first_listed where ukey % 31 = 5",
-    "frontier_unseen": f"with {_LINKS} select href as url, min(page_id) as first_page, count(*) as n_links "
-                       "from links where href not in (select href from links where url like '%?page=%' "
-                       "or url like '%&page=%') group by href",
+    "frontier_unseen": f"with {_LINKS}, full_links as (select page_id, url like '%?page=%' or url like '%&page=%' "
+                       "as on_listing, regexp_extract(url, '^(https?://[^/]+)', 1) || href as link from links) "
+                       "select link as url, min(page_id) as first_page, count(*) as n_links from full_links "
+                       "where link not in (select link from full_links where on_listing) group by link",
     "dedup_keep_first": f"with {_RECORD_14} select * exclude (ukey) from record_14 "
                         "qualify row_number() over (partition by property_url order by page_num, pos) = 1",
     "dedup_keep_first_text": "select min(doc_id) as doc_id, text, arg_min(source, doc_id) as source "

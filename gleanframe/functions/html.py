@@ -87,21 +87,33 @@ class _Open:
         self.states = states    # steps already satisfied, per chain
         self.sinks = sinks      # lists that take the direct text
         self.deep = deep        # lists that take the text of all descendants
-        self.groups = groups    # open key/value groups: (key step, value step, record)
+        self.groups = groups    # open key/value records, as (field name, (keys, values))
 
 
-def _fits(step: Step, tag: str, classes: list[str], cls_text: str, place: int) -> bool:
+class _Tests:
+    """What a start tag could be, whatever surrounds it."""
+
+    __slots__ = ("steps", "parts", "attributes")
+
+    def __init__(self, steps, parts, attributes):
+        self.steps = steps              # (chain number, step number, wanted place)
+        self.parts = parts              # (field name, 0 for key or 1 for value, wanted place)
+        self.attributes = attributes
+
+
+def _fits(step: Step, tag: str, cls_text: str) -> bool:
     return (
         (step.tag is None or step.tag == tag)
-        and (step.cls is None or step.cls in classes)
+        and (step.cls is None or step.cls in cls_text.split())
         and (step.cls_part is None or step.cls_part in cls_text)
-        and (step.nth is None or step.nth == place)
     )
 
 
 class PageWalk:
     """A compiled set of fields; calling it with a page gives {field name: list}."""
 
+    REMEMBERED = 4096
+
     def __init__(self, fields: Iterable[Field]):
         self.fields = list(fields)
         self.chains = [(chain, field) for field in self.fields for chain in field.chains]
@@ -109,32 +121,35 @@ class PageWalk:
         steps += [s for f in self.fields if f.kind == "pairs" for s in f.arg]
         self.tags = {s.tag for s in steps}
         self.any_tag = None in self.tags
+        self.start = (0,) * len(self.chains)
+        # start tags repeat from page to page, so their tests are kept, up to a bound
+        self.tests: dict[tuple[str, str], _Tests] = {}
 
     def __call__(self, page: str | None) -> dict[str, list]:
         out: dict[str, list] = {f.name: [] for f in self.fields}
-        root = _Open("", (0,) * len(self.chains), (), (), ())
-        stack = [root]
+        stack = [_Open("", self.start, (), (), ())]
         pending: list[str] = []
         position = 0
         page = page or ""
         for token in _TOKEN.finditer(page):
-            if token.start() > position:
-                pending.append(page[position:token.start()])
-            position = token.end()
-            tag = token["tag"]
+            start, end = token.span()
+            if start > position:
+                pending.append(page[position:start])
+            position = end
+            raw, is_end, tag, attributes = token.groups()
             if tag is None:
                 if pending:
                     self._text(stack[-1], pending)
-                if token["raw"]:
+                if raw:
                     stack[-1].children += 1
                 continue
             tag = tag.lower()
-            if token["end"]:
+            if is_end:
                 self._close(stack, tag, pending)
             else:
                 if pending:
                     self._text(stack[-1], pending)
-                self._open(stack, tag, token["attrs"], out)
+                self._open(stack, tag, attributes, out)
         pending.append(page[position:])
         self._text(stack[-1], pending)
         for field in self.fields:
@@ -171,9 +186,22 @@ class PageWalk:
             if stack[depth].tag in CONTAINERS and tag not in CONTAINERS:
                 return
 
+    def _tests_of(self, tag: str, attr_text: str) -> _Tests:
+        attributes = _attributes(attr_text) if attr_text else {}
+        cls_text = attributes.get("class", "")
+        steps = [(i, at, step.nth) for i, (chain, _) in enumerate(self.chains)
+                 for at, step in enumerate(chain) if _fits(step, tag, cls_text)]
+        parts = [(f.name, side, step.nth) for f in self.fields if f.kind == "pairs"
+                 for side, step in enumerate(f.arg) if _fits(step, tag, cls_text)]
+        tests = _Tests(steps, parts, attributes)
+        if len(self.tests) >= self.REMEMBERED:
+            self.tests.clear()
+        self.tests[tag, attr_text] = tests
+        return tests
+
     def _open(self, stack: list[_Open], tag: str, attr_text: str, out: dict[str, list]) -> None:
-        ended, stops = ENDS.get(tag, ((), ()))
-        if ended:
+        if tag in ENDS:
+            ended, stops = ENDS[tag]
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in ended:
                     del stack[depth:]
@@ -182,45 +210,37 @@ class PageWalk:
                     break
         parent = stack[-1]
         parent.children += 1
-        if not (self.any_tag or tag in self.tags):
-            if tag not in VOID:
-                stack.append(_Open(tag, parent.states, (), parent.deep, parent.groups))
-            return
-
-        attributes = _attributes(attr_text) if attr_text else {}
-        cls_text = attributes.get("class", "")
-        classes = cls_text.split()
-        place = parent.children
-        states, sinks, deep, groups = parent.states, [], parent.deep, parent.groups
-        for key_step, value_step, record in groups:
-            for step, texts in ((key_step, record[0]), (value_step, record[1])):
-                if _fits(step, tag, classes, cls_text, place):
-                    sinks.append(texts)
-        taken = set()
-        for i, (chain, field) in enumerate(self.chains):
-            at = parent.states[i]
-            if not _fits(chain[at], tag, classes, cls_text, place):
-                continue
-            if at < len(chain) - 1:
-                if states is parent.states:
-                    states = list(states)
-                states[i] = at + 1
-            elif field.name not in taken:
-                taken.add(field.name)
-                collected = out[field.name]
-                if field.kind == "texts":
-                    sinks.append(collected)
-                elif field.kind == "attr":
-                    if field.arg in attributes:
-                        collected.append(attributes[field.arg])
-                elif field.kind == "elements":
-                    element = ([], [])
-                    collected.append(element)
-                    sinks.append(element[0])
-                    deep = (*deep, element[1])
-                else:
-                    record = ([], [])
-                    collected.append(record)
-                    groups = (*groups, (*field.arg, record))
+        states, sinks, deep, groups = parent.states, (), parent.deep, parent.groups
+        if self.any_tag or tag in self.tags:
+            tests = self.tests.get((tag, attr_text)) or self._tests_of(tag, attr_text)
+            place = parent.children
+            if groups and tests.parts:
+                sinks = [record[side] for name, side, nth in tests.parts if nth in (None, place)
+                         for group, record in groups if group == name]
+            taken = ()
+            for i, at, nth in tests.steps:
+                if parent.states[i] != at or nth not in (None, place):
+                    continue
+                chain, field = self.chains[i]
+                if at < len(chain) - 1:
+                    if states is parent.states:
+                        states = list(states)
+                    states[i] = at + 1
+                elif field.name not in taken:
+                    taken = (*taken, field.name)
+                    collected = out[field.name]
+                    if field.kind == "texts":
+                        sinks = [*sinks, collected]
+                    elif field.kind == "attr":
+                        if field.arg in tests.attributes:
+                            collected.append(tests.attributes[field.arg])
+                    else:
+                        record = ([], [])
+                        collected.append(record)
+                        if field.kind == "elements":
+                            sinks = [*sinks, record[0]]
+                            deep = (*deep, record[1])
+                        else:
+                            groups = (*groups, (field.name, record))
         if tag not in VOID:
             stack.append(_Open(tag, states, sinks, deep, groups))
