@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.functions import urls
+from gleanframe.operators.skew import join_hot
 
 
 def domain_filter(links: DataFrame, domains: list[str], url: str = "url") -> DataFrame:
@@ -23,7 +24,8 @@ def domain_filter_table(links: DataFrame, domains: DataFrame, url: str = "url",
     """The same with the domains in a table of any size.
 
     Only the distinct hosts meet the domains, by equality on their parent domains; the links then
-    meet the allowed hosts. No theta join, and links are not multiplied.
+    meet the allowed hosts. No theta join, and links are not multiplied. A host with very many
+    links is not one task's work (join_hot).
     """
     names = domains.select(F.lower(domain).alias("_suffix")).distinct()
     hosts = links.select(urls.host(F.col(url)).alias("_host")).distinct()
@@ -32,10 +34,9 @@ def domain_filter_table(links: DataFrame, domains: DataFrame, url: str = "url",
         .join(names, "_suffix", "left_semi")
         .select("_host").distinct()
     )
-    return (
-        links.withColumn("_host", urls.host(F.col(url)))
-        .join(allowed, "_host", "left_semi").drop("_host")
-    )
+    return join_hot(
+        links.withColumn("_host", urls.host(F.col(url))), allowed, "_host", "left_semi"
+    ).drop("_host")
 
 
 def frontier_unseen(links: DataFrame, seen: DataFrame, key: str = "url",

@@ -15,14 +15,19 @@ ORDER = ("page_num", "pos")
 def json_unwrap(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Replace the body by the JSON object inside it: first '{' to last '}', over line ends.
     Responses without one give no row (see json_rejects)."""
-    found = F.regexp_extract(body, r"(?s)(\{.*\})", 1)
-    return payloads.withColumn("json", found).drop(body).filter(F.col("json") != "")
+    found = F.regexp_extract_all(body, F.lit(r"(?s)(\{.*\})"), F.lit(1))
+    return payloads.select(
+        *[c for c in payloads.columns if c != body], F.explode(found).alias("json"))
 
 
 def _parsed(payloads: DataFrame, body: str = "body") -> DataFrame:
+    """Add the response as a struct. It is generated from a list of one, because the optimizer
+    would copy a projected from_json into every filter and column that uses it."""
     found = t.blank_to_null(F.regexp_extract(body, r"(?s)(\{.*\})", 1))
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    return payloads.withColumn("doc", F.from_json(found, schemas.LISTING, options)).drop(body)
+    doc = F.from_json(found, schemas.LISTING, options)
+    kept = [c for c in payloads.columns if c != body]
+    return payloads.select(*kept, F.explode(F.array(doc)).alias("doc"))
 
 
 def json_rejects(payloads: DataFrame, body: str = "body") -> DataFrame:

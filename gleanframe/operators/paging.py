@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanframe.functions import urls
 from gleanframe.functions.text import part
 from gleanframe.operators.frontier import unseen
+from gleanframe.operators.skew import join_hot
 from gleanframe.session import shared_dir
 
 
@@ -97,7 +98,8 @@ def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "pag
         if now == known:
             break
         known = now
-        second = jump.select(F.col("_from").alias("_mid"), F.col("_to").alias("_end"))
-        jump = jump.join(second, jump["_to"] == second["_mid"]).select(
+        # many pages may point to the same one
+        second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
+        jump = join_hot(jump, second, "_to").select(
             "_from", F.col("_end").alias("_to")).checkpoint()
     return reached

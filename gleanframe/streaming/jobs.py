@@ -84,9 +84,11 @@ def stream_retry_state(failures: DataFrame, folder: str, key_type: T.DataType =
             counters = spark.createDataFrame([], schema)
         else:
             counters = spark.read.schema(schema).parquet(f"{folder}/counters/{batch_id - 1}")
+        batch = batch.persist()
         fetchlog.continue_schedule(batch, counters, max_retries=max_retries).write.mode(
             "overwrite").parquet(f"{folder}/out/batch={batch_id}")
         fetchlog.count_failures(batch, counters, max_retries=max_retries).write.mode(
             "overwrite").parquet(f"{folder}/counters/{batch_id}")
+        batch.unpersist()
 
     return _writer(failures, folder).outputMode("append").foreachBatch(schedule).start()

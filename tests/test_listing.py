@@ -1,0 +1,80 @@
+"""Edge cases of listing responses."""
+
+import json
+
+from gleanframe.operators import listing
+from gleanframe.sources import payloads
+
+
+def adverts(spark, *bodies):
+    rows = [(n + 1, b) for n, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "page_num long, body string")
+
+
+def page(*items, **more):
+    return json.dumps({"adverts_list": {"adverts": list(items), **more}})
+
+
+def test_unwrap_takes_first_to_last_brace_over_lines(spark):
+    body = "<pre>\n{\"a\":\n{\"b\": 1}}</pre> trailing"
+    df = adverts(spark, body, "no json", "", None, "} only {")
+    assert [r.json for r in listing.json_unwrap(df).collect()] == ['{"a":\n{"b": 1}}']
+
+
+def test_rejects_and_readable_are_complementary(spark):
+    df = adverts(spark, page(), "no json", None, '{"adverts_list": {"adverts": [{"title": "x"}', "{]}")
+    rejects = {r.page_num: r.reason for r in listing.json_rejects(df).collect()}
+    assert rejects == {2: "no_json", 3: "no_json", 4: "malformed", 5: "malformed"}
+    assert [r.page_num for r in listing.parse_listing(df).collect()] == [1]
+
+
+def test_defaults(spark):
+    df = adverts(spark, "{}", '{"adverts_list": null}', page(total_pages="7"), page({}, total_pages=3))
+    rows = {r.page_num: r for r in listing.parse_listing(df).collect()}
+    assert [len(rows[n].adverts) for n in (1, 2, 3, 4)] == [0, 0, 0, 1]
+    assert [rows[n].total_pages for n in (1, 2, 3, 4)] == [1, 1, 7, 3]
+    assert [r.page_num for r in listing.non_empty_listing(listing.parse_listing(df)).collect()] == [4]
+
+
+def test_repeated_and_differently_cased_attributes(spark):
+    advert = {"title": "t", "url": "/1", "attrs": [
+        {"name": "Bedrooms", "value": "1", "semantic_value": "1 bedrooms"},
+        {"name": "bedrooms", "value": "9", "semantic_value": "9 bedrooms"},
+        {"name": "Bedrooms", "value": "2", "semantic_value": "2 bedrooms"},
+        {"name": "Furnishing"}, {"value": "nameless"}]}
+    exploded = listing.listing_explode(listing.parse_listing(adverts(spark, page(advert))))
+    assert listing.listing_record_14(exploded).first().bedrooms == "2"
+    record = listing.listing_record_16(exploded, "https://site.example").first()
+    assert (record.bedrooms, record.type, record.furnishing) == ("1 bedrooms", "1", None)
+    assert record.property_url == "https://site.example/1"
+
+
+def test_type_drops_the_plural_only(spark):
+    def one(value):
+        a = {"attrs": [{"name": "Bedrooms", "semantic_value": value}]}
+        rows = listing.listing_explode(listing.parse_listing(adverts(spark, page(a))))
+        r = listing.listing_record_16(rows, "s").first()
+        return r.type, r.bedrooms
+
+    assert one("1 bedroom") == ("1 bedroom", "1 bedroom")
+    assert one("3 bedrooms") == ("3", "3 bedrooms")
+    assert one("") == (None, "")
+
+
+def test_missing_parts_give_nulls_not_errors(spark):
+    exploded = listing.listing_explode(listing.parse_listing(adverts(spark, page(
+        {}, {"price_obj": None, "attrs": None, "user_id": "x"},
+        {"price_obj": {"value": "12.5"}, "user_id": 7, "is_owner": True}))))
+    rows = sorted(listing.listing_record_14(exploded).collect(), key=lambda r: r.pos)
+    assert [r.rent_per_period for r in rows] == [None, None, 12.5]
+    assert [r.user_id for r in rows] == [None, None, 7]
+    assert rows[2].is_owner is True and rows[0].property_url is None
+    assert listing.listing_record_16(exploded, "s").first().property_url is None
+
+
+def test_response_files(spark, tmp_path):
+    for n in (3, 12):
+        (tmp_path / f"page-{n}.html").write_text(f"<pre>\n{page({'title': str(n)})}\n</pre>")
+    df = payloads.src_listing_files(spark, str(tmp_path))
+    rows = listing.listing_explode(listing.parse_listing(df)).collect()
+    assert {r.page_num: r.advert.title for r in rows} == {3: "3", 12: "12"}
