@@ -156,7 +156,7 @@ def _part_with_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part with one of all suppliers as its seller. The narrow rows are spread before they
     grow into pages, since the small test table is a single file."""
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
-    part = part.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    part = part.repartition(spark.sparkContext.defaultParallelism, "p_partkey")
     sellers = supplier.agg(F.max("s_suppkey") + 1).scalar()
     return part.withColumn("s_suppkey", F.pmod("p_partkey", sellers)).join(
         supplier.select("s_suppkey", "s_name"), "s_suppkey")

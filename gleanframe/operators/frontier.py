@@ -47,7 +47,7 @@ def frontier_unseen(links: DataFrame, seen: DataFrame, key: str = "url",
     before the shuffle), and so is the seen side, which may hold copies too.
     """
     found = links.groupBy(key).agg(
-        F.min(source).cast("bigint").alias("first_page"), F.count("*").alias("n_links"))
+        F.min(source).alias("first_page"), F.count("*").alias("n_links"))
     return found.join(seen.select(key).distinct(), key, "left_anti")
 
 

@@ -3,28 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gleanframe.operators import details, listing, records
+from gleanframe.functions import urls
+from gleanframe.functions.html import Step
+from gleanframe.operators import details, frontier, listing, pages, records
 
 
-def rent_listing_flow(payloads: DataFrame, pages: DataFrame, site: str,
+def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str,
                       stat_phrase: str) -> DataFrame:
     """JSON listing and its detail pages -> enriched records, one per URL (22 columns)."""
     adverts = listing.listing_explode(listing.parse_listing(payloads))
     return records.enrich_listing_with_detail(
-        listing.listing_record_14(adverts), details.detail_fields_8(pages, stat_phrase), site)
+        listing.listing_record_14(adverts), details.detail_fields_8(detail_pages, stat_phrase), site)
 
 
 def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str) -> DataFrame:
     """Browsed listing and up to three snapshots per detail page -> one feed of the canonical 16
-    columns. ``snapshots`` has url, attempt, html."""
+    columns. ``snapshots`` has url, attempt, html; a read that failed has no html: it counts as an
+    attempt but yields nothing."""
     adverts = listing.listing_explode(listing.parse_listing(payloads))
-    read = details.detail_record_16(snapshots, keep=("attempt",))
+    read = details.detail_record_16(snapshots.filter("html is not null"), keep=("attempt",))
     best = records.best_of_n_complete(
         read, ["property_url"], records.critical_fields_present())
     return records.union_records(listing.listing_record_16(adverts, site), best)
 
 
-def account_flow(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def link_flow(listing_pages: DataFrame, seen: DataFrame, chain: tuple[Step, ...],
+              domains: list[str]) -> DataFrame:
+    """Listing pages (page_id, url, html) -> the links to request next: those the chain of steps
+    reaches, made absolute, on allowed hosts, not in ``seen`` (url), each once."""
+    links = pages.extract_links_selected(listing_pages, chain, keep=("page_id", "url"))
+    absolute = links.select("page_id", urls.resolve(F.col("url"), F.col("href")).alias("url"))
+    return frontier.frontier_unseen(frontier.domain_filter(absolute, domains), seen)
+
+
+def account_flow(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Account pages -> complete records and the rejected pages."""
-    return details.account_record_7(pages), details.account_rejects(pages)
+    return details.account_record_7(stored), details.account_rejects(stored)

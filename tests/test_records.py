@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gleanframe import schemas
-from gleanframe.operators import fetchlog, records
+from gleanframe.operators import details, fetchlog, records
 from gleanframe.plans import flows
 from gleanframe.sources import csv_table
 from fixtures import render
@@ -106,8 +106,28 @@ def test_whole_flows(spark):
         pages.select("url", F.lit(2).alias("attempt"), "html"))
     sale = flows.sale_listing_flow(payloads, reads, render.SITE)
     n_pages = pages.count()
-    details = sale.filter("property_url is not null and seller_or_agent_name is not null")
+    complete = sale.filter("property_url is not null and seller_or_agent_name is not null")
     assert sale.columns == schemas.DETAIL_16
-    assert n_pages - 10 < details.count() <= n_pages
+    assert n_pages - 10 < complete.count() <= n_pages
+    # a failed last read leaves the values of the one before, failed reads alone give no row
+    url = pages.first().url
+    page = pages.filter(F.col("url") == url)
+    reads = page.select("url", F.lit(2).alias("attempt"), first.alias("html")).unionByName(
+        page.select("url", F.lit(3).alias("attempt"), F.lit(None).cast("string").alias("html"))).unionByName(
+        page.select(F.lit("lost").alias("url"), F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("html")))
+    kept = flows.sale_listing_flow(payloads.limit(0), reads, render.SITE).collect()
+    assert [(r.property_url, r.title is None, r.seller_or_agent_name) for r in kept] == [(url, False, None)]
     good, bad = flows.account_flow(render.account_pages(spark, SF))
     assert good.count() + bad.count() == 200
+
+
+def test_link_flow(spark):
+    html = "".join(f'<h3 class="add-title"><a href="{h}">x</a></h3>' for h in
+                   ("/a", "b", "https://other.example/c", "/a", "//sub.site.example/d")) + '<a href="/no">n</a>'
+    stored = spark.createDataFrame([(1, "https://site.example/list/", html), (2, "https://site.example/x", html)],
+                                   "page_id long, url string, html string")
+    seen = spark.createDataFrame([("https://site.example/b",)], "url string")
+    rows = flows.link_flow(stored, seen, details.HEADING_ANCHOR, ["site.example"]).collect()
+    assert {(r.url, r.first_page, r.n_links) for r in rows} == {
+        ("https://site.example/a", 1, 4), ("https://site.example/list/b", 1, 1),
+        ("https://sub.site.example/d", 1, 2)}

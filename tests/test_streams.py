@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gleanframe.operators import fetchlog
+from fixtures import render
+from gleanframe.operators import details, fetchlog
 from gleanframe.session import scratch_path
 from gleanframe.streaming import jobs
 
@@ -78,3 +79,14 @@ def test_a_batch_that_runs_again_replaces_its_output(spark, log):
     for _ in range(2):
         fetchlog.continue_schedule(failures, empty).write.mode("overwrite").parquet(f"{folder}/out/batch=0")
     assert spark.read.parquet(f"{folder}/out").count() == failures.count()
+
+
+def test_page_walk_runs_on_a_stream(spark):
+    pages = render.detail_pages(spark, SF)
+    source, folder = scratch_path(spark, "source"), scratch_path(spark, "records")
+    pages.write.parquet(source)
+    stream = jobs.read_parquet_stream(spark, source, pages.schema, max_files=2)
+    jobs.stream_extract(details.detail_record_16(stream), folder).awaitTermination()
+    got, want = spark.read.parquet(f"{folder}/out"), details.detail_record_16(pages)
+    assert got.count() > 100
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
