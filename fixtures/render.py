@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 SITE = "https://market.example"
 ACCOUNT_SITE = "https://accounts.example"
@@ -190,8 +191,8 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts per page, numbered in time; the value tells whether one is complete."""
-    from gleanframe.operators.skew import capped_rank
-
+    """Attempts per page, numbered in time; the value tells whether one is complete. The job keeps
+    the first few only, which Spark turns into a limit per page before the shuffle."""
     events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
-    return capped_rank(events, ["user_id", "event_type"], ["ts", "event_id"], 3, "attempt")
+    in_time = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    return events.withColumn("attempt", F.row_number().over(in_time).cast("bigint"))

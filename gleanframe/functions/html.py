@@ -58,13 +58,17 @@ ENDS |= {
 # an end tag of another kind does not close these
 CONTAINERS = (BLOCK - {"p"}) | {"li", "td", "th", "tr", "body", "html"}
 
+# comment, script, style, tag, anything else in angle brackets; splitting at it gives texts and
+# tokens in turn
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?][^>]*>",
+    r"(<!--.*?(?:-->|\Z)"
+    r"|<script\b[^>]*>.*?(?:</script\s*>|\Z)"
+    r"|<style\b[^>]*>.*?(?:</style\s*>|\Z)"
+    r"|</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"|<[!?][^>]*>)",
     re.S | re.I,
 )
+_NAME = re.compile(r"</?([a-z][^\s/>]*)", re.I)
 _ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
@@ -90,13 +94,20 @@ class _Open:
         self.groups = groups    # open key/value records, as (field name, (keys, values))
 
 
-class _Tests:
-    """What a start tag could be, whatever surrounds it."""
+# kinds of token
+_OTHER, _RAW, _END, _START = range(4)
 
-    __slots__ = ("steps", "parts", "attributes")
 
-    def __init__(self, steps, parts, attributes):
-        self.steps = steps              # (chain number, step number, wanted place)
+class _Token:
+    """What a token means, whatever surrounds it."""
+
+    __slots__ = ("kind", "tag", "ends", "steps", "parts", "attributes")
+
+    def __init__(self, kind, tag="", ends=None, steps=(), parts=(), attributes=None):
+        self.kind = kind
+        self.tag = tag
+        self.ends = ends                # open elements a start tag ends, see ENDS
+        self.steps = steps              # (chain number, step number, wanted place) that fit
         self.parts = parts              # (field name, 0 for key or 1 for value, wanted place)
         self.attributes = attributes
 
@@ -112,135 +123,156 @@ def _fits(step: Step, tag: str, cls_text: str) -> bool:
 class PageWalk:
     """A compiled set of fields; calling it with a page gives {field name: list}."""
 
+    # tokens repeat from page to page, so the short ones are kept, up to a bound
     REMEMBERED = 4096
+    SHORT = 200
 
     def __init__(self, fields: Iterable[Field]):
         self.fields = list(fields)
         self.chains = [(chain, field) for field in self.fields for chain in field.chains]
-        steps = [s for chain, _ in self.chains for s in chain]
-        steps += [s for f in self.fields if f.kind == "pairs" for s in f.arg]
-        self.tags = {s.tag for s in steps}
-        self.any_tag = None in self.tags
         self.start = (0,) * len(self.chains)
-        # start tags repeat from page to page, so their tests are kept, up to a bound
-        self.tests: dict[tuple[str, str], _Tests] = {}
+        self.tokens: dict[str, _Token] = {}
 
     def __call__(self, page: str | None) -> dict[str, list]:
         out: dict[str, list] = {f.name: [] for f in self.fields}
-        stack = [_Open("", self.start, (), (), ())]
-        pending: list[str] = []
-        position = 0
-        page = page or ""
-        for token in _TOKEN.finditer(page):
-            start, end = token.span()
-            if start > position:
-                pending.append(page[position:start])
-            position = end
-            raw, is_end, tag, attributes = token.groups()
-            if tag is None:
-                if pending:
-                    self._text(stack[-1], pending)
-                if raw:
-                    stack[-1].children += 1
+        top = _Open("", self.start, (), (), ())
+        stack = [top]
+        text = ""
+        pieces = _TOKEN.split(page or "")
+        remembered = self.tokens
+        for at in range(1, len(pieces), 2):
+            before, markup = pieces[at - 1], pieces[at]
+            if before:
+                text = text + before if text else before
+            token = remembered.get(markup) or self._token(markup)
+            kind = token.kind
+            if kind == _END:
+                depth = self._closed(stack, token.tag)
+                # an end tag that closes nothing does not split the text around it
+                if depth:
+                    if text:
+                        self._take(top, text)
+                        text = ""
+                    del stack[depth:]
+                    top = stack[-1]
                 continue
-            tag = tag.lower()
-            if is_end:
-                self._close(stack, tag, pending)
-            else:
-                if pending:
-                    self._text(stack[-1], pending)
-                self._open(stack, tag, attributes, out)
-        pending.append(page[position:])
-        self._text(stack[-1], pending)
-        for field in self.fields:
-            if field.kind == "elements":
-                out[field.name] = [
-                    {"nodes": nodes, "full": "".join(full)} for nodes, full in out[field.name]
-                ]
-            elif field.kind == "pairs":
-                out[field.name] = [
-                    {"key": key[0] if key else None, "value": value[0] if value else None}
-                    for key, value in out[field.name]
-                ]
-        return out
-
-    def _text(self, top: _Open, pending: list[str]) -> None:
-        if top.sinks or top.deep:
-            text = "".join(pending)
             if text:
-                if "&" in text:
-                    text = _html.unescape(text)
-                for sink in top.sinks:
-                    sink.append(text)
-                for sink in top.deep:
-                    sink.append(text)
-        pending.clear()
-
-    def _close(self, stack: list[_Open], tag: str, pending: list[str]) -> None:
+                self._take(top, text)
+                text = ""
+            if kind == _START:
+                if token.ends:
+                    self._end_implied(stack, token.ends)
+                    top = stack[-1]
+                top.children += 1
+                if token.steps or token.parts:
+                    opened = self._match(top, token, out)
+                else:
+                    opened = _Open(token.tag, top.states, (), top.deep, top.groups)
+                if token.tag not in VOID:
+                    stack.append(opened)
+                    top = opened
+            elif kind == _RAW:
+                top.children += 1
+        self._take(top, text + pieces[-1])
+        return self._shaped(out)
+
+    def _token(self, markup: str) -> _Token:
+        name = _NAME.match(markup)
+        if name is None:
+            token = _Token(_OTHER)
+        else:
+            tag = name[1].lower()
+            if markup[1] == "/":
+                token = _Token(_END, tag)
+            elif tag in ("script", "style"):
+                token = _Token(_RAW, tag)
+            else:
+                attributes = _attributes(markup[name.end():-1])
+                cls_text = attributes.get("class", "")
+                steps = [(i, n, step.nth) for i, (chain, _) in enumerate(self.chains)
+                         for n, step in enumerate(chain) if _fits(step, tag, cls_text)]
+                parts = [(f.name, side, step.nth) for f in self.fields if f.kind == "pairs"
+                         for side, step in enumerate(f.arg) if _fits(step, tag, cls_text)]
+                token = _Token(_START, tag, ENDS.get(tag), steps, parts, attributes)
+        if len(markup) <= self.SHORT:
+            if len(self.tokens) >= self.REMEMBERED:
+                self.tokens.clear()
+            self.tokens[markup] = token
+        return token
+
+    @staticmethod
+    def _take(top: _Open, text: str) -> None:
+        if text and (top.sinks or top.deep):
+            if "&" in text:
+                text = _html.unescape(text)
+            for sink in top.sinks:
+                sink.append(text)
+            for sink in top.deep:
+                sink.append(text)
+
+    @staticmethod
+    def _closed(stack: list[_Open], tag: str) -> int:
+        """Depth of the element an end tag closes, 0 if there is none."""
+        if stack[-1].tag == tag:
+            return len(stack) - 1
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag == tag:
-                if pending:
-                    self._text(stack[-1], pending)
+                return depth
+            if stack[depth].tag in CONTAINERS and tag not in CONTAINERS:
+                return 0
+        return 0
+
+    @staticmethod
+    def _end_implied(stack: list[_Open], ends: tuple[set, set]) -> None:
+        ended, stops = ends
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in ended:
                 del stack[depth:]
                 return
-            if stack[depth].tag in CONTAINERS and tag not in CONTAINERS:
+            if stack[depth].tag in stops:
                 return
 
-    def _tests_of(self, tag: str, attr_text: str) -> _Tests:
-        attributes = _attributes(attr_text) if attr_text else {}
-        cls_text = attributes.get("class", "")
-        steps = [(i, at, step.nth) for i, (chain, _) in enumerate(self.chains)
-                 for at, step in enumerate(chain) if _fits(step, tag, cls_text)]
-        parts = [(f.name, side, step.nth) for f in self.fields if f.kind == "pairs"
-                 for side, step in enumerate(f.arg) if _fits(step, tag, cls_text)]
-        tests = _Tests(steps, parts, attributes)
-        if len(self.tests) >= self.REMEMBERED:
-            self.tests.clear()
-        self.tests[tag, attr_text] = tests
-        return tests
-
-    def _open(self, stack: list[_Open], tag: str, attr_text: str, out: dict[str, list]) -> None:
-        if tag in ENDS:
-            ended, stops = ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in ended:
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in stops:
-                    break
-        parent = stack[-1]
-        parent.children += 1
+    def _match(self, parent: _Open, token: _Token, out: dict[str, list]) -> _Open:
+        """The opened element, attached to everything it is wanted for."""
+        place = parent.children
         states, sinks, deep, groups = parent.states, (), parent.deep, parent.groups
-        if self.any_tag or tag in self.tags:
-            tests = self.tests.get((tag, attr_text)) or self._tests_of(tag, attr_text)
-            place = parent.children
-            if groups and tests.parts:
-                sinks = [record[side] for name, side, nth in tests.parts if nth in (None, place)
-                         for group, record in groups if group == name]
-            taken = ()
-            for i, at, nth in tests.steps:
-                if parent.states[i] != at or nth not in (None, place):
-                    continue
-                chain, field = self.chains[i]
-                if at < len(chain) - 1:
-                    if states is parent.states:
-                        states = list(states)
-                    states[i] = at + 1
-                elif field.name not in taken:
-                    taken = (*taken, field.name)
-                    collected = out[field.name]
-                    if field.kind == "texts":
-                        sinks = [*sinks, collected]
-                    elif field.kind == "attr":
-                        if field.arg in tests.attributes:
-                            collected.append(tests.attributes[field.arg])
+        if groups and token.parts:
+            sinks = [record[side] for name, side, nth in token.parts if nth in (None, place)
+                     for group, record in groups if group == name]
+        taken = ()
+        for i, n, nth in token.steps:
+            if parent.states[i] != n or nth not in (None, place):
+                continue
+            chain, field = self.chains[i]
+            if n < len(chain) - 1:
+                if states is parent.states:
+                    states = list(states)
+                states[i] = n + 1
+            elif field.name not in taken:
+                taken = (*taken, field.name)
+                collected = out[field.name]
+                if field.kind == "texts":
+                    sinks = [*sinks, collected]
+                elif field.kind == "attr":
+                    if field.arg in token.attributes:
+                        collected.append(token.attributes[field.arg])
+                else:
+                    record = ([], [])
+                    collected.append(record)
+                    if field.kind == "elements":
+                        sinks = [*sinks, record[0]]
+                        deep = (*deep, record[1])
                     else:
-                        record = ([], [])
-                        collected.append(record)
-                        if field.kind == "elements":
-                            sinks = [*sinks, record[0]]
-                            deep = (*deep, record[1])
-                        else:
-                            groups = (*groups, (field.name, record))
-        if tag not in VOID:
-            stack.append(_Open(tag, states, sinks, deep, groups))
+                        groups = (*groups, (field.name, record))
+        return _Open(token.tag, states, sinks, deep, groups)
+
+    def _shaped(self, out: dict[str, list]) -> dict[str, list]:
+        for field in self.fields:
+            if field.kind == "elements":
+                out[field.name] = [
+                    {"nodes": nodes, "full": "".join(full)} for nodes, full in out[field.name]]
+            elif field.kind == "pairs":
+                out[field.name] = [
+                    {"key": keys[0] if keys else None, "value": values[0] if values else None}
+                    for keys, values in out[field.name]]
+        return out

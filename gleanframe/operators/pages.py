@@ -56,7 +56,7 @@ def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str]
         for batch in batches:
             for start in range(0, batch.num_rows, slice_rows):
                 piece = batch.slice(start, slice_rows)
-                found = [walk(cell.as_py()) for cell in piece.column(html)]
+                found = [walk(page) for page in piece.column(html).to_pylist()]
                 columns = [piece.column(c) for c in keep]
                 columns += [pa.array([row[n] for row in found], type=kind)
                             for n, kind in arrow.items()]

@@ -94,7 +94,7 @@ def test_many_different_start_tags_stay_bounded():
     walk = PageWalk([Field("x", "attr", ((Step("a", "l"),),), "href")])
     page = "".join(f'<a class=l href="/{n}">' for n in range(10_000))
     assert len(walk(page)["x"]) == 10_000
-    assert len(walk.tests) <= walk.REMEMBERED
+    assert len(walk.tokens) <= walk.REMEMBERED
 
 
 def test_native_forms_agree_with_the_walk(spark):
