@@ -205,7 +205,7 @@ ORACLES: dict[str, str] = {
     "retryable_filter": f"select event_id, user_id as url, cast({r.HTTP_CODE} as bigint) as http_status "
                         "from events where event_type in ('purchase', 'error')",
     "extract_links": f"with {_LINKS} select page_id, pos, href from links",
-    "extract_links_selected": f"with {_PAGED} select url, 0 as pos, '/part/' || cast(p_partkey + 1 as varchar) as href "
+    "extract_links_selected": f"with {_PAGED} select url, cast(0 as bigint) as pos, '/part/' || cast(p_partkey + 1 as varchar) as href "
                               "from paged union all select url, 1, '//' || cast(p_partkey as varchar) from paged",
     "absolutize_urls": f"with {_LINKS} select page_id, pos, '{r.SITE}/' || ltrim(href, '/') as stripped_url, "
                        f"'{r.SITE}' || href as prefixed_url, "

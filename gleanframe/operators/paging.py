@@ -87,17 +87,15 @@ def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "pag
     )
     reached = seeds.select(F.col(page)).distinct().withColumn("depth", F.lit(0).cast("bigint"))
     reached = reached.checkpoint()
-    known = reached.count()
     for round_ in range(max_rounds):
         length = 1 << round_
         ahead = reached.join(jump, reached[page] == jump["_from"]).select(
             F.col("_to").alias(page), (F.col("depth") + length).alias("depth"))
         reached = reached.unionByName(ahead).groupBy(page).agg(F.min("depth").alias("depth"))
         reached = reached.checkpoint()
-        now = reached.count()
-        if now == known:
+        # pages found in this round are at least this far from every seed
+        if reached.filter(F.col("depth") >= length).isEmpty():
             break
-        known = now
         # many pages may point to the same one
         second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
         jump = join_hot(jump, second, "_to").select(
