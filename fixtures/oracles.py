@@ -245,8 +245,9 @@ from found""".replace("as n_texts, nullif(trim(", "as n_texts, coalesce(nullif(t
                         "qualify row_number() over (partition by property_url order by page_num, pos) = 1",
     "dedup_keep_first_text": "select min(doc_id) as doc_id, text, arg_min(source, doc_id) as source "
                              "from documents group by text",
-    "dedup_dropped_report": f"with {_RECORD_14} select page_num, pos, title, property_url from record_14 "
-                            "qualify row_number() over (partition by property_url order by page_num, pos) > 1",
+    "dedup_dropped_report": f"with {_RECORD_14}, dropped as (select page_num, pos, title, property_url from record_14 "
+                            "qualify row_number() over (partition by property_url order by page_num, pos) > 1) "
+                            "select *, count(*) as copies from dropped group by all",
     "status_histogram": "select event_type as status, count(*) as responses from events group by 1",
     "page_yield": "select page_id, cast(len(regexp_extract_all(html, '<p[ >]')) as bigint) as items, "
                   "cast(len(regexp_extract_all(html, '<a ')) as bigint) as requests from pages",

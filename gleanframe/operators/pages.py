@@ -1,7 +1,7 @@
 """Stored pages -> rows. A page table has the columns url and html.
 
 Native forms (patterns, JVM only) are exact for elements whose text follows the start tag
-directly. ``walk_pages`` is the exact form for everything else: one Arrow-batched pass that
+directly, with attribute values in double quotes. ``walk_pages`` is the exact form for everything else: one Arrow-batched pass that
 collects all wanted fields of a page at once.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -41,11 +42,27 @@ _KINDS = {
 }
 
 
+def _may_match(html: Column, fields: list[H.Field]) -> Column | None:
+    """False for pages in which no chain can match, because a class name it asks for does not
+    occur; None when a chain asks for no class. A class written with entities is let through."""
+    chains = []
+    for chain in {chain for f in fields for chain in f.chains}:
+        names = {name for step in chain for name in (step.cls, step.cls_part) if name}
+        if not names:
+            return None
+        chains.append(reduce(lambda a, b: a & b, [F.contains(html, F.lit(n)) for n in sorted(names)]))
+    encoded = html.rlike(r"""(?i)class\s*=\s*["']?[^"'>]*&""")
+    return reduce(lambda a, b: a | b, [*chains, encoded])
+
+
 def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str] = ("url",),
                html: str = "html", slice_rows: int = 256) -> DataFrame:
-    """Collect the fields of every page. No shuffle; the page text does not leave the pass."""
+    """Collect the fields of every page. No shuffle; the page text does not leave the pass. Pages
+    that cannot hold any of the fields are not sent to it; they give empty lists."""
     fields, keep = list(fields), list(keep)
-    source = pages.select(*keep, html)
+    may_match = _may_match(F.col(html), fields)
+    text = F.col(html) if may_match is None else F.when(may_match, F.col(html))
+    source = pages.select(*keep, text.alias(html))
     schema = T.StructType(
         [source.schema[c] for c in keep]
         + [T.StructField(f.name, _KINDS[f.kind][0]) for f in fields])

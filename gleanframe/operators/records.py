@@ -14,21 +14,29 @@ from gleanframe.operators.skew import capped_rank
 
 def dedup_keep_first(records: DataFrame, key: str = "property_url",
                      order: tuple[str, ...] = ORDER) -> DataFrame:
-    """One record per key, the first in the given order; null counts as one key.
+    """One record per key, the first in the given order (the smallest, if several stand at the
+    same place); null counts as one key.
 
     An aggregate, so that copies of a record shrink to one per task before the shuffle.
     """
-    others = [c for c in records.columns if c != key]
-    best = F.min_by(F.struct(*others), F.struct(*order)).alias("_best")
-    return records.groupBy(key).agg(best).select(
-        *[key if c == key else F.col("_best")[c].alias(c) for c in records.columns])
+    rest = [c for c in records.columns if c not in (key, *order)]
+    first = F.min(F.struct(*order, *rest)).alias("_first")
+    return records.groupBy(key).agg(first).select(
+        *[key if c == key else F.col("_first")[c].alias(c) for c in records.columns])
 
 
 def dedup_dropped_report(records: DataFrame, key: str = "property_url",
                          order: tuple[str, ...] = ORDER) -> DataFrame:
-    """The records that dedup_keep_first leaves out."""
-    ranked = capped_rank(records, [key], list(order), 1, "_copy")
-    return ranked.filter(F.col("_copy") > 1).drop("_copy")
+    """The records that dedup_keep_first leaves out, with the number of equal ones (``copies``).
+
+    Equal records are counted first, which brings a record that was stored very often down to one
+    row per task; the rest are ranked within their key (capped_rank).
+    """
+    rest = [c for c in records.columns if c not in (key, *order)]
+    counted = records.groupBy(*records.columns).agg(F.count("*").alias("copies"))
+    ranked = capped_rank(counted, [key], [*order, *rest], 1, "_place")
+    dropped = F.col("copies") - F.when(F.col("_place") == 1, 1).otherwise(0)
+    return ranked.withColumn("copies", dropped).filter(F.col("copies") > 0).drop("_place")
 
 
 def enrich_listing_with_detail(listing: DataFrame, detail: DataFrame, site: str) -> DataFrame:
@@ -98,12 +106,10 @@ def best_of_n_complete(snapshots: DataFrame, key: list[str], complete: Column, n
     others = [c for c in snapshots.columns if c not in (*key, attempt)]
     done = F.coalesce(complete, F.lit(False))
     snapshot = F.struct(attempt, *others)
-    # the key of an incomplete snapshot is null, and min_by passes over those
     best = (
         snapshots.filter(F.col(attempt) <= n)
         .groupBy(*key)
-        .agg(F.min_by(snapshot, F.when(done, F.col(attempt))).alias("_first"),
-             F.max_by(snapshot, F.col(attempt)).alias("_last"))
+        .agg(F.min(F.when(done, snapshot)).alias("_first"), F.max(snapshot).alias("_last"))
         .withColumn("_pick", F.coalesce("_first", "_last"))
     )
     return best.select(
@@ -138,7 +144,7 @@ def merge_records(listing: DataFrame, detail: DataFrame) -> DataFrame:
     first = (
         named.filter(F.col("property_url").isNotNull())
         .groupBy("property_url")
-        .agg(F.min_by(F.struct(*values), F.struct(*ORDER)).alias("_listing"))
+        .agg(F.min(F.struct(*ORDER, *values)).alias("_listing"))
     )
     page = detail.groupBy("property_url").agg(F.min(F.struct(*values)).alias("_detail"))
     merged = first.join(page, "property_url", "full_outer")

@@ -110,3 +110,14 @@ def test_native_forms_agree_with_the_walk(spark):
     walked_links = pages.extract_links_selected(raw, (Step("a"),), ("page_id",))
     assert links.count() > 1000
     assert links.exceptAll(walked_links).count() == 0 == walked_links.exceptAll(links).count()
+
+
+def test_pages_without_the_class_are_not_walked(spark):
+    rows = [(1, '<div class="a"><i class="b">x</i></div>'), (2, '<div class="a">x</div>'), (3, None), (4, "b"),
+            (5, '<div class="&#97;"><i class=&#98;>y</i></div>')]
+    df = spark.createDataFrame(rows, "url int, html string")
+    field = Field("x", "texts", ((Step("div", "a"), Step("i", "b")),))
+    got = {r.url: r.x for r in pages.walk_pages(df, [field]).collect()}
+    assert got == {1: ["x"], 2: [], 3: [], 4: [], 5: ["y"]}
+    plan = pages.walk_pages(df, [field])._jdf.queryExecution().executedPlan().toString()
+    assert "Contains(html" in plan
