@@ -56,7 +56,7 @@ def _may_match(html: Column, fields: list[H.Field]) -> Column | None:
 
 
 def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str] = ("url",),
-               html: str = "html", slice_rows: int = 256) -> DataFrame:
+               html: str = "html", slice_rows: int = 64) -> DataFrame:
     """Collect the fields of every page. No shuffle; the page text does not leave the pass. Pages
     that cannot hold any of the fields are not sent to it; they give empty lists."""
     fields, keep = list(fields), list(keep)

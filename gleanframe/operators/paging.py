@@ -85,6 +85,8 @@ def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "pag
         pointers.filter(F.col(next_page).isNotNull())
         .groupBy(F.col(page).alias("_from")).agg(F.min(next_page).alias("_to"))
     )
+    # where no two pages point to the same one, none do so over longer steps either
+    no_merging = jump.groupBy("_to").agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
     reached = seeds.select(F.col(page)).distinct().withColumn("depth", F.lit(0).cast("bigint"))
     reached = reached.checkpoint()
     for round_ in range(max_rounds):
@@ -96,8 +98,7 @@ def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "pag
         # pages found in this round are at least this far from every seed
         if reached.filter(F.col("depth") >= length).isEmpty():
             break
-        # many pages may point to the same one
         second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
-        jump = join_hot(jump, second, "_to").select(
-            "_from", F.col("_end").alias("_to")).checkpoint()
+        twice = jump.join(second, "_to") if no_merging else join_hot(jump, second, "_to")
+        jump = twice.select("_from", F.col("_end").alias("_to")).checkpoint()
     return reached

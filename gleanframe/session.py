@@ -18,7 +18,8 @@ def build_session(app_name: str = "gleanframe", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
-        # stored pages are large rows: keep one Arrow batch of them small
+        # stored pages are large rows: read and hand over few of them at a time
+        .config("spark.sql.parquet.columnarReaderBatchSize", "512")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     )
     if master:
