@@ -132,6 +132,7 @@ class PageWalk:
         self.chains = [(chain, field) for field in self.fields for chain in field.chains]
         self.start = (0,) * len(self.chains)
         self.tokens: dict[str, _Token] = {}
+        self.known: dict[tuple[str, str], tuple[list, list]] = {}
 
     def __call__(self, page: str | None) -> dict[str, list]:
         out: dict[str, list] = {f.name: [] for f in self.fields}
@@ -147,17 +148,23 @@ class PageWalk:
             token = remembered.get(markup) or self._token(markup)
             kind = token.kind
             if kind == _END:
-                depth = self._closed(stack, token.tag)
-                # an end tag that closes nothing does not split the text around it
-                if depth:
-                    if text:
+                if top.tag == token.tag:
+                    depth = len(stack) - 1
+                else:
+                    depth = self._closed(stack, token.tag)
+                    if not depth:
+                        # an end tag that closes nothing does not split the text around it
+                        continue
+                if text:
+                    if top.sinks or top.deep:
                         self._take(top, text)
-                        text = ""
-                    del stack[depth:]
-                    top = stack[-1]
+                    text = ""
+                del stack[depth:]
+                top = stack[-1]
                 continue
             if text:
-                self._take(top, text)
+                if top.sinks or top.deep:
+                    self._take(top, text)
                 text = ""
             if kind == _START:
                 if token.ends:
@@ -188,33 +195,44 @@ class PageWalk:
                 token = _Token(_RAW, tag)
             else:
                 attributes = _attributes(markup[name.end():-1])
-                cls_text = attributes.get("class", "")
-                steps = [(i, n, step.nth) for i, (chain, _) in enumerate(self.chains)
-                         for n, step in enumerate(chain) if _fits(step, tag, cls_text)]
-                parts = [(f.name, side, step.nth) for f in self.fields if f.kind == "pairs"
-                         for side, step in enumerate(f.arg) if _fits(step, tag, cls_text)]
+                steps, parts = self._fitting(tag, attributes.get("class", ""))
                 token = _Token(_START, tag, ENDS.get(tag), steps, parts, attributes)
         if len(markup) <= self.SHORT:
-            if len(self.tokens) >= self.REMEMBERED:
-                self.tokens.clear()
-            self.tokens[markup] = token
+            self._remember(self.tokens, markup, token)
         return token
 
+    def _fitting(self, tag: str, cls_text: str) -> tuple[list, list]:
+        """Steps and key/value parts that a tag with this class fits."""
+        known = self.known.get((tag, cls_text))
+        if known is None:
+            known = (
+                [(i, n, step.nth) for i, (chain, _) in enumerate(self.chains)
+                 for n, step in enumerate(chain) if _fits(step, tag, cls_text)],
+                [(f.name, side, step.nth) for f in self.fields if f.kind == "pairs"
+                 for side, step in enumerate(f.arg) if _fits(step, tag, cls_text)],
+            )
+            self._remember(self.known, (tag, cls_text), known)
+        return known
+
+    def _remember(self, memory: dict, key, value) -> None:
+        if len(memory) >= self.REMEMBERED:
+            memory.clear()
+        memory[key] = value
+
     @staticmethod
     def _take(top: _Open, text: str) -> None:
-        if text and (top.sinks or top.deep):
-            if "&" in text:
-                text = _html.unescape(text)
-            for sink in top.sinks:
-                sink.append(text)
-            for sink in top.deep:
-                sink.append(text)
+        if not text:
+            return
+        if "&" in text:
+            text = _html.unescape(text)
+        for sink in top.sinks:
+            sink.append(text)
+        for sink in top.deep:
+            sink.append(text)
 
     @staticmethod
     def _closed(stack: list[_Open], tag: str) -> int:
         """Depth of the element an end tag closes, 0 if there is none."""
-        if stack[-1].tag == tag:
-            return len(stack) - 1
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag == tag:
                 return depth
