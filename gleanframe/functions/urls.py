@@ -79,6 +79,17 @@ def resolve(page_url: Column, href: Column) -> Column:
     )
 
 
+def canonical(url: Column) -> Column:
+    """The form in which two URLs are the same request: without fragment, parameters sorted."""
+    bare = F.regexp_extract(url, r"^([^#]*)", 1)
+    path = F.regexp_extract(bare, r"^([^?]*)", 1)
+    query = F.substr(bare, F.length(path) + 2)
+    pairs = F.filter(F.split(query, "&"), lambda p: p != "")
+    named = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))))
+    return F.when(query == "", path).otherwise(
+        F.concat(path, F.lit("?"), F.array_join(F.array_sort(named), "&")))
+
+
 def page_parameter(url: Column, name: str = "page") -> Column:
     """Integer value of a query parameter, 1 when it is absent or empty; null when it is no
     integer."""

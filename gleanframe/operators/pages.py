@@ -161,11 +161,12 @@ def page_yield(pages: DataFrame, item_pattern: str, request_pattern: str,
     )
 
 
-def block_detect(texts: DataFrame, phrases: list[str], column: str = "text") -> DataFrame:
+# Phrases that announce a block (fixed values).
+BLOCK_PHRASES = ["blocked", "rate limit", "too many requests"]
+
+
+def block_detect(texts: DataFrame, phrases: list[str] = BLOCK_PHRASES,
+                 column: str = "text") -> DataFrame:
     """Flag rows whose lower-cased text holds one of the phrases."""
     return texts.withColumn(
         "blocked", F.coalesce(t.contains_any(F.lower(F.col(column)), phrases), F.lit(False)))
-
-
-# Phrases that announce a block (fixed values).
-BLOCK_PHRASES = ["blocked", "rate limit", "too many requests"]

@@ -32,10 +32,14 @@ def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str) -> D
 def link_flow(listing_pages: DataFrame, seen: DataFrame, chain: tuple[Step, ...],
               domains: list[str]) -> DataFrame:
     """Listing pages (page_id, url, html) -> the links to request next: those the chain of steps
-    reaches, made absolute, on allowed hosts, not in ``seen`` (url), each once."""
+    reaches, made absolute, on allowed hosts, not in ``seen`` (url), each once. URLs that differ
+    in fragment or order of parameters only are one request and come in one form."""
     links = pages.extract_links_selected(listing_pages, chain, keep=("page_id", "url"))
-    absolute = links.select("page_id", urls.resolve(F.col("url"), F.col("href")).alias("url"))
-    return frontier.frontier_unseen(frontier.domain_filter(absolute, domains), seen)
+    absolute = links.select(
+        "page_id", urls.canonical(urls.resolve(F.col("url"), F.col("href"))).alias("url"))
+    return frontier.frontier_unseen(
+        frontier.domain_filter(absolute, domains),
+        seen.select(urls.canonical(F.col("url")).alias("url")))
 
 
 def account_flow(stored: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -123,10 +123,10 @@ def test_whole_flows(spark):
 
 def test_link_flow(spark):
     html = "".join(f'<h3 class="add-title"><a href="{h}">x</a></h3>' for h in
-                   ("/a", "b", "https://other.example/c", "/a", "//sub.site.example/d")) + '<a href="/no">n</a>'
+                   ("/a", "b", "https://other.example/c", "/a#x", "//sub.site.example/d")) + '<a href="/no">n</a>'
     stored = spark.createDataFrame([(1, "https://site.example/list/", html), (2, "https://site.example/x", html)],
                                    "page_id long, url string, html string")
-    seen = spark.createDataFrame([("https://site.example/b",)], "url string")
+    seen = spark.createDataFrame([("https://site.example/b#seen",)], "url string")
     rows = flows.link_flow(stored, seen, details.HEADING_ANCHOR, ["site.example"]).collect()
     assert {(r.url, r.first_page, r.n_links) for r in rows} == {
         ("https://site.example/a", 1, 4), ("https://site.example/list/b", 1, 1),

@@ -63,3 +63,10 @@ def test_stripped_and_plain_prefix(spark):
     df = spark.createDataFrame([("//a/b",), ("c",), (None,)], "h string")
     got = df.select(urls.strip_then_prefix("S", F.col("h")), urls.prefix("S", F.col("h"))).collect()
     assert [tuple(r) for r in got] == [("S/a/b", "S//a/b"), ("S/c", "Sc"), (None, None)]
+
+
+def test_canonical(spark):
+    cases = {"http://h/x": "http://h/x", "http://h/x#top": "http://h/x", "http://h/x?b=2&a=1#f": "http://h/x?a=1&b=2",
+             "http://h/x?a&b=": "http://h/x?a=&b=", "http://h/x?": "http://h/x", "http://h/?b=1&b=0&": "http://h/?b=0&b=1"}
+    df = spark.createDataFrame([(c,) for c in cases], "u string")
+    assert {r.u: r.c for r in df.select("u", urls.canonical(F.col("u")).alias("c")).collect()} == cases
