@@ -60,9 +60,7 @@ def resolve(page_url: Column, href: Column) -> Column:
     base = origin(page_url)
     no_fragment = F.regexp_extract(page_url, r"^([^#]*)", 1)
     no_query = F.regexp_extract(page_url, r"^([^?#]*)", 1)
-    base_path = F.expr("null").cast("string")
-    base_path = F.substr(no_query, F.length(base) + 1)
-    folder = F.regexp_replace(base_path, "[^/]*$", "")
+    folder = F.regexp_replace(F.substr(no_query, F.length(base) + 1), "[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
     # split the link into path and the rest
     path = F.regexp_extract(href, r"^([^?#]*)", 1)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import render
-from gleanframe.operators import details, fetchlog
+from gleanframe.operators import details, fetchlog, listing
 from gleanframe.session import scratch_path
 from gleanframe.streaming import jobs
 
@@ -90,3 +90,18 @@ def test_page_walk_runs_on_a_stream(spark):
     got, want = spark.read.parquet(f"{folder}/out"), details.detail_record_16(pages)
     assert got.count() > 100
     assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
+
+
+def test_listing_records_on_a_stream(spark):
+    payloads = render.listing_payloads(spark, SF)
+    source, folder = scratch_path(spark, "source"), scratch_path(spark, "listing")
+    payloads.write.parquet(source)
+
+    def records(rows):
+        return listing.listing_record_14(listing.listing_explode(listing.parse_listing(rows)))
+
+    stream = jobs.read_parquet_stream(spark, source, payloads.schema)
+    jobs.stream_extract(records(stream), folder).awaitTermination()
+    got, want = spark.read.parquet(f"{folder}/out"), records(payloads)
+    assert got.count() > 100
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
