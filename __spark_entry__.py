@@ -16,8 +16,10 @@ from pyspark.sql import functions as F  # noqa: E402
 from fixtures import render as r  # noqa: E402
 from fixtures.oracles import ORACLES  # noqa: E402
 from gleanframe.functions import urls  # noqa: E402
+from gleanframe.functions.html import Step  # noqa: E402
 from gleanframe.operators import details as d  # noqa: E402
 from gleanframe.operators import fetchlog, frontier, listing, pages, paging, records  # noqa: E402
+from gleanframe.plans import flows  # noqa: E402
 from gleanframe.schemas import DETAIL_16  # noqa: E402
 from gleanframe.session import scratch_path  # noqa: E402
 from gleanframe.sources import csv_table, payloads  # noqa: E402
@@ -39,6 +41,9 @@ class Inputs:
     def details(self) -> DataFrame:
         return r.detail_pages(self.spark, self.sf_dir)
 
+    def detail_reads(self) -> DataFrame:
+        return r.detail_reads(self.spark, self.sf_dir)
+
     def accounts(self) -> DataFrame:
         return r.account_pages(self.spark, self.sf_dir)
 
@@ -362,6 +367,25 @@ def next_pointer_closure(i: Inputs) -> DataFrame:
     return paging.next_pointer_closure(pointers, seeds)
 
 
+# ---- whole flows
+
+def rent_listing_flow(i: Inputs) -> DataFrame:
+    return flows.rent_listing_flow(i.payloads(), i.details(), r.SITE, r.STAT_PHRASE)
+
+
+def sale_listing_flow(i: Inputs) -> DataFrame:
+    return flows.sale_listing_flow(i.payloads(), i.detail_reads(), r.SITE)
+
+
+def link_flow(i: Inputs) -> DataFrame:
+    """Links of the navigation, on one site; seen are those of the numbered listing pages."""
+    chain = (Step("nav"), Step("li"), Step("a"))
+    listing_pages = i.pages().filter(frontier.has_page_parameter(F.col("url")))
+    seen = pages.extract_links(listing_pages).select(
+        urls.resolve(F.col("url"), F.col("href")).alias("url"))
+    return flows.link_flow(i.pages(), seen, chain, ["example.net"])
+
+
 # ---- streams
 
 def _finished(i: Inputs, label: str, start: Callable) -> DataFrame:
@@ -411,6 +435,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         best_of_n_complete, retry_schedule, retry_schedule_exception, frontier_ordered,
         union_records, merge_records,
         page_number, next_page_url, page_plan, page_gap_report, next_pointer_closure,
+        rent_listing_flow, sale_listing_flow, link_flow,
         stream_extract, stream_dedup, stream_status_counts, stream_retry_state,
     )
 }

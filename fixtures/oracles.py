@@ -173,6 +173,12 @@ _ENRICHED = f"""{_RECORD_14}, {_DETAIL_8}, first_listed as (
   select * from record_14 where ukey is not null
   qualify row_number() over (partition by ukey order by page_num, pos) = 1)"""
 
+_LINK_SITE = "regexp_extract(link, '^https?://([^/?#:]+)', 1)"
+# the first read counts when it is complete, else the second; the third failed
+_FIRST_READ = ("p_partkey % 4 <> 0 and p_partkey % 11 <> 3 and p_partkey % 41 <> 6 and p_partkey % 43 <> 8")
+_SALE = _UNION.replace("p_name || ' & more' as title",
+                       f"p_name || case when {_FIRST_READ} then ' & more' else ' & changed' end as title")
+
 ORACLES: dict[str, str] = {
     "src_listing_payloads": f"with {_RESPONSES} select page_num, body from responses",
     "src_pages": "select page_id, url, html from pages",
@@ -306,8 +312,15 @@ reached(page, depth) as (
   select p_partkey, 0 from part where p_partkey < 10
   union all select next_page, depth + 1 from reached join pointer using (page))
 select page, cast(min(depth) as bigint) as depth from reached group by page""",
+    "sale_listing_flow": f"with {_SALE} select * from feed",
+    "link_flow": f"with {_LINKS}, full_links as (select page_id, url like '%?page=%' or url like '%&page=%' "
+                 "as on_listing, regexp_extract(url, '^(https?://[^/]+)', 1) || href as link from links) "
+                 "select link as url, min(page_id) as first_page, count(*) as n_links from full_links "
+                 f"where ({_LINK_SITE} = 'example.net' or {_LINK_SITE} like '%.example.net') "
+                 "and link not in (select link from full_links where on_listing) group by link",
     "stream_extract": _FIRST_TEXTS,
     "stream_dedup": "select distinct user_id as url from events",
     "stream_status_counts": "select event_type as status, count(*) as responses from events group by 1",
     "stream_retry_state": _RETRY,
 }
+ORACLES["rent_listing_flow"] = ORACLES["enrich_listing_with_detail"]

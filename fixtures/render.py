@@ -170,6 +170,18 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(DETAIL_HTML).alias("html"))
 
 
+def detail_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, attempt, html: three reads of each detail page. The first lacks the seller on every
+    fourth page, the second is of a changed page, the third failed."""
+    pages = detail_pages(spark, sf_dir).withColumn(
+        "attempt", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    number = F.regexp_extract("url", r"(\d+)$", 1).cast("bigint")
+    early = F.when(number % 4 == 0, F.replace("html", F.lit("b-seller-block__name"), F.lit("later")))
+    html = F.when(F.col("attempt") == 1, F.coalesce(early, F.col("html"))).when(
+        F.col("attempt") == 2, F.replace("html", F.lit("&amp; more"), F.lit("&amp; changed")))
+    return pages.select("url", "attempt", html.alias("html"))
+
+
 def account_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_with_seller(spark, sf_dir).select(
         F.concat(F.lit(f"{ACCOUNT_SITE}/item/"), F.col("p_partkey").cast("string")).alias("url"),

@@ -16,7 +16,8 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     once.
 
     Rows of hot keys meet the fewer than HOT_SHARE matching rows of the right side by broadcast
-    and are never shuffled by key; all others take a plain join.
+    and are never shuffled by key; all others take a plain join. The left side is read several
+    times, so it should be a stored table or a cheap projection of one.
     """
     total = left.agg(F.count("*")).scalar()
     hot = F.broadcast(

@@ -18,14 +18,16 @@ def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str,
         listing.listing_record_14(adverts), details.detail_fields_8(detail_pages, stat_phrase), site)
 
 
-def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str) -> DataFrame:
-    """Browsed listing and up to three snapshots per detail page -> one feed of the canonical 16
+def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str, n: int = 3) -> DataFrame:
+    """Browsed listing and up to n snapshots per detail page -> one feed of the canonical 16
     columns. ``snapshots`` has url, attempt, html; a read that failed has no html: it counts as an
     attempt but yields nothing."""
     adverts = listing.listing_explode(listing.parse_listing(payloads))
-    read = details.detail_record_16(snapshots.filter("html is not null"), keep=("attempt",))
+    # filtered here as well, since Spark cannot move a filter below the page walk
+    usable = snapshots.filter((F.col("attempt") <= n) & F.col("html").isNotNull())
     best = records.best_of_n_complete(
-        read, ["property_url"], records.critical_fields_present())
+        details.detail_record_16(usable, keep=("attempt",)), ["property_url"],
+        records.critical_fields_present(), n)
     return records.union_records(listing.listing_record_16(adverts, site), best)
 
 
