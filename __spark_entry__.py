@@ -19,6 +19,7 @@ from gleanframe.functions import urls  # noqa: E402
 from gleanframe.functions.html import Step  # noqa: E402
 from gleanframe.operators import details as d  # noqa: E402
 from gleanframe.operators import fetchlog, frontier, listing, pages, paging, records  # noqa: E402
+from gleanframe.operators.columns import with_once  # noqa: E402
 from gleanframe.plans import flows  # noqa: E402
 from gleanframe.schemas import DETAIL_16  # noqa: E402
 from gleanframe.session import scratch_path  # noqa: E402
@@ -254,9 +255,8 @@ def listing_without_detail(i: Inputs) -> DataFrame:
 
 def frontier_unseen(i: Inputs) -> DataFrame:
     """Seen are the links of the numbered listing pages."""
-    links = i.links().select(
-        "page_id", frontier.has_page_parameter(F.col("url")).alias("on_listing"),
-        urls.resolve(F.col("url"), F.col("href")).alias("url"))
+    links = i.links().withColumn("on_listing", frontier.has_page_parameter(F.col("url")))
+    links = with_once(links, "url", urls.resolve(F.col("url"), F.col("href")))
     return frontier.frontier_unseen(links, links.filter("on_listing"))
 
 
@@ -381,8 +381,8 @@ def link_flow(i: Inputs) -> DataFrame:
     """Links of the navigation, on one site; seen are those of the numbered listing pages."""
     chain = (Step("nav"), Step("li"), Step("a"))
     listing_pages = i.pages().filter(frontier.has_page_parameter(F.col("url")))
-    seen = pages.extract_links(listing_pages).select(
-        urls.resolve(F.col("url"), F.col("href")).alias("url"))
+    seen = with_once(
+        pages.extract_links(listing_pages), "url", urls.resolve(F.col("url"), F.col("href")))
     return flows.link_flow(i.pages(), seen, chain, ["example.net"])
 
 

@@ -3,6 +3,8 @@ blanks, for which the parser gives null."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,12 @@ def host(url: Column) -> Column:
     return F.lower(blank_to_null(found))
 
 
+def host_pattern(domains: list[str]) -> str:
+    """Pattern of URLs whose host is one of the domains or below one."""
+    names = "|".join(re.escape(d) for d in domains)
+    return rf"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:[^/?#:@]*\.)?(?:{names})(?:[:/?#]|\z)"
+
+
 def host_suffixes(h: Column) -> Column:
     """The host and every parent domain: a.b.c gives [a.b.c, b.c, c]."""
     labels = F.split(h, r"\.")
@@ -84,7 +92,7 @@ def canonical(url: Column) -> Column:
     query = F.substr(bare, F.length(path) + 2)
     pairs = F.filter(F.split(query, "&"), lambda p: p != "")
     named = F.transform(pairs, lambda p: F.when(F.contains(p, F.lit("=")), p).otherwise(F.concat(p, F.lit("="))))
-    return F.when(query == "", path).otherwise(
+    return F.when(~url.rlike("[?#]"), url).when(query == "", path).otherwise(
         F.concat(path, F.lit("?"), F.array_join(F.array_sort(named), "&")))
 
 

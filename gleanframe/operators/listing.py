@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanframe import schemas
 from gleanframe.functions import text as t
 from gleanframe.functions import urls
+from gleanframe.operators.columns import with_once
 
 ORDER = ("page_num", "pos")
 
@@ -21,13 +22,10 @@ def json_unwrap(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 
 def _parsed(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Add the response as a struct. It is generated from a list of one, because the optimizer
-    would copy a projected from_json into every filter and column that uses it."""
+    """Add the response as a struct, parsed once."""
     found = t.blank_to_null(F.regexp_extract(body, r"(?s)(\{.*\})", 1))
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    doc = F.from_json(found, schemas.LISTING, options)
-    kept = [c for c in payloads.columns if c != body]
-    return payloads.select(*kept, F.explode(F.array(doc)).alias("doc"))
+    return with_once(payloads, "doc", F.from_json(found, schemas.LISTING, options)).drop(body)
 
 
 def json_rejects(payloads: DataFrame, body: str = "body") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleanframe.functions import urls
 from gleanframe.functions.html import Step
 from gleanframe.operators import details, frontier, listing, pages, records
+from gleanframe.operators.columns import with_once
 
 
 def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str,
@@ -37,11 +38,11 @@ def link_flow(listing_pages: DataFrame, seen: DataFrame, chain: tuple[Step, ...]
     reaches, made absolute, on allowed hosts, not in ``seen`` (url), each once. URLs that differ
     in fragment or order of parameters only are one request and come in one form."""
     links = pages.extract_links_selected(listing_pages, chain, keep=("page_id", "url"))
-    absolute = links.select(
-        "page_id", urls.canonical(urls.resolve(F.col("url"), F.col("href"))).alias("url"))
+    absolute = with_once(links, "link", urls.resolve(F.col("url"), F.col("href")))
+    absolute = with_once(absolute.select("page_id", "link"), "url", urls.canonical(F.col("link")))
     return frontier.frontier_unseen(
         frontier.domain_filter(absolute, domains),
-        seen.select(urls.canonical(F.col("url")).alias("url")))
+        with_once(seen.select("url"), "url", urls.canonical(F.col("url"))))
 
 
 def account_flow(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
