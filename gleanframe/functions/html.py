@@ -44,32 +44,38 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BLOCK = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form",
          "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre",
          "section", "table", "ul"}
-# start tag -> (open elements it ends, elements the search for them does not leave)
-ENDS = {tag: ({"p"}, {"table", "td", "th", "button"}) for tag in BLOCK}
-ENDS |= {
-    "li": ({"li"}, {"ul", "ol"}),
-    "dt": ({"dt", "dd"}, {"dl"}),
-    "dd": ({"dt", "dd"}, {"dl"}),
-    "option": ({"option"}, {"select"}),
-    "tr": ({"tr"}, {"table"}),
-    "td": ({"td", "th"}, {"table", "tr"}),
-    "th": ({"td", "th"}, {"table", "tr"}),
+# elements that end without an end tag, and the elements their scope does not reach into
+SCOPES = {
+    "p": {"table", "td", "th", "button"},
+    "li": {"ul", "ol"},
+    "dt": {"dl"}, "dd": {"dl"},
+    "option": {"select"},
+    "tr": {"table"},
+    "td": {"table", "tr"}, "th": {"table", "tr"},
+}
+BOUNDARIES = set().union(*SCOPES.values())
+# start tag -> open elements it ends
+ENDS = {tag: ("p",) for tag in BLOCK} | {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr",),
+    "td": ("td", "th"), "th": ("td", "th"),
 }
 # an end tag of another kind does not close these
 CONTAINERS = (BLOCK - {"p"}) | {"li", "td", "th", "tr", "body", "html"}
 
-# comment, script, style, tag, anything else in angle brackets; splitting at it gives texts and
-# tokens in turn
+# Comment, script, style, tag, anything else in angle brackets; splitting at it gives texts and
+# tokens in turn. What is never closed ends at the next '<' or takes all the rest, so that broken
+# pages are read in linear time too.
 _TOKEN = re.compile(
     r"(<!--.*?(?:-->|\Z)"
-    r"|<script\b[^>]*>.*?(?:</script\s*>|\Z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\Z)"
-    r"|</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-    r"|<[!?][^>]*>)",
+    r"|<script\b[^<>]*>.*?(?:</script\s*>|\Z)"
+    r"|<style\b[^<>]*>.*?(?:</style\s*>|\Z)"
+    r"|</?[a-z](?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"|<[!?][^<>]*>)",
     re.S | re.I,
 )
 _NAME = re.compile(r"</?([a-z][^\s/>]*)", re.I)
-_ATTR = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTR = re.compile(
+    r"(?<![^\s=/\"'<>])([^\s=/\"'<>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -83,7 +89,7 @@ def _attributes(text: str) -> dict[str, str]:
 class _Open:
     """An element whose end has not been seen."""
 
-    __slots__ = ("tag", "children", "states", "sinks", "deep", "groups")
+    __slots__ = ("tag", "children", "states", "sinks", "deep", "groups", "scope", "inline")
 
     def __init__(self, tag, states, sinks, deep, groups):
         self.tag = tag
@@ -92,6 +98,56 @@ class _Open:
         self.sinks = sinks      # lists that take the direct text
         self.deep = deep        # lists that take the text of all descendants
         self.groups = groups    # open key/value records, as (field name, (keys, values))
+        self.scope = {}         # depth of the open elements that may end without an end tag
+        self.inline = {}        # number of open elements by tag since the last container
+
+
+class _Stack:
+    """The open elements. Each is pushed and popped once, and no search is longer than what it
+    pops."""
+
+    def __init__(self, root: _Open):
+        self.elements = [root]
+        self.containers: dict[str, int] = {}
+
+    def push(self, element: _Open) -> None:
+        tag, parent = element.tag, self.elements[-1]
+        scope = parent.scope
+        if tag in BOUNDARIES and scope:
+            scope = {k: depth for k, depth in scope.items() if tag not in SCOPES[k]}
+        if tag in SCOPES:
+            scope = {**scope, tag: len(self.elements)}
+        element.scope = scope
+        if tag in CONTAINERS:
+            self.containers[tag] = self.containers.get(tag, 0) + 1
+        else:
+            element.inline = counts = parent.inline
+            counts[tag] = counts.get(tag, 0) + 1
+        self.elements.append(element)
+
+    def pop_to(self, depth: int) -> _Open:
+        """Drop the elements from that depth on; the new top is returned."""
+        for gone in self.elements[depth:]:
+            counts = self.containers if gone.tag in CONTAINERS else gone.inline
+            counts[gone.tag] -= 1
+        del self.elements[depth:]
+        return self.elements[-1]
+
+    def closed_by(self, tag: str) -> int:
+        """Depth of the element an end tag closes, 0 if there is none. The end of an inline
+        element does not close a container."""
+        counts = self.containers if tag in CONTAINERS else self.elements[-1].inline
+        if not counts.get(tag):
+            return 0
+        depth = len(self.elements) - 1
+        while self.elements[depth].tag != tag:
+            depth -= 1
+        return depth
+
+    def ended_by(self, tags: tuple[str, ...]) -> int:
+        """Depth of the innermost element that one of the tags in scope ends, 0 if none."""
+        scope = self.elements[-1].scope
+        return max([scope.get(t, 0) for t in tags]) if scope else 0
 
 
 # kinds of token
@@ -106,7 +162,7 @@ class _Token:
     def __init__(self, kind, tag="", ends=None, steps=(), parts=(), attributes=None):
         self.kind = kind
         self.tag = tag
-        self.ends = ends                # open elements a start tag ends, see ENDS
+        self.ends = ends                # open elements a start tag ends
         self.steps = steps              # (chain number, step number, wanted place) that fit
         self.parts = parts              # (field name, 0 for key or 1 for value, wanted place)
         self.attributes = attributes
@@ -137,7 +193,7 @@ class PageWalk:
     def __call__(self, page: str | None) -> dict[str, list]:
         out: dict[str, list] = {f.name: [] for f in self.fields}
         top = _Open("", self.start, (), (), ())
-        stack = [top]
+        stack = _Stack(top)
         text = ""
         pieces = _TOKEN.split(page or "")
         remembered = self.tokens
@@ -148,19 +204,14 @@ class PageWalk:
             token = remembered.get(markup) or self._token(markup)
             kind = token.kind
             if kind == _END:
-                if top.tag == token.tag:
-                    depth = len(stack) - 1
-                else:
-                    depth = self._closed(stack, token.tag)
-                    if not depth:
-                        # an end tag that closes nothing does not split the text around it
-                        continue
-                if text:
-                    if top.sinks or top.deep:
-                        self._take(top, text)
-                    text = ""
-                del stack[depth:]
-                top = stack[-1]
+                depth = stack.closed_by(token.tag)
+                # an end tag that closes nothing does not split the text around it
+                if depth:
+                    if text:
+                        if top.sinks or top.deep:
+                            self._take(top, text)
+                        text = ""
+                    top = stack.pop_to(depth)
                 continue
             if text:
                 if top.sinks or top.deep:
@@ -168,15 +219,16 @@ class PageWalk:
                 text = ""
             if kind == _START:
                 if token.ends:
-                    self._end_implied(stack, token.ends)
-                    top = stack[-1]
+                    depth = stack.ended_by(token.ends)
+                    if depth:
+                        top = stack.pop_to(depth)
                 top.children += 1
                 if token.steps or token.parts:
                     opened = self._match(top, token, out)
                 else:
                     opened = _Open(token.tag, top.states, (), top.deep, top.groups)
                 if token.tag not in VOID:
-                    stack.append(opened)
+                    stack.push(opened)
                     top = opened
             elif kind == _RAW:
                 top.children += 1
@@ -230,26 +282,6 @@ class PageWalk:
         for sink in top.deep:
             sink.append(text)
 
-    @staticmethod
-    def _closed(stack: list[_Open], tag: str) -> int:
-        """Depth of the element an end tag closes, 0 if there is none."""
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag == tag:
-                return depth
-            if stack[depth].tag in CONTAINERS and tag not in CONTAINERS:
-                return 0
-        return 0
-
-    @staticmethod
-    def _end_implied(stack: list[_Open], ends: tuple[set, set]) -> None:
-        ended, stops = ends
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in ended:
-                del stack[depth:]
-                return
-            if stack[depth].tag in stops:
-                return
-
     def _match(self, parent: _Open, token: _Token, out: dict[str, list]) -> _Open:
         """The opened element, attached to everything it is wanted for."""
         place = parent.children

@@ -12,18 +12,21 @@ from gleanframe.operators.columns import with_once
 
 ORDER = ("page_num", "pos")
 
+# first '{' to last '}'; tried at the start of the text only, so it is linear in its length
+_OBJECT = r"(?s)^[^{]*+(\{.*\})"
+
 
 def json_unwrap(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Replace the body by the JSON object inside it: first '{' to last '}', over line ends.
     Responses without one give no row (see json_rejects)."""
-    found = F.regexp_extract_all(body, F.lit(r"(?s)(\{.*\})"), F.lit(1))
+    found = F.regexp_extract_all(body, F.lit(_OBJECT), F.lit(1))
     return payloads.select(
         *[c for c in payloads.columns if c != body], F.explode(found).alias("json"))
 
 
 def _parsed(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Add the response as a struct, parsed once."""
-    found = t.blank_to_null(F.regexp_extract(body, r"(?s)(\{.*\})", 1))
+    found = t.blank_to_null(F.regexp_extract(body, _OBJECT, 1))
     options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
     return with_once(payloads, "doc", F.from_json(found, schemas.LISTING, options)).drop(body)
 

@@ -84,8 +84,9 @@ def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str]
 
 # ---- native forms ---------------------------------------------------------------------------
 
-# comments and script/style bodies hold text that only looks like elements
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+# Comments and script/style bodies hold text that only looks like elements. One that is never
+# closed takes all the rest, so that broken pages are read in linear time too.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\z)"
 
 
 def visible_markup(html: Column) -> Column:
@@ -94,8 +95,8 @@ def visible_markup(html: Column) -> Column:
 
 def _start_tag(tag: str, cls: str | None) -> str:
     if cls is None:
-        return rf"<{tag}(?:\s[^>]*)?>"
-    return rf'<{tag}\s(?:[^>]*\s)?class="(?:[^"]*\s)?{re.escape(cls)}(?:\s[^"]*)?"[^>]*>'
+        return rf"<{tag}(?:\s[^<>]*)?>"
+    return rf'<{tag}\s(?:[^<>]*?\s)?class="(?:[^"]*\s)?{re.escape(cls)}(?:\s[^"]*)?"[^<>]*>'
 
 
 def first_text(html: Column, tag: str, cls: str | None = None) -> Column:
@@ -127,7 +128,7 @@ def extract_links(pages: DataFrame, keep: Iterable[str] = ("page_id", "url"),
                   html: str = "html") -> DataFrame:
     """One row per anchor, in document order."""
     found = F.regexp_extract_all(
-        visible_markup(F.col(html)), F.lit(r'(?i)<a\s(?:[^>]*\s)?href="([^"]*)"'), F.lit(1))
+        visible_markup(F.col(html)), F.lit(r'(?i)<a\s(?:[^<>]*?\s)?href="([^"]*)"'), F.lit(1))
     rows = pages.select(*keep, F.posexplode(found).alias("pos", "href"))
     return rows.withColumn("href", t.unescape(F.col("href")))
 

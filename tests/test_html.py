@@ -1,5 +1,8 @@
 """The page walk, and that it agrees with the native forms on the raw pages."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from gleanframe.functions.html import Field, PageWalk, Step
@@ -121,3 +124,36 @@ def test_pages_without_the_class_are_not_walked(spark):
     assert got == {1: ["x"], 2: [], 3: [], 4: [], 5: ["y"]}
     plan = pages.walk_pages(df, [field])._jdf.queryExecution().executedPlan().toString()
     assert "Contains(html" in plan
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000, "<p><table>" + "<div>" * 100_000, "<b>" * 100_000 + "</i>" * 100_000,
+    "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "<div>" * 100_000 + "</section>" * 100_000,
+    "<section>" + "<div>" * 50_000 + "</p>" * 50_000, "<a \"" * 200_000, "<a '\"" * 200_000, "<!" * 300_000,
+    "<!--" * 300_000, "<script" * 100_000, "<script>" * 100_000, "<" * 500_000, "<a " + "x" * 500_000 + ">",
+    "<a " + "x " * 300_000 + ">", "<a " + "x=" * 300_000 + ">", "<div class=\"" * 50_000, "<p>" * 200_000,
+    "<li>" * 100_000, "&" * 300_000,
+], ids=range(20))
+def test_broken_pages_take_linear_time(page):
+    fields = [Field("x", "texts", ((Step("div", "a"), Step("span")), (Step("p"),), (Step("a"),))),
+              Field("h", "attr", ((Step("a"),),), "href")]
+    start = time.process_time()
+    PageWalk(fields)(page)
+    assert time.process_time() - start < 5
+
+
+def test_native_patterns_take_linear_time(spark):
+    bad = ["<!--" * 200_000, "<script>" * 100_000, "<script" * 100_000, "<div " * 100_000, "<a href=" * 100_000,
+           "<div class=\"" * 50_000, "<a \"" * 100_000, "<title" * 100_000]
+    df = spark.createDataFrame(list(enumerate(bad)), "page_id int, html string")
+    start = time.time()
+    pages.extract_first_text(df, {"t": ("title", None), "d": ("div", "ad")}).collect()
+    pages.extract_links(df, ("page_id",)).collect()
+    assert time.time() - start < 30
+
+
+def test_implied_ends_stay_in_scope():
+    page = "<p>1<button>x<p>2</button>3<table><tr><td>4<p>5<td>6</table>7<p>8"
+    assert texts(page, Step("p")) == ["1", "2", "3", "5", "8"]
+    assert texts(page, Step("td")) == ["4", "6"]
+    assert texts("<ul><li>1<ul><li>2</ul>3<li>4</ul>", Step("li")) == ["1", "2", "3", "4"]
