@@ -98,8 +98,9 @@ class _Open:
         self.sinks = sinks      # lists that take the direct text
         self.deep = deep        # lists that take the text of all descendants
         self.groups = groups    # open key/value records, as (field name, (keys, values))
-        self.scope = {}         # depth of the open elements that may end without an end tag
-        self.inline = {}        # number of open elements by tag since the last container
+        # set when pushed:
+        # scope             depth of the open elements that may end without an end tag
+        # inline            number of open elements by tag since the last container
 
 
 class _Stack:
@@ -107,31 +108,34 @@ class _Stack:
     pops."""
 
     def __init__(self, root: _Open):
+        root.scope, root.inline = {}, {}
         self.elements = [root]
         self.containers: dict[str, int] = {}
 
     def push(self, element: _Open) -> None:
         tag, parent = element.tag, self.elements[-1]
         scope = parent.scope
-        if tag in BOUNDARIES and scope:
+        if scope and tag in BOUNDARIES:
             scope = {k: depth for k, depth in scope.items() if tag not in SCOPES[k]}
         if tag in SCOPES:
             scope = {**scope, tag: len(self.elements)}
         element.scope = scope
         if tag in CONTAINERS:
-            self.containers[tag] = self.containers.get(tag, 0) + 1
+            element.inline = {}
+            counts = self.containers
         else:
             element.inline = counts = parent.inline
-            counts[tag] = counts.get(tag, 0) + 1
+        counts[tag] = counts.get(tag, 0) + 1
         self.elements.append(element)
 
     def pop_to(self, depth: int) -> _Open:
         """Drop the elements from that depth on; the new top is returned."""
-        for gone in self.elements[depth:]:
+        elements = self.elements
+        while len(elements) > depth:
+            gone = elements.pop()
             counts = self.containers if gone.tag in CONTAINERS else gone.inline
             counts[gone.tag] -= 1
-        del self.elements[depth:]
-        return self.elements[-1]
+        return elements[-1]
 
     def closed_by(self, tag: str) -> int:
         """Depth of the element an end tag closes, 0 if there is none. The end of an inline
@@ -147,7 +151,9 @@ class _Stack:
     def ended_by(self, tags: tuple[str, ...]) -> int:
         """Depth of the innermost element that one of the tags in scope ends, 0 if none."""
         scope = self.elements[-1].scope
-        return max([scope.get(t, 0) for t in tags]) if scope else 0
+        if not scope:
+            return 0
+        return max([scope.get(t, 0) for t in tags])
 
 
 # kinds of token
