@@ -140,11 +140,14 @@ class _Stack:
     def closed_by(self, tag: str) -> int:
         """Depth of the element an end tag closes, 0 if there is none. The end of an inline
         element does not close a container."""
-        counts = self.containers if tag in CONTAINERS else self.elements[-1].inline
+        elements = self.elements
+        depth = len(elements) - 1
+        if elements[depth].tag == tag:
+            return depth
+        counts = self.containers if tag in CONTAINERS else elements[depth].inline
         if not counts.get(tag):
             return 0
-        depth = len(self.elements) - 1
-        while self.elements[depth].tag != tag:
+        while elements[depth].tag != tag:
             depth -= 1
         return depth
 
