@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe import schemas
@@ -15,6 +15,9 @@ ORDER = ("page_num", "pos")
 # first '{' to last '}'; tried at the start of the text only, so it is linear in its length
 _OBJECT = r"(?s)^[^{]*+(\{.*\})"
 
+# Strict but for raw control characters within strings, which are kept.
+_JSON = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "true"}
+
 
 def json_unwrap(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Replace the body by the JSON object inside it: first '{' to last '}', over line ends.
@@ -25,36 +28,37 @@ def json_unwrap(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 
 def _parsed(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Add the response as a struct, parsed once."""
+    """Add the response as ``docs``, parsed once: a list of one struct; null without JSON, a null
+    or other list when the JSON is malformed. Values of an unexpected type are null."""
     found = t.blank_to_null(F.regexp_extract(body, _OBJECT, 1))
-    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
-    return with_once(payloads, "doc", F.from_json(found, schemas.LISTING, options)).drop(body)
+    wrapped = F.concat(F.lit('{"docs":['), found, F.lit("]}"))
+    parsed = F.from_json(wrapped, schemas.WRAPPED_LISTING, _JSON)
+    return with_once(payloads, "parsed", parsed).drop(body)
+
+
+def _readable() -> Column:
+    return F.coalesce(F.size("parsed.docs") == 1, F.lit(False))
 
 
 def json_rejects(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Responses that yield no records, with the reason."""
-    reason = F.when(F.col("doc").isNull(), "no_json").when(
-        F.col(f"doc.{schemas.CORRUPT}").isNotNull(), "malformed")
-    return (
-        _parsed(payloads, body).withColumn("reason", reason).drop("doc")
-        .filter(F.col("reason").isNotNull())
-    )
+    reason = F.when(F.col("parsed").isNull(), "no_json").otherwise("malformed")
+    return _parsed(payloads, body).filter(~_readable()).withColumn("reason", reason).drop("parsed")
 
 
 def parse_listing(payloads: DataFrame, body: str = "body") -> DataFrame:
     """One row per readable response: adverts (may be empty), total_pages (1 when missing),
     next_url."""
-    good = _parsed(payloads, body).filter(
-        F.col("doc").isNotNull() & F.col(f"doc.{schemas.CORRUPT}").isNull())
+    doc = t.first(F.col("parsed.docs"))
     adverts = F.coalesce(
-        F.col("doc.adverts_list.adverts"),
+        doc["adverts_list"]["adverts"],
         F.array().cast(schemas.LISTING["adverts_list"].dataType["adverts"].dataType))
-    total = F.coalesce(F.col("doc.adverts_list.total_pages").try_cast("bigint"), F.lit(1))
+    total = F.coalesce(doc["adverts_list"]["total_pages"].try_cast("bigint"), F.lit(1))
     return (
-        good.withColumn("adverts", adverts)
-        .withColumn("total_pages", total.cast("bigint"))
-        .withColumn("next_url", F.col("doc.next_url"))
-        .drop("doc")
+        _parsed(payloads, body).filter(_readable())
+        .withColumns({"adverts": adverts, "total_pages": total.cast("bigint"),
+                      "next_url": doc["next_url"]})
+        .drop("parsed")
     )
 
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt"
-
 
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -26,8 +24,10 @@ LISTING = T.StructType([
         T.StructField("total_pages", T.StringType()),
     ])),
     T.StructField("next_url", T.StringType()),
-    T.StructField(CORRUPT, T.StringType()),
 ])
+# A response is parsed as the only element of a list: text behind its object, which the parser
+# would pass over at the top level, makes the list unreadable.
+WRAPPED_LISTING = T.StructType([T.StructField("docs", T.ArrayType(LISTING))])
 
 # Column order of the written table (fixed values).
 DETAIL_16 = [

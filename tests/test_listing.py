@@ -78,3 +78,29 @@ def test_response_files(spark, tmp_path):
     df = payloads.src_listing_files(spark, str(tmp_path))
     rows = listing.listing_explode(listing.parse_listing(df)).collect()
     assert {r.page_num: r.advert.title for r in rows} == {3: "3", 12: "12"}
+
+
+def test_malformed_as_a_strict_parser_sees_it(spark):
+    good = '{"adverts_list": {"adverts": [{"title": "a"}]}}'
+    bodies = [good, good + " x " + good, good + good, good + "," + good, good[:-1] + ",}", "{'a': 1}", '{"a": 01}', "{}}"]
+    df = adverts(spark, *bodies)
+    for body, strict in zip(bodies, [True] + [False] * 7):
+        try:
+            json.loads(body)
+            assert strict
+        except json.JSONDecodeError:
+            assert not strict
+    assert [r.page_num for r in listing.parse_listing(df).collect()] == [1]
+    assert {r.reason for r in listing.json_rejects(df).collect()} == {"malformed"}
+
+
+def test_unexpected_types_cost_only_themselves(spark):
+    odd = {"title": 5, "price_obj": "x", "url": "/1", "attrs": [{"name": "Bedrooms", "value": 3}]}
+    df = adverts(spark, page(odd, {"title": "ok", "url": "/2"}), page(total_pages=[1]),
+                 '{"adverts_list": [1], "next_url": "n"}', '{"adverts_list": {"adverts": [{"title": "a\tb"}]}}')
+    exploded = listing.listing_explode(listing.parse_listing(df))
+    rows = sorted(listing.listing_record_14(exploded).collect(), key=lambda r: (r.page_num, r.pos))
+    assert [(r.title, r.bedrooms, r.property_url, r.rent_per_period) for r in rows] == [
+        ("5", "3", "/1", None), ("ok", None, "/2", None), ("a\tb", None, None, None)]
+    assert listing.json_rejects(df).count() == 0
+    assert {r.page_num: r.next_url for r in listing.parse_listing(df).collect()}[3] == "n"
