@@ -358,12 +358,14 @@ def page_gap_report(i: Inputs) -> DataFrame:
 
 
 def next_pointer_closure(i: Inputs) -> DataFrame:
+    """All chains, from the pages that nothing points to."""
     part = i.table("part")
     last = part.agg(F.max("p_partkey")).scalar()
     ahead = F.col("p_partkey") + 250
     pointers = part.select(F.col("p_partkey").alias("page"), F.when(
         (F.col("p_size") != 50) & (ahead <= last), ahead).alias("next_page"))
-    seeds = part.filter("p_partkey < 10").select(F.col("p_partkey").alias("page"))
+    led_to = pointers.select(F.col("next_page").alias("page")).dropna()
+    seeds = pointers.select("page").join(led_to, "page", "left_anti")
     return paging.next_pointer_closure(pointers, seeds)
 
 

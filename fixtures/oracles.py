@@ -309,7 +309,7 @@ from n""",
   select p_partkey as page, p_partkey + 250 as next_page from part
   where p_size <> 50 and p_partkey + 250 <= (select max(p_partkey) from part)),
 reached(page, depth) as (
-  select p_partkey, 0 from part where p_partkey < 10
+  select p_partkey, 0 from part where p_partkey not in (select next_page from pointer)
   union all select next_page, depth + 1 from reached join pointer using (page))
 select page, cast(min(depth) as bigint) as depth from reached group by page""",
     "sale_listing_flow": f"with {_SALE} select * from feed",
