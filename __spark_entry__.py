@@ -417,6 +417,19 @@ def stream_retry_state(i: Inputs) -> DataFrame:
         "ts", "batch")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the subpackage for training text, none where it is absent."""
+    try:
+        import corpus_pipeline
+        from gleanframe.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "gleanframe.llm", "gleanframe.llm.queries"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLES, **sql}
+
+
 def _long(name: str):
     return F.col(name).cast("bigint").alias(name)
 
@@ -453,8 +466,8 @@ def _bound(query: Callable[[Inputs], DataFrame], spark: SparkSession, sf_dir: st
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: partial(_bound, query) for name, query in QUERIES.items()}
+    return {name: partial(_bound, query) for name, query in QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **_training_data()[1]}
