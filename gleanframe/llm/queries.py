@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanframe.llm import exact_dedup
+from gleanframe.llm import exact_dedup, url_filter, warc
+from gleanframe.llm.tables import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,59 @@ r as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from r
 """
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = stored(warc.write(warc.records(_table(spark, sf_dir, "pages"))), "archive")
+    return warc.read(archive).drop("url")
+
+
+OP3_SQL = r"""
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as hex
+  from pages),
+f as (select *, min(page_id) over (partition by hex, payload_bytes) as first from p)
+select page_id, payload_bytes,
+       -- base32: five hex digits are four letters
+       list_aggregate(list_transform(range(0, 40, 5), lambda g: list_aggregate(list_transform([15, 10, 5, 0],
+         lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          1 + ((('0x' || substr(hex, g + 1, 5))::int >> b) & 31)::int, 1)),
+         'string_agg', '')), 'string_agg', '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to, true as intact
+from f
+"""
+
+RULES = [url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
+         url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
+         url_filter.Rule("block", "net", "/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, RULES, url_filter.alias_links(pages))
+
+
+# The tables hold no canonical or redirect link, so the SQL follows none; the tests do.
+OP9_SQL = r"""
+with p as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
+  from pages),
+rules(verdict, rule_host, rule_path) as (values
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits as (
+  select page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+         arg_max(verdict, length(rule_host || rule_path)) as verdict
+  from p join rules on (host = rule_host or ends_with(host, '.' || rule_host))
+                   and starts_with(path, rule_path)
+  group by page_id)
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join fits using (page_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup,)}
+    f.__name__: f for f in (op1_exact_dedup, op3_warc, op9_url_filter)}
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op9_url_filter": OP9_SQL}
