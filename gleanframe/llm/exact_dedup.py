@@ -115,8 +115,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeated = stored(repeated_fingerprints(filters(found, slice_bits), slice_bits), "repeated")
     candidates = stored(found.join(repeated.select("fingerprint"), "fingerprint", "left_semi"),
                         "candidates")
+    # one plan at every size: the ids may outgrow a broadcast
     texts = id_and_text(docs, id_col, text_col).join(
-        candidates.select("id").distinct(), "id", "left_semi")
+        candidates.select("id").distinct().hint("merge"), "id", "left_semi")
     same = texts.groupBy(F.translate("text", WHITE.decode(), "").alias("plain")).agg(
         F.count("*").alias("rows"))
     verified = same.groupBy(F.sha2("plain", 256).alias("sha")).agg(
