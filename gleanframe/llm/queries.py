@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanframe.llm import exact_dedup, url_filter, warc
+from gleanframe.llm import decontaminate, exact_dedup, near_dedup, url_filter, warc
 from gleanframe.llm.tables import stored
 
 
@@ -31,6 +31,10 @@ r as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from r
 """
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = stored(warc.write(warc.records(_table(spark, sf_dir, "pages"))), "archive")
     return warc.read(archive).drop("url")
@@ -52,6 +56,11 @@ select page_id, payload_bytes,
 from f
 """
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 RULES = [url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
          url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
          url_filter.Rule("block", "net", "/fr/")]
@@ -83,7 +92,8 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p l
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_warc, op9_url_filter)}
+    f.__name__: f for f in (
+        op1_exact_dedup, op2_near_dedup, op3_warc, op8_decontaminate, op9_url_filter)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op9_url_filter": OP9_SQL}
