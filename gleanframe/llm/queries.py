@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanframe.llm import decontaminate, exact_dedup, near_dedup, url_filter, warc
+from gleanframe.llm import decontaminate, exact_dedup, html_text, language, near_dedup, url_filter, warc
 from gleanframe.llm.tables import stored
 
 
@@ -56,6 +56,15 @@ select page_id, payload_bytes,
 from f
 """
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -93,7 +102,8 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p l
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_near_dedup, op3_warc, op8_decontaminate, op9_url_filter)}
+        op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op7_html_text,
+        op8_decontaminate, op9_url_filter)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op9_url_filter": OP9_SQL}
