@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanframe.llm import decontaminate, exact_dedup, html_text, language, near_dedup, url_filter, warc
+from gleanframe.llm import (
+    decontaminate, exact_dedup, html_text, language, near_dedup, substrings, url_filter, warc)
 from gleanframe.llm.tables import stored
 
 
@@ -100,10 +102,17 @@ fits as (
 select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join fits using (page_id)
 """
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_substrings(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op7_html_text,
-        op8_decontaminate, op9_url_filter)}
+        op8_decontaminate, op9_url_filter, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op9_url_filter": OP9_SQL}
