@@ -3,13 +3,14 @@ their SQL where it can express them."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanframe.llm import (
-    decontaminate, exact_dedup, html_text, language, near_dedup, substrings, url_filter, warc)
+    decontaminate, exact_dedup, html_text, language, near_dedup, pieces, substrings, url_filter, warc)
 from gleanframe.llm.tables import stored
 
 
@@ -63,6 +64,28 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs))
 
 
+def piece_model() -> str:
+    """The vocabulary file, named by the environment or else that of the installed package."""
+    if path := os.environ.get("PIECE_MODEL"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """Ids of every document, and whether they decode to its text."""
+    model = piece_model()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = pieces.decode(pieces.encode_rows(rows, model), model)
+    return found.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"),
+                        (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(_table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -111,7 +134,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op7_html_text,
+        op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op7_html_text,
         op8_decontaminate, op9_url_filter, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {
