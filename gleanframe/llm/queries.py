@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanframe.llm import (
-    decontaminate, exact_dedup, html_text, language, near_dedup, pieces, substrings, url_filter, warc)
+    decontaminate, exact_dedup, html_text, language, near_dedup, pieces, scoring, substrings, url_filter,
+    warc)
 from gleanframe.llm.tables import stored
 
 
@@ -86,6 +87,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(_table(spark, sf_dir, "documents"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return scoring.score(docs, scoring.train(docs))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -134,7 +140,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op7_html_text,
+        op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op6_lm_score,
+        op7_html_text,
         op8_decontaminate, op9_url_filter, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {
