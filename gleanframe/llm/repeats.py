@@ -18,7 +18,7 @@ class Pieces(NamedTuple):
     start: np.ndarray  # first window, a place in the data
     lead: np.ndarray  # bytes before the anchor
     run: np.ndarray  # number of windows, each one byte further
-    key: np.ndarray  # 64-bit hash of the anchor
+    key: np.ndarray  # 64-bit hash of the anchor and the bytes beside it that all of them hold
     text: np.ndarray  # number of the text
 
     def take(self, at: np.ndarray) -> Pieces:
@@ -27,36 +27,56 @@ class Pieces(NamedTuple):
 
 def pieces(data: np.ndarray, starts: np.ndarray, length: int) -> Pieces:
     """All windows of ``length`` bytes within a text, by anchor: the gram with the least hash, the
-    first among equals. Equal windows have equal anchors at equal places."""
+    first among equals. Equal windows have equal anchors at equal places.
+
+    Windows that hold at least half of what is left of the length before their anchor, and the
+    others, are pieces of their own: the ones have that half before the anchor in common, the others
+    that half behind it. So keys are hashes of more than an anchor, and agree by chance less often.
+    """
     n = len(data) - length + 1
     if n <= 0:
         nothing = np.zeros(0, np.int64)
         return Pieces(nothing, nothing, nothing, nothing.astype(np.uint64), nothing)
     eights = np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,))
-    hashes = eights[:-8] * np.uint64(0x9E3779B97F4A7C15) + eights[8:]
+    hashes = eights[:-8] * np.uint64(0x9E3779B97F4A7C15)
+    hashes += eights[8:]
     hashes ^= hashes >> np.uint64(32)
     hashes *= np.uint64(0xD6E8FEB86659FD93)
     hashes ^= hashes >> np.uint64(29)
     # the place below the hash makes the first of equal hashes the least
-    least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
+    least = hashes & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(hashes), dtype=np.uint64)
     width, reach = length - GRAM + 1, 1
     while 2 * reach <= width:
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
     if reach < width:
         least = np.minimum(least[:len(least) - (width - reach)], least[width - reach:])
-    anchor = (least[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    lengths = np.diff(starts)
-    left = np.repeat(starts[1:], lengths)[:n] - np.arange(n)
-    valid = left >= length
-    first = valid.copy()
-    first[1:] &= ~valid[:-1] | (anchor[1:] != anchor[:-1])
+    anchor = least[:n].astype(np.uint32).astype(np.int64)
+    half = (length - GRAM) // 2
+    place = np.arange(n)
+    before = anchor - place >= half
+    # the first window of every run, and whether it is a window at all
+    first = np.ones(n, bool)
+    first[1:] = (anchor[1:] != anchor[:-1]) | (before[1:] != before[:-1])
+    filled = np.flatnonzero(np.diff(starts))
+    edges = np.concatenate([starts[filled], np.maximum(starts[filled], starts[filled + 1] - length + 1)])
+    first[edges[edges < n]] = True
     at = np.flatnonzero(first)
-    last = valid.copy()
-    last[:-1] &= ~valid[1:] | (anchor[1:] != anchor[:-1])
-    run = np.flatnonzero(last) - at + 1
-    return Pieces(at, anchor[at] - at, run, mix(hashes[anchor[at]]),
-                  np.searchsorted(starts, at, "right") - 1)
+    run = np.diff(np.append(at, n))
+    text = np.searchsorted(starts, at, "right") - 1
+    inside = at + length <= starts[text + 1]
+    at, run, text = at[inside], run[inside], text[inside]
+    centre = anchor[at]
+    early = before[at]
+    key = np.empty(len(at), np.uint64)
+    for side, steps in ((True, [*range(-half, 0, GRAM), 0]), (False, [*range(0, half, GRAM), half])):
+        mine = np.flatnonzero(early == side)
+        total = np.full(len(mine), int(side), np.uint64)
+        for step in steps:
+            total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[centre[mine] + step]
+        key[mine] = mix(total)
+    return Pieces(at, centre - at, run, key, text)
 
 
 def windows(some: Pieces, keys: np.ndarray) -> Pieces:

@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.llm.repeats import Pieces, earlier, gathered, pieces, windows
-from gleanframe.llm.tables import id_and_text, shown_id, stored
+from gleanframe.llm.tables import id_and_text, shown_id, stored, storing
 from gleanframe.llm.texts import groups, span_hashes, utf8
 from gleanframe.session import scratch_path
 
 BLOCK_BYTES = 4 << 20
 PART_ANCHORS = 1 << 19
 PART_PIECES = 1 << 17
-HOT_BLOCKS = 32
+HOT_BLOCKS = 512
 ANSWER = "block int, part int, first binary, second binary"
 SENT = "part int, block int, lead binary, run binary, owner binary, data binary"
 
@@ -52,8 +52,9 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     n = size // BLOCK_BYTES + 1
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     name = f"blocks_{uuid.uuid4().hex}"
-    (rows.repartition(n, "block").write.bucketBy(n, "block").option("compression", "zstd")
-     .option("path", scratch_path(docs.sparkSession, "blocks")).saveAsTable(name))
+    with storing(docs.sparkSession):
+        (rows.repartition(n, "block").write.bucketBy(n, "block").option("compression", "zstd")
+         .option("path", scratch_path(docs.sparkSession, "blocks")).saveAsTable(name))
     return docs.sparkSession.table(name), size, n
 
 
