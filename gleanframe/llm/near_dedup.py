@@ -5,15 +5,21 @@ agree in each with probability s. A signature is split into chunks, and a key is
 with each one of its values left out in turn. Two signatures that differ in fewer than 2 * CHUNKS
 values have a chunk with at most one difference (pigeonhole), so they share a key: no pair within
 that distance is missed. Beyond it a pair of similarity 0.8 is missed with probability 3e-5 (all ten
-chunks with two differences or more), one of 0.9 with 1e-10.
+chunks with two differences or more), one of 0.9 with 1e-10. Pairs that differ in more than
+``MAX_DISTANCE`` values are let go before their sets are compared; a pair of similarity 0.8 does so
+with probability 2e-5.
 
 Texts with equal sets are one representative (their smallest id) from the start. Within the rows of a
 key not all pairs are compared, only as many as connected components need:
 
 1. every row with the smallest id of its key;
 2. where a key still has rows of several components, those of other components with a row chosen by
-   hash, as long as that links anything;
-3. last, all pairs of different components that a key still has.
+   hash, ``STARS`` times;
+3. where a key has several components even so, which is how keys look that a frequent line fills with
+   texts that are not alike, the texts of such keys are compared exactly: two sets of the wanted
+   similarity share one of their first shingles, a fifth of them and one more, in any common order.
+   The order puts frequent shingles last, so that few texts meet at each; and shingles that a text has
+   alone tell how much it can share at most.
 
 Every pair is confirmed on the full sets. A pair that was passed over lies within one component
 already, so components are those of all confirmed candidate pairs. No step gathers the rows of a key
@@ -34,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gleanframe.llm.components import components
 from gleanframe.llm.tables import id_and_text, shown_id, stored
@@ -45,6 +52,9 @@ _RNG = np.random.default_rng(77)
 FACTORS = _RNG.integers(0, 2**63, CHUNKS * CHUNK, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 TERMS = _RNG.integers(0, 2**63, CHUNKS * CHUNK, dtype=np.uint64)
 KEPT_BYTES = 6  # of the hash of each shingle in stored sets
+MAX_DISTANCE = 26
+RARE = 48  # a shingle is frequent when more texts have it
+STARS = 1
 
 
 def shingles(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,6 +172,74 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def close(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose signatures differ in at most ``MAX_DISTANCE`` values."""
+    rows = pairs.join(reps.select(F.col("rep").alias("b"), F.col("signature").alias("of_b")), "b")
+    rows = rows.join(reps.select(F.col("rep").alias("a"), F.col("signature").alias("of_a")), "a")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(
+                -1, CHUNKS * CHUNK) for c in ("of_a", "of_b"))
+            near = (one != two).sum(axis=1) <= MAX_DISTANCE
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+    return rows.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def shingle_rows(sets: DataFrame) -> DataFrame:
+    """``id, size, shingle``: a row per shingle of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = [_unpacked(one.as_py()) for one in part.column("shingles")]
+                sizes = np.array([len(f) for f in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column("id").to_numpy(), sizes)),
+                     pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(found).view(np.int64))],
+                    ["id", "size", "shingle"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id bigint, size bigint, shingle bigint")
+
+
+def _exact_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of texts of different components that may be similar enough, by what they could share.
+
+    Two sets that share a shingle that at most ``RARE`` texts have meet at such a one, as these come first.
+    Any others share frequent shingles alone, so the number of those bounds their intersection, and
+    all others add to their union. A shingle that no other text has adds to the union in any case. A
+    pair is listed at the first shingle that it shares, unless a set has very many before it.
+    """
+    texts = apart.select(F.col("rep").alias("id"), "component").distinct()
+    rows = stored(shingle_rows(sets.join(texts, "id", "left_semi")).join(texts, "id"), "shingles")
+    common = rows.groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).filter("n > 1")
+    of_text = Window.partitionBy("id")
+    in_order = of_text.orderBy("n", "shingle")
+    frequent = F.col("n") > RARE
+    rows = rows.join(common.hint("merge"), "shingle").withColumns({
+        "shared": F.count("*").over(of_text),
+        "most": F.when(frequent, F.count_if(frequent).over(of_text)).otherwise(F.count("*").over(of_text)),
+        "place": F.row_number().over(in_order),
+        "before": F.collect_list("shingle").over(in_order.rowsBetween(-64, -1))})
+    # the place among all shingles of the text, its own ones first
+    first = F.col("size") - F.col("shared") + F.col("place") <= (
+        F.col("size") - F.ceil(F.col("size") * percent / 100) + 1)
+    rows = stored(rows.filter(first & (F.col("low") < F.col("high"))).select(
+        "shingle", "id", "size", "most", "before", "component"), "first")
+    one, two = (rows.select("shingle", F.col("id").alias(n), F.col("size").alias(f"size_{n}"), F.col("most").alias(f"most_{n}"),
+                            F.col("before").alias(f"before_{n}"), F.col("component").alias(f"component_{n}"))
+                for n in ("a", "b"))
+    most = F.least("most_a", "most_b")
+    may = 100 * most >= percent * (F.col("size_a") + F.col("size_b") - most)
+    return one.join(two, "shingle").filter(
+        F.expr("a < b and component_a <> component_b") & may & ~F.arrays_overlap("before_a", "before_b")
+    ).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` (the smallest id that links lead to, its own
@@ -179,34 +257,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     tested = stored(shared.filter("rep <> lead").select(
         F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = stored(confirmed(tested, sets, percent), "links")
+    links = stored(confirmed(close(tested, reps), sets, percent), "links")
     labels = components(links)
-    stars = 0
-    while True:
+    for star in range(STARS + 1):
         rows = shared.select("key", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
             "key", "rep", F.coalesce("component", "rep").alias("component"))
         mixed = rows.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64("rep", F.lit(stars)).alias("h"), "rep", "component")).alias("centre")
+            F.min(F.struct(F.xxhash64("rep", F.lit(star)).alias("h"), "rep", "component")).alias("centre")
         ).filter("low < high").select("key", "centre")
         apart = stored(rows.join(mixed.hint("merge"), "key"), "apart")
-        if stars >= 0:
+        if apart.isEmpty():
+            break
+        if star < STARS:
             pairs = apart.filter("component <> centre.component").select(
                 F.least("rep", "centre.rep").alias("a"), F.greatest("rep", "centre.rep").alias("b"))
         else:
-            one, two = (apart.select("key", F.col("rep").alias(n), F.col("component").alias(f"c{n}"))
-                        for n in ("a", "b"))
-            pairs = one.join(two, "key").filter("a < b and ca <> cb").select("a", "b")
+            pairs = _exact_pairs(apart, sets, percent)
         new = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = stored(confirmed(new, sets, percent), "links")
-        found = not more.isEmpty()
-        if found:
+        more = stored(confirmed(close(new, reps), sets, percent), "links")
+        if not more.isEmpty():
             links = links.union(more)
             labels = components(links)
-        if stars < 0:
-            break
         tested = tested.union(new)
-        stars = stars + 1 if found else -1
 
     named = stored(reps.join(labels, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "rep").alias("component")), "components")

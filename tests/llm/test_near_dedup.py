@@ -78,3 +78,17 @@ def test_long_text(table):
     long = " ".join(f"k{i}" for i in range(150_000))
     got = found(table, [(1, long), (2, long + " more"), (3, long[:400_000])], 5)
     assert {i: v[1] for i, v in got.items()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_texts_that_share_a_line_and_little_else(table, monkeypatch):
+    """Such texts meet under the keys of the line's shingles; they are told apart by their own."""
+    rng = random.Random(6)
+    line = " ".join(f"l{k}" for k in range(9))
+    rows = [(k, line + " " + " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(2, 9))))
+            for k in range(300)]
+    rows += [(1000 + k, rows[3 * k][1] + " end") for k in range(40)]
+    tested = []
+    confirmed = n.confirmed
+    monkeypatch.setattr(n, "confirmed", lambda pairs, *more: tested.append(pairs.count()) or confirmed(pairs, *more))
+    assert found(table, rows, 2) == brute(rows, 2, 80)
+    assert sum(tested) < 8000
