@@ -1,7 +1,7 @@
 """Encoding and decoding with a SentencePiece model, many words at a time.
 
 The text is cut into words: a run of spaces with what follows up to the next space. No piece holds a
-space behind another character, so words are encoded alone, and equal words once per group of texts.
+space behind another character, so words are encoded alone, and equal words once, as long as they are remembered.
 Words of one length advance together: at each end, the substrings of all lengths are looked up by
 their hashes in the sorted keys of the pieces, and the best predecessor is stored as a back pointer.
 
@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField
 
-from gleanframe.llm.tables import id_and_text, shown_id
+from gleanframe.llm.tables import id_and_text, quoted, shown_id, with_fields
 from gleanframe.llm.texts import BASE, INVERSE, groups, mix
 
 SPACE = 0x2581  # the sign that stands for a space
@@ -33,6 +33,7 @@ GROUP = 1 << 21
 FILTER_BITS = 22
 MEMORY_BITS = 21  # of the table of pairs that were tried
 WORDS_AT_ONCE = 1 << 16
+WORDS_KEPT = 1 << 21  # words whose pieces are remembered; with more the memory starts afresh
 
 
 def _hash_rows(rows: np.ndarray) -> np.ndarray:
@@ -187,11 +188,41 @@ def _merges_to(vocabulary: Vocabulary, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Words:
+    """Pieces of words met before, by the hash of the word."""
+
+    def __init__(self):
+        self.names = np.zeros(0, np.uint64)  # ascending
+        self.start = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.used = 0
+
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each name, and whether it is there."""
+        if not len(self.names):
+            return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return at, self.names[at] == names
+
+    def add(self, names: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """New names, ascending."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used + 2 * len(ids), np.int32)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        place = np.searchsorted(self.names, names)
+        self.names = np.insert(self.names, place, names)
+        self.start = np.insert(self.start, place, self.used + np.cumsum(counts) - counts)
+        self.count = np.insert(self.count, place, counts)
+        self.used += len(ids)
+
+
 class Encoder:
-    """Encodes words; remembers which pieces may follow each other."""
+    """Encodes words; remembers their pieces and which pieces may follow each other."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.known_words = _Words()
         self.pairs = np.full(1 << MEMORY_BITS, -1, np.int64)
         self.answers = np.zeros(1 << MEMORY_BITS, bool)
 
@@ -260,105 +291,126 @@ class Encoder:
         # equal words once
         sums = _hash_rows(points[None])[0]
         name = mix((sums[begin + size] - sums[begin]) * _powers(len(points), INVERSE)[begin])
-        _, first, word = np.unique(name, return_index=True, return_inverse=True)
-        begin_, size_ = begin[first], size[first]
-        counts = np.zeros(len(first), np.int64)
+        names, first, word = np.unique(name, return_index=True, return_inverse=True)
+        if len(self.known_words.names) + len(names) > WORDS_KEPT:
+            self.known_words = _Words()
+        kept = self.known_words
+        _, met = kept.find(names)
+        new = np.flatnonzero(~met)
+        ids, counts = self._distinct(points, known, begin[first[new]], size[first[new]])
+        kept.add(names[new], ids, counts)
+        at, _ = kept.find(names)
+        n, start = kept.count[at][word], kept.start[at][word]
+        out = kept.ids[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        return out, np.diff(ends[np.searchsorted(begin, firsts)])
+
+    def _distinct(self, points: np.ndarray, known: np.ndarray, begin: np.ndarray,
+                  size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each of the words, one behind the other, and how many each has."""
+        counts = np.zeros(len(begin), np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
-        order = np.argsort(size_, kind="stable")
-        edges = np.flatnonzero(np.diff(size_[order])) + 1
-        for group in np.split(order, edges):
-            step = max(1, WORDS_AT_ONCE * 8 // int(size_[group[0]]))
+        order = np.argsort(size, kind="stable")
+        edges = np.flatnonzero(np.diff(size[order])) + 1
+        for group in np.split(order, edges) if len(order) else []:
+            length = int(size[group[0]])
+            if length == 1:
+                for w in group[~known[begin[group]]]:
+                    ids = self._fallback(int(points[begin[w]]))
+                    counts[w] = len(ids)
+                    parts.append((np.array([w]), ids))
+                group = group[known[begin[group]]]
+            step = max(1, WORDS_AT_ONCE * 8 // length)
             for part in (group[k:k + step] for k in range(0, len(group), step)):
-                length = int(size_[part[0]])
-                plain = part
-                if length == 1:
-                    odd = part[~known[begin_[part]]]
-                    plain = part[known[begin_[part]]]
-                    for w in odd:
-                        ids = self._fallback(int(points[begin_[w]]))
-                        counts[w] = len(ids)
-                        parts.append((np.array([w]), ids))
-                if len(plain):
-                    ids, n = self.words(points[begin_[plain][:, None] + np.arange(length)])
-                    counts[plain] = n
-                    parts.append((plain, ids))
-        # ids of the distinct words, in the order of the words' numbers
+                ids, n = self.words(points[begin[part][:, None] + np.arange(length)])
+                counts[part] = n
+                parts.append((part, ids))
+        # back in the order of the words
         start = np.cumsum(counts) - counts
-        table = np.zeros(int(counts.sum()), np.int32)
+        out = np.zeros(int(counts.sum()), np.int32)
         for part, ids in parts:
             n = counts[part]
-            table[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
-        n = counts[word]
-        out = table[np.repeat(start[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        return out, np.diff(ends[np.searchsorted(begin, firsts)])
+            out[np.repeat(start[part] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return out, counts
 
     def _fallback(self, point: int) -> np.ndarray:
         ids = self.vocabulary.bytes[list(chr(point).encode("utf-8", "replace"))]
         return ids if (ids >= 0).all() else np.array([self.vocabulary.unknown], np.int32)
 
 
+class Decoder:
+    """Puts the surfaces of pieces together."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.size = np.array([len(s) for s in vocabulary.surface])
+        self.start = np.cumsum(self.size) - self.size
+        self.surface = np.frombuffer(b"".join(vocabulary.surface), np.uint8)
+        self.prefix = vocabulary.prefix
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The text of each run of ids; bytes that are no UTF-8 become replacement characters."""
+        n = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        data = self.surface[at].tobytes()
+        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        texts = [data[low:high].decode("utf-8", "replace") for low, high in zip(ends[:-1], ends[1:])]
+        return [t[1:] if self.prefix and t[:1] == " " else t for t in texts]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encode_rows(rows: DataFrame, model_file: str, text_col: str = "text", into: str = "ids") -> DataFrame:
+def encode_rows(rows: DataFrame, model_file: str, text_col: str = "text", into: str = "ids",
+                checked: str | None = None, drop_text: bool = False) -> DataFrame:
     """The rows with ``ids``, the pieces of their text; none for a null or empty text. Characters that
     are no pieces become the pieces of their bytes, or the unknown piece where a model has none. Rows
-    that repeat get the same; no rows give no rows. A column of the name of the new one is replaced."""
+    that repeat get the same; no rows give no rows. A column of the name of the new one is replaced.
+
+    ``checked`` names a column for whether the ids decode to the text; ``drop_text`` leaves the text
+    out of the result."""
     vocabulary = Vocabulary(model_file)
-    kept, schema = _with_column(rows, f"`{into}` array<int>", into)
+    added = [StructField(into, ArrayType(IntegerType()))]
+    if checked:
+        added.append(StructField(checked, BooleanType()))
+    kept, schema = with_fields(rows.drop(text_col) if drop_text else rows, *added)
+    read = list(dict.fromkeys([*kept, text_col]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # what an encoder has learnt serves the next task of the same process
-        encoder = _ENCODERS.setdefault(model_file, Encoder(vocabulary))
+        encoder, decoder = _ENCODERS.setdefault(model_file, Encoder(vocabulary)), Decoder(vocabulary)
         for batch in groups(batches, text_col, GROUP):
-            ids, counts = encoder.texts(pc.fill_null(batch.column(text_col), "").to_pylist())
+            texts = pc.fill_null(batch.column(text_col), "").to_pylist()
+            ids, counts = encoder.texts(texts)
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.ListArray.from_arrays(offsets, pa.array(ids))],
-                [*kept, into])
-
-    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
-
+            arrays = [*(batch.column(c) for c in kept), pa.ListArray.from_arrays(offsets, pa.array(ids))]
+            if checked:
+                arrays.append(pa.array([a == b for a, b in zip(decoder.texts(ids, counts), texts)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(arrays, schema.names)
 
-def _with_column(rows: DataFrame, field: str, into: str) -> tuple[list[str], str]:
-    """Names of the columns besides ``into``, and the schema with ``field`` behind them."""
-    fields = [f for f in rows.schema.fields if f.name != into]
-    return [f.name for f in fields], ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [field])
+    return rows.select(*quoted(read)).mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
+           checked: str | None = None) -> DataFrame:
     """Per row: id and ``ids``, see ``encode_rows``. Other columns are not read."""
-    found = encode_rows(id_and_text(docs, id_col, text_col), model_file)
-    return found.select(shown_id("id").alias(id_col), "ids")
+    found = encode_rows(id_and_text(docs, id_col, text_col), model_file, checked=checked, drop_text=True)
+    return found.select(shown_id("id").alias(id_col), "ids", *([checked] if checked else []))
 
 
 def decode(rows: DataFrame, model_file: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """The rows with the text of their pieces. A null list is an empty text; bytes that are no UTF-8
-    become replacement characters. No id may lie outside the model."""
+    """The rows with the text of their pieces. A null list is an empty text. No id may lie outside the
+    model."""
     vocabulary = Vocabulary(model_file)
-    size = np.array([len(s) for s in vocabulary.surface])
-    start = np.cumsum(size) - size
-    surface = np.frombuffer(b"".join(vocabulary.surface), np.uint8)
-    prefix = vocabulary.prefix
-    kept, schema = _with_column(rows, f"`{into}` string", into)
+    kept, schema = with_fields(rows, StructField(into, StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(vocabulary)
         for batch in batches:
-            column = batch.column(ids_col)
-            texts = []
-            for at in range(0, len(column), 256):
-                part = column.slice(at, 256)
-                ids = part.flatten().to_numpy(zero_copy_only=False)
+            texts: list[str] = []
+            for at in range(0, batch.num_rows, 256):
+                part = batch.column(ids_col).slice(at, 256)
                 counts = pc.fill_null(pc.list_value_length(part), 0).to_numpy()
-                n = size[ids]
-                data = surface[np.repeat(start[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes()
-                ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])]
-                for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                    text = data[low:high].decode("utf-8", "replace")
-                    texts.append(text[1:] if prefix and text[:1] == " " else text)
-            arrays = [batch.column(c) for c in kept] + [pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, [*kept, into])
-
-    return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+                texts += decoder.texts(part.flatten().to_numpy(zero_copy_only=False), counts)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array(texts, pa.string())], schema.names)
+
+    return rows.select(*quoted(kept)).mapInArrow(run, schema)

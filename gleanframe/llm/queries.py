@@ -76,11 +76,8 @@ def piece_model() -> str:
 
 def encoded(docs: DataFrame) -> DataFrame:
     """Ids of every document, and whether they decode to its text."""
-    model = piece_model()
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = pieces.decode(pieces.encode_rows(rows, model), model)
-    return found.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"),
-                        (F.col("decoded") == F.col("text")).alias("round_trip"))
+    found = pieces.encode(docs, piece_model(), checked="round_trip")
+    return found.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_ids"), "round_trip")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
