@@ -196,3 +196,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, min_sha
         out = out.unionByName(texts.mapInArrow(run, HITS))
     return out.select(shown_id("id").alias(id_col), shown_id("item_id").alias(item_col), "doc_from",
                       "doc_to", "item_from", "item_to", "agreeing")
+
+
+def without_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, min_share: float = 0.8,
+                     text_col: str = "text", item_col: str = "item_id",
+                     item_text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text shares no passage with an item."""
+    schema = docs.schema
+    for items in item_blocks(benchmark, item_col, item_text_col, min_words, min_share):
+
+        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            for batch in groups(batches, text_col):
+                words, firsts = word_hashes(batch.column(text_col))
+                clean = np.ones(batch.num_rows, bool)
+                clean[[found[0] for found in search(items, words, firsts)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs

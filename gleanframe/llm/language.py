@@ -20,9 +20,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 from pyspark.sql.window import Window
 
-from gleanframe.llm.tables import id_and_text, id_column, shown_id
+from gleanframe.llm.tables import id_and_text, id_column, quoted, shown_id, with_fields
 from gleanframe.llm.texts import groups, utf8
 
 DIMENSIONS = 1 << 12
@@ -144,37 +145,45 @@ def train(docs: DataFrame, sample_rows: int = 2000, id_col: str = "doc_id", text
     return fit(counts, found.column("lang").to_pylist())
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in groups(batches):
+def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    for batch in groups(batches, column):
         for start in range(0, batch.num_rows, ROWS):
             yield batch.slice(start, ROWS)
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
-             text_col: str = "text") -> DataFrame:
-    """Per row: id, ``held_out`` (not to be learnt from), ``lang_pred``, ``score`` and ``ambiguous``.
-
-    Texts that are null or hold no letter are of language ``und`` with score 0, as are all where there
-    was nothing to learn from. Rows that repeat get the same; a null id is not held out. Other columns
-    are not read; no rows give no rows.
-    """
+def identify_rows(rows: DataFrame, model: Model | None, text_col: str = "text",
+                  names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """The rows with a language, its score and whether it is ambiguous; columns of the same names are
+    replaced. Nothing but the text decides; see ``identify``."""
+    kept, schema = with_fields(rows, StructField(names[0], StringType()),
+                               StructField(names[1], DoubleType()), StructField(names[2], BooleanType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            column = batch.column("text")
+        for batch in _slices(batches, text_col):
+            column = pc.fill_null(batch.column(text_col), "")
             letters = pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False)
             n = batch.num_rows
             best, score, unsure = np.zeros(n, int), np.zeros(n), np.zeros(n, bool)
             if model is not None:
                 best, score, unsure = model.decode(features(column))
             known = letters & (model is not None)
-            names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+            found = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(names), pa.array(np.where(known, score, 0.0)),
-                 pa.array(known & unsure)], ["id", "lang_pred", "score", "ambiguous"])
+                [*(batch.column(c) for c in kept), pa.array(found, pa.string()),
+                 pa.array(np.where(known, score, 0.0)), pa.array(known & unsure)], schema.names)
+
+    return rows.select(*quoted(kept)).mapInArrow(run, schema)
 
-    found = id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "id bigint, lang_pred string, score double, ambiguous boolean")
+
+def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
+             text_col: str = "text") -> DataFrame:
+    """Per row: id, ``held_out`` (not to be learnt from), ``lang_pred``, ``score`` and ``ambiguous``.
+
+    Texts that are null or hold no letter are of language ``und`` with score 0, as are all where there
+    was nothing to learn from. Rows that repeat get the same; a null id is not held out. Other columns
+    are not read; no rows give no rows.
+    """
+    found = identify_rows(id_and_text(docs, id_col, text_col), model)
     found = found.select(shown_id("id").alias(id_col), "lang_pred", "score", "ambiguous")
     return found.select(id_col, F.coalesce(~learnable(id_col), F.lit(False)).alias("held_out"),
                         "lang_pred", "score", "ambiguous")
