@@ -45,6 +45,12 @@ class Inputs:
     def detail_reads(self) -> DataFrame:
         return r.detail_reads(self.spark, self.sf_dir)
 
+    def arrived(self) -> DataFrame:
+        return r.arrived_pages(self.spark, self.sf_dir)
+
+    def account_listing(self) -> DataFrame:
+        return r.account_listing(self.spark, self.sf_dir)
+
     def accounts(self) -> DataFrame:
         return r.account_pages(self.spark, self.sf_dir)
 
@@ -72,7 +78,9 @@ class Inputs:
         return pages.extract_links(self.pages())
 
     def failures(self) -> DataFrame:
-        return self.log().filter(F.col("status") == "error").withColumn("kind", F.col("k") % 4)
+        """Each request has a priority of its own."""
+        return self.log().filter(F.col("status") == "error").withColumns({
+            "kind": F.col("k") % 4, "p0": F.col("url") % 7})
 
     def union(self) -> DataFrame:
         return records.union_records(self.record_16(), d.detail_record_16(self.details()))
@@ -245,7 +253,8 @@ def account_rejects(i: Inputs) -> DataFrame:
 # ---- joins and records
 
 def enrich_listing_with_detail(i: Inputs) -> DataFrame:
-    return records.enrich_listing_with_detail(i.record_14(), detail_fields_8(i), r.SITE)
+    detail = d.detail_fields_8(i.arrived(), r.STAT_PHRASE, keep=("fetched",))
+    return records.enrich_listing_with_detail(i.record_14(), detail, r.SITE)
 
 
 def listing_without_detail(i: Inputs) -> DataFrame:
@@ -257,7 +266,7 @@ def frontier_unseen(i: Inputs) -> DataFrame:
     """Seen are the links of the numbered listing pages."""
     links = i.links().withColumn("on_listing", frontier.has_page_parameter(F.col("url")))
     links = with_once(links, "url", urls.resolve(F.col("url"), F.col("href")))
-    return frontier.frontier_unseen(links, links.filter("on_listing"))
+    return frontier.frontier_unseen_marked(links, F.col("on_listing"))
 
 
 def dedup_keep_first(i: Inputs) -> DataFrame:
@@ -265,8 +274,7 @@ def dedup_keep_first(i: Inputs) -> DataFrame:
 
 
 def dedup_keep_first_text(i: Inputs) -> DataFrame:
-    return records.dedup_keep_first(
-        i.table("documents").select("doc_id", "text", "source"), "text", ("doc_id",))
+    return records.dedup_keep_first_text(i.table("documents").select("doc_id", "text", "source"))
 
 
 def dedup_dropped_report(i: Inputs) -> DataFrame:
@@ -276,7 +284,7 @@ def dedup_dropped_report(i: Inputs) -> DataFrame:
 
 
 def page_yield(i: Inputs) -> DataFrame:
-    return pages.page_yield(i.pages(), "<p[ >]", "<a ")
+    return listing.page_yield(i.parsed())
 
 
 def required_field_audit(i: Inputs) -> DataFrame:
@@ -299,7 +307,7 @@ def union_records(i: Inputs) -> DataFrame:
 
 
 def merge_records(i: Inputs) -> DataFrame:
-    return records.merge_records(i.record_16(), d.detail_record_16(i.details()))
+    return records.merge_records(i.record_16(), d.detail_record_16(i.arrived(), keep=("fetched",)))
 
 
 # ---- fetch log
@@ -320,11 +328,11 @@ def failure_totals(i: Inputs) -> DataFrame:
 
 
 def retry_schedule(i: Inputs) -> DataFrame:
-    return fetchlog.retry_schedule(i.failures()).drop("ts")
+    return fetchlog.retry_schedule(i.failures(), priority=F.col("p0")).drop("ts")
 
 
 def retry_schedule_exception(i: Inputs) -> DataFrame:
-    return fetchlog.retry_schedule_exception(i.failures()).drop("ts")
+    return fetchlog.retry_schedule_exception(i.failures(), priority=F.col("p0")).drop("ts")
 
 
 def frontier_ordered(i: Inputs) -> DataFrame:
@@ -358,12 +366,16 @@ def page_gap_report(i: Inputs) -> DataFrame:
 
 
 def next_pointer_closure(i: Inputs) -> DataFrame:
-    """All chains, from the pages that nothing points to."""
+    """All chains, from the pages that nothing points to. Every third listing has a page limit that comes
+    before its last pointer."""
     part = i.table("part")
     last = part.agg(F.max("p_partkey")).scalar()
     ahead = F.col("p_partkey") + 250
-    pointers = part.select(F.col("p_partkey").alias("page"), F.when(
-        (F.col("p_size") != 50) & (ahead <= last), ahead).alias("next_page"))
+    pointers = part.select(
+        F.col("p_partkey").alias("page"),
+        F.when((F.col("p_size") != 50) & (ahead <= last), ahead).alias("next_page"),
+        F.floor(F.col("p_partkey") / 250).alias("page_num"),
+        F.when(F.col("p_partkey") % 250 % 3 == 0, 3).otherwise(1_000_000_000).alias("total_pages"))
     led_to = pointers.select(F.col("next_page").alias("page")).dropna()
     seeds = pointers.select("page").join(led_to, "page", "left_anti")
     return paging.next_pointer_closure(pointers, seeds)
@@ -372,13 +384,30 @@ def next_pointer_closure(i: Inputs) -> DataFrame:
 # ---- whole flows
 
 def rent_listing_flow(i: Inputs) -> DataFrame:
-    return flows.rent_listing_flow(i.payloads(), i.details(), r.SITE, r.STAT_PHRASE)
+    return flows.rent_listing_flow(i.payloads(), i.arrived(), r.SITE, r.STAT_PHRASE)
 
 
 def sale_listing_flow(i: Inputs) -> DataFrame:
     return flows.sale_listing_flow(i.payloads(), i.detail_reads(), r.SITE)
 
 
+def account_flow(i: Inputs) -> DataFrame:
+    """Of the account pages, every eleventh never arrived."""
+    arrived = i.accounts().filter(F.regexp_extract("url", r"(\d+)$", 1).cast("bigint") % 11 != 7)
+    return flows.account_flow(i.account_listing(), arrived, d.HEADING_ANCHOR)
+
+
+def account_links(i: Inputs) -> DataFrame:
+    """All links of pages with attribute values in every form."""
+    return pages.extract_links(i.account_listing()).select("page_id", _long("pos"), "href")
+
+
+def account_texts(i: Inputs) -> DataFrame:
+    """Texts of elements with elements in them."""
+    return pages.extract_all_texts(i.account_listing(), "a").select(
+        "page_id", F.array_join("texts", "|").alias("texts"))
+
+
 def link_flow(i: Inputs) -> DataFrame:
     """Links of the navigation, on one site; seen are those of the numbered listing pages."""
     chain = (Step("nav"), Step("li"), Step("a"))
@@ -404,7 +433,7 @@ def stream_extract(i: Inputs) -> DataFrame:
 def stream_dedup(i: Inputs) -> DataFrame:
     """The log spans a month, so with this delay no URL returns."""
     return _finished(i, "dedup", lambda folder: jobs.stream_dedup(
-        i.log_stream(), folder, delay="60 days")).select("url")
+        i.log_stream(), folder, delay="60 days")).select("url", "event_id")
 
 
 def stream_status_counts(i: Inputs) -> DataFrame:
@@ -450,7 +479,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         best_of_n_complete, retry_schedule, retry_schedule_exception, frontier_ordered,
         union_records, merge_records,
         page_number, next_page_url, page_plan, page_gap_report, next_pointer_closure,
-        rent_listing_flow, sale_listing_flow, link_flow,
+        rent_listing_flow, sale_listing_flow, account_flow, account_links, account_texts, link_flow,
         stream_extract, stream_dedup, stream_status_counts, stream_retry_state,
     )
 }

@@ -149,18 +149,19 @@ _FIRST_TEXTS = f"""select page_id,
 from pages"""
 
 
-def _schedule(lowered: str) -> str:
+def _schedule(lowered: str, priority: str = "user_id % 7") -> str:
     return f"""with ranked as (
-  select user_id as url, event_id, least(row_number() over (partition by user_id order by ts, event_id), 6) as attempt
+  select user_id as url, event_id, {priority} as p0,
+    row_number() over (partition by user_id order by ts, event_id) as attempt
   from events where event_type = 'error')
 select url, event_id, attempt,
   case when attempt <= 5 then cast(least(power(2, attempt - 1), 30) as bigint) end as delay,
-  case when attempt <= 5 then cast(-({lowered}) as bigint) end as priority,
+  case when attempt <= 5 then cast(p0 - ({lowered}) as bigint) end as priority,
   attempt > 5 as gave_up
 from ranked"""
 
 
-_RETRY = _schedule("attempt * (attempt + 1) / 2")
+_RETRY = _schedule("attempt * (attempt + 1) / 2", "0")
 _PAGE_NUM = (r"try_cast(coalesce(nullif(regexp_extract(url, '[?&]page=([^&#]+)', 1), ''), '1') as bigint)")
 _16 = ", ".join(DETAIL_16)
 _UNION = f"""{_RECORD_16}, {_DETAIL_16}, feed as (
@@ -255,8 +256,10 @@ from found""".replace("as n_texts, nullif(trim(", "as n_texts, coalesce(nullif(t
                             "qualify row_number() over (partition by property_url order by page_num, pos) > 1) "
                             "select *, count(*) as copies from dropped group by all",
     "status_histogram": "select event_type as status, count(*) as responses from events group by 1",
-    "page_yield": "select page_id, cast(len(regexp_extract_all(html, '<p[ >]')) as bigint) as items, "
-                  "cast(len(regexp_extract_all(html, '<a ')) as bigint) as requests from pages",
+    "page_yield": f"with {_READ}, urls as (select {r.PAGE} as page_num, count({r.KEY}) as n_urls from part group by 1) "
+                  "select page_num, n_adverts as items, case when n_adverts > 0 then n_urls else 0 end "
+                  "+ case when next_url is not null and page_num < total_pages then 1 else 0 end as requests "
+                  "from listing join urls using (page_num)",
     "required_field_audit": f"with {_RECORD_14} select page_num, pos, property_url, "
                             "concat_ws(',', case when title = '' then 'title' end, "
                             "case when rent_per_period is null then 'price' end) as missing_fields "
@@ -276,7 +279,7 @@ kept as (select *, value >= 100 as complete from tried where attempt <= 3)
 select user_id, event_type, attempt, event_id, value, complete from kept
 qualify row_number() over (partition by user_id, event_type
   order by complete desc, case when complete then attempt else -attempt end) = 1""",
-    "retry_schedule": _RETRY,
+    "retry_schedule": _schedule("attempt * (attempt + 1) / 2"),
     "retry_schedule_exception": _schedule("attempt"),
     "frontier_ordered": f"select s.url, s.event_id, s.priority from ({_RETRY}) s join events e using (event_id) "
                         "where not s.gave_up order by s.priority desc, e.ts, e.event_id limit 100",
@@ -310,8 +313,34 @@ from n""",
   where p_size <> 50 and p_partkey + 250 <= (select max(p_partkey) from part)),
 reached(page, depth) as (
   select p_partkey, 0 from part where p_partkey not in (select next_page from pointer)
-  union all select next_page, depth + 1 from reached join pointer using (page))
+  union all select next_page, depth + 1 from reached join pointer using (page)
+    where page % 250 % 3 <> 0 or page // 250 < 3)
 select page, cast(min(depth) as bigint) as depth from reached group by page""",
+    "account_flow": f"""with {_ACCOUNTS}, placed as (select {r.ACCOUNT_PAGE} as page, p_partkey,
+  case when p_partkey % 4 = 3 then p_partkey - p_partkey % 8 % 7 else p_partkey end as item from part),
+asked as (select item, min(page) as first_page from placed where not {r.NO_LINKS} group by item),
+found as (
+  select '{r.ACCOUNT_SITE}/item/' || cast(item as varchar) as url, first_page,
+    case when p_partkey is null then 'missing' when failed_field is null then 'record' else 'reject' end as kind,
+    account.* exclude (url)
+  from asked left join account on p_partkey = item and item % 11 <> 7)
+select url, first_page, kind,
+  case when p_partkey % 13 <> 0 then ' ' || p_name || ': x' end as description,
+  case when p_partkey % 23 <> 0 then ' ' || cast(p_retailprice as varchar) end as price,
+  p_brand as level, case when p_partkey % 31 <> 0 then p_type end as category,
+  case when p_partkey % 31 <> 0 then cast(p_size as varchar) || ' stars' end as rating,
+  case when p_partkey % 19 <> 0 then s_name end as seller, failed_field
+from found
+union all select '{r.ACCOUNT_SITE}/accounts?page=' || cast(page + 1 as varchar), page, 'next_page',
+  null, null, null, null, null, null, null
+from (select distinct page from placed where not {r.NO_LINKS})""",
+    "account_links": f"""with placed as (select {r.ACCOUNT_PAGE} as page, p_partkey,
+  case when p_partkey % 4 = 3 then p_partkey - p_partkey % 8 % 7 else p_partkey end as item from part)
+select page as page_id, row_number() over (partition by page order by p_partkey) as pos,
+  '/item/' || cast(item as varchar) as href from placed where not {r.NO_LINKS}
+union all select distinct page, 0, '/about' from placed""",
+    "account_texts": f"""with placed as (select {r.ACCOUNT_PAGE} as page, count(*) as n from part group by 1)
+select page as page_id, 'about' || case when {r.NO_LINKS} then '' else repeat('|open|now', n) end as texts from placed""",
     "sale_listing_flow": f"with {_SALE} select * from feed",
     "link_flow": f"with {_LINKS}, full_links as (select page_id, url like '%?page=%' or url like '%&page=%' "
                  "as on_listing, regexp_extract(url, '^(https?://[^/]+)', 1) || href as link from links) "
@@ -319,7 +348,8 @@ select page, cast(min(depth) as bigint) as depth from reached group by page""",
                  f"where ({_LINK_SITE} = 'example.net' or {_LINK_SITE} like '%.example.net') "
                  "and link not in (select link from full_links where on_listing) group by link",
     "stream_extract": _FIRST_TEXTS,
-    "stream_dedup": "select distinct user_id as url from events",
+    "stream_dedup": "select user_id as url, event_id from events "
+                    "qualify row_number() over (partition by user_id order by ts, event_id) = 1",
     "stream_status_counts": "select event_type as status, count(*) as responses from events group by 1",
     "stream_retry_state": _RETRY,
 }

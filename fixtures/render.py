@@ -19,6 +19,8 @@ SLUG = "flats-to-rent"
 STAT_PHRASE = "on Market"
 LISTING = SLUG
 
+# Element classes, field names and URLs below are those of the input (fixed values).
+
 # ---- listing responses ----------------------------------------------------------------------
 
 PAGE = "(cast(floor(p_partkey / 20.0) as bigint) + 1)"
@@ -182,6 +184,43 @@ def detail_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("url", "attempt", html.alias("html"))
 
 
+# every sixth page is stored a second time, cut off before its attributes
+STORED_TWICE = "(p_partkey % 6 = 0)"
+
+
+def arrived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, fetched, html: the detail pages as they arrived. Some came twice, the later one half-empty."""
+    pages = detail_pages(spark, sf_dir).withColumn("p_partkey", F.regexp_extract("url", r"(\d+)$", 1).cast("bigint"))
+    copies = F.when(F.expr(STORED_TWICE), F.array(F.lit(2), F.lit(1))).otherwise(F.array(F.lit(1)))
+    cut = F.substring_index("html", '<div class="b-advert-attributes-wrapper">', 1)
+    return pages.withColumn("fetched", F.explode(copies)).select(
+        "url", "fetched", F.when(F.col("fetched") == 2, cut).otherwise(F.col("html")).alias("html"))
+
+
+# An account listing holds twenty links a page; every fifth page holds none, some links come twice, and
+# attribute values are written in all forms that HTML has.
+ACCOUNT_PAGE = "(cast(floor(p_partkey / 20.0) as bigint) + 1)"
+NO_LINKS = "(page % 5 = 4)"
+ACCOUNT_LINK = """(case p_partkey % 4 when 0 then '<a href="/item/' || cast(p_partkey as string) || '">'
+ when 1 then '<A class=x HREF = \\'/item/' || cast(p_partkey as string) || '\\'>'
+ when 2 then '<a href=/item/' || cast(p_partkey as string) || '>'
+ else '<a title="a > b" href="&#47;item/' || cast(p_partkey - p_partkey % 8 % 7 as string) || '">' end)"""
+
+
+def account_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, html: the pages of the account listing."""
+    links = table(spark, sf_dir, "part").select(
+        F.expr(ACCOUNT_PAGE).alias("page"), "p_partkey",
+        F.concat(F.lit('<li><h3 class="add-title">'), F.expr(ACCOUNT_LINK), F.lit("open <b>it</b> now</a></h3>")).alias("link"))
+    # twenty rows a group
+    in_order = F.array_sort(F.collect_list(F.struct("p_partkey", "link")))
+    pages = links.groupBy("page").agg(F.array_join(F.transform(in_order, lambda x: x["link"]), "").alias("links"))
+    body = F.when(F.expr(NO_LINKS), F.lit("")).otherwise(F.col("links"))
+    return pages.select(
+        F.col("page").alias("page_id"), F.concat(F.lit(f"{ACCOUNT_SITE}/accounts?page="), F.col("page").cast("string")).alias("url"),
+        F.concat(F.lit('<html><body><a href="/about">about</a><ul>'), body, F.lit("</ul></body></html>")).alias("html"))
+
+
 def account_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_with_seller(spark, sf_dir).select(
         F.concat(F.lit(f"{ACCOUNT_SITE}/item/"), F.col("p_partkey").cast("string")).alias("url"),

@@ -206,9 +206,9 @@ def detail_record_16(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return walked.select(*keep, *[values[c].alias(c) for c in schemas.DETAIL_16])
 
 
-def detail_fields_8(pages: DataFrame, stat_phrase: str) -> DataFrame:
+def detail_fields_8(pages: DataFrame, stat_phrase: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The detail-only columns of the enriched record. ``stat_phrase`` marks the seller statistic
-    that tells the time on the site."""
+    that tells the time on the site; ``keep`` names further page columns to carry."""
     fields = [ANY_DESCRIPTION, DESCRIPTION, REGION, ANY_REGION, TILES, NAME, ANY_NAME, STATS,
               ANY_STATS, DETAIL_LINES]
     tiles = F.col("tiles")
@@ -241,8 +241,8 @@ def detail_fields_8(pages: DataFrame, stat_phrase: str) -> DataFrame:
         "property_details": F.when(
             F.size(lines) > 0, F.array_join(t.strip_all(lines), "\n")),
     }
-    return walk_pages(pages, fields).select(
-        "url", *[values[c].alias(c) for c in schemas.DETAIL_8])
+    return walk_pages(pages, fields, ("url", *keep)).select(
+        "url", *keep, *[values[c].alias(c) for c in schemas.DETAIL_8])
 
 
 def _account_columns(pages: DataFrame) -> DataFrame:
@@ -259,12 +259,18 @@ def _account_columns(pages: DataFrame) -> DataFrame:
     )
 
 
+def account_audit(pages: DataFrame) -> DataFrame:
+    """All account pages, walked once: the seven columns and the first part that is missing. Complete
+    records are those without one."""
+    failing = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in schemas.ACCOUNT_7[1:]])
+    return _account_columns(pages).withColumn("failed_field", failing)
+
+
 def account_record_7(pages: DataFrame) -> DataFrame:
     """Account records that have every part."""
-    return _account_columns(pages).dropna(subset=schemas.ACCOUNT_7[1:])
+    return account_audit(pages).filter(F.col("failed_field").isNull()).drop("failed_field")
 
 
 def account_rejects(pages: DataFrame) -> DataFrame:
     """The other pages, with the first part that is missing."""
-    failing = F.coalesce(*[F.when(F.col(c).isNull(), c) for c in schemas.ACCOUNT_7[1:]])
-    return _account_columns(pages).select("url", failing.alias("failed_field")).dropna()
+    return account_audit(pages).select("url", "failed_field").dropna()

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanframe.operators.skew import capped_rank
+from gleanframe.operators.skew import exact_rank
 
 # Retried status codes (fixed values).
 RETRY_CODES = [429, 500, 502, 503, 504, 408, 522, 524]
+# Retries before a request is dropped, and the longest delay (fixed values).
 MAX_RETRIES = 5
 DELAY_CAP_SECONDS = 30
 
@@ -58,19 +59,18 @@ def _schedule(attempt: Column, priority: Column, max_retries: int, cap: int,
 
 def retry_schedule(failures: DataFrame, key: str = "url", order: tuple[str, ...] = ("ts", "event_id"),
                    max_retries: int = MAX_RETRIES, cap: int = DELAY_CAP_SECONDS,
-                   mode: str = "response", priority: Column | None = None,
-                   salts: int | None = None) -> DataFrame:
+                   mode: str = "response", priority: Column | None = None) -> DataFrame:
     """For the n-th failed attempt of a URL the delay before the next one and its priority, or
-    the mark that it was given up.
+    the mark that it was given up. ``priority`` is that of the request before any failure, an
+    expression on the failures' columns.
 
-    The request is dropped with the first attempt behind ``max_retries``, so the counter stops
-    there: later failures of the URL carry max_retries + 1. That needs no full ranking, and a URL
-    with very many failures is spread over the tasks (capped_rank).
+    A URL with very many failures is spread over the tasks (exact_rank).
     """
-    columns = [key, *order]
-    ranked = capped_rank(failures.select(*columns), [key], list(order), max_retries, "attempt", salts)
     base = F.lit(0) if priority is None else priority
-    return ranked.withColumns(_schedule(F.col("attempt"), base, max_retries, cap, mode))
+    rows = failures.select(key, *order, base.alias("_base"))
+    ranked = exact_rank(rows, [key], list(order), "attempt")
+    return ranked.withColumns(
+        _schedule(F.col("attempt"), F.col("_base"), max_retries, cap, mode)).drop("_base")
 
 
 def retry_schedule_exception(failures: DataFrame, **options) -> DataFrame:
@@ -83,25 +83,18 @@ def continue_schedule(failures: DataFrame, counters: DataFrame, key: str = "url"
                       max_retries: int = MAX_RETRIES, cap: int = DELAY_CAP_SECONDS) -> DataFrame:
     """The same schedule when ``counters`` (key, failed) already holds earlier failures per URL.
 
-    Only the leading rows of a URL, at most max_retries, depend on its counter and join it; the
-    rows behind them are given up whatever it says.
+    The counters meet the counts of the new failures, not the failures themselves.
     """
-    given_up = F.lit(max_retries + 1).cast("bigint")
-    ranked = capped_rank(failures.select(key, *order), [key], list(order), max_retries, "_place")
-    lead = ranked.filter(F.col("_place") <= max_retries).join(counters, key, "left")
-    lead = lead.withColumn("attempt", F.least(
-        F.coalesce("failed", F.lit(0)) + F.col("_place"), given_up).cast("bigint"))
-    behind = ranked.filter(F.col("_place") > max_retries).withColumn("attempt", given_up)
-    return (
-        lead.select(key, *order, "attempt").unionByName(behind.select(key, *order, "attempt"))
-        .withColumns(_schedule(F.col("attempt"), F.lit(0), max_retries, cap, "response"))
-    )
-
-
-def count_failures(failures: DataFrame, counters: DataFrame | None = None, key: str = "url",
-                   max_retries: int = MAX_RETRIES) -> DataFrame:
-    """Failures per URL, old and new together; the counter stops behind the last retry."""
-    new = failures.groupBy(key).agg(F.count("*").alias("failed"))
-    both = new if counters is None else new.unionByName(counters)
-    return both.groupBy(key).agg(
-        F.least(F.sum("failed"), F.lit(max_retries + 1)).cast("bigint").alias("failed"))
+    ranked = exact_rank(failures.select(key, *order), [key], list(order), "attempt",
+                        counters.select(key, F.col("failed").alias("before")))
+    return ranked.withColumns(_schedule(F.col("attempt"), F.lit(0), max_retries, cap, "response"))
+
+
+def count_failures(failures: DataFrame, key: str = "url") -> DataFrame:
+    """Failures per URL."""
+    return failures.groupBy(key).agg(F.count("*").alias("failed"))
+
+
+def add_counters(counters: DataFrame, key: str = "url") -> DataFrame:
+    """Counters of several times as one per URL."""
+    return counters.groupBy(key).agg(F.sum("failed").cast("bigint").alias("failed"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.functions import urls
-from gleanframe.operators.skew import join_hot
 
 
 def domain_filter(links: DataFrame, domains: list[str], url: str = "url") -> DataFrame:
@@ -19,20 +18,22 @@ def domain_filter_table(links: DataFrame, domains: DataFrame, url: str = "url",
                         domain: str = "domain") -> DataFrame:
     """The same with the domains in a table of any size.
 
-    Only the distinct hosts meet the domains, by equality on their parent domains; the links then
-    meet the allowed hosts. No theta join, and links are not multiplied. A host with very many
-    links is not one task's work (join_hot).
+    Only the distinct hosts meet the domains, by equality on their parent domains, and only on those
+    with as many labels as some domain has: top-level domains, which very many hosts share, come up
+    only if one is allowed. The links then meet the allowed hosts. No theta join, links are not
+    multiplied, and they are read twice.
     """
     names = domains.select(F.lower(domain).alias("_suffix")).distinct()
+    labels = names.agg(F.collect_set(F.size(F.split("_suffix", r"\.")))).scalar()
     hosts = links.select(urls.host(F.col(url)).alias("_host")).distinct()
+    suffixes = F.filter(urls.host_suffixes(F.col("_host")),
+                        lambda s: F.array_contains("_labels", F.size(F.split(s, r"\."))))
     allowed = (
-        hosts.select("_host", F.explode(urls.host_suffixes(F.col("_host"))).alias("_suffix"))
+        hosts.withColumn("_labels", labels).select("_host", F.explode(suffixes).alias("_suffix"))
         .join(names, "_suffix", "left_semi")
         .select("_host").distinct()
     )
-    return join_hot(
-        links.withColumn("_host", urls.host(F.col(url))), allowed, "_host", "left_semi"
-    ).drop("_host")
+    return links.withColumn("_host", urls.host(F.col(url))).join(allowed, "_host", "left_semi").drop("_host")
 
 
 def frontier_unseen(links: DataFrame, seen: DataFrame, key: str = "url",
@@ -47,6 +48,13 @@ def frontier_unseen(links: DataFrame, seen: DataFrame, key: str = "url",
     return found.join(seen.select(key).distinct(), key, "left_anti")
 
 
+def frontier_unseen_marked(links: DataFrame, seen: Column, key: str = "url", source: str = "page_id") -> DataFrame:
+    """The same where a link tells itself whether its URL counts as seen: one aggregate, one pass."""
+    found = links.groupBy(key).agg(
+        F.min(source).alias("first_page"), F.count("*").alias("n_links"), F.bool_or(seen).alias("_seen"))
+    return found.filter(~F.coalesce("_seen", F.lit(False))).drop("_seen")
+
+
 def frontier_ordered(frontier: DataFrame, k: int, priority: str = "priority",
                      discovery: tuple[str, ...] = ("first_page", "pos")) -> DataFrame:
     """The next k requests: highest priority first, then in order of discovery. Each task keeps

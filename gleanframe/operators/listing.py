@@ -67,6 +67,15 @@ def non_empty_listing(listing: DataFrame) -> DataFrame:
     return listing.filter(F.size("adverts") > 0)
 
 
+def page_yield(listing: DataFrame, page: str = "page_num") -> DataFrame:
+    """What a response gives: its records (``items``), and the requests that follow from it: one per
+    advert with a URL, and the next page where there is a pointer to one within the page limit."""
+    detail = F.size(F.filter("adverts", lambda a: a["url"].isNotNull()))
+    following = F.col("next_url").isNotNull() & (F.col(page) < F.col("total_pages"))
+    return listing.select(page, F.size("adverts").cast("bigint").alias("items"), (
+        detail + F.when(following, 1).otherwise(0)).cast("bigint").alias("requests"))
+
+
 def listing_explode(listing: DataFrame) -> DataFrame:
     """One row per advert with its position in the response."""
     kept = [c for c in listing.columns if c != "adverts"]

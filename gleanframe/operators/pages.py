@@ -1,8 +1,9 @@
 """Stored pages -> rows. A page table has the columns url and html.
 
-Native forms (patterns, JVM only) are exact for elements whose text follows the start tag
-directly, with attribute values in double quotes. ``walk_pages`` is the exact form for everything else: one Arrow-batched pass that
-collects all wanted fields of a page at once.
+``walk_pages`` is the exact form of extraction: one Arrow-batched pass that collects all wanted fields
+of a page at once. Native forms (patterns, JVM only) are exact for elements without children, with
+attribute values in double quotes and usual entities. Operators that use them test each page for
+that and send the others to the walk.
 """
 
 from __future__ import annotations
@@ -93,12 +94,42 @@ def visible_markup(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
+# attributes with their values in double quotes, or without values
+_ATTRIBUTES = r"""(?:\s+[a-zA-Z_:][-\w:.]*(?:="[^"<>]*")?)*+\s*"""
+
+
 def _start_tag(tag: str, cls: str | None) -> str:
     if cls is None:
         return rf"<{tag}(?:\s[^<>]*)?>"
     return rf'<{tag}\s(?:[^<>]*?\s)?class="(?:[^"]*\s)?{re.escape(cls)}(?:\s[^"]*)?"[^<>]*>'
 
 
+def _other_entities(text: Column) -> Column:
+    """Does the text hold a character reference that the native forms leave as it is?"""
+    known = "|".join(re.escape(entity[1:]) for entity, _ in t.ENTITIES)
+    return text.rlike(rf"&(?!amp;|{known}|[^\w#]|\z)")
+
+
+def _plain_elements(text: Column, tag: str) -> Column:
+    """Are all elements of a name written as the native forms read them: attributes in double quotes,
+    and nothing but text up to their end tag?"""
+    starts = F.regexp_count(text, F.lit(rf"(?i)<{tag}(?=[\s/>])"))
+    return starts == F.regexp_count(text, F.lit(rf"(?i)<{tag}{_ATTRIBUTES}>[^<]*</{tag}\s*>"))
+
+
+def _or_walked(pages: DataFrame, plain: Column, native: dict[str, Column], walked: dict[str, tuple[H.Field, Column]],
+               keep: list[str], html: str) -> DataFrame:
+    """The native columns where a page is plain, else those made from the walk."""
+    names = {name: f"_native_{name}" for name in native}
+    rows = pages.select(*keep, F.col(html).alias("_page"), plain.alias("_plain"),
+                        *[F.when(plain, column).alias(names[name]) for name, column in native.items()])
+    rows = rows.withColumn("_page", F.when(~F.coalesce("_plain", F.lit(True)), F.col("_page")))
+    found = walk_pages(rows, [field for field, _ in walked.values()], (*keep, "_plain", *names.values()), "_page")
+    return found.select(*keep, *[
+        F.when(F.col("_plain"), F.col(names[name])).otherwise(column).alias(name)
+        for name, (_, column) in walked.items()])
+
+
 def first_text(html: Column, tag: str, cls: str | None = None) -> Column:
     """Text right after the first such start tag, decoded and stripped; null when there is
     none."""
@@ -114,23 +145,41 @@ def all_texts(html: Column, tag: str, cls: str | None = None) -> Column:
 
 def extract_first_text(pages: DataFrame, columns: dict[str, tuple[str, str | None]],
                        keep: Iterable[str] = ("page_id",), html: str = "html") -> DataFrame:
-    """One column per (tag, class)."""
-    return pages.withColumn(html, visible_markup(F.col(html))).select(
-        *keep, *[first_text(F.col(html), tag, cls).alias(c) for c, (tag, cls) in columns.items()])
+    """One column per (tag, class): the first direct text of the first such element that has any, stripped;
+    null without one or where it is blank."""
+    text = visible_markup(F.col(html))
+    plain = reduce(lambda a, b: a & b, [_plain_elements(text, tag) for tag in {tag for tag, _ in columns.values()}])
+    walked = {
+        name: (H.Field(f"_walked_{name}", "texts", ((H.Step(tag, cls),),)),
+               t.strip(t.first(F.col(f"_walked_{name}"))))
+        for name, (tag, cls) in columns.items()}
+    native = {name: first_text(text, tag, cls) for name, (tag, cls) in columns.items()}
+    return _or_walked(pages, plain & ~_other_entities(text), native, walked, list(keep), html)
 
 
 def extract_all_texts(pages: DataFrame, tag: str, cls: str | None = None,
                       keep: Iterable[str] = ("page_id",), html: str = "html") -> DataFrame:
-    return pages.select(*keep, all_texts(visible_markup(F.col(html)), tag, cls).alias("texts"))
+    """All direct texts of such elements, stripped, blank ones left out."""
+    text = visible_markup(F.col(html))
+    field = H.Field("_walked", "texts", ((H.Step(tag, cls),),))
+    return _or_walked(
+        pages, _plain_elements(text, tag) & ~_other_entities(text), {"texts": all_texts(text, tag, cls)},
+        {"texts": (field, t.strip_all(F.col("_walked")))}, list(keep), html)
 
 
 def extract_links(pages: DataFrame, keep: Iterable[str] = ("page_id", "url"),
                   html: str = "html") -> DataFrame:
-    """One row per anchor, in document order."""
-    found = F.regexp_extract_all(
-        visible_markup(F.col(html)), F.lit(r'(?i)<a\s(?:[^<>]*?\s)?href="([^"]*)"'), F.lit(1))
-    rows = pages.select(*keep, F.posexplode(found).alias("pos", "href"))
-    return rows.withColumn("href", t.unescape(F.col("href")))
+    """One row per anchor with a link, in document order."""
+    keep, text = list(keep), visible_markup(F.col(html))
+    found = F.regexp_extract_all(text, F.lit(r'(?i)<a\s(?:[^<>]*?\s)?href="([^"]*)"'), F.lit(1))
+    # each anchor has a link, and all its values are in double quotes
+    anchors = F.regexp_count(text, F.lit(r"(?i)<a(?=[\s/>])"))
+    plain = (anchors == F.regexp_count(text, F.lit(rf'(?i)<a(?=\s[^<>]*?\bhref="){_ATTRIBUTES}>'))) & (
+        anchors == F.size(found)) & ~_other_entities(text)
+    rows = _or_walked(
+        pages, plain, {"_hrefs": F.transform(found, t.unescape)},
+        {"_hrefs": (H.Field("_walked", "attr", ((H.Step("a"),),), "href"), F.col("_walked"))}, keep, html)
+    return rows.select(*keep, F.posexplode("_hrefs").alias("pos", "href"))
 
 
 def extract_links_selected(pages: DataFrame, chain: tuple[H.Step, ...],
@@ -151,17 +200,6 @@ def absolutize_urls(links: DataFrame, site: str) -> DataFrame:
     })
 
 
-def page_yield(pages: DataFrame, item_pattern: str, request_pattern: str,
-               keep: Iterable[str] = ("page_id",), html: str = "html") -> DataFrame:
-    """Items and follow-up requests per page, counted in place without exploding them."""
-    text = visible_markup(F.col(html))
-    return pages.select(
-        *keep,
-        F.regexp_count(text, F.lit(item_pattern)).cast("bigint").alias("items"),
-        F.regexp_count(text, F.lit(request_pattern)).cast("bigint").alias("requests"),
-    )
-
-
 # Phrases that announce a block (fixed values).
 BLOCK_PHRASES = ["blocked", "rate limit", "too many requests"]
 

@@ -9,7 +9,7 @@ from gleanframe.functions import urls
 from gleanframe.functions.text import part
 from gleanframe.operators.frontier import unseen
 from gleanframe.operators.skew import join_hot
-from gleanframe.session import shared_dir
+from gleanframe.session import Stored
 
 
 def page_number(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -70,35 +70,42 @@ def page_gap_report(responses: DataFrame, key: str = "listing") -> DataFrame:
 
 
 def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "page",
-                         next_page: str = "next_page", max_rounds: int = 62) -> DataFrame:
-    """Pages reachable from the seeds over next pointers, with their distance to the nearest seed.
+                         next_page: str = "next_page", page_num: str = "page_num",
+                         total_pages: str = "total_pages") -> DataFrame:
+    """Pages reachable from the seeds over next pointers, with their distance to the nearest seed. Where
+    the pointers carry a page number and the number of pages, a pointer of the last page does not count.
 
     A page points to at most one next page (the smallest is taken if copies disagree). Following
     the chain page by page would need one round per page; here the pointer length doubles each
-    round, so a chain of a million pages takes twenty rounds. Each round is cut off with a
-    reliable checkpoint in the shared folder. Cycles end, because a round without new pages ends
+    round, so a chain of a million pages takes twenty rounds. Each round is stored in the
+    shared folder, and the one before it deleted. Cycles end, because a round without new pages ends
     the loop.
     """
-    spark = pointers.sparkSession
-    shared_dir(spark)
+    counts = F.col(next_page).isNotNull()
+    if {page_num, total_pages} <= set(pointers.columns):
+        counts &= F.col(page_num) < F.col(total_pages)
     jump = (
-        pointers.filter(F.col(next_page).isNotNull())
+        pointers.filter(counts)
         .groupBy(F.col(page).alias("_from")).agg(F.min(next_page).alias("_to"))
     )
     # where no two pages point to the same one, none do so over longer steps either
     no_merging = jump.groupBy("_to").agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
     reached = seeds.select(F.col(page)).distinct().withColumn("depth", F.lit(0).cast("bigint"))
-    reached = reached.checkpoint()
-    for round_ in range(max_rounds):
-        length = 1 << round_
-        ahead = reached.join(jump, reached[page] == jump["_from"]).select(
+    reached, length = Stored(reached, "reached"), 1
+    pointer: Stored | None = None
+    while True:
+        ahead = reached.rows.join(jump, F.col(page) == F.col("_from")).select(
             F.col("_to").alias(page), (F.col("depth") + length).alias("depth"))
-        reached = reached.unionByName(ahead).groupBy(page).agg(F.min("depth").alias("depth"))
-        reached = reached.checkpoint()
+        both = reached.rows.unionByName(ahead).groupBy(page).agg(F.min("depth").alias("depth"))
+        reached = reached.replaced(both)
         # pages found in this round are at least this far from every seed
-        if reached.filter(F.col("depth") >= length).isEmpty():
+        if reached.rows.filter(F.col("depth") >= length).isEmpty():
             break
         second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
-        twice = jump.join(second, "_to") if no_merging else join_hot(jump, second, "_to")
-        jump = twice.select("_from", F.col("_end").alias("_to")).checkpoint()
-    return reached
+        twice = (jump.join(second, "_to") if no_merging else join_hot(jump, second, "_to")).select(
+            "_from", F.col("_end").alias("_to"))
+        pointer = pointer.replaced(twice) if pointer else Stored(twice, "pointers")
+        jump, length = pointer.rows, 2 * length
+    if pointer:
+        pointer.delete()
+    return reached.rows

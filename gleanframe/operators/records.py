@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,14 @@ def dedup_keep_first(records: DataFrame, key: str = "property_url",
         *[key if c == key else F.col("_first")[c].alias(c) for c in records.columns])
 
 
+def dedup_keep_first_text(records: DataFrame, key: str = "text", order: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The same where the key is a long text: groups are formed by its digest and hold nothing but the
+    order columns, which must tell the records apart; the records are then chosen by them."""
+    first = records.groupBy(F.sha2(F.col(key).cast("string"), 256).alias("_digest")).agg(
+        F.min(F.struct(*order)).alias("_first"))
+    return records.join(first.select(*[F.col("_first")[c].alias(c) for c in order]), list(order), "left_semi")
+
+
 def dedup_dropped_report(records: DataFrame, key: str = "property_url",
                          order: tuple[str, ...] = ORDER) -> DataFrame:
     """The records that dedup_keep_first leaves out, with the number of equal ones (``copies``).
@@ -39,17 +49,26 @@ def dedup_dropped_report(records: DataFrame, key: str = "property_url",
     return ranked.withColumn("copies", dropped).filter(F.col("copies") > 0).drop("_place")
 
 
-def enrich_listing_with_detail(listing: DataFrame, detail: DataFrame, site: str) -> DataFrame:
+def _first_page(detail: DataFrame, key: str, values: list[str], arrival: tuple[str, ...]) -> DataFrame:
+    """One page per URL, the first to arrive; values decide only between pages of the same arrival, or
+    where the pages do not say when they came."""
+    order = [c for c in arrival if c in detail.columns]
+    return detail.groupBy(key).agg(F.min(F.struct(*order, *values)).alias("_detail"))
+
+
+def enrich_listing_with_detail(listing: DataFrame, detail: DataFrame, site: str,
+                               arrival: tuple[str, ...] = ("fetched",)) -> DataFrame:
     """Listing records completed by the eight columns of their detail page (22 columns).
 
-    A URL is requested once, so the first listing record of a URL and one page per URL count.
+    A URL is requested once, so the first listing record of a URL and its first page count; pages that
+    came later by the ``arrival`` columns do not.
     Both sides are aggregated by the absolute URL; the join finds them partitioned by it already.
     A listing whose page never arrived gives no row.
     """
     first = dedup_keep_first(
         listing.withColumn("url", urls.prefix(site, F.col("property_url")))
         .filter(F.col("url").isNotNull()), "url")
-    page = detail.groupBy("url").agg(F.min(F.struct(*schemas.DETAIL_8)).alias("_detail"))
+    page = _first_page(detail, "url", list(schemas.DETAIL_8), arrival)
     return first.join(page, "url").select(
         *schemas.LISTING_14, *[F.col("_detail")[c].alias(c) for c in schemas.DETAIL_8])
 
@@ -122,8 +141,7 @@ CRITICAL = ["seller_or_agent_name", "time_on_site", "condition", "furnishing"]
 
 
 def critical_fields_present() -> Column:
-    a, b, c, d = [t.truthy(F.col(x)) for x in CRITICAL]
-    return a & b & c & d
+    return reduce(lambda a, b: a & b, [t.truthy(F.col(x)) for x in CRITICAL])
 
 
 def union_records(listing: DataFrame, detail: DataFrame) -> DataFrame:
@@ -133,8 +151,8 @@ def union_records(listing: DataFrame, detail: DataFrame) -> DataFrame:
     return renamed.unionByName(detail.select(*schemas.DETAIL_16))
 
 
-def merge_records(listing: DataFrame, detail: DataFrame) -> DataFrame:
-    """One row per URL: the detail value where there is one, else the first listing value.
+def merge_records(listing: DataFrame, detail: DataFrame, arrival: tuple[str, ...] = ("fetched",)) -> DataFrame:
+    """One row per URL: the value of its first page where there is one, else the first listing value.
 
     Both sides are aggregated by URL before the full outer join, which needs no shuffle of its
     own then. Rows without URL belong to no page and are left to union_records.
@@ -146,7 +164,7 @@ def merge_records(listing: DataFrame, detail: DataFrame) -> DataFrame:
         .groupBy("property_url")
         .agg(F.min(F.struct(*ORDER, *values)).alias("_listing"))
     )
-    page = detail.groupBy("property_url").agg(F.min(F.struct(*values)).alias("_detail"))
+    page = _first_page(detail, "property_url", values, arrival)
     merged = first.join(page, "property_url", "full_outer")
     return merged.select(*[
         "property_url" if c == "property_url"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,6 +33,36 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     )
 
 
+def exact_rank(df: DataFrame, keys: list[str], order: list[str], name: str,
+               start: DataFrame | None = None, buckets: int = 64) -> DataFrame:
+    """Add the place of each row within its key, from 1, exact for every row. ``order`` must tell the
+    rows of a key apart. ``start`` (the keys, ``before``) holds places that came earlier.
+
+    Rows are cut into ranges of the first order column that hold about as many rows each. The ranges
+    of a key are counted (at most ``buckets`` numbers per key) and their counts added up; a row's
+    place is its place within key and range, which is all that one task sees, and what came before.
+    """
+    value = F.col(order[0]).cast("double")
+    steps = [n / buckets for n in range(1, buckets)]
+    bounds = df.agg(F.percentile_approx(value, steps)).scalar()
+    cut = df.withColumn("_bounds", F.coalesce(bounds, F.array().cast("array<double>"))).withColumn(
+        "_bucket", F.size(F.filter("_bounds", lambda b: b < value))).drop("_bounds")
+    counts = cut.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    if start is not None:
+        earlier = start.select(*[F.col(k).alias(f"_start_{k}") for k in keys], F.col("before").alias("_start"))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys])
+        before = before.join(earlier, same, "left").select(
+            *keys, "_bucket", (F.col("_before") + F.coalesce("_start", F.lit(0))).alias("_before"))
+    named = before.withColumnsRenamed({k: f"_key_{k}" for k in keys} | {"_bucket": "_range"})
+    meet = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys],
+                  F.col("_bucket") == F.col("_range"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*order))
+    return cut.join(named, meet).withColumn(name, (place + F.col("_before")).cast("bigint")).select(
+        *df.columns, name)
+
+
 def capped_rank(df: DataFrame, keys: list[str], order: list[str], limit: int,
                 name: str, salts: int | None = None) -> DataFrame:
     """Add the place of each row within its key, exact up to ``limit`` and limit + 1 for all rows

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanframe.functions import urls
 from gleanframe.functions.html import Step
+from gleanframe.functions.text import part
 from gleanframe.operators import details, frontier, listing, pages, records
 from gleanframe.operators.columns import with_once
 
@@ -16,7 +17,9 @@ def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str,
     """JSON listing and its detail pages -> enriched records, one per URL (22 columns)."""
     adverts = listing.listing_explode(listing.parse_listing(payloads))
     return records.enrich_listing_with_detail(
-        listing.listing_record_14(adverts), details.detail_fields_8(detail_pages, stat_phrase), site)
+        listing.listing_record_14(adverts),
+        details.detail_fields_8(detail_pages, stat_phrase,
+                                keep=("fetched",) if "fetched" in detail_pages.columns else ()), site)
 
 
 def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str, n: int = 3) -> DataFrame:
@@ -45,6 +48,29 @@ def link_flow(listing_pages: DataFrame, seen: DataFrame, chain: tuple[Step, ...]
         with_once(seen.select("url"), "url", urls.canonical(F.col("url"))))
 
 
-def account_flow(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Account pages -> complete records and the rejected pages."""
-    return details.account_record_7(stored), details.account_rejects(stored)
+def account_requests(listing_pages: DataFrame, chain: tuple[Step, ...]) -> tuple[DataFrame, DataFrame]:
+    """Listing pages (page_id, url, html) -> the detail pages to request (url, first_page, n_links), each
+    once, and the next pages (page_id, url), only of pages that have links. The pages are walked once
+    for each of the two."""
+    links = pages.extract_links_selected(listing_pages, chain, keep=("page_id", "url"))
+    absolute = with_once(links, "link", urls.resolve(F.col("url"), F.col("href"))).select(
+        "page_id", F.col("link").alias("url"))
+    requests = absolute.groupBy("url").agg(F.min("page_id").alias("first_page"), F.count("*").alias("n_links"))
+    counted = F.concat(part(F.col("url"), "=", 0), F.lit("="),
+                       (urls.number_after_equals(F.col("url")) + 1).cast("string"))
+    following = links.filter("pos = 0").select("page_id", counted.alias("url"))
+    return requests, following
+
+
+def account_flow(listing_pages: DataFrame, detail_pages: DataFrame, chain: tuple[Step, ...]) -> DataFrame:
+    """Listing pages and the account pages that arrived -> one row per request: ``kind`` is next_page,
+    record, reject (with ``failed_field``) or missing for a detail page that did not arrive. A detail page
+    is walked once, and only if it was asked for."""
+    requests, following = account_requests(listing_pages, chain)
+    arrived = details.account_audit(detail_pages.join(requests.select("url"), "url", "left_semi"))
+    rows = requests.join(arrived.withColumn("_arrived", F.lit(True)), "url", "left")
+    kind = F.when(F.col("_arrived").isNull(), "missing").when(
+        F.col("failed_field").isNull(), "record").otherwise("reject")
+    return rows.withColumn("kind", kind).drop("_arrived", "n_links").unionByName(
+        following.select("url", F.col("page_id").alias("first_page"), F.lit("next_page").alias("kind")),
+        allowMissingColumns=True)

@@ -13,7 +13,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from gleanframe.operators import details
 from gleanframe.plans import flows
+from gleanframe.session import Stored
 from gleanframe.sources.csv_table import sink_csv_overwrite
 from gleanframe.sources.payloads import src_listing_payloads
 
@@ -35,8 +37,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
     pages = spark.read.parquet(options.pages)
     if options.flow == "account":
-        records, rejects = flows.account_flow(pages)
+        # walked once; the two tables are cut from what that gave
+        audited = Stored(details.account_audit(pages), "account").rows
+        records = audited.filter("failed_field is null").drop("failed_field")
         if options.rejects:
+            rejects = audited.filter("failed_field is not null").select("url", "failed_field")
             sink_csv_overwrite(rejects, options.rejects, rejects.columns)
     else:
         payloads = src_listing_payloads(spark.read.parquet(options.payloads))

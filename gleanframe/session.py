@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "gleanframe", master: str | None = None,
@@ -52,3 +52,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/gleanframe/{label}-{uuid.uuid4().hex}"
+
+
+class Stored:
+    """Rows written to the shared folder and read back, so that their plan starts afresh."""
+
+    def __init__(self, rows: DataFrame, label: str):
+        self._spark, self._label = rows.sparkSession, label
+        self._path = scratch_path(self._spark, label)
+        rows.write.parquet(self._path)
+        self.rows = self._spark.read.schema(rows.schema).parquet(self._path)
+
+    def replaced(self, rows: DataFrame) -> Stored:
+        """New rows, made from these, in their place."""
+        new = Stored(rows, self._label)
+        self.delete()
+        return new
+
+    def delete(self) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)

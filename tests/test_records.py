@@ -117,8 +117,9 @@ def test_whole_flows(spark):
         page.select(F.lit("lost").alias("url"), F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("html")))
     kept = flows.sale_listing_flow(payloads.limit(0), reads, render.SITE).collect()
     assert [(r.property_url, r.title is None, r.seller_or_agent_name) for r in kept] == [(url, False, None)]
-    good, bad = flows.account_flow(render.account_pages(spark, SF))
-    assert good.count() + bad.count() == 200
+    pages = render.account_pages(spark, SF)
+    good, bad = details.account_record_7(pages), details.account_rejects(pages)
+    assert good.count() + bad.count() == 200 == details.account_audit(pages).count()
 
 
 def test_link_flow(spark):

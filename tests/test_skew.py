@@ -37,9 +37,10 @@ def test_retry_schedule_modes(spark):
     rows = fetchlog.retry_schedule(df).orderBy("event_id").collect()
     assert [(r.attempt, r.delay, r.priority, r.gave_up) for r in rows] == [
         (1, 1, -1, False), (2, 2, -3, False), (3, 4, -6, False), (4, 8, -10, False), (5, 16, -15, False),
-        (6, None, None, True), (6, None, None, True), (6, None, None, True)]
-    rows = fetchlog.retry_schedule_exception(df, priority=F.lit(10)).orderBy("event_id").collect()
-    assert [r.priority for r in rows] == [9, 8, 7, 6, 5, None, None, None]
+        (6, None, None, True), (7, None, None, True), (8, None, None, True)]
+    with_priority = df.withColumn("p0", F.lit(10) * F.col("event_id"))
+    rows = fetchlog.retry_schedule_exception(with_priority, priority=F.col("p0")).orderBy("event_id").collect()
+    assert [r.priority for r in rows] == [9, 18, 27, 36, 45, None, None, None]
     rows = fetchlog.retry_schedule(df, max_retries=7, cap=30).orderBy("event_id").collect()
     assert [r.delay for r in rows] == [1, 2, 4, 8, 16, 30, 30, None]
 
