@@ -360,6 +360,13 @@ class Decoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def encoder_of(model_file: str, vocabulary: Vocabulary) -> Encoder:
+    """The encoder of this process: what it has learnt serves the next task."""
+    if model_file not in _ENCODERS:
+        _ENCODERS[model_file] = Encoder(vocabulary)
+    return _ENCODERS[model_file]
+
+
 def encode_rows(rows: DataFrame, model_file: str, text_col: str = "text", into: str = "ids",
                 checked: str | None = None, drop_text: bool = False) -> DataFrame:
     """The rows with ``ids``, the pieces of their text; none for a null or empty text. Characters that
@@ -376,7 +383,7 @@ def encode_rows(rows: DataFrame, model_file: str, text_col: str = "text", into:
     read = list(dict.fromkeys([*kept, text_col]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _ENCODERS.setdefault(model_file, Encoder(vocabulary)), Decoder(vocabulary)
+        encoder, decoder = encoder_of(model_file, vocabulary), Decoder(vocabulary)
         for batch in groups(batches, text_col, GROUP):
             texts = pc.fill_null(batch.column(text_col), "").to_pylist()
             ids, counts = encoder.texts(texts)
