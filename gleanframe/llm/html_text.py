@@ -9,6 +9,10 @@
    ``ENOUGH`` characters (one within an article or main element), and dives behind the last window
    that does. All lines between that count are the text; where no window holds enough, all that count.
 
+Marks are whole names or words in them; "with-sidebar" marks nothing, nor does a header named after its
+article. Where nothing is left of a page, but marked elements hold ``MISTAKEN`` characters or more, they
+were containers, and only element names count.
+
 Character references are decoded once. White space within a line, no-break spaces and line breaks
 included, becomes one space; lines are joined by a newline. Null, empty and text-free pages give an
 empty text. An element that is not closed ends with the page, except that a dropped one ends where the
@@ -28,9 +32,12 @@ from pyspark.sql import functions as F
 
 from gleanframe.llm.tables import id_column, shown_id
 from gleanframe.llm.texts import groups
+from gleanframe.session import reach_workers
 
 WINDOW = 3
 ENOUGH = 30
+# A page without any text gets what marked elements hold, if that is so much.
+MISTAKEN = 500
 
 # Fixed lists: elements of HTML and usual names of page parts.
 BLOCKS = frozenset(
@@ -50,7 +57,16 @@ MARKS = frozenset(
     "cookie cookies consent gdpr notice notices alert disclaimer popup modal overlay newsletter subscribe "
     "subscription signup login search comment comments disqus reply replies respond discussion feedback "
     "share sharing social related recommended recommendations skip copyright legal complementary "
-    "contentinfo navigation banner form".split())
+    "contentinfo navigation banner form hidden".split())
+# the same within longer words
+STEMS = re.compile(
+    r"^(?:advert|breadcrumb|comment|consent|cookie|disqus|footer|navbar|navigation|newsletter|popup|promo|sidebar|"
+    r"social|sponsor|subscri)|(?:banner|comments|footer|menu|navbar|sidebar)$")
+# words that turn a mark into a word about a neighbour, and what may be a title's own header
+BESIDE = frozenset("has have with without no not show hide enable enabled".split())
+HEADERS = frozenset("header masthead topbar".split())
+OWN = frozenset("article post entry story content title page main".split())
+_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _ROOTS = ("article", "main")
 _RAW = re.compile(rf"<({RAW})\b[^>]*>.*?(?:</\1\s*[^>]*>|\Z)", re.I | re.S)
 _COMMENT = re.compile(r"<!--.*?(?:--!?>|\Z)", re.S)
@@ -67,23 +83,33 @@ class Line(NamedTuple):
     inside: bool  # within an article or main element
 
 
-def _dropped(name: str, attributes: str, rooted: bool) -> bool:
+def _marked(attributes: str, rooted: bool) -> bool:
+    """Do class, id or role name a part that is no text? Each name counts for itself."""
+    for found in _MARK.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").split():
+            words = set(_NAME.findall(_CASE.sub("-", name).lower()))
+            if words & BESIDE:
+                continue
+            if words & HEADERS and (rooted or words & OWN):
+                words -= HEADERS
+            if words & MARKS or any(STEMS.search(w) for w in words - OWN):
+                return True
+    return False
+
+
+def _dropped(name: str, attributes: str, rooted: bool, marks: bool) -> bool:
     if name in DROPPED:
         return True
     if name == "header":
         return not rooted  # an article's own header holds its title
-    if name in ("html", "body") or "=" not in attributes:
+    if not marks or not attributes or name in ("html", "body"):
         return False
-    for found in _MARK.finditer(attributes):
-        value = found[1] or found[2] or found[3] or ""
-        words = _NAME.findall(_CASE.sub("-", value).lower())
-        if any(w in MARKS for w in words):
-            return True
-    return False
+    return bool(_HIDDEN.search(attributes)) or _marked(attributes, rooted)
 
 
-def lines(page: str) -> list[Line]:
-    """The blocks of a page that are left without markup and dropped elements."""
+def lines(page: str, marks: bool = True) -> list[Line]:
+    """The blocks of a page that are left without markup and dropped elements; without ``marks``,
+    elements are dropped by their name alone."""
     page = _RAW.sub("<p>", _COMMENT.sub("", page)) if "<" in page else page
     out: list[Line] = []
     parts: list[str] = []
@@ -119,7 +145,11 @@ def lines(page: str) -> list[Line]:
         closing = bool(tag[1] or tag[4])
         attributes = tag[3] or tag[6] or ""
         if stack:
-            if name in _ROOTS and not closing and not seen and not _dropped(name, attributes, True):
+            if closing or seen or name not in _ROOTS or _dropped(name, attributes, True, marks):
+                opens = name == "body" and stack[0] == "head"
+            else:
+                opens = True
+            if opens:
                 stack.clear()
             elif name == stack[0]:
                 if closing:
@@ -138,7 +168,7 @@ def lines(page: str) -> list[Line]:
                 depth = max(0, depth - 1)
             in_link = in_link and name != "a"
             continue
-        if name not in VOID and _dropped(name, attributes, depth > 0):
+        if name not in VOID and _dropped(name, attributes, depth > 0, marks):
             flush()
             stack.append(name)
         elif name in _ROOTS:
@@ -152,6 +182,10 @@ def lines(page: str) -> list[Line]:
 
 def main_text(page: str | None) -> str:
     found = lines(page or "")
+    if not found:
+        unmarked = lines(page or "", marks=False)
+        if sum(len(line.text) for line in unmarked) >= MISTAKEN:
+            found = unmarked
     rooted = any(line.inside for line in found)
     counts = [
         0 if (rooted and not line.inside) or 2 * line.linked > len(line.text) else len(line.text)
@@ -179,5 +213,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["id", "url", "text", "n_chars"])
 
+    reach_workers(pages.sparkSession)
     found = rows.mapInArrow(run, "id bigint, url string, text string, n_chars bigint")
     return found.select(shown_id("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")

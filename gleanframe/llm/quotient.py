@@ -31,7 +31,7 @@ class QuotientFilter:
         first[1:] = values[1:] != values[:-1]
         counts = np.add.reduceat(counts, np.flatnonzero(first)) if len(values) else counts
         values = values[first]
-        quotient_bits = min(len(values).bit_length(), value_bits)
+        quotient_bits = min(max(1, len(values).bit_length()), value_bits)
         shift = np.uint64(value_bits - quotient_bits)
         quotients = (values >> shift).astype(np.int64)
         occupied = np.zeros(1 << quotient_bits, bool)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanframe.llm.tables import id_column, shown_id
+from gleanframe.session import reach_workers
 
 CHUNK_BYTES = 1 << 18
 SCHEMA = "record_id bigint, chunk_no int, last boolean, data binary, running binary"
@@ -101,6 +102,7 @@ def write(rows: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         if waiting:
             yield _chunk_rows(waiting)
 
+    reach_workers(rows.sparkSession)
     return rows.mapInArrow(run, SCHEMA)
 
 
@@ -149,6 +151,7 @@ _FIELDS = ("id bigint, payload_bytes bigint, payload_digest string, record_type
 
 def _parsed(chunks: DataFrame) -> DataFrame:
     """Heads and digests of records whose chunks follow each other."""
+    reach_workers(chunks.sparkSession)
     names = [f.split()[0] for f in _FIELDS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

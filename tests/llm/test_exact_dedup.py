@@ -36,3 +36,10 @@ def test_no_rows_and_many_slices(table, spark, monkeypatch):
     out = e.exact_duplicates(docs).collect()
     assert all(r.keep_id == r.doc_id % 70 and r.group_size in (4, 5) for r in out)
     assert len(out) == 300
+
+
+def test_long_texts(table):
+    long = "word " * 400_000
+    got = {r.doc_id: r.keep_id for r in e.exact_duplicates(
+        table([(1, long, "", ""), (2, long + "\n", "", ""), (3, long + "x", "", "")], DOCS)).collect()}
+    assert got == {1: 2, 2: 2, 3: 3}

@@ -25,6 +25,11 @@ TEXT = "A title\nFirst & best paragraph, long enough to count.\nShort."
     f"<nav><ul><li>never closed<article>{ARTICLE}</article>",
     f"<title>T</title><ul><li><a href=1>One of many links</a><li><a href=2>Other link</a></ul>{ARTICLE}",
     f"<article>{ARTICLE}</article></foot",
+    f"<ul id=mainMenu><li>Home of the very long menu</ul><div>{ARTICLE}</div><ol class=commentlist><li>I liked it, I did</ol>",
+    f"<div class='layout with-sidebar'>{ARTICLE}</div><p hidden>Unseen text that is long enough to count",
+    f"<article><div class=article-header><h1>A title</h1></div>{ARTICLE[16:]}</article><div role=contentinfo>(c)</div>",
+    f"<head><title>T</title><body class=home><div>{ARTICLE}</div>",
+    f"<div style='display:none'>Not to be seen, though it is a long text</div><main>{ARTICLE}</main>",
 ])
 def test_main_text(page):
     assert h.main_text(page) == TEXT
@@ -45,6 +50,19 @@ def test_rows(table):
     assert h.extract(table([], PAGES)).collect() == []
 
 
+def test_marked_containers_and_pages_without_text():
+    text = "\n".join(f"Paragraph {n} of a page that is all in one container." for n in range(12))
+    page = "<div class=sidebar>" + "".join(f"<p>{t}" for t in text.split("\n")) + "</div>"
+    assert h.main_text(page) == text
+    assert h.main_text("<nav><a href=/>Menu</a></nav><article></article><footer>Foot</footer>") == ""
+    assert h.main_text("<div class=cookie-bar>We use cookies</div>") == ""
+
+
+def test_long_page():
+    page = "<article>" + "<p>word &amp; more" * 50_000 + "</article>"
+    assert h.main_text(page) == "\n".join(["word & more"] * 50_000)
+
+
 def test_time_is_linear_on_broken_pages():
     for bad in ("<a \"", "<p", "<!--", "<div class=ad>", "<script>", "&amp", "<a href='"):
         start = time.perf_counter()

@@ -57,3 +57,9 @@ def test_native_plan(table):
     pages = table([(1, "http://a.com/", "x", "", "")], PAGES)
     plan = u.judge(pages, RULES, u.alias_links(pages))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_long_and_repeated_urls(table):
+    long = "http://a.net/es/" + "x" * 200_000
+    got = judged(table, [(1, long, None), (1, long, None), (None, "http://b.com/", "<link rel=canonical href=" + long)])
+    assert got[1][2:] == ("net/es/", "block") and got[None][2:] == ("com/", "allow")
