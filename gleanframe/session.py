@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,6 +33,21 @@ def build_session(app_name: str = "gleanframe", master: str | None = None,
     return builder.getOrCreate()
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package: by its own folder where they run on this machine, else as
+    an archive that goes to every executor."""
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in paths:
+        return
+    sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    if not sc.master.startswith("local") and not root.endswith((".zip", ".egg")):
+        # the driver serves the archive as long as the session lasts
+        folder = tempfile.mkdtemp(prefix="gleanframe-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/gleanframe", "zip", root, "gleanframe"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
