@@ -98,6 +98,9 @@ class Inputs:
 
 # ---- sources and sinks
 
+CSV_SCHEMA = ", ".join(f"{c} string" for c in DETAIL_16)
+
+
 def _csv_path(i: Inputs) -> str:
     path = scratch_path(i.spark, "csv")
     csv_table.sink_csv_overwrite(i.union(), path)
@@ -108,16 +111,24 @@ def src_listing_payloads(i: Inputs) -> DataFrame:
     return payloads.src_listing_payloads(i.payloads())
 
 
+def src_listing_files(i: Inputs) -> DataFrame:
+    """The responses as files, one folder each."""
+    path = scratch_path(i.spark, "responses")
+    rows = i.payloads().withColumn("page", F.col("page_num"))
+    rows.select("page", "body").write.partitionBy("page").text(path)
+    return payloads.src_listing_files(i.spark, path, r"page=(\d+)/[^/]*$")
+
+
 def src_pages(i: Inputs) -> DataFrame:
     return i.pages()
 
 
 def src_csv_head(i: Inputs) -> DataFrame:
-    return csv_table.src_csv_head(i.spark, _csv_path(i), DETAIL_16)
+    return csv_table.src_csv_head(i.spark, _csv_path(i), DETAIL_16, schema=CSV_SCHEMA)
 
 
 def sink_csv_overwrite(i: Inputs) -> DataFrame:
-    return csv_table.read_csv_table(i.spark, _csv_path(i), ", ".join(f"{c} string" for c in DETAIL_16))
+    return csv_table.read_csv_table(i.spark, _csv_path(i), CSV_SCHEMA)
 
 
 # ---- listing responses
@@ -465,7 +476,7 @@ def _long(name: str):
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     f.__name__: f for f in (
-        src_listing_payloads, src_pages, src_csv_head, sink_csv_overwrite,
+        src_listing_payloads, src_listing_files, src_pages, src_csv_head, sink_csv_overwrite,
         json_unwrap, json_rejects, json_defaults, non_empty_listing, listing_explode,
         attrs_last_wins, attrs_first_match, listing_record_14, listing_record_16,
         domain_filter, domain_filter_table, block_detect, retryable_filter,

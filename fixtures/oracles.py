@@ -182,6 +182,7 @@ _SALE = _UNION.replace("p_name || ' & more' as title",
 
 ORACLES: dict[str, str] = {
     "src_listing_payloads": f"with {_RESPONSES} select page_num, body from responses",
+    "src_listing_files": f"with {_RESPONSES} select page_num, body || chr(10) as body from responses",
     "src_pages": "select page_id, url, html from pages",
     "sink_csv_overwrite": f"with {_UNION} select {_READ_BACK} from feed",
     "src_csv_head": f"with {_UNION}, written as (select {_READ_BACK} from feed) select * from written "

@@ -13,12 +13,13 @@ _QUOTING = {"header": "true", "escape": '"', "lineSep": "\n", "encoding": "UTF-8
 
 
 def sink_csv_overwrite(records: DataFrame, path: str, columns: Iterable[str] = schemas.DETAIL_16,
-                       header: dict[str, str] | None = None) -> None:
+                       header: dict[str, str] | None = None, rows_per_file: int = 200_000) -> None:
     """Replace the output. ``header`` renames columns on the way out. Null and '' are both written
-    as nothing; blanks at the ends of a value are kept."""
+    as nothing; blanks at the ends of a value are kept. Values may hold line ends, so a file is read
+    back by one task; no file gets more than ``rows_per_file`` rows."""
     names = header or {}
     chosen = records.select(*[F.col(c).alias(names.get(c, c)) for c in columns])
-    (chosen.write.mode("overwrite").options(**_QUOTING)
+    (chosen.write.mode("overwrite").options(**_QUOTING).option("maxRecordsPerFile", rows_per_file)
      .option("emptyValue", "").option("nullValue", "")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))

@@ -14,9 +14,9 @@ def src_listing_payloads(source: DataFrame, page_num: str = "page_num",
 
 def src_listing_files(spark: SparkSession, path: str, name_pattern: str = r"(\d+)\.[^.]*$") -> DataFrame:
     """Raw listing responses from a folder with one file per response; the page number is read
-    from the file name."""
+    from the end of the file's path."""
     files = spark.read.text(path, wholetext=True)
-    number = F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1).try_cast("bigint")
+    number = F.regexp_extract(F.col("_metadata.file_path"), name_pattern, 1).try_cast("bigint")
     return files.select(number.alias("page_num"), F.col("value").alias("body"))
 
 
