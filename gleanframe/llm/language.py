@@ -103,12 +103,14 @@ def fit(rows: np.ndarray, labels: list[str]) -> Model:
     wanted = codes[[number[x] for x in labels]]
     if len(languages) == 1:
         return Model(languages, codes, np.zeros((rows.shape[1], 0), np.float32), np.ones(0), 1.0)
-    inverse = np.linalg.inv(rows.astype(float) @ rows.T + RIDGE * np.eye(len(rows)))
+    alike = (rows @ rows.T).astype(float)
+    alike[np.diag_indices(len(rows))] += RIDGE
+    inverse = np.linalg.inv(alike)
     alpha = inverse @ wanted
     left_out = wanted - alpha / np.diag(inverse)[:, None]
     wrong = np.clip((left_out * wanted < 0).mean(axis=0), 0.01, 0.49)
     trust = np.log((1 - wrong) / wrong)
-    return Model(languages, codes, (rows.T @ alpha).astype(np.float32), trust / trust.sum(),
+    return Model(languages, codes, rows.T @ alpha.astype(np.float32), trust / trust.sum(),
                  float(2 / max(1e-6, np.abs(left_out).mean())))
 
 
@@ -117,7 +119,7 @@ def learnable(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 != 0
 
 
-def train(docs: DataFrame, sample_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text",
+def train(docs: DataFrame, sample_rows: int = 1200, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Model | None:
     """From rows with an id that is ``learnable``, a text and a language; None without any."""
     rows = docs.filter(learnable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -141,8 +143,12 @@ def train(docs: DataFrame, sample_rows: int = 2000, id_col: str = "doc_id", text
     found = found.sort_by([("id", "ascending"), ("lang", "ascending")])
     if not found.num_rows:
         return None
-    counts = np.stack([np.frombuffer(x, np.float32) for x in found.column("counts").to_pylist()])
-    return fit(counts, found.column("lang").to_pylist())
+    counts = np.empty((found.num_rows, DIMENSIONS), np.float32)
+    for n, row in enumerate(found.column("counts")):
+        counts[n] = np.frombuffer(row.as_buffer(), np.float32)
+    labels = found.column("lang").to_pylist()
+    del found
+    return fit(counts, labels)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from gleanframe.session import scratch_path
+from gleanframe.session import reach_workers, scratch_path
 
 # Stands for a null id inside the operators; it sorts behind all others.
 NO_ID = 2**63 - 1
@@ -68,6 +68,7 @@ def shown_id(column: Column | str) -> Column:
 
 def id_and_text(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Just the two columns as ``id`` and ``text``; a null text is empty."""
+    reach_workers(rows.sparkSession)
     return rows.select(id_column(id_col).alias("id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
@@ -75,6 +76,7 @@ def id_and_text(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def with_fields(rows: DataFrame, *added: StructField) -> tuple[list[str], StructType]:
     """Names of the columns that are kept beside new ones, and the schema of both; a column that has
     the name of a new one is replaced."""
+    reach_workers(rows.sparkSession)
     names = {f.name for f in added}
     kept = [f for f in rows.schema.fields if f.name not in names]
     return [f.name for f in kept], StructType([*kept, *added])
