@@ -18,6 +18,7 @@ tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from gleanframe.llm.texts import BASE, INVERSE, groups, mix
 
 SPACE = 0x2581  # the sign that stands for a space
 GROUP = 1 << 21
+GROUPS_LEARNT = 6  # whose new words are encoded together
 FILTER_BITS = 22
 MEMORY_BITS = 21  # of the table of pairs that were tried
 WORDS_AT_ONCE = 1 << 16
@@ -272,14 +274,12 @@ class Encoder:
         used = ids >= 0
         return ids[used], used.sum(axis=1)
 
-    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one behind the other, and how many each has."""
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """Characters of the texts, which of them are pieces, and where texts and words begin."""
         vocabulary = self.vocabulary
         marked = [(chr(SPACE) if vocabulary.prefix else "") + t.replace(" ", chr(SPACE)) if t else "" for t in texts]
         points = _points("".join(marked))
         firsts = np.concatenate([[0], np.cumsum([len(t) for t in marked])]).astype(np.int64)
-        if not len(points):
-            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         at = np.minimum(np.searchsorted(vocabulary.characters, points), len(vocabulary.characters) - 1)
         known = vocabulary.characters[at] == points
         space = points == SPACE
@@ -288,17 +288,48 @@ class Encoder:
         begins[firsts[:-1][np.diff(firsts) > 0]] = True
         begin = np.flatnonzero(begins)
         size = np.diff(np.append(begin, len(points)))
-        # equal words once
         sums = _hash_rows(points[None])[0]
-        name = mix((sums[begin + size] - sums[begin]) * _powers(len(points), INVERSE)[begin])
+        name = mix((sums[begin + size] - sums[begin]) * _powers(len(points) + 1, INVERSE)[begin])
+        return points, known, firsts, begin, size, name
+
+    def learn(self, groups_of_texts: Iterator[list[str]]) -> None:
+        """Encode the new words of several groups of texts at one go."""
+        names, sizes, letters, flags = [np.zeros(0, np.uint64)], [], [], []
+        for texts in groups_of_texts:
+            points, known, _, begin, size, name = self._cut(texts)
+            found, first = np.unique(name, return_index=True)
+            new = ~self.known_words.find(found)[1]
+            found, first = found[new], first[new]
+            at = np.repeat(begin[first] - (np.cumsum(size[first]) - size[first]), size[first])
+            at += np.arange(len(at))
+            names.append(found)
+            sizes.append(size[first])
+            letters.append(points[at])
+            flags.append(known[at])
+        found, first = np.unique(np.concatenate(names), return_index=True)
+        if not len(found):
+            return
+        if len(self.known_words.names) + len(found) > WORDS_KEPT:
+            self.known_words = _Words()
+        size = np.concatenate(sizes)
+        begin = np.cumsum(size) - size
+        ids, counts = self._distinct(np.concatenate(letters), np.concatenate(flags), begin[first], size[first])
+        self.known_words.add(found, ids, counts)
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one behind the other, and how many each has."""
+        points, known, firsts, begin, size, name = self._cut(texts)
+        if not len(points):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        # equal words once
         names, first, word = np.unique(name, return_index=True, return_inverse=True)
-        if len(self.known_words.names) + len(names) > WORDS_KEPT:
+        if len(self.known_words.names) + len(names) > 2 * WORDS_KEPT:
             self.known_words = _Words()
         kept = self.known_words
-        _, met = kept.find(names)
-        new = np.flatnonzero(~met)
-        ids, counts = self._distinct(points, known, begin[first[new]], size[first[new]])
-        kept.add(names[new], ids, counts)
+        new = np.flatnonzero(~kept.find(names)[1])
+        if len(new):
+            ids, counts = self._distinct(points, known, begin[first[new]], size[first[new]])
+            kept.add(names[new], ids, counts)
         at, _ = kept.find(names)
         n, start = kept.count[at][word], kept.start[at][word]
         out = kept.ids[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
@@ -382,9 +413,16 @@ def encode_rows(rows: DataFrame, model_file: str, text_col: str = "text", into:
     kept, schema = with_fields(rows.drop(text_col) if drop_text else rows, *added)
     read = list(dict.fromkeys([*kept, text_col]))
 
+    def learnt(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups of rows; the words of several groups are learnt before the first of them."""
+        parts = groups(batches, text_col, GROUP)
+        while several := list(islice(parts, GROUPS_LEARNT)):
+            encoder.learn(pc.fill_null(p.column(text_col), "").to_pylist() for p in several)
+            yield from several
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = encoder_of(model_file, vocabulary), Decoder(vocabulary)
-        for batch in groups(batches, text_col, GROUP):
+        for batch in learnt(encoder, batches):
             texts = pc.fill_null(batch.column(text_col), "").to_pylist()
             ids, counts = encoder.texts(texts)
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
