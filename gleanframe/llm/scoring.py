@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanframe.llm.tables import id_and_text, shown_id
+from gleanframe.llm.tables import id_and_text, shown_id, stored
 from gleanframe.llm.texts import LOWER, groups, mix, per_text, span_hashes, utf8, words
 
 BINS, BIN, TAILS = 32, 32, 256
@@ -241,7 +241,7 @@ def _average(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, rounds: int = 2, epochs: int = 1, batch_places: int = BATCH,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Symbols and weights from all documents, each of which is seen ``epochs`` times."""
-    symbols = choose_symbols(count_words(docs, id_col, text_col))
+    symbols = choose_symbols(stored(count_words(docs, id_col, text_col), "words"))
     rows = id_and_text(docs, id_col, text_col)
     weights = Network.fresh().vector
     for number in range(rounds * epochs):
