@@ -90,6 +90,17 @@ def test_stages_on_nulls_repeats_and_nothing(spark, folder):
         assert c.encode_documents(spark, docs, folder).count() == left.get("decontamination", 0)
 
 
+def test_names_of_helpers_may_be_taken(spark, folder):
+    names = ["lang_pred", "lang_score", "staying", "_staying", "sha", "ids", "component_id", "kept", "digest"]
+    docs = spark.createDataFrame([(k, t, lang, *names) for k, t, lang in test_language.rows(7, 30)],
+                                 ["doc_id", "text", "lang", *names])
+    for _, stage in c.STAGES[:-1]:
+        docs = c.stored(stage(spark, docs, folder), "stage")
+        assert docs.columns == ["doc_id", "text", "lang", *names]
+        assert all(tuple(r)[3:] == tuple(names) for r in docs.collect())
+    assert c.encode_documents(spark, docs, folder).count() == docs.count() > 20
+
+
 def test_a_null_id_stays(spark, folder):
     docs = spark.createDataFrame([(None, "the of and to", "xx", "s", 1, None)] + [
         (k, t, lang, "s", 1, None) for k, t, lang in test_language.rows(5, 40)], DOCS)
