@@ -39,6 +39,33 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+OP2_SQL = r"""
+with recursive d as (
+  select doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as (
+  select doc_id, case when len(w) < 2 then w
+           else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as shingles
+  from d),
+n as (select doc_id, len(shingles) as n_shingles from s),
+sh as (select doc_id, unnest(shingles) as shingle from s),
+links as (
+  select x.doc_id as a, y.doc_id as b
+  from sh x join sh y on x.shingle = y.shingle and x.doc_id < y.doc_id
+  join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+  group by x.doc_id, y.doc_id, nx.n_shingles, ny.n_shingles
+  having 100 * count(*) >= 80 * (nx.n_shingles + ny.n_shingles - count(*))),
+two_way as (select a, b from links union all select b, a from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union select reach.doc_id, two_way.b from reach join two_way on reach.other = two_way.a)
+select doc_id, n_shingles, min(other) as component_id, doc_id = min(other) as kept
+from reach join n using (doc_id) group by doc_id, n_shingles
+"""
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = stored(warc.write(warc.records(_table(spark, sf_dir, "pages"))), "archive")
     return warc.read(archive).drop("url")
@@ -135,6 +162,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP10_SQL = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n_bytes
+  from documents),
+places as (select doc_id, h, unnest(range(0, n_bytes - 49)) as p from d),
+strings as (select doc_id, p, min(doc_id) over (partition by substr(h, 2 * p + 1, 100)) as first from places),
+gone as (
+  select doc_id, p, p > lag(p, 1, -99) over (partition by doc_id order by p) + 50 as opens
+  from strings where first < doc_id),
+runs as (select doc_id, p, sum(opens::int) over (partition by doc_id order by p) as run from gone),
+spans as (select doc_id, run, min(p) as begin, max(p) + 50 as stop from runs group by doc_id, run),
+pieces as (
+  select doc_id, begin, stop, lag(stop, 1, 0) over (partition by doc_id order by begin) as open from spans),
+kept as (
+  select doc_id, sum(stop - begin) as n_removed, count(*) as n_spans, max(stop) as last,
+         string_agg(substr(h, (2 * open + 1)::bigint, (2 * (begin - open))::bigint), '' order by begin) as head
+  from pieces join d using (doc_id) group by doc_id)
+select doc_id, n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, (2 * coalesce(last, 0) + 1)::bigint))) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op6_lm_score,
@@ -142,4 +191,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontaminate, op9_url_filter, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {
-    "op1_exact_dedup": OP1_SQL, "op3_warc": OP3_SQL, "op9_url_filter": OP9_SQL}
+    "op1_exact_dedup": OP1_SQL, "op2_near_dedup": OP2_SQL, "op3_warc": OP3_SQL,
+    "op9_url_filter": OP9_SQL, "op10_substring_dedup": OP10_SQL}
