@@ -30,12 +30,12 @@ from gleanframe.llm.tables import id_and_text, quoted, shown_id, with_fields
 from gleanframe.llm.texts import BASE, INVERSE, groups, mix
 
 SPACE = 0x2581  # the sign that stands for a space
-GROUP = 1 << 21
-GROUPS_LEARNT = 6  # whose new words are encoded together
+GROUP = 1 << 20
+GROUPS_LEARNT = 12  # whose new words are encoded together
 FILTER_BITS = 22
 MEMORY_BITS = 21  # of the table of pairs that were tried
-WORDS_AT_ONCE = 1 << 16
-WORDS_KEPT = 1 << 21  # words whose pieces are remembered; with more the memory starts afresh
+WORDS_AT_ONCE = 1 << 14
+WORDS_KEPT = 1 << 20  # words whose pieces are remembered; with more the memory starts afresh
 
 
 def _hash_rows(rows: np.ndarray) -> np.ndarray:
