@@ -125,11 +125,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = candidates.groupBy("sha").agg(
         F.count("*").alias("n"),
         F.max(F.struct("points", (-F.col("id")).alias("least"))).alias("best"))
-    groups = groups.join(verified, "sha").select(
+    # stored, so that both sides of the last join are plain and a hot digest can be split
+    groups = stored(groups.join(verified, "sha").select(
         "sha", (-F.col("best.least")).alias("keep"),
         # two texts of one SHA-256 would be no group of copies
         F.when(F.col("texts") == 1, F.col("n")).otherwise(
-            F.raise_error(F.lit("different texts share a digest"))).alias("n"))
+            F.raise_error(F.lit("different texts share a digest"))).alias("n")), "groups")
     keep = F.coalesce("keep", "id")
     return found.join(groups, "sha", "left").select(
         shown_id("id").alias(id_col), shown_id(keep).alias("keep_id"),
