@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 from pyspark.sql.window import Window
 
-from gleanframe.llm.tables import id_and_text, id_column, quoted, shown_id, with_fields
+from gleanframe.llm.tables import id_and_text, id_column, quoted, shown_id, stored, with_fields
 from gleanframe.llm.texts import groups, utf8
 
 DIMENSIONS = 1 << 12
@@ -124,12 +124,18 @@ def train(docs: DataFrame, sample_rows: int = 1200, id_col: str = "doc_id", text
     """From rows with an id that is ``learnable``, a text and a language; None without any."""
     rows = docs.filter(learnable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     narrow = rows.select(id_column(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"))
-    n_languages = narrow.select("lang").distinct().count()
+    # no more languages than rows to learn from
+    languages = stored(narrow.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "lang").limit(sample_rows), "languages")
+    n_languages = languages.count()
     if not n_languages:
         return None
     each = max(1, sample_rows // n_languages)
+    # about twice as many of each by a hash, whatever their number, and of those the first
+    few = narrow.join(F.broadcast(languages), "lang").filter(
+        F.pmod(F.xxhash64("id", F.lit(5)), F.col("n")) < 2 * each + 64)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = narrow.withColumn("rank", rank).filter(F.col("rank") <= each).limit(sample_rows)
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).limit(sample_rows)
     texts = id_and_text(rows, id_col, text_col).join(F.broadcast(chosen.select("id", "lang")), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
