@@ -5,15 +5,18 @@ of the logarithms of these predictions over all places of a document is its scor
 judged from both sides, with all others given.
 
 Symbols are the most frequent words of all documents and, for all other words, ``TAILS`` classes by
-their last two bytes; a word of a class counts as one of its distinct words, which are counted too.
-Symbols are binned by frequency, and the network predicts bin and symbol in turn, so that a prediction
-touches ``BINS + BIN`` outputs instead of all.
-
-Counts cover all words of all documents, combined in every task. Training goes over every place of
-every document: in each of ``rounds`` passes every task starts from the same weights, trains on its
-share of that pass's documents (dealt by a hash of their id), and the weights are averaged by the
-words seen, first among groups of tasks. The driver gets at most ``SYMBOLS`` words, ``TAILS`` counts and
-``AVERAGES`` sets of weights.
+their last two bytes. There are ``SYMBOLS`` of them or, when the documents have many distinct words, as
+many more as the square root of their number demands. The network predicts a symbol; a word of a class
+has, besides, its own share of the class: its count by that of all the class's words and one more,
+which is what words that were never counted have. Symbols are binned by frequency, and the network
+predicts bin and symbol in turn, so that a prediction touches its bin and the list of bins instead of all.
+
+Counts cover all words of all documents, combined in every task, and stay a table. Words of classes meet
+their counts there: tasks send the words of a group of texts to the parts of the table, which send back
+sums per text. Training goes over every place of every document: in each of ``rounds`` passes every
+task starts from the same weights, trains on its share of that pass's documents (dealt by a hash of their
+id), and the weights are averaged by the words seen, first among groups of tasks. The driver gets no more
+words than there are symbols, ``TAILS`` counts and ``AVERAGES`` sets of weights.
 
 A word is a run of bytes other than 9 to 13 and 32; A-Z count as lower case. The places before the
 first and behind the last word hold a mark. Null texts and texts without words have no places and
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,23 +43,39 @@ SYMBOLS = BINS * BIN
 EDGE = SYMBOLS  # the mark around a text
 SIDE, WIDTH, HIDDEN = 2, 8, 24
 BATCH, RATE, AVERAGES = 2048, 0.004, 32
-SHAPES = {"embed": (SYMBOLS + 1, WIDTH), "into": (2 * SIDE * WIDTH, HIDDEN), "shift": (HIDDEN,),
-          "bins": (HIDDEN, BINS), "bin_bias": (BINS,), "words": (BINS, HIDDEN, BIN), "word_bias": (BINS, BIN)}
-WEIGHTS = sum(int(np.prod(s)) for s in SHAPES.values())
+DISTINCT = 32  # a bin for so much of the square root of the distinct words, BINS at least
+PART_WORDS, PARTS = 1 << 17, 256  # of the table of counts: words in a part, and parts at least
+
+
+def shapes(bins: int) -> dict[str, tuple[int, ...]]:
+    return {"embed": (bins * BIN + 1, WIDTH), "into": (2 * SIDE * WIDTH, HIDDEN), "shift": (HIDDEN,),
+            "bins": (HIDDEN, bins), "bin_bias": (bins,), "words": (bins, HIDDEN, BIN), "word_bias": (bins, BIN)}
+
+
+def n_weights(bins: int) -> int:
+    return sum(int(np.prod(s)) for s in shapes(bins).values())
+
+
+WEIGHTS = n_weights(BINS)
 
 
 @dataclass
 class Symbols:
     """Hashes of the frequent words, ascending, with their symbols; symbol of each tail class and the
-    logarithm of its number of distinct words."""
+    logarithm of the share that a word without a count has of it; the number of bins."""
 
     hashes: np.ndarray
     symbols: np.ndarray
     tails: np.ndarray
     tail_logs: np.ndarray
+    bins: int = BINS
+
+    @property
+    def edge(self) -> int:
+        return self.bins * BIN
 
     def of(self, hashes: np.ndarray, tails: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol of each word, and what its choice among the words of its class costs."""
+        """Symbol of each word, and what its choice among the words of its class costs if it has no count."""
         if not len(self.hashes):
             return self.tails[tails], self.tail_logs[tails]
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -93,29 +113,33 @@ def count_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def choose_symbols(counts: DataFrame) -> Symbols:
     """The most frequent words and the classes of all others, by frequency."""
-    frequent = counts.orderBy(F.desc("n"), "word").limit(SYMBOLS - TAILS).toPandas()
     classes = counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).toPandas()
-    n, distinct = np.zeros(TAILS), np.zeros(TAILS)
-    n[classes["tail"]], distinct[classes["tail"]] = classes["n"], classes["distinct"]
+    bins = max(BINS, isqrt(int(classes["distinct"].sum())) // DISTINCT)
+    frequent = counts.orderBy(F.desc("n"), "word").limit(bins * BIN - TAILS).toPandas()
+    n = np.zeros(TAILS)
+    n[classes["tail"]] = classes["n"]
     np.subtract.at(n, frequent["tail"], frequent["n"])
-    np.subtract.at(distinct, frequent["tail"], 1)
     order = np.argsort(-np.concatenate([frequent["n"], n]), kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     hashes = frequent["word"].to_numpy(np.int64).view(np.uint64)
     ascending = np.argsort(hashes)
     return Symbols(hashes[ascending], place[:len(hashes)][ascending], place[len(hashes):],
-                   -np.log(np.maximum(distinct, 1)))
+                   -np.log(n + 1), bins)
 
 
 def places(column: pa.Array, symbols: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts with marks around each text, where the words stand in there, their texts
-    and their costs."""
-    hashes, tails, firsts = _words(column)
+    and their costs without their counts."""
+    return _places(*_words(column), symbols)
+
+
+def _places(hashes: np.ndarray, tails: np.ndarray, firsts: np.ndarray,
+            symbols: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     found, cost = symbols.of(hashes, tails)
     text = per_text(firsts)
     at = np.arange(len(found)) + SIDE * (text + 1)
-    line = np.full(len(found) + SIDE * (len(firsts) + 1), EDGE, np.int64)
+    line = np.full(len(found) + SIDE * (len(firsts) + 1), symbols.edge, np.int64)
     line[at] = found
     return line, at, text, cost
 
@@ -125,15 +149,16 @@ class Network:
 
     def __init__(self, vector: np.ndarray):
         self.vector, start = vector, 0
-        for name, shape in SHAPES.items():
+        self.n_bins = (len(vector) - n_weights(0)) // (n_weights(1) - n_weights(0))
+        for name, shape in shapes(self.n_bins).items():
             size = int(np.prod(shape))
             setattr(self, name, vector[start:start + size].reshape(shape))
             start += size
 
     @classmethod
-    def fresh(cls) -> Network:
+    def fresh(cls, bins: int = BINS) -> Network:
         rng = np.random.default_rng(11)
-        new = cls(np.zeros(WEIGHTS, np.float32))
+        new = cls(np.zeros(n_weights(bins), np.float32))
         new.embed[:] = rng.normal(0, 0.3, new.embed.shape)
         for part in (new.into, new.bins, new.words):
             part[:] = rng.normal(0, 1 / np.sqrt(part.shape[-2]), part.shape)
@@ -158,7 +183,7 @@ class Network:
     def slope(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Gradient of the mean negative logarithm."""
         n = len(at)
-        down = Network(np.zeros(WEIGHTS, np.float32))
+        down = Network(np.zeros_like(self.vector, np.float32))
         around, seen, hidden = self._hidden(line, at)
         bin_, inner = np.divmod(line[at], BIN)
         off = _soft(hidden @ self.bins + self.bin_bias)
@@ -177,7 +202,7 @@ class Network:
         at_embed = (back @ self.into.T).reshape(-1, WIDTH)
         which = around.reshape(-1)
         for k in range(WIDTH):
-            down.embed[:, k] = np.bincount(which, at_embed[:, k], SYMBOLS + 1)
+            down.embed[:, k] = np.bincount(which, at_embed[:, k], len(self.embed))
         return down.vector
 
 
@@ -192,11 +217,11 @@ def _soft(logits: np.ndarray) -> np.ndarray:
 
 
 def _by_bin(bins: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(bins.astype(np.uint8), kind="stable")
-    edges = np.searchsorted(bins[order], np.arange(BINS + 1))
-    for b in range(BINS):
-        if edges[b] < edges[b + 1]:
-            yield b, order[edges[b]:edges[b + 1]]
+    order = np.argsort(bins.astype(np.uint16), kind="stable")
+    found = bins[order]
+    edges = np.flatnonzero(np.diff(found, prepend=-1, append=-1))
+    for first, last in zip(edges[:-1], edges[1:]):
+        yield int(found[first]), order[first:last]
 
 
 class Trainer:
@@ -204,7 +229,7 @@ class Trainer:
 
     def __init__(self, network: Network, batch: int = BATCH):
         self.network, self.batch, self.steps = network, batch, 0
-        self.mean, self.square = np.zeros(WEIGHTS, np.float32), np.zeros(WEIGHTS, np.float32)
+        self.mean, self.square = (np.zeros(len(network.vector), np.float32) for _ in range(2))
 
     def take(self, line: np.ndarray, at: np.ndarray) -> None:
         order = np.random.default_rng(len(at)).permutation(at)
@@ -221,14 +246,15 @@ class Trainer:
 class Model:
     symbols: Symbols
     weights: np.ndarray
+    counts: DataFrame  # of every word
 
 
 def _average(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(WEIGHTS), 0
+        total, n = 0.0, 0
         for batch in batches:
             for size, weights in zip(batch.column("n").to_pylist(), batch.column("weights")):
-                total += size * np.frombuffer(weights.as_buffer(), np.float32).astype(float)
+                total = total + size * np.frombuffer(weights.as_buffer(), np.float32).astype(float)
                 n += size
         if n:
             yield pa.RecordBatch.from_arrays([
@@ -241,9 +267,10 @@ def _average(rows: DataFrame) -> DataFrame:
 def train(docs: DataFrame, rounds: int = 2, epochs: int = 1, batch_places: int = BATCH,
           id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Symbols and weights from all documents, each of which is seen ``epochs`` times."""
-    symbols = choose_symbols(stored(count_words(docs, id_col, text_col), "words"))
+    counts = stored(count_words(docs, id_col, text_col), "words")
+    symbols = choose_symbols(counts)
     rows = id_and_text(docs, id_col, text_col)
-    weights = Network.fresh().vector
+    weights = Network.fresh(symbols.bins).vector
     for number in range(rounds * epochs):
 
         def run(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
@@ -263,25 +290,127 @@ def train(docs: DataFrame, rounds: int = 2, epochs: int = 1, batch_places: int =
         if len(found):
             weights = np.average(np.stack([np.frombuffer(w, np.float32) for w in found["weights"]]),
                                  axis=0, weights=found["n"]).astype(np.float32)
-    return Model(symbols, weights)
+    return Model(symbols, weights, counts)
+
+
+# Parcels between texts and parts of the table of counts: to a part come its counts (words and their
+# logarithms), then words with their texts, then heads of groups (ids, numbers of words, sums so far).
+# From it go the heads (part -1) and sums (texts and sums). A group is named by two numbers.
+_COUNTS, _ASKED, _HEAD = 0, 1, 2
+_PARCELS = "part int, kind int, task int, number int, a binary, b binary, c binary"
+_FIELDS = [f.split()[0] for f in _PARCELS.split(", ")]
+
+
+def _parcel(part: int, kind: int, task: int, number: int, *arrays: np.ndarray) -> tuple:
+    return (part, kind, task, number, *(x.tobytes() for x in (*arrays, np.zeros(0))[:3]))
+
+
+def _parcels(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32()] * 4 + [pa.binary()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], _FIELDS)
+
+
+def _by_part(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    return _by_bin((mix(hashes) % np.uint64(parts)).astype(np.int64))
+
+
+def _count_parcels(counts: DataFrame, parts: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("word").to_numpy().view(np.uint64)
+            logs = np.log(batch.column("n").to_numpy())
+            rows = [_parcel(part, _COUNTS, 0, 0, hashes[at], logs[at]) for part, at in _by_part(hashes, parts)]
+            if rows:
+                yield _parcels(rows)
+
+    # a count of one adds nothing
+    return counts.filter("n > 1").select("word", "n").mapInArrow(run, _PARCELS)
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In order of parts and kinds: heads as they are, and what the counts of words add to texts."""
+    current, hashes, logs = None, [], []
+    for batch in batches:
+        rows = []
+        for part, kind, task, number, *data in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != current:
+                current, hashes, logs, known = part, [], [], None
+            if kind == _COUNTS:
+                hashes.append(np.frombuffer(data[0], np.uint64))
+                logs.append(np.frombuffer(data[1], np.float64))
+            elif kind == _HEAD:
+                rows.append((-1, kind, task, number, *data))
+            elif hashes:
+                if known is None:
+                    known, costs = np.concatenate(hashes), np.concatenate(logs)
+                    order = np.argsort(known)
+                    known, costs = known[order], costs[order]
+                asked, texts = np.frombuffer(data[0], np.uint64), np.frombuffer(data[1], np.int32)
+                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                same = known[at] == asked
+                if same.any():
+                    low = int(texts[0])  # texts ascend
+                    sums = np.bincount(texts[same] - low, costs[at[same]])
+                    some = np.flatnonzero(sums)
+                    rows.append(_parcel(part, kind, task, number, (some + low).astype(np.int32), sums[some]))
+        if rows:
+            yield _parcels(rows)
+
+
+_SCORES = "id bigint, n_words bigint, log_likelihood double, per_word double"
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per group its head, then sums in the order of the parts."""
+    head = None
+
+    def scores() -> pa.RecordBatch:
+        ids, n, total = head
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))],
+            [f.split()[0] for f in _SCORES.split(", ")])
+
+    for batch in batches:
+        for kind, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("kind", "a", "b", "c"))):
+            if kind == _HEAD:
+                if head:
+                    yield scores()
+                head = np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), np.frombuffer(c).copy()
+            else:
+                head[2][np.frombuffer(a, np.int32)] += np.frombuffer(b)
+    if head:
+        yield scores()
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_words``, ``log_likelihood`` (the sum over all places, natural logarithms) and
     ``per_word``, its mean; 0 without words."""
 
+    parts = max(PARTS, model.counts.count() // PART_WORDS + 1)
+    symbols, weights = model.symbols, model.weights
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network = Network(model.weights.copy())
-        for batch in groups(batches):
-            line, at, text, cost = places(batch.column("text"), model.symbols)
+        from pyspark import TaskContext
+
+        network, task = Network(weights.copy()), TaskContext.get().partitionId()
+        for number, batch in enumerate(groups(batches)):
+            hashes, tails, firsts = _words(batch.column("text"))
+            line, at, text, cost = _places(hashes, tails, firsts, symbols)
             logs = np.concatenate([np.zeros(0), *(
                 network.logs(line, at[k:k + 4 * BATCH]) for k in range(0, len(at), 4 * BATCH))]) + cost
-            n = np.bincount(text, minlength=batch.num_rows)
+            n = np.bincount(text, minlength=batch.num_rows).astype(np.int64)
             total = np.bincount(text, logs, batch.num_rows).astype(float)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))],
-                ["id", "n_words", "log_likelihood", "per_word"])
-
-    found = id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "id bigint, n_words bigint, log_likelihood double, per_word double")
+            asked = np.flatnonzero(cost)
+            hashes, text = hashes[asked], text[asked].astype(np.int32)
+            rows = [_parcel(part, _ASKED, task, number, hashes[some], text[some])
+                    for part, some in _by_part(hashes, parts)]
+            rows.append(_parcel((task + number) % parts, _HEAD, task, number,
+                                batch.column("id").to_numpy(), n, total))
+            yield _parcels(rows)
+
+    sent = id_and_text(docs, id_col, text_col).mapInArrow(run, _PARCELS)
+    found = _count_parcels(model.counts, parts).unionByName(sent).repartition("part").sortWithinPartitions(
+        "part", "kind").mapInArrow(_answers, _PARCELS)
+    found = found.repartition("task", "number").sortWithinPartitions("task", "number", "part").mapInArrow(
+        _totals, _SCORES)
     return found.select(shown_id("id").alias(id_col), "n_words", "log_likelihood", "per_word")

@@ -117,3 +117,38 @@ def test_counts_cover_every_word(table):
 def test_long_text(table, model):
     row = s.score(docs(table, [(1, "a b c d e " * 60_000)]), model).first()
     assert row.n_words == 300_000 and row.log_likelihood < 0
+
+
+def test_words_of_a_class_have_their_own_terms(table):
+    """Beyond the symbols, a word's count by its class's decides."""
+    rows = [(n, " ".join(f"f{k}" for k in range(s.SYMBOLS))) for n in range(30)]
+    rows += [(n + 30, f"w{n}qz" + " oftenqz" * 7) for n in range(3)]
+    rows += [(None, "w1qz"), (40, "w1qz"), (41, "oftenqz")]
+    model = s.train(docs(table, rows))
+    got = {r.doc_id: r.log_likelihood for r in s.score(docs(table, [*rows, (42, "newqz")]), model).collect()}
+    hashes, tails, _ = s._words(pa.array(["oftenqz w1qz newqz"]))
+    assert len(got) == 37 and len(set(tails)) == 1 and not set(hashes) & set(model.symbols.hashes)
+    assert math.isclose(got[41] - got[42], math.log(22), rel_tol=1e-4)
+    assert math.isclose(got[40] - got[42], math.log(3), rel_tol=1e-4) and math.isclose(got[None], got[40], rel_tol=1e-6)
+
+
+def test_shares_of_a_class_sum_to_one(table):
+    rows = [(n, " ".join(f"w{k}" for k in range(n, 1500))) for n in range(3)]
+    model = s.train(docs(table, rows))
+    hashes, tails, _ = s._words(pa.array([rows[0][1]]))
+    _, cost = model.symbols.of(hashes, tails)
+    n = {r.word: r.n for r in model.counts.collect()}
+    shares = np.zeros(s.TAILS)
+    for h, tail, c in zip(hashes.view(np.int64), tails, cost):
+        shares[tail] += n[int(h)] * math.exp(c) if c else 0
+    shares += np.exp(model.symbols.tail_logs)  # all words that were never counted
+    assert np.allclose(shares, 1)
+
+
+def test_symbols_grow_with_the_distinct_words(spark, table, monkeypatch):
+    monkeypatch.setattr(s, "DISTINCT", 1)
+    rows = [(n, " ".join(f"w{k}" for k in range(1600))) for n in range(2)]
+    model = s.train(docs(table, rows))
+    assert model.symbols.bins == 40 and len(model.weights) == s.n_weights(40) > s.WEIGHTS
+    assert len(model.symbols.hashes) == 40 * s.BIN - s.TAILS
+    assert s.score(docs(table, rows), model).filter("log_likelihood < 0 and n_words = 1600").count() == 2
