@@ -3,10 +3,10 @@
 1. Markup is stripped: scripts, styles, comments, head and forms go whole; so do elements that their
    name or their class, id or role marks as menu, header, footer, sidebar, notice, advert or reader
    comments. Each block that is left is one line.
-2. The text of a line counts unless most of it is link text. Where a page has an article or main
-   element, only text within it counts.
+2. The text of a line counts unless most of it is link text. Where article and main elements hold at
+   least half of what counts on the page, only text within them counts; a teaser beside the text does not.
 3. Over windows of ``WINDOW`` lines the counts are summed. The text surges where a window first holds
-   ``ENOUGH`` characters (one within an article or main element), and dives behind the last window
+   ``ENOUGH`` characters (one, if only such elements count), and dives behind the last window
    that does. All lines between that count are the text; where no window holds enough, all that count.
 
 Marks are whole names or words in them; "with-sidebar" marks nothing, nor does a header named after its
@@ -186,10 +186,11 @@ def main_text(page: str | None) -> str:
         unmarked = lines(page or "", marks=False)
         if sum(len(line.text) for line in unmarked) >= MISTAKEN:
             found = unmarked
-    rooted = any(line.inside for line in found)
-    counts = [
-        0 if (rooted and not line.inside) or 2 * line.linked > len(line.text) else len(line.text)
-        for line in found]
+    counts = [0 if 2 * line.linked > len(line.text) else len(line.text) for line in found]
+    inside = sum(n for line, n in zip(found, counts) if line.inside)
+    rooted = any(line.inside for line in found) and 2 * inside >= sum(counts)
+    if rooted:
+        counts = [n if line.inside else 0 for line, n in zip(found, counts)]
     sums = [0]
     for n in counts:
         sums.append(sums[-1] + n)

@@ -79,3 +79,11 @@ def test_the_given_pages(spark):
         blocks = re.split(r"</?(?:h1|p)>", re.sub(r"</?b>|<br>", " ", article))
         want = [" ".join(unescape(b).split()) for b in blocks]
         assert r.text == "\n".join(w for w in want if w) and r.n_chars == len(r.text)
+
+
+def test_a_teaser_is_not_the_text():
+    body = "".join(f"<p>Paragraph {n} of the text that stands in a plain element.</p>" for n in range(5))
+    want = "\n".join(f"Paragraph {n} of the text that stands in a plain element." for n in range(5))
+    assert want in h.main_text(f"<div>{body}</div><article class=card><p>Read this one next</p></article>")
+    assert want in h.main_text(f"<article class=teaser><h2>Other story</h2></article><div>{body}</div>")
+    assert h.main_text(f"<p>Some words beside the article element<article>{body}</article>") == want
