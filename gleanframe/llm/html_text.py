@@ -4,25 +4,30 @@
    name or their class, id or role marks as menu, header, footer, sidebar, notice, advert or reader
    comments. Each block that is left is one line.
 2. The text of a line counts unless most of it is link text. Where article and main elements hold at
-   least half of what counts on the page, only text within them counts; a teaser beside the text does not.
+   least half of what counts on the page, only text within them counts, linked or not; a teaser beside
+   the text does not.
 3. Over windows of ``WINDOW`` lines the counts are summed. The text surges where a window first holds
    ``ENOUGH`` characters (one, if only such elements count), and dives behind the last window
    that does. All lines between that count are the text; where no window holds enough, all that count.
 
 Marks are whole names or words in them; "with-sidebar" marks nothing, nor does a header named after its
-article. Where nothing is left of a page, but marked elements hold ``MISTAKEN`` characters or more, they
+article, nor the id of a heading. Within an article or main element a name must be made of marks and
+words of layout altogether, as "ad-box" is and "related-work" is not; headings and parts of sentences are
+not marked there, and sections, paragraphs, items and cells not by an id. Where nothing is left of a page, but marked elements hold ``MISTAKEN`` characters or more, they
 were containers, and only element names count.
 
 Character references are decoded once. White space within a line, no-break spaces and line breaks
 included, becomes one space; lines are joined by a newline. Null, empty and text-free pages give an
-empty text. An element that is not closed ends with the page, except that a dropped one ends where the
-first article or main element opens. Rows that repeat get the same text; other columns are not read.
+empty text. An element ends with its end tag or that of one around it, and a paragraph, item, cell, row or
+label where HTML lets the next element end it. What is not closed even so ends with the page, except
+that a dropped one ends where the first article or main element opens. Rows that repeat get the same text; other columns are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,9 +48,9 @@ MISTAKEN = 500
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main "
-    "menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul"
-    .split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+    "menu nav ol optgroup option p pre raw- search section summary table tbody td tfoot th thead title tr ul"
+    .split())  # raw- stands for a script and the like
+VOID = frozenset("area base br col embed hr img input link meta param raw- source track wbr".split())
 # their content is no markup
 RAW = "script|style|textarea|title|template|iframe|noscript|noembed|noframes|svg|math|object|canvas|xmp"
 DROPPED = frozenset("nav footer aside form fieldset button select dialog menu head search label datalist "
@@ -63,11 +68,36 @@ STEMS = re.compile(
     r"^(?:advert|breadcrumb|comment|consent|cookie|disqus|footer|navbar|navigation|newsletter|popup|promo|sidebar|"
     r"social|sponsor|subscri)|(?:banner|comments|footer|menu|navbar|sidebar)$")
 # words that turn a mark into a word about a neighbour, and what may be a title's own header
+LAYOUT = frozenset(
+    "area bar block box btn button buttons container content form group holder inner item items link links "
+    "list panel row section slot unit wrap wrapper left right top bottom main article post page".split())
 BESIDE = frozenset("has have with without no not show hide enable enabled".split())
 HEADERS = frozenset("header masthead topbar".split())
 OWN = frozenset("article post entry story content title page main".split())
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _ROOTS = ("article", "main")
+_HEADS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# within an article: never marked, and not by their id
+_SENTENCE = _HEADS | frozenset("a abbr b cite code em i mark q s small span strong sub sup time u".split())
+_BY_CLASS = _HEADS | frozenset("section p li dt dd td th tr blockquote pre figure figcaption".split())
+# open elements that an opening one ends, unless one of the others was opened behind them
+_SCOPE = frozenset("applet button caption html marquee object table td th".split())
+_TABLE = frozenset(["table"])
+_LISTS = _SCOPE | frozenset("ul ol menu dir dl section article main aside nav blockquote".split())
+_ENDS: dict[str, list[tuple[frozenset[str], frozenset[str]]]] = defaultdict(list)
+for _names in (
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
+        "h1 h2 h3 h4 h5 h6 header hgroup hr li dt dd main menu nav ol p pre search section summary table ul").split():
+    _ENDS[_names].append((frozenset(["p"]), _SCOPE))
+for _names in "p li dt dd td th tr h1 h2 h3 h4 h5 h6".split():
+    _ENDS[_names].append((frozenset(["label"]), _SCOPE - {"td", "th"}))
+for _names, _ended, _within in (
+        ("li", "li", _LISTS), ("dt dd", "dt dd", _LISTS), ("td th", "td th", _TABLE), ("tr", "tr", _TABLE),
+        ("tbody thead tfoot", "tr", _TABLE), ("tbody thead tfoot", "tbody thead tfoot", _TABLE),
+        ("option optgroup", "option", _LISTS), ("optgroup", "optgroup", _LISTS)):
+    for _name in _names.split():
+        _ENDS[_name].append((frozenset(_ended.split()), _within))
+_PARTS = frozenset("caption tbody thead tfoot tr td th".split())
 _RAW = re.compile(rf"<({RAW})\b[^>]*>.*?(?:</\1\s*[^>]*>|\Z)", re.I | re.S)
 _COMMENT = re.compile(r"<!--.*?(?:--!?>|\Z)", re.S)
 _TAG = re.compile(
@@ -83,16 +113,32 @@ class Line(NamedTuple):
     inside: bool  # within an article or main element
 
 
-def _marked(attributes: str, rooted: bool) -> bool:
+def _whole(words: list[str]) -> bool:
+    """Are all of these words marks or words of layout, some of them marks?"""
+    joined = [any(w.endswith(x) and w[:-len(x)] in MARKS for x in LAYOUT) for w in words]
+    return any(j or w in MARKS for w, j in zip(words, joined)) and all(
+        j or w in MARKS or w in LAYOUT for w, j in zip(words, joined))
+
+
+def _marked(element: str, attributes: str, rooted: bool) -> bool:
     """Do class, id or role name a part that is no text? Each name counts for itself."""
+    if rooted and element in _SENTENCE:
+        return False
     for found in _MARK.finditer(attributes):
+        by_id = found[0][:2].lower() == "id"
+        if by_id and element in (_BY_CLASS if rooted else _HEADS):
+            continue
         for name in (found[1] or found[2] or found[3] or "").split():
-            words = set(_NAME.findall(_CASE.sub("-", name).lower()))
+            listed = _NAME.findall(_CASE.sub("-", name).lower())
+            words = set(listed)
             if words & BESIDE:
                 continue
             if words & HEADERS and (rooted or words & OWN):
                 words -= HEADERS
-            if words & MARKS or any(STEMS.search(w) for w in words - OWN):
+            if rooted:
+                if _whole([w for w in listed if w in words]):
+                    return True
+            elif words & MARKS or any(STEMS.search(w) for w in words - OWN):
                 return True
     return False
 
@@ -104,19 +150,72 @@ def _dropped(name: str, attributes: str, rooted: bool, marks: bool) -> bool:
         return not rooted  # an article's own header holds its title
     if not marks or not attributes or name in ("html", "body"):
         return False
-    return bool(_HIDDEN.search(attributes)) or _marked(attributes, rooted)
+    return bool(_HIDDEN.search(attributes)) or _marked(name, attributes, rooted)
+
+
+class _Open:
+    """The open elements, and which of them is dropped with all that it holds."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.roots: list[int] = []  # article and main elements that are not dropped
+        self.cut = -1
+
+    def last(self, names: frozenset[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def push(self, name: str, cut: bool = False) -> None:
+        if cut:
+            self.cut = len(self.names)
+        elif self.cut < 0 and name in _ROOTS:
+            self.roots.append(len(self.names))
+        self.places[name].append(len(self.names))
+        self.names.append(name)
+
+    def shut(self, at: int) -> None:
+        """End that element and all within it."""
+        while len(self.names) > at:
+            self.places[self.names.pop()].pop()
+        while self.roots and self.roots[-1] >= at:
+            self.roots.pop()
+        if self.cut >= at:
+            self.cut = -1
+
+    def opens(self, name: str) -> None:
+        """End what the tag of a new element ends."""
+        for ended, within in _ENDS.get(name, ()):
+            if (at := self.last(ended)) > self.last(within - ended):
+                self.shut(at)
+        if name in _HEADS and self.names and self.names[-1] in _HEADS and name != "hgroup" != self.names[-1]:
+            self.shut(len(self.names) - 1)
+
+    def closes(self, name: str) -> bool:
+        """End what an end tag ends; was that the dropped element itself?"""
+        if name in ("body", "html"):
+            return False
+        cut, at = self.cut, self.last(frozenset([name]))
+        if name in _ROOTS:
+            within = -1
+        else:
+            within = max(self.last(_TABLE if name in _PARTS else frozenset() if name == "table" else _SCOPE),
+                         self.roots[-1] if self.roots else -1)
+        if at >= 0 and at >= within:
+            self.shut(at)
+            return at == cut
+        return False
 
 
 def lines(page: str, marks: bool = True) -> list[Line]:
     """The blocks of a page that are left without markup and dropped elements; without ``marks``,
     elements are dropped by their name alone."""
-    page = _RAW.sub("<p>", _COMMENT.sub("", page)) if "<" in page else page
+    page = _RAW.sub("<raw->", _COMMENT.sub("", page)) if "<" in page else page
     out: list[Line] = []
     parts: list[str] = []
     linked = 0
-    stack: list[str] = []  # open elements within the dropped one, that one first
-    depth = 0  # of article and main elements
-    seen = False  # any of them
+    inside = False  # an article or main element, when the line began
+    open_ = _Open()
+    seen = False  # any article or main element
     in_link = False
 
     def flush() -> None:
@@ -124,13 +223,13 @@ def lines(page: str, marks: bool = True) -> list[Line]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Line(text, linked, depth > 0))
+                out.append(Line(text, linked, inside))
             parts.clear()
         linked = 0
 
     def take(text: str) -> None:
         nonlocal linked
-        if text and not stack:
+        if text and open_.cut < 0:
             parts.append(text)
             if in_link:
                 linked += len(html.unescape(text).strip())
@@ -144,37 +243,37 @@ def lines(page: str, marks: bool = True) -> list[Line]:
             continue
         closing = bool(tag[1] or tag[4])
         attributes = tag[3] or tag[6] or ""
-        if stack:
-            if closing or seen or name not in _ROOTS or _dropped(name, attributes, True, marks):
-                opens = name == "body" and stack[0] == "head"
-            else:
-                opens = True
-            if opens:
-                stack.clear()
-            elif name == stack[0]:
-                if closing:
-                    stack.pop()
-                elif name not in VOID:
-                    stack.append(name)
+        if closing:
+            if name in BLOCKS and open_.cut < 0:
+                flush()
+            if open_.closes(name) or open_.cut >= 0:
                 continue
-            else:
+        else:
+            if name in BLOCKS and open_.cut < 0:
+                flush()
+            open_.opens(name)
+            if open_.cut >= 0 and (
+                    name == "body" and open_.names[open_.cut] == "head"
+                    or name in _ROOTS and not seen and not _dropped(name, attributes, True, marks)):
+                open_.shut(open_.cut)
+            if open_.cut >= 0:
+                if name not in VOID:
+                    open_.push(name)
                 continue
         if name in BLOCKS:
             flush()
         elif name == "br":
             parts.append(" ")
         if closing:
-            if name in _ROOTS:
-                depth = max(0, depth - 1)
             in_link = in_link and name != "a"
-            continue
-        if name not in VOID and _dropped(name, attributes, depth > 0, marks):
-            flush()
-            stack.append(name)
-        elif name in _ROOTS:
-            depth, seen = depth + 1, True
-        elif name == "a":
-            in_link = True
+        elif name not in VOID:
+            cut = _dropped(name, attributes, bool(open_.roots), marks)
+            if cut:
+                flush()
+            open_.push(name, cut)
+            seen = seen or name in _ROOTS and not cut
+            in_link = in_link or name == "a" and not cut
+        inside = bool(open_.roots)
     take(page[at:])
     flush()
     return out
@@ -190,7 +289,7 @@ def main_text(page: str | None) -> str:
     inside = sum(n for line, n in zip(found, counts) if line.inside)
     rooted = any(line.inside for line in found) and 2 * inside >= sum(counts)
     if rooted:
-        counts = [n if line.inside else 0 for line, n in zip(found, counts)]
+        counts = [len(line.text) if line.inside else 0 for line in found]
     sums = [0]
     for n in counts:
         sums.append(sums[-1] + n)

@@ -87,3 +87,28 @@ def test_a_teaser_is_not_the_text():
     assert want in h.main_text(f"<div>{body}</div><article class=card><p>Read this one next</p></article>")
     assert want in h.main_text(f"<article class=teaser><h2>Other story</h2></article><div>{body}</div>")
     assert h.main_text(f"<p>Some words beside the article element<article>{body}</article>") == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>T</h1><p class=notice>Ad<p>Body</p><p>More</p></article>", "T\nBody\nMore"),
+    ("<article><div><span class=hidden hidden>Ad</div><p>Body</p></article><p>No", "Body"),
+    ("<article><ul><li class=share>Share<li>One<li>Two</ul><p>More</article>", "One\nTwo\nMore"),
+    ("<article><table><tr><td class=ad>Ad<td>One<tr><td>Two</table>More</article>", "One\nTwo\nMore"),
+    ("<article><label>Name<p>Body</article>", "Body"),
+    ("<main><article class=comment>Nice</article><p>Body<div class=ads><p>Ad<table><td>x</div>Ad</table></div>More</main>", "Body\nMore"),
+    ("<article><h1><a href=/>Title</a></h1><p>Body<ul><li><a href=1>First reference</a></ul></article>",
+     "Title\nBody\nFirst reference"),
+    ("<article><h2 id=comments>On comments</h2><section id=related><p>Body</section>"
+     "<section class=related-work><p>More</section><div class=social-history>Past</div>"
+     "<ol class=commentlist><li>Nice</ol><div class=ad>Ad</div></article>", "On comments\nBody\nMore\nPast"),
+])
+def test_article_text_is_kept(page, want):
+    assert h.main_text(page) == want
+    assert h.main_text(f"<nav>Menu</nav>{page}<footer>Foot</footer>") == want
+
+
+def test_time_is_linear_with_many_open_elements():
+    for bad in ("<div class=ad><p></x>", "<li><td></div>", "<table><tr><td class=ad>", "<p><b></i>", "<article></div>"):
+        start = time.perf_counter()
+        h.main_text(bad * 20_000)
+        assert time.perf_counter() - start < 5
