@@ -1,8 +1,9 @@
 """WARC records as rows of bounded size.
 
-An archive is a table ``record_id, chunk_no, last, data, running``: the bytes of a record are cut into
-chunks, and each chunk carries the SHA-1 of the payload up to its end. The chunks of a record, one
-behind the other, are the record as WARC 1.1 writes it, and records in any order are an archive. No
+An archive is a table ``record_id, chunk_no, last, data, running, record_key``: the bytes of a record are
+cut into chunks, and each chunk carries the SHA-1 of the payload up to its end. The chunks of a record, one
+behind the other, are the record as WARC 1.1 writes it, and records in any order are an archive. Every
+record has a key of its own, since pages may share an id, or have none, with or without their payload. No
 step holds a copy of a whole record: chunks are cut from the page's own buffer and read one by one
 with a digest that goes on from chunk to chunk.
 
@@ -16,6 +17,7 @@ import base64
 import hashlib
 import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +28,7 @@ from gleanframe.llm.tables import id_column, shown_id
 from gleanframe.session import reach_workers
 
 CHUNK_BYTES = 1 << 18
-SCHEMA = "record_id bigint, chunk_no int, last boolean, data binary, running binary"
+SCHEMA = "record_id bigint, chunk_no int, last boolean, data binary, running binary, record_key string"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -75,14 +77,14 @@ def write(rows: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         whole = hashlib.sha1(payload).digest()
         head = _head(record_id, url, len(payload), whole, refers_to)
         body = payload if refers_to is None else payload[:0]
-        running, number, start = hashlib.sha1(), 0, 0
+        running, number, start, key = hashlib.sha1(), 0, 0, str(uuid.uuid4())
         while True:
             stop = min(len(body), start + max(1, chunk_bytes - (len(head) if not number else 0)))
             part, last = body[start:stop], stop == len(body)
             running.update(part)
             yield (record_id, number, last,
                    (head if not number else b"") + bytes(part) + (b"\r\n\r\n" if last else b""),
-                   running.digest())
+                   running.digest(), key)
             if last:
                 return
             number, start = number + 1, stop
@@ -107,10 +109,10 @@ def write(rows: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
 
 def _chunk_rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.string()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows), types)],
-        ["record_id", "chunk_no", "last", "data", "running"])
+        ["record_id", "chunk_no", "last", "data", "running", "record_key"])
 
 
 class _Reader:
@@ -158,9 +160,9 @@ def _parsed(chunks: DataFrame) -> DataFrame:
         reader, current = _Reader(), None
         for batch in batches:
             rows = []
-            ids, numbers, lasts, datas, states = batch.columns
+            ids, numbers, lasts, datas, states, keys = batch.columns
             for n in range(batch.num_rows):
-                record, number, last = ids[n].as_py(), numbers[n].as_py(), lasts[n].as_py()
+                record, number, last = (ids[n].as_py(), keys[n].as_py()), numbers[n].as_py(), lasts[n].as_py()
                 if number == 0 or record != current:
                     reader, current = _Reader(), record
                 reader.take(datas[n].as_py(), states[n].as_py())
@@ -172,7 +174,17 @@ def _parsed(chunks: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return chunks.select("record_id", "chunk_no", "last", "data", "running").mapInArrow(run, _FIELDS)
+    return chunks.select(
+        "record_id", "chunk_no", "last", "data", "running", "record_key").mapInArrow(run, _FIELDS)
+
+
+def _keyed(archive: DataFrame) -> DataFrame:
+    """An archive of former writers has no keys: there, chunks of one id and number must be the same."""
+    if "record_key" in archive.columns:
+        return archive
+    single = (F.col("chunk_no") == 0) & F.col("last")
+    return archive.filter(single).union(archive.filter(~single).dropDuplicates(
+        ["record_id", "chunk_no"])).withColumn("record_key", F.lit(""))
 
 
 def read(archive: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -181,11 +193,12 @@ def read(archive: DataFrame, id_col: str = "page_id") -> DataFrame:
 
     Records of one chunk, nearly all, are parsed where they lie; the chunks of longer ones are
     brought in order first. A revisit takes the length of the payload from the response it refers to.
-    Chunks of records that repeat an id must be the same.
+    Records that repeat an id are told apart by their keys.
     """
+    archive = _keyed(archive)
     single = (F.col("chunk_no") == 0) & F.col("last")
-    long = archive.filter(~single).dropDuplicates(["record_id", "chunk_no"]).repartition(
-        "record_id").sortWithinPartitions("record_id", "chunk_no")
+    long = archive.filter(~single).repartition("record_id", "record_key").sortWithinPartitions(
+        "record_id", "record_key", "chunk_no")
     rows = _parsed(archive.filter(single)).union(_parsed(long))
     again = rows.filter("record_type = 'revisit'")
     responses = rows.filter("record_type = 'response'")
@@ -215,5 +228,6 @@ def export(archive: DataFrame, folder: str, files: int) -> DataFrame:
         os.replace(out.name, name)
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([size])], ["file", "bytes"])
 
-    ordered = archive.repartition(files, "record_id").sortWithinPartitions("record_id", "chunk_no")
+    ordered = _keyed(archive).repartition(files, "record_id", "record_key").sortWithinPartitions(
+        "record_id", "record_key", "chunk_no")
     return ordered.select("data").mapInArrow(run, "file string, bytes bigint")

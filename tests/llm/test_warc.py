@@ -58,3 +58,16 @@ def test_exported_files_hold_whole_records(table, tmp_path):
 
 def test_no_rows(table):
     assert warc.read(stored(warc.write(warc.records(table([], PAGES))), "archive")).collect() == []
+
+
+def test_long_pages_that_share_an_id(table, tmp_path):
+    other, third = "ü<p>" * 6000, "x" * 9000
+    pages = [(1, "u", LONG, "", ""), (1, "u", LONG, "", ""), (None, "v", LONG, "", ""), (None, "w", other, "", ""),
+             (2, "x", other, "", ""), (2, "y", third, "", ""), (None, "z", "short", "", ""), (None, "z", "short", "", "")]
+    archive = stored(warc.write(warc.records(table(pages, PAGES, 3)), chunk_bytes=700), "archive")
+    got = warc.read(archive).collect()
+    assert all(r.intact for r in got)
+    want = [(i, u, len(h.encode()), {"v": 1, "w": 2}.get(u)) for i, u, h, *_ in pages]
+    assert sorted(((r.page_id, r.url, r.payload_bytes, r.refers_to) for r in got), key=str) == sorted(want, key=str)
+    text = b"".join(open(f.file, "rb").read() for f in warc.export(archive, str(tmp_path), 2).collect())
+    assert text.count(LONG.encode()) == 2 and text.count(third.encode()) == 1 and text.count(other.encode()) == 1
