@@ -9,7 +9,8 @@ chunks with two differences or more), one of 0.9 with 1e-10. Pairs that differ i
 ``MAX_DISTANCE`` values are let go before their sets are compared; a pair of similarity 0.8 does so
 with probability 2e-5.
 
-Texts with equal sets are one representative (their smallest id) from the start. Within the rows of a
+Texts with equal sets are one representative from the start, a number in order of their smallest ids, so
+that texts that share an id, or have none, are told apart; ids come back at the end. Within the rows of a
 key not all pairs are compared, only as many as connected components need:
 
 1. every row with the smallest id of its key;
@@ -28,7 +29,7 @@ in one task; hot keys are combined before shuffles or split by adaptive joins.
 Sets are of shingles of ``words`` words. A-Z count as lower case, words end at the characters 9 to 13
 and 32. A text with fewer words is one shingle; without words, or null, it has an empty set and is
 linked with nothing. A null id sorts behind all others. Rows that repeat id and text are linked like
-any copies. Other columns are not read. No rows give no rows.
+any copies; of different texts of one id that are near copies one is kept. Other columns are not read. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -57,6 +58,11 @@ RARE = 48  # a shingle is frequent when more texts have it
 STARS = 1
 
 
+def text_key(text_col: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
+
+
 def shingles(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all texts, and the first of each text (one more for the end)."""
     data, starts = utf8(column)
@@ -87,7 +93,8 @@ def _sets(column: pa.Array, words: int) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, digest, signature``; the digest tells sets apart, an empty set has neither."""
+    """``id, n_shingles, digest, signature, sha``; the digest tells sets apart, an empty set has neither
+    it nor a signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches):
@@ -107,10 +114,11 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
                 batch.column("id"), pa.array(sizes, pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
                           for s in sets], pa.binary()),
-                pa.array(signed, pa.binary())], ["id", "n_shingles", "digest", "signature"])
+                pa.array(signed, pa.binary()), batch.column("sha")],
+                ["id", "n_shingles", "digest", "signature", "sha"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(
-        run, "id bigint, n_shingles bigint, digest binary, signature binary")
+    return id_and_text(docs, id_col, text_col).withColumn("sha", text_key("text")).mapInArrow(
+        run, "id bigint, n_shingles bigint, digest binary, signature binary, sha binary")
 
 
 def chunk_keys(signed: DataFrame) -> DataFrame:
@@ -244,16 +252,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                     text_col: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` (the smallest id that links lead to, its own
     included) and ``kept`` (whether it is that one)."""
+    return near_rows(docs, words, percent, id_col, text_col).drop("sha")
+
+
+def near_rows(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with the ``text_key`` of each row as ``sha``."""
     signed = stored(signatures(docs, words, id_col, text_col), "signatures")
-    reps = stored(signed.dropna(subset=["digest"]).groupBy("digest").agg(
-        F.min("id").alias("rep"), F.first("signature").alias("signature")), "sets")
+    found = signed.dropna(subset=["digest"]).groupBy("digest").agg(
+        F.min(F.struct("id", "sha")).alias("least"), F.first("signature").alias("signature"))
+    reps = stored(found.select("least.id", "least.sha", "digest", "signature").repartitionByRange(
+        "id", "digest").sortWithinPartitions("id", "digest").withColumn(
+        "rep", F.monotonically_increasing_id()), "sets")
     keys = chunk_keys(reps)
     leads = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
     shared = stored(keys.join(leads.hint("merge"), "key").select("key", "rep", "lead"), "keys")
 
-    members = stored(shared.select(F.col("rep").alias("id")).distinct(), "members")
-    texts = id_and_text(docs, id_col, text_col).join(members.hint("merge"), "id", "left_semi")
-    sets = stored(shingle_sets(texts.dropDuplicates(["id"]), words), "shingles")
+    members = stored(reps.join(shared.select("rep").distinct(), "rep", "left_semi").select(
+        "id", "sha", "rep"), "members")
+    texts = id_and_text(docs, id_col, text_col).withColumn("sha", text_key("text")).join(
+        members.hint("merge"), ["id", "sha"]).dropDuplicates(["id", "sha"])
+    sets = stored(shingle_sets(texts.select(F.col("rep").alias("id"), "text"), words), "shingles")
 
     tested = stored(shared.filter("rep <> lead").select(
         F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
@@ -281,9 +300,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
             labels = components(links)
         tested = tested.union(new)
 
-    named = stored(reps.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")), "components")
+    led = reps.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "digest", "rep", F.coalesce("component", "rep").alias("lead"))
+    leads = reps.select(F.col("rep").alias("lead"), F.col("id").alias("component"))
+    named = stored(led.join(leads, "lead").select(
+        "digest", "component", (F.col("rep") == F.col("lead")).alias("leads")), "components")
     component = F.coalesce("component", "id")
     return signed.join(named, "digest", "left").select(
         shown_id("id").alias(id_col), "n_shingles", shown_id(component).alias("component_id"),
-        (F.col("id") == component).alias("kept"))
+        ((F.col("id") == component) & F.coalesce("leads", F.lit(True))).alias("kept"), "sha")

@@ -92,3 +92,15 @@ def test_texts_that_share_a_line_and_little_else(table, monkeypatch):
     monkeypatch.setattr(n, "confirmed", lambda pairs, *more: tested.append(pairs.count()) or confirmed(pairs, *more))
     assert found(table, rows, 2) == brute(rows, 2, 80)
     assert sum(tested) < 8000
+
+
+def test_texts_that_share_an_id_or_have_none(table):
+    clean, one, two = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(None, clean), (None, one + " end"), (3, one), (5, two), (5, two + " more"), (5, clean + " not alike " + one),
+            (7, two), (7, "all else")]
+    out = n.near_duplicates(table([(*r, "", "") for r in rows], DOCS, 3), 2, 80).collect()
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in out)
+    assert [r for r in got if r[0] in (0, 3)] == [(0, 39, 0, True), (0, 40, 3, False), (3, 39, 3, True)]
+    assert sum(r[3] for r in got if r[0] == 5 and r[1] < 50) == 1 and {r[2] for r in got if r[0] == 5} == {5}
+    assert [r for r in got if r[0] == 7] == [(7, 1, 7, True), (7, 39, 5, False)]
+    assert [r[3] for r in got if r[0] == 5 and r[1] > 50] == [True]

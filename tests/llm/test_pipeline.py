@@ -107,3 +107,11 @@ def test_a_null_id_stays(spark, folder):
     for _, stage in c.STAGES[:-1]:
         docs = c.stored(stage(spark, docs, folder), "stage")
         assert docs.filter("doc_id is null").count() == 1
+
+
+def test_copies_without_an_id_go_and_clean_texts_stay(spark, folder):
+    clean, one = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(None, clean), (None, one + " end"), (3, one), (4, "another " + one), (4, "one more text")]
+    docs = spark.createDataFrame([(*r, None, None, None, None) for r in rows], DOCS)
+    left = c.remove_near_copies(spark, docs, folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (3, one), (4, "one more text")]
