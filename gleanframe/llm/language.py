@@ -5,6 +5,11 @@ n-grams, learns to predict that bit; bits that held-out margins show to be unsur
 gets the language whose codeword has the least weighted exponential loss against its margins, and is
 flagged as ambiguous where the second is about as near.
 
+A text whose least loss is nearer to that of a text that shows nothing, which is 1, than to the largest
+among training texts, each decoded by classifiers that were not fitted on it, is in none of the languages
+(``Model.rejects``). Texts shorter than nearly all that were learnt from are not judged so, as a clean
+short text can look like that, nor are any where such losses come near 1 or there is one language only.
+
 Training sees at most ``sample_rows`` labelled texts, the same number of each language, chosen by a
 hash of their id. That is all that reaches the driver, as one row of ``DIMENSIONS`` counts each.
 Predictions read whole texts and nothing but texts.
@@ -25,11 +30,13 @@ from pyspark.sql.window import Window
 
 from gleanframe.llm.tables import id_and_text, id_column, quoted, shown_id, stored, with_fields
 from gleanframe.llm.texts import groups, utf8
+from gleanframe.session import reach_workers
 
 DIMENSIONS = 1 << 12
 GRAMS = (2, 3, 4)
 RIDGE = 0.05
 UNKNOWN = "und"
+SHORT = 0.05  # of the training texts are shorter than any text that is rejected
 ROWS = 128  # texts whose counts are held at once
 # letters of ASCII and all bytes of other characters stay, the rest is one kind of gap
 _SEEN = np.full(256, 32, np.uint64)
@@ -77,12 +84,23 @@ class Model:
     weights: np.ndarray  # dimension by bit
     trust: np.ndarray  # per bit
     scale: float
+    bound: float = np.inf  # of the least loss of a text in one of the languages
+    judged: float = 0.0  # bytes that a text needs to be rejected
 
     def losses(self, rows: np.ndarray) -> np.ndarray:
         """Weighted loss of each row against each codeword."""
-        margins = np.clip(self.scale * (rows @ self.weights), -8, 8)
+        return self.against(rows @ self.weights)
+
+    def against(self, margins: np.ndarray) -> np.ndarray:
+        margins = np.clip(self.scale * margins, -8, 8)
         return (np.exp(-margins[:, None, :] * self.codes[None]) * self.trust).sum(axis=2)
 
+    def rejects(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Is a text of so many bytes in none of the languages?"""
+        if not np.isfinite(self.bound):
+            return np.zeros(len(rows), bool)
+        return (self.losses(rows).min(axis=1) > self.bound) & (sizes >= self.judged)
+
     def decode(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the nearest language, a score from 0 to 1, and whether it is ambiguous."""
         losses = self.losses(rows)
@@ -94,9 +112,9 @@ class Model:
         return order[:, 0], 1 / shares.sum(axis=1), least[:, 1] < 1.25 * least[:, 0]
 
 
-def fit(rows: np.ndarray, labels: list[str]) -> Model:
+def fit(rows: np.ndarray, labels: list[str], sizes: np.ndarray | None = None) -> Model:
     """Ridge classifiers for all bits, in closed form; margins with each text left out tell how far
-    to trust a bit."""
+    to trust a bit, and what loss a text of these languages can have."""
     languages = sorted(set(labels))
     codes = codewords(len(languages))
     number = {x: n for n, x in enumerate(languages)}
@@ -110,8 +128,14 @@ def fit(rows: np.ndarray, labels: list[str]) -> Model:
     left_out = wanted - alpha / np.diag(inverse)[:, None]
     wrong = np.clip((left_out * wanted < 0).mean(axis=0), 0.01, 0.49)
     trust = np.log((1 - wrong) / wrong)
-    return Model(languages, codes, rows.T @ alpha.astype(np.float32), trust / trust.sum(),
-                 float(2 / max(1e-6, np.abs(left_out).mean())))
+    model = Model(languages, codes, rows.T @ alpha.astype(np.float32), trust / trust.sum(),
+                  float(2 / max(1e-6, np.abs(left_out).mean())))
+    most = max(model.against(left_out[k:k + 16]).min(axis=1).max() for k in range(0, len(rows), 16))
+    if most < 1:
+        model.bound = (1 + most) / 2
+    if sizes is not None:
+        model.judged = float(np.quantile(sizes, SHORT))
+    return model
 
 
 def learnable(id_col: str = "doc_id") -> Column:
@@ -142,19 +166,23 @@ def train(docs: DataFrame, sample_rows: int = 1200, id_col: str = "doc_id", text
         for batch in _slices(batches):
             counts = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
-                batch.column("id"), batch.column("lang"),
-                pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "lang", "counts"])
+                batch.column("id"), batch.column("lang"), _sizes(batch.column("text")),
+                pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "lang", "size", "counts"])
 
-    found = texts.mapInArrow(run, "id bigint, lang string, counts binary").limit(2 * sample_rows).toArrow()
+    found = texts.mapInArrow(run, "id bigint, lang string, size bigint, counts binary").limit(2 * sample_rows).toArrow()
     found = found.sort_by([("id", "ascending"), ("lang", "ascending")])
     if not found.num_rows:
         return None
     counts = np.empty((found.num_rows, DIMENSIONS), np.float32)
     for n, row in enumerate(found.column("counts")):
         counts[n] = np.frombuffer(row.as_buffer(), np.float32)
-    labels = found.column("lang").to_pylist()
+    labels, sizes = found.column("lang").to_pylist(), found.column("size").to_numpy()
     del found
-    return fit(counts, labels)
+    return fit(counts, labels, sizes)
+
+
+def _sizes(column: pa.Array) -> pa.Array:
+    return pc.binary_length(column).cast(pa.int64())
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -163,6 +191,25 @@ def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator
             yield batch.slice(start, ROWS)
 
 
+def _letters(column: pa.Array) -> np.ndarray:
+    return pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False)
+
+
+def with_language(rows: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows whose text holds a letter and is not rejected by the model, if there is one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, text_col):
+            column = pc.fill_null(batch.column(text_col), "")
+            keep = _letters(column)
+            if model is not None and np.isfinite(model.bound):
+                keep = keep & ~model.rejects(features(column), _sizes(column).to_numpy())
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    reach_workers(rows.sparkSession)
+    return rows.mapInArrow(run, rows.schema)
+
+
 def identify_rows(rows: DataFrame, model: Model | None, text_col: str = "text",
                   names: tuple[str, str, str] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
     """The rows with a language, its score and whether it is ambiguous; columns of the same names are
@@ -173,7 +220,7 @@ def identify_rows(rows: DataFrame, model: Model | None, text_col: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, text_col):
             column = pc.fill_null(batch.column(text_col), "")
-            letters = pc.match_substring_regex(column, r"\p{L}").to_numpy(zero_copy_only=False)
+            letters = _letters(column)
             n = batch.num_rows
             best, score, unsure = np.zeros(n, int), np.zeros(n), np.zeros(n, bool)
             if model is not None:

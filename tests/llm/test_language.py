@@ -86,3 +86,12 @@ def test_accuracy_on_the_documents(spark):
     got = out.join(docs_, "doc_id").filter("lang is not null").selectExpr(
         "avg(cast(lang = lang_pred as int)) as share", "count(*) as n").first()
     assert got.n > 100 and got.share > 0.98
+
+
+def test_texts_in_no_language_are_rejected(table):
+    data = rows(5, 400)
+    model = la.train(docs(table, data))
+    strange = [(1000, "qwx zkj vvqh jxz kwq zzx qjk wvx hqz " * 4, None), (1001, "съешь ещё этих мягких булок " * 4, None)]
+    short = [(1002, "qx zk", None), (1003, "the", None), (1004, "1 2", None), (1005, None, None)]
+    kept = {r.doc_id for r in la.with_language(docs(table, data + strange + short), model).collect()}
+    assert kept == {k for k, *_ in data} | {1002, 1003}

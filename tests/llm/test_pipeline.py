@@ -115,3 +115,12 @@ def test_copies_without_an_id_go_and_clean_texts_stay(spark, folder):
     docs = spark.createDataFrame([(*r, None, None, None, None) for r in rows], DOCS)
     left = c.remove_near_copies(spark, docs, folder).collect()
     assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (3, one), (4, "one more text")]
+
+
+def test_the_classifier_decides_and_its_lack_deletes_nothing(spark, folder):
+    rows = [(k, t, lang, "s", 1, None) for k, t, lang in test_language.rows(5, 400)]
+    junk = [(1000, "qwx zkj vvqh jxz kwq zzx qjk wvx hqz " * 4, None, "s", 1, None)]
+    left = c.identify_language(spark, spark.createDataFrame(rows + junk, DOCS), folder)
+    assert {r.doc_id for r in left.collect()} == {r[0] for r in rows}
+    unlabelled = [(*r[:2], None, *r[3:]) for r in rows[:20]] + [(2000, "12 !?", None, "s", 1, None)]
+    assert c.identify_language(spark, spark.createDataFrame(unlabelled, DOCS), folder).count() == 20
