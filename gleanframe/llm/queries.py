@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanframe.llm import (
-    decontaminate, exact_dedup, html_text, language, near_dedup, pieces, scoring, substrings, url_filter,
-    warc)
+    decontaminate, exact_dedup, html_text, language, merkle, near_dedup, pieces, quality, scoring, substrings,
+    url_filter, warc)
 from gleanframe.llm.tables import stored
 
 
@@ -184,12 +184,139 @@ select doc_id, n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_
 from d left join kept using (doc_id)
 """
 
+# CRC-32 of the decimal digits of a number, which this SQL has no function for.
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split(({})::varchar, ''), lambda x: ord(x)::bigint),
+  lambda c, b: list_reduce(range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(c, b)), 4294967295))"""
+
+
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text, list_filter(regexp_split_to_array(
+           coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+t as (select doc_id, unnest(w) as word, unnest(range(len(w))) as p from d),
+h as (
+  select doc_id, p, word, ('0x' || substr(md5(word), 1, 8))::bigint as h,
+         lead(('0x' || substr(md5(word), 1, 8))::bigint) over (partition by doc_id order by p) as h2,
+         lead(word) over (partition by doc_id order by p) as w2,
+         lead(word, 2) over (partition by doc_id order by p) as w3
+  from t),
+grams as (
+  select doc_id, h % 65536 as bucket from h
+  union all
+  select doc_id, 65536 + (h * 1000003 + h2) % 4294967291 % 65536 from h where h2 is not null),
+twice as (
+  select doc_id, unnest([p, p + 1, p + 2]) as p
+  from (select *, count(*) over (partition by doc_id, word, w2, w3) as n from h where w3 is not null)
+  where n > 1),
+repeats as (select doc_id, count(distinct p) as n from twice group by doc_id),
+lines as (
+  select doc_id, count(*) - count(distinct line) as n
+  from (select doc_id, unnest(string_split(text, chr(10))) as line from d)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+base as (
+  select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+         coalesce(lines.n, 0) as n_dup_lines, coalesce(repeats.n, 0) as n_repeat_words,
+         len(w) < 50 or 100 * coalesce(repeats.n, 0) > 50 * len(w) as base_failed
+  from d left join lines using (doc_id) left join repeats using (doc_id)),
+per_id as (
+  select doc_id, min(quality) > 0 and coalesce(max(toxic), 0) = 0 as trusted, max(quality) <= 0 as rejected,
+         CRC % 2 = 0 as half
+  from labels where doc_id is not null and quality is not null group by doc_id),
+counts as (
+  select bucket, count(*) as r, count(*) filter (trusted and half) as t
+  from grams left join per_id using (doc_id) group by bucket),
+weights as (
+  select bucket, floor(ln((t + 20) / (r * (sum(t) over () / sum(r) over ()) + 20)) * 65536 + 0.5)::bigint as w
+  from counts),
+sums as (
+  select doc_id, sum(w)::bigint as total, count(*) as n from grams join weights using (bucket) group by doc_id),
+steps as (
+  select floor(total / (n * 64.0))::bigint as step, count(*) filter (trusted) as t, count(*) filter (rejected) as r
+  from sums join base using (doc_id) join per_id using (doc_id)
+  where not base_failed and (rejected or trusted and not half) group by 1),
+costs as (
+  select step, lag(step) over (order by step) as before,
+         10 * (sum(t) over (order by step) - t) * sum(r) over ()
+           + (sum(r) over () - sum(r) over (order by step) + r) * sum(t) over () as cost
+  from steps),
+least as (select floor((step + coalesce(before, step) + 1) / 2.0) as least from costs order by cost, step limit 1)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(total / n / 65536, 0) as score,
+       not base_failed and coalesce(floor(total / (n * 64.0)) >= (select least from least), true) as kept
+from base left join sums using (doc_id)
+""".replace("CRC", _CRC.format("doc_id"))
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+OP12_SQL = r"""
+with recursive d as (
+  select doc_id, source, LEAF as leaf, case when CRC % 2 = 0 then PLAIN else LEAF end as tampered from documents),
+numbered as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i,
+         count(*) over (partition by source) as n
+  from d),
+-- each level holds the nodes of every source; a source that has come down to one stays as it is
+levels as (
+  select source, 0 as level, i, leaf as digest, n from numbered
+  union all
+  select source, level + 1, run, sha256(string_agg(digest, '' order by i)), (max(n) + 2) // 3
+  from (select *, i // 3 as run from levels where n > 1) group by source, level, run),
+subroots as (
+  select source, digest as subroot, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n
+  from levels where n = 1),
+tops as (
+  select 0 as level, i, subroot as digest, n from subroots
+  union all
+  select level + 1, run, sha256(string_agg(digest, '' order by i)), (max(n) + 2) // 3
+  from (select *, i // 3 as run from tops where n > 1) group by level, run),
+walk as (
+  select doc_id, source, leaf, i, 0 as level, '' as proof, tampered as node from numbered
+  union all
+  select w.doc_id, any_value(w.source), any_value(w.leaf), any_value(w.i) // 3, any_value(w.level) + 1,
+         any_value(w.proof) || coalesce(string_agg(l.digest, '' order by l.i) filter (l.i <> w.i), ''),
+         sha256(string_agg(case when l.i = w.i then w.node else l.digest end, '' order by l.i))
+  from walk w join levels l on l.source is not distinct from w.source and l.level = w.level
+    and l.i // 3 = w.i // 3 and l.n > 1
+  group by w.doc_id),
+below as (
+  select doc_id, source, leaf, proof, node from walk
+  qualify level = max(level) over (partition by doc_id)),
+climb as (
+  select doc_id, leaf, subroot, proof, node, s.i, 0 as level
+  from below b join subroots s on b.source is not distinct from s.source
+  union all
+  select c.doc_id, any_value(c.leaf), any_value(c.subroot),
+         any_value(c.proof) || coalesce(string_agg(t.digest, '' order by t.i) filter (t.i <> c.i), ''),
+         sha256(string_agg(case when t.i = c.i then c.node else t.digest end, '' order by t.i)),
+         any_value(c.i) // 3, any_value(c.level) + 1
+  from climb c join tops t on t.level = c.level and t.i // 3 = c.i // 3 and t.n > 1
+  group by c.doc_id),
+last as (select * from climb qualify level = max(level) over (partition by doc_id))
+select doc_id, leaf, subroot, digest as root, sha256(proof) as proof_sha256, node as folded_root,
+       node = digest as verified
+from last, tops where tops.n = 1
+""".replace("LEAF", _LEAF).replace("PLAIN", _LEAF.replace("text::varchar", "replace(text, chr(10), '')")).replace(
+    "CRC", _CRC.format("doc_id"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op6_lm_score,
         op7_html_text,
-        op8_decontaminate, op9_url_filter, op10_substring_dedup)}
+        op8_decontaminate, op9_url_filter, op10_substring_dedup, op11_quality_rules,
+        op12_merkle_manifest)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op2_near_dedup": OP2_SQL, "op3_warc": OP3_SQL,
-    "op9_url_filter": OP9_SQL, "op10_substring_dedup": OP10_SQL}
+    "op9_url_filter": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_quality_rules": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL}
