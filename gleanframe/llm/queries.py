@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gleanframe.llm import (
     decontaminate, exact_dedup, html_text, language, merkle, near_dedup, pieces, quality, scoring, substrings,
-    url_filter, warc)
+    trie, url_filter, warc)
 from gleanframe.llm.tables import stored
 
 
@@ -309,14 +309,56 @@ from last, tops where tops.n = 1
 """.replace("LEAF", _LEAF).replace("PLAIN", _LEAF.replace("text::varchar", "replace(text, chr(10), '')")).replace(
     "CRC", _CRC.format("doc_id"))
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first) - 1 as p
+  from conversations where conv_id is not null),
+turns as (
+  select conv_id, p, sha256(strlen(role)::varchar || ':' || role || text) as id,
+         len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words
+  from t),
+convs as (select conv_id, conv_id - conv_id % 20 as base, CRC % 4 as h from (select distinct conv_id from t)),
+seqs as (
+  select c.conv_id, b.p, b.id, b.words from convs c join turns b on b.conv_id = c.base and b.p < c.h
+  union all
+  select c.conv_id, o.p, o.id, o.words from convs c join turns o on o.conv_id = c.conv_id and o.p >= c.h),
+placed as (select *, row_number() over (partition by conv_id order by p) as depth from seqs),
+members as (
+  select conv_id, depth, words, string_agg(id, '') over (partition by conv_id order by depth) as key from placed
+  union all
+  select conv_id, 0, 0, '' from convs),
+sizes as (select conv_id, max(depth) as size from members group by conv_id),
+nodes as (
+  select key, any_value(depth) as depth, min(m.conv_id) as conv_id, count(*) as n, any_value(words) as words,
+         coalesce(string_agg(m.conv_id::varchar, ',' order by m.conv_id) filter (depth = size), '') as ends
+  from members m join sizes using (conv_id) group by key),
+children as (
+  select substr(key, 1, length(key) - 64) as key, count(*) as n from nodes where depth > 0 group by 1),
+marked as (
+  select nodes.*, coalesce(children.n, 0) as n_children, (nodes.n - 1) * words as saved
+  from nodes left join children using (key)),
+under as (select substr(key, 1, 64 * unnest(range(depth + 1))) as key, saved, n_children from marked),
+sums as (
+  select key, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens from under group by key)
+select m.conv_id, m.depth::bigint as depth, a.conv_id as parent_conv_id, m.n as n_convs, m.n_children, n_leaves,
+       saved_tokens, sha256(m.ends) as ends_sha256
+from marked m join sums using (key)
+  left join marked a on m.depth > 0 and a.key = substr(m.key, 1, length(m.key) - 64)
+""".replace("CRC", _CRC.format("conv_id"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_exact_dedup, op2_near_dedup, op3_warc, op4_language_id, op5_sentencepiece, op6_lm_score,
         op7_html_text,
         op8_decontaminate, op9_url_filter, op10_substring_dedup, op11_quality_rules,
-        op12_merkle_manifest)}
+        op12_merkle_manifest, op13_conversation_trie)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL, "op2_near_dedup": OP2_SQL, "op3_warc": OP3_SQL,
     "op9_url_filter": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_quality_rules": OP11_SQL,
-    "op12_merkle_manifest": OP12_SQL}
+    "op12_merkle_manifest": OP12_SQL, "op13_conversation_trie": OP13_SQL}
