@@ -18,9 +18,10 @@ from fixtures.oracles import ORACLES  # noqa: E402
 from gleanframe.functions import urls  # noqa: E402
 from gleanframe.functions.html import Step  # noqa: E402
 from gleanframe.operators import details as d  # noqa: E402
-from gleanframe.operators import fetchlog, frontier, listing, pages, paging, records  # noqa: E402
+from gleanframe.operators import fetchlog, frontier, listing, pages, paging, records, strict  # noqa: E402
 from gleanframe.operators.columns import with_once  # noqa: E402
 from gleanframe.plans import flows  # noqa: E402
+from gleanframe.plans.counters import RunCounters  # noqa: E402
 from gleanframe.schemas import DETAIL_16  # noqa: E402
 from gleanframe.session import scratch_path  # noqa: E402
 from gleanframe.sources import csv_table, payloads  # noqa: E402
@@ -60,6 +61,15 @@ class Inputs:
     def log(self) -> DataFrame:
         return r.fetch_log(self.spark, self.sf_dir)
 
+    def strict_payloads(self) -> DataFrame:
+        return r.strict_payloads(self.spark, self.sf_dir)
+
+    def broken_pages(self) -> DataFrame:
+        return r.broken_pages(self.spark, self.sf_dir)
+
+    def broken_reads(self) -> DataFrame:
+        return r.broken_reads(self.spark, self.sf_dir)
+
     # ---- shared steps
 
     def parsed(self) -> DataFrame:
@@ -321,6 +331,48 @@ def merge_records(i: Inputs) -> DataFrame:
     return records.merge_records(i.record_16(), d.detail_record_16(i.arrived(), keep=("fetched",)))
 
 
+# ---- what breaks off, and what a run did
+
+def best_of_n_partial(i: Inputs) -> DataFrame:
+    return flows.partial_reads(i.broken_reads())
+
+
+def partial_rejects(i: Inputs) -> DataFrame:
+    return flows.partial_read_rejects(i.broken_reads())
+
+
+def json_defaults_strict(i: Inputs) -> DataFrame:
+    return strict.json_defaults_strict(i.strict_payloads()).select(
+        "page_num", F.size("adverts").cast("bigint").alias("n_adverts"),
+        F.to_json("total_pages").alias("total_pages"), "next_url")
+
+
+def listing_record_raw(i: Inputs) -> DataFrame:
+    adverts = strict.adverts_strict(strict.json_defaults_strict(i.strict_payloads()))
+    return strict.as_json(strict.listing_record_raw(adverts).select(
+        "page_num", _long("pos"), "title", "rent_per_period", "rent_period", "bedrooms"))
+
+
+def strict_rejects(i: Inputs) -> DataFrame:
+    return strict.strict_rejects(i.strict_payloads()).withColumn("pos", _long("pos"))
+
+
+def detail_rejects(i: Inputs) -> DataFrame:
+    return d.detail_rejects(d.detail_audit(i.broken_pages())).drop("message")
+
+
+def detail_accepted(i: Inputs) -> DataFrame:
+    return d.detail_accepted(d.detail_audit(i.broken_pages()))
+
+
+def flow_counters(i: Inputs) -> DataFrame:
+    """What a run of the rent flow counted while its table was written."""
+    counters = RunCounters()
+    rows = flows.rent_listing_flow(i.payloads(), i.arrived(), r.SITE, r.STAT_PHRASE, counters)
+    csv_table.sink_csv_overwrite(rows, scratch_path(i.spark, "rent"), rows.columns)
+    return counters.table(i.spark)
+
+
 # ---- fetch log
 
 def status_histogram(i: Inputs) -> DataFrame:
@@ -488,7 +540,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         dedup_keep_first, dedup_keep_first_text, dedup_dropped_report, status_histogram,
         page_yield, required_field_audit, required_field_totals, failure_report, failure_totals,
         best_of_n_complete, retry_schedule, retry_schedule_exception, frontier_ordered,
-        union_records, merge_records,
+        union_records, merge_records, best_of_n_partial, partial_rejects, json_defaults_strict,
+        listing_record_raw, strict_rejects, detail_rejects, detail_accepted, flow_counters,
         page_number, next_page_url, page_plan, page_gap_report, next_pointer_closure,
         rent_listing_flow, sale_listing_flow, account_flow, account_links, account_texts, link_flow,
         stream_extract, stream_dedup, stream_status_counts, stream_retry_state,

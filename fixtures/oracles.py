@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fixtures import render as r
+from gleanframe.operators.records import READ_ORDER
 from gleanframe.schemas import DETAIL_16
 
 _READABLE = "page_num % 50 not in (7, 9)"
@@ -180,6 +181,34 @@ _FIRST_READ = ("p_partkey % 4 <> 0 and p_partkey % 11 <> 3 and p_partkey % 41 <>
 _SALE = _UNION.replace("p_name || ' & more' as title",
                        f"p_name || case when {_FIRST_READ} then ' & more' else ' & changed' end as title")
 
+
+# ---- partial reads, strict responses, rejects, counters
+
+_SECOND_READ = "p_partkey % 16 = 15 and p_partkey % 11 <> 3 and p_partkey % 41 <> 6 and p_partkey % 43 <> 8"
+_READS = f"""{_DETAIL_16}, keyed as (
+  select *, cast(regexp_extract(property_url, '([0-9]+)$', 1) as bigint) as p_partkey from detail_16),
+reads as (
+  select *, seller_or_agent_name as seller_2, case when p_partkey % 4 <> 0 then seller_or_agent_name end as seller_1,
+    {_FIRST_READ} and p_partkey % 5 <> 0 as first_done, {_SECOND_READ} as second_done
+  from keyed)"""
+
+
+def _read_value(place: int, field: str) -> str:
+    first = {"seller_or_agent_name": "seller_1"}.get(field, field)
+    second = {"title": "replace(title, '& more', '& changed')"}.get(field, field)
+    return (f"case when first_done or not second_done and p_partkey % 16 <= {place} and p_partkey % 16 <> 15 "
+            f"then {first} else {second} end as {field}")
+
+
+_REACHED = "(first_done or p_partkey % 5 <> 0 or p_partkey % 16 = 15)"
+_STRICT_READ = f"""strict as (select *, {r.PAGE} as page_num, {r.POS} as pos from part),
+answered as (select page_num, count(*) as n from strict group by 1)"""
+_STRICT_GOOD = "page_num % 20 not in (3, 5, 6, 7, 9, 10, 13)"
+_AT = "'$.adverts_list.adverts[' || cast(pos as varchar) || ']'"
+_BROKEN = """case when p_partkey % 13 in (2, 3) then 'no_page' when p_partkey % 13 = 1 then 'not_html'
+  when p_partkey % 6 = 0 then 'missing_element' end"""
+
+
 ORACLES: dict[str, str] = {
     "src_listing_payloads": f"with {_RESPONSES} select page_num, body from responses",
     "src_listing_files": f"with {_RESPONSES} select page_num, body || chr(10) as body from responses",
@@ -353,5 +382,51 @@ select page as page_id, 'about' || case when {r.NO_LINKS} then '' else repeat('|
                     "qualify row_number() over (partition by user_id order by ts, event_id) = 1",
     "stream_status_counts": "select event_type as status, count(*) as responses from events group by 1",
     "stream_retry_state": _RETRY,
+    "best_of_n_partial": f"with {_READS} select property_url, case when first_done then 1 when second_done then 2 "
+                         f"else 3 end as attempt, {', '.join(_read_value(k, f) for k, f in enumerate(READ_ORDER))}, "
+                         f"first_done or second_done as complete from reads where {_REACHED}",
+    "partial_rejects": f"with {_READS} select property_url, 3::bigint as reads, "
+                       f"({READ_ORDER}::varchar[])[greatest(3, p_partkey % 16) + 1] as failed_field "
+                       f"from reads where not {_REACHED}",
+    "json_defaults_strict": f"""with {_STRICT_READ}
+select page_num, case when page_num % 20 = 4 then 0 else n end as n_adverts,
+  case page_num % 20 when 4 then '1' when 8 then '1' when 12 then '"12"' else '99' end as total_pages,
+  case when page_num % 20 not in (4, 11) then 'n/' || cast(page_num as varchar) end as next_url
+from answered where {_STRICT_GOOD}""",
+    "listing_record_raw": f"""with {_STRICT_READ}
+select page_num, pos, '"' || p_brand || '"' as title,
+  case when p_partkey % 23 = 3 then 'null' when p_partkey % 23 = 0 then null
+    when p_partkey % 2 = 0 then p_size::varchar else '"' || p_size::varchar || '"' end as rent_per_period,
+  case when p_partkey % 23 not in (0, 3) then '"per month"' end as rent_period,
+  case when p_partkey % 29 <> 0 then p_size::varchar end as bedrooms
+from strict where {_STRICT_GOOD} and page_num % 20 <> 4 and p_partkey % 37 <> 5
+  and p_partkey % 29 not in (1, 2, 3, 4) and p_partkey % 23 not in (1, 2)""",
+    "strict_rejects": f"""with {_STRICT_READ}
+select page_num, null::bigint as pos, case page_num % 20 when 3 then '$.adverts_list' when 13 then '$.adverts_list'
+    when 7 then '$.adverts_list.total_pages' when 9 then '$' else '$.adverts_list.adverts' end as path,
+  case page_num % 20 when 6 then 'wrong_type' when 13 then 'wrong_type' when 9 then 'malformed' else 'null_value' end as reason
+from answered where page_num % 20 in (3, 5, 6, 7, 9, 13)
+union all
+select page_num, pos, {_AT} || case when p_partkey % 37 = 5 then '' when p_partkey % 29 in (1, 2) then '.attrs'
+    when p_partkey % 29 = 3 then '.attrs[1].value' when p_partkey % 29 = 4 then '.attrs[0]' else '.price_obj' end,
+  case when p_partkey % 37 = 5 then 'wrong_type' when p_partkey % 29 = 1 then 'null_value'
+    when p_partkey % 29 = 3 then 'missing_key' when p_partkey % 29 in (2, 4) then 'wrong_type'
+    when p_partkey % 23 = 1 then 'null_value' else 'wrong_type' end
+from strict where {_STRICT_GOOD} and page_num % 20 <> 4
+  and (p_partkey % 37 = 5 or p_partkey % 29 in (1, 2, 3, 4) or p_partkey % 23 in (1, 2))""",
+    "detail_rejects": f"with {_PAGED} select url, {_BROKEN} as error_kind, case when {_BROKEN} = 'missing_element' "
+                      f"then 'b-advert-attributes-wrapper' else 'html' end as error_field from paged where {_BROKEN} is not null",
+    "detail_accepted": f"with {_READS} select {_16} from reads where {_BROKEN} is null",
+    "flow_counters": f"""with {_RECORD_14}, {_READ}, urls as (
+  select {r.PAGE} as page_num, count({r.KEY}) as n_urls from part group by 1)
+select 'responses' as counter, count(*) as value from listing
+union all select 'requests', sum(case when n_adverts > 0 then n_urls else 0 end
+  + case when next_url is not null and page_num < total_pages then 1 else 0 end)::bigint from listing join urls using (page_num)
+union all select 'items', count(*) from record_14
+union all select 'items_lacking_fields', count(*) from record_14 where title = '' or rent_per_period is null
+union all select 'missing_title', count(*) from record_14 where title = ''
+union all select 'missing_price', count(*) from record_14 where rent_per_period is null
+union all select 'missing_region', count(*) from record_14 where region is null
+union all select 'duplicates', count(ukey) - count(distinct ukey) from record_14""",
 }
 ORACLES["rent_listing_flow"] = ORACLES["enrich_listing_with_detail"]

@@ -93,6 +93,36 @@ def listing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_num", F.expr(BODY).alias("body"))
 
 
+# ---- listing responses with nulls and values of other types ---------------------------------
+
+STRICT_PRICE = """(case p_partkey % 23 when 0 then '' when 1 then ',"price_obj":null' when 2 then ',"price_obj":"free"'
+ when 3 then ',"price_obj":{"value":null}' else ',"price_obj":{"value":' || (case when p_partkey % 2 = 0
+ then cast(p_size as string) else '"' || cast(p_size as string) || '"' end) || ',"period":"per month"}' end)"""
+STRICT_ATTRS = """(case p_partkey % 29 when 0 then '' when 1 then ',"attrs":null' when 2 then ',"attrs":{}'
+ when 3 then ',"attrs":[{"name":"Bedrooms","value":1},{"name":"Bathrooms"}]' when 4 then ',"attrs":[7]'
+ else ',"attrs":[{"name":"Bedrooms","value":0},{"name":"Bedrooms","value":' || cast(p_size as string) || '}]' end)"""
+STRICT_ADVERT = f"""(case when p_partkey % 37 = 5 then '5'
+ else '{{"title":"' || p_brand || '"' || {STRICT_PRICE} || {STRICT_ATTRS} || '}}' end)"""
+STRICT_BODY = """(case page_num % 20 when 3 then '{"adverts_list":null}' when 4 then '{"adverts_list":{}}'
+ when 5 then '{"adverts_list":{"adverts":null}}' when 6 then '{"adverts_list":{"adverts":"none"}}'
+ when 9 then '{"adverts_list":{' || 'cut}' when 10 then 'Service unavailable' when 13 then '{"adverts_list":[]}'
+ else '<pre>{"adverts_list":{"adverts":[' || adverts || ']' || (case page_num % 20 when 7 then ',"total_pages":null'
+  when 8 then '' when 12 then ',"total_pages":"12"' else ',"total_pages":99' end) || '}'
+  || (case when page_num % 20 = 11 then ',"next_url":null' else ',"next_url":"n/' || cast(page_num as string) || '"' end)
+  || '}</pre>' end)"""
+
+
+def strict_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_num, body: responses in which keys are missing, null or of another type. A response holds 20 adverts at
+    most."""
+    adverts = table(spark, sf_dir, "part").select(
+        F.expr(PAGE).alias("page_num"), F.expr(POS).alias("pos"), F.expr(STRICT_ADVERT).alias("advert"))
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "advert")))
+    return adverts.groupBy("page_num").agg(
+        F.array_join(F.transform(in_order, lambda x: x["advert"]), ",").alias("adverts")).select(
+        "page_num", F.expr(STRICT_BODY).alias("body"))
+
+
 # ---- detail pages ---------------------------------------------------------------------------
 
 HAS_PAGE = "(p_partkey % 31 <> 5)"
@@ -197,6 +227,25 @@ def arrived_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "url", "fetched", F.when(F.col("fetched") == 2, cut).otherwise(F.col("html")).alias("html"))
 
 
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, html: the detail pages; some are no page at all, some are cut off before their attributes."""
+    pages = detail_pages(spark, sf_dir).withColumn("n", F.regexp_extract("url", r"(\d+)$", 1).cast("bigint"))
+    cut = F.substring_index("html", '<div class="b-advert-attributes-wrapper">', 1)
+    html = F.when(F.col("n") % 13 == 1, "Service unavailable").when(F.col("n") % 13 == 2, F.lit(None)).when(
+        F.col("n") % 13 == 3, "  \n").when(F.expr("n % 6 = 0"), cut).otherwise(F.col("html"))
+    return pages.select("url", html.alias("html"))
+
+
+def broken_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """url, attempt, html, failed_at: the reads of detail_reads, of which some broke off between two fields. The first
+    breaks off after three on every fifth page, the second after as many as the key tells, the third at once."""
+    reads = detail_reads(spark, sf_dir).withColumn("n", F.regexp_extract("url", r"(\d+)$", 1).cast("bigint"))
+    first = F.when(F.col("n") % 5 == 0, 3)
+    second = F.when(F.col("n") % 16 != 15, F.col("n") % 16)
+    failed = F.when(F.col("attempt") == 1, first).when(F.col("attempt") == 2, second).otherwise(0)
+    return reads.select("url", "attempt", "html", failed.cast("int").alias("failed_at"))
+
+
 # An account listing holds twenty links a page; every fifth page holds none, some links come twice, and
 # attribute values are written in all forms that HTML has.
 ACCOUNT_PAGE = "(cast(floor(p_partkey / 20.0) as bigint) + 1)"

@@ -176,15 +176,13 @@ def icon_classify(pages: DataFrame) -> DataFrame:
 
 # ---- records --------------------------------------------------------------------------------
 
-def detail_record_16(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The canonical record of a detail page; ``keep`` names further page columns to carry."""
-    fields = [TITLE, REGION, FIRST_ICON, ICONS, ALL_TILES, PRICE, PRICE_PARTS, SELLER, SECOND_STAT]
-    walked = walk_pages(pages, fields, ("url", *keep)).withColumns({
-        "location": t.strip(t.before_last(t.first(F.col("region_nodes")), ",")),
-        "icons": t.strip_all(F.col("icon_nodes")),
-    })
+_RECORD_FIELDS = [TITLE, REGION, FIRST_ICON, ICONS, ALL_TILES, PRICE, PRICE_PARTS, SELLER, SECOND_STAT]
+
+
+def _record_columns() -> dict[str, Column]:
+    """The columns of the record of a walked page with ``location`` and ``icons``."""
     icons, tiles, location = F.col("icons"), F.col("tiles"), F.col("location")
-    values = {
+    return {
         "title": _stripped_first("title_nodes"),
         "location": location,
         "type": _stripped_first("first_icon_nodes"),
@@ -203,9 +201,67 @@ def detail_record_16(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "time_on_site": _stripped_first("second_stat_nodes"),
         "property_url": F.col("url"),
     }
+
+
+def _with_record_parts(walked: DataFrame) -> DataFrame:
+    return walked.withColumns({
+        "location": t.strip(t.before_last(t.first(F.col("region_nodes")), ",")),
+        "icons": t.strip_all(F.col("icon_nodes")),
+    })
+
+
+def detail_record_16(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The canonical record of a detail page; ``keep`` names further page columns to carry."""
+    walked = _with_record_parts(walk_pages(pages, _RECORD_FIELDS, ("url", *keep)))
+    values = _record_columns()
     return walked.select(*keep, *[values[c].alias(c) for c in schemas.DETAIL_16])
 
 
+# The element that a detail page is waited for (fixed value); a page without it gives no record.
+AWAITED = "b-advert-attributes-wrapper"
+_AWAITED = Field("awaited", "attr", ((Step("div", AWAITED),),), "class")
+
+
+def detail_audit(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every detail page, walked once: its record, and where it has none the ``error_kind``, the
+    ``error_field`` it is about and a ``message``.
+
+    no_page          nothing is stored for the URL, or blanks
+    not_html         a text without any element
+    missing_element  the awaited element is not there, as on a page that was cut off before it
+    unreadable       the walk broke off, with its message
+    """
+    html = F.col("html")
+    looked = pages.select(
+        "url", *keep, "html",
+        F.when(t.strip(F.coalesce(html, F.lit(""))) == "", "no_page").when(
+            ~html.rlike("<[a-zA-Z]"), "not_html").alias("_kind"),
+        F.coalesce(F.length("html"), F.lit(0)).alias("_size"))
+    walked = _with_record_parts(walk_pages(
+        looked, [*_RECORD_FIELDS, _AWAITED], ("url", *keep, "_kind", "_size"), error="_error"))
+    kind = F.coalesce("_kind", F.when(F.col("_error").isNotNull(), "unreadable"),
+                      F.when(F.size("awaited") == 0, "missing_element"))
+    message = F.when(kind == "no_page", "nothing stored").when(
+        kind == "not_html", F.concat(F.lit("no element in "), F.col("_size").cast("string"), F.lit(" characters"))).when(
+        kind == "unreadable", F.col("_error")).when(
+        kind == "missing_element", F.concat(F.lit(f"no {AWAITED} in "), F.col("_size").cast("string"), F.lit(" characters")))
+    field = F.when(kind == "missing_element", AWAITED).when(kind.isNotNull(), "html")
+    values = _record_columns()
+    return walked.select(*keep, *[values[c].alias(c) for c in schemas.DETAIL_16], kind.alias("error_kind"),
+                         field.alias("error_field"), message.alias("message"))
+
+
+def detail_accepted(audited: DataFrame) -> DataFrame:
+    """The records of the pages that have one."""
+    return audited.filter("error_kind is null").drop("error_kind", "error_field", "message")
+
+
+def detail_rejects(audited: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The other pages, with what was wrong."""
+    return audited.filter("error_kind is not null").select(
+        F.col("property_url").alias("url"), *keep, "error_kind", "error_field", "message")
+
+
 def detail_fields_8(pages: DataFrame, stat_phrase: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The detail-only columns of the enriched record. ``stat_phrase`` marks the seller statistic
     that tells the time on the site; ``keep`` names further page columns to carry."""

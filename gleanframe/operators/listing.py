@@ -70,10 +70,14 @@ def non_empty_listing(listing: DataFrame) -> DataFrame:
 def page_yield(listing: DataFrame, page: str = "page_num") -> DataFrame:
     """What a response gives: its records (``items``), and the requests that follow from it: one per
     advert with a URL, and the next page where there is a pointer to one within the page limit."""
+    return listing.select(page, F.size("adverts").cast("bigint").alias("items"), requests_of(page).alias("requests"))
+
+
+def requests_of(page: str = "page_num") -> Column:
+    """Requests that follow from a response."""
     detail = F.size(F.filter("adverts", lambda a: a["url"].isNotNull()))
     following = F.col("next_url").isNotNull() & (F.col(page) < F.col("total_pages"))
-    return listing.select(page, F.size("adverts").cast("bigint").alias("items"), (
-        detail + F.when(following, 1).otherwise(0)).cast("bigint").alias("requests"))
+    return (detail + F.when(following, 1).otherwise(0)).cast("bigint")
 
 
 def listing_explode(listing: DataFrame) -> DataFrame:

@@ -56,17 +56,28 @@ def _may_match(html: Column, fields: list[H.Field]) -> Column | None:
     return reduce(lambda a, b: a | b, [*chains, encoded])
 
 
+def _walked_page(walk: H.PageWalk, page: str | None) -> tuple[dict, str | None]:
+    """What a page holds, and why it could not be read, if so."""
+    try:
+        return walk(page), None
+    except Exception as error:  # a page that breaks the walk is reported, and the others go on
+        return walk(None), f"{type(error).__name__}: {error}"
+
+
 def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str] = ("url",),
-               html: str = "html", slice_rows: int = 64) -> DataFrame:
+               html: str = "html", slice_rows: int = 64, error: str | None = None) -> DataFrame:
     """Collect the fields of every page. No shuffle; the page text does not leave the pass. Pages
-    that cannot hold any of the fields are not sent to it; they give empty lists."""
+    that cannot hold any of the fields are not sent to it; they give empty lists. ``error`` names a column
+    for the message of a page that could not be read, whose lists are empty; without it such a page ends
+    the job."""
     fields, keep = list(fields), list(keep)
     may_match = _may_match(F.col(html), fields)
     text = F.col(html) if may_match is None else F.when(may_match, F.col(html))
     source = pages.select(*keep, text.alias(html))
     schema = T.StructType(
         [source.schema[c] for c in keep]
-        + [T.StructField(f.name, _KINDS[f.kind][0]) for f in fields])
+        + [T.StructField(f.name, _KINDS[f.kind][0]) for f in fields]
+        + ([T.StructField(error, T.StringType())] if error else []))
     arrow = {f.name: _KINDS[f.kind][1] for f in fields}
     walk = H.PageWalk(fields)
 
@@ -74,11 +85,16 @@ def walk_pages(pages: DataFrame, fields: Iterable[H.Field], keep: Iterable[str]
         for batch in batches:
             for start in range(0, batch.num_rows, slice_rows):
                 piece = batch.slice(start, slice_rows)
-                found = [walk(page) for page in piece.column(html).to_pylist()]
+                texts = piece.column(html).to_pylist()
+                found = [_walked_page(walk, page) if error else (walk(page), None) for page in texts]
                 columns = [piece.column(c) for c in keep]
-                columns += [pa.array([row[n] for row in found], type=kind)
+                columns += [pa.array([row[n] for row, _ in found], type=kind)
                             for n, kind in arrow.items()]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *arrow])
+                names = [*keep, *arrow]
+                if error:
+                    columns.append(pa.array([why for _, why in found], type=pa.string()))
+                    names.append(error)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return source.mapInArrow(run, schema)
 

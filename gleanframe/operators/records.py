@@ -56,6 +56,13 @@ def _first_page(detail: DataFrame, key: str, values: list[str], arrival: tuple[s
     return detail.groupBy(key).agg(F.min(F.struct(*order, *values)).alias("_detail"))
 
 
+def first_listed(listing: DataFrame, site: str) -> DataFrame:
+    """The first listing record of each absolute URL (``url``)."""
+    return dedup_keep_first(
+        listing.withColumn("url", urls.prefix(site, F.col("property_url")))
+        .filter(F.col("url").isNotNull()), "url")
+
+
 def enrich_listing_with_detail(listing: DataFrame, detail: DataFrame, site: str,
                                arrival: tuple[str, ...] = ("fetched",)) -> DataFrame:
     """Listing records completed by the eight columns of their detail page (22 columns).
@@ -65,9 +72,11 @@ def enrich_listing_with_detail(listing: DataFrame, detail: DataFrame, site: str,
     Both sides are aggregated by the absolute URL; the join finds them partitioned by it already.
     A listing whose page never arrived gives no row.
     """
-    first = dedup_keep_first(
-        listing.withColumn("url", urls.prefix(site, F.col("property_url")))
-        .filter(F.col("url").isNotNull()), "url")
+    return with_detail(first_listed(listing, site), detail, arrival)
+
+
+def with_detail(first: DataFrame, detail: DataFrame, arrival: tuple[str, ...] = ("fetched",)) -> DataFrame:
+    """First listing records (first_listed) with their first detail pages."""
     page = _first_page(detail, "url", list(schemas.DETAIL_8), arrival)
     return first.join(page, "url").select(
         *schemas.LISTING_14, *[F.col("_detail")[c].alias(c) for c in schemas.DETAIL_8])
@@ -136,6 +145,57 @@ def best_of_n_complete(snapshots: DataFrame, key: list[str], complete: Column, n
         F.col("_first").isNotNull().alias("complete"))
 
 
+# The values of a read in the order in which they are taken from the page (fixed values); the URL is known
+# before.
+READ_ORDER = [
+    "title", "location", "type", "property_address", "estate_name", "bedrooms", "bathrooms", "toilets",
+    "property_size", "condition", "furnishing", "price_rent", "price_with_period", "seller_or_agent_name",
+    "time_on_site"]
+
+
+def best_of_n_partial(snapshots: DataFrame, key: list[str], complete: Column, fields: list[str], n: int = 3,
+                      attempt: str = "attempt", failed_at: str = "failed_at") -> DataFrame:
+    """The first complete read of a page among its first n; else what is left after all of them, with
+    complete = false.
+
+    A read takes its ``fields`` in order. One that breaks off has taken the first ``failed_at`` of them
+    (null: it came to its end): these hold its values, the others those of the read before. So each field
+    has the value of the last read that got to it, null included. A page of which some field was never
+    reached gives no row (see partial_rejects). A read that broke off is never complete.
+
+    One aggregate with a running greatest value per field; the reads of a page are not gathered.
+    """
+    return _partial_reads(snapshots, key, complete, fields, n, attempt, failed_at).filter(
+        F.col("failed_field").isNull()).drop("failed_field", "reads")
+
+
+def partial_rejects(snapshots: DataFrame, key: list[str], complete: Column, fields: list[str], n: int = 3,
+                    attempt: str = "attempt", failed_at: str = "failed_at") -> DataFrame:
+    """The pages that give no record: the first field that none of the ``reads`` got to."""
+    return _partial_reads(snapshots, key, complete, fields, n, attempt, failed_at).select(
+        *key, "failed_field", "reads").filter(F.col("failed_field").isNotNull())
+
+
+def _partial_reads(snapshots: DataFrame, key: list[str], complete: Column, fields: list[str], n: int, attempt: str,
+                   failed_at: str) -> DataFrame:
+    ended = F.col(failed_at).isNull()
+    done = F.coalesce(complete, F.lit(False)) & ended
+    taken = {f: F.max(F.when(ended | (F.col(failed_at) > place), F.struct(attempt, f))).alias(f"_{f}")
+             for place, f in enumerate(fields)}
+    read = (
+        snapshots.filter(F.col(attempt) <= n)
+        .groupBy(*key)
+        .agg(F.min(F.when(done, F.struct(attempt, *fields))).alias("_first"), F.max(attempt).alias("_last"),
+             F.count("*").alias("reads"), *taken.values())
+    )
+    found = F.col("_first").isNotNull()
+    return read.select(
+        *key, F.when(found, F.col("_first")[attempt]).otherwise(F.col("_last")).alias(attempt),
+        *[F.when(found, F.col("_first")[f]).otherwise(F.col(f"_{f}")[f]).alias(f) for f in fields],
+        found.alias("complete"), "reads",
+        F.when(~found, F.coalesce(*[F.when(F.col(f"_{f}").isNull(), F.lit(f)) for f in fields])).alias("failed_field"))
+
+
 # The four fields a detail snapshot must have to count as complete (fixed values).
 CRITICAL = ["seller_or_agent_name", "time_on_site", "condition", "furnishing"]
 

@@ -10,23 +10,31 @@ from gleanframe.functions.html import Step
 from gleanframe.functions.text import part
 from gleanframe.operators import details, frontier, listing, pages, records
 from gleanframe.operators.columns import with_once
+from gleanframe.plans.counters import RunCounters
 
 
-def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str,
-                      stat_phrase: str) -> DataFrame:
-    """JSON listing and its detail pages -> enriched records, one per URL (22 columns)."""
-    adverts = listing.listing_explode(listing.parse_listing(payloads))
-    return records.enrich_listing_with_detail(
-        listing.listing_record_14(adverts),
+def rent_listing_flow(payloads: DataFrame, detail_pages: DataFrame, site: str, stat_phrase: str,
+                      counters: RunCounters | None = None) -> DataFrame:
+    """JSON listing and its detail pages -> enriched records, one per URL (22 columns). ``counters`` are told
+    what passes while the flow runs."""
+    parsed = listing.parse_listing(payloads)
+    found = listing.listing_record_14(listing.listing_explode(counters.responses(parsed) if counters else parsed))
+    first = records.first_listed(counters.items(found) if counters else found, site)
+    return records.with_detail(
+        counters.kept(first) if counters else first,
         details.detail_fields_8(detail_pages, stat_phrase,
-                                keep=("fetched",) if "fetched" in detail_pages.columns else ()), site)
+                                keep=("fetched",) if "fetched" in detail_pages.columns else ()))
 
 
 def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str, n: int = 3) -> DataFrame:
     """Browsed listing and up to n snapshots per detail page -> one feed of the canonical 16
     columns. ``snapshots`` has url, attempt, html; a read that failed has no html: it counts as an
-    attempt but yields nothing."""
+    attempt but yields nothing. With a column ``failed_at``, reads that broke off between two fields count
+    for the fields before (best_of_n_partial)."""
     adverts = listing.listing_explode(listing.parse_listing(payloads))
+    if "failed_at" in snapshots.columns:
+        best = partial_reads(snapshots, n).drop("attempt", "complete")
+        return records.union_records(listing.listing_record_16(adverts, site), best)
     # filtered here as well, since Spark cannot move a filter below the page walk
     usable = snapshots.filter((F.col("attempt") <= n) & F.col("html").isNotNull())
     best = records.best_of_n_complete(
@@ -35,6 +43,25 @@ def sale_listing_flow(payloads: DataFrame, snapshots: DataFrame, site: str, n: i
     return records.union_records(listing.listing_record_16(adverts, site), best)
 
 
+def _tried_reads(snapshots: DataFrame, n: int) -> DataFrame:
+    tried = snapshots.filter(F.col("attempt") <= n).withColumn(
+        "failed_at", F.when(F.col("html").isNull(), 0).otherwise(F.col("failed_at")))
+    return details.detail_record_16(tried, keep=("attempt", "failed_at"))
+
+
+def partial_reads(snapshots: DataFrame, n: int = 3) -> DataFrame:
+    """Reads of detail pages (url, attempt, html, failed_at) -> one record per page, from all reads that got
+    anywhere. A read without html got nowhere."""
+    return records.best_of_n_partial(
+        _tried_reads(snapshots, n), ["property_url"], records.critical_fields_present(), records.READ_ORDER, n)
+
+
+def partial_read_rejects(snapshots: DataFrame, n: int = 3) -> DataFrame:
+    """The pages that no read got through, with the first field that none reached."""
+    return records.partial_rejects(
+        _tried_reads(snapshots, n), ["property_url"], records.critical_fields_present(), records.READ_ORDER, n)
+
+
 def link_flow(listing_pages: DataFrame, seen: DataFrame, chain: tuple[Step, ...],
               domains: list[str]) -> DataFrame:
     """Listing pages (page_id, url, html) -> the links to request next: those the chain of steps
