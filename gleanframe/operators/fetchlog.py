@@ -78,23 +78,6 @@ def retry_schedule_exception(failures: DataFrame, **options) -> DataFrame:
     return retry_schedule(failures, mode="exception", **options)
 
 
-def continue_schedule(failures: DataFrame, counters: DataFrame, key: str = "url",
-                      order: tuple[str, ...] = ("ts", "event_id"),
-                      max_retries: int = MAX_RETRIES, cap: int = DELAY_CAP_SECONDS) -> DataFrame:
-    """The same schedule when ``counters`` (key, failed) already holds earlier failures per URL.
-
-    The counters meet the counts of the new failures, not the failures themselves.
-    """
-    ranked = exact_rank(failures.select(key, *order), [key], list(order), "attempt",
-                        counters.select(key, F.col("failed").alias("before")))
-    return ranked.withColumns(_schedule(F.col("attempt"), F.lit(0), max_retries, cap, "response"))
-
-
-def count_failures(failures: DataFrame, key: str = "url") -> DataFrame:
-    """Failures per URL."""
-    return failures.groupBy(key).agg(F.count("*").alias("failed"))
-
-
-def add_counters(counters: DataFrame, key: str = "url") -> DataFrame:
-    """Counters of several times as one per URL."""
-    return counters.groupBy(key).agg(F.sum("failed").cast("bigint").alias("failed"))
+def scheduled(numbered: DataFrame, max_retries: int = MAX_RETRIES, cap: int = DELAY_CAP_SECONDS) -> DataFrame:
+    """The same schedule where the failures have their numbers already (``attempt``)."""
+    return numbered.withColumns(_schedule(F.col("attempt"), F.lit(0), max_retries, cap, "response"))

@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from gleanframe.operators import fetchlog
+from gleanframe.session import reach_workers
+from gleanframe.streaming import state
 
 
 def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -37,54 +40,38 @@ def stream_extract(rows: DataFrame, folder: str, trigger: dict | None = None) ->
 
 
 def stream_dedup(log: DataFrame, folder: str, key: str = "url", ts: str = "ts", tie: str = "event_id",
-                 delay: str = "1 day", compact_every: int = 20, trigger: dict | None = None) -> StreamingQuery:
+                 delay: str = "1 day", trigger: dict | None = None) -> StreamingQuery:
     """The first row per key, by (ts, tie) within a batch and by arrival over batches; a key that
     returns later than ``delay`` behind the watermark is passed on again, and rows behind the
     watermark are left out. The watermark stands ``delay`` behind the newest row of the batches before.
 
-    A batch is brought down to one row per key by an aggregate, which a frequent key combines in
-    every task. The keys passed on are a table per batch, read until all of it is behind the watermark;
-    every ``compact_every`` batches those that still count become one table. Outputs are named by the
-    batch, so a batch that runs again replaces its own.
+    The state store holds a time per key until the watermark has passed it by ``delay``. The rows of a key in
+    one batch go through one task, of which it keeps one; how many there are is up to the stream's source
+    (``max_files``). Outputs are named by the batch, so a batch that runs again replaces its own.
     """
-    schema = T.StructType([log.schema[key], log.schema[ts], T.StructField("newest", log.schema[ts].dataType),
-                           T.StructField("is_mark", T.BooleanType())])
-    span = F.expr(f"interval {delay}")
-
-    def pass_on(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        store = Folder(spark, f"{folder}/passed")
-        base, deltas = counter_tables(store.names(), batch_id)
-        tables = [f"{folder}/passed/{name}" for name in (*base, *deltas)]
-        passed = spark.read.schema(schema).parquet(*tables) if tables else spark.createDataFrame([], schema)
-        newest = passed.agg(F.max("newest")).scalar()
-        watermark = newest - span
-        live = passed.filter(~F.col("is_mark") & (F.col(ts) + span > watermark)).select(F.col(key).alias("_passed"))
-        rest = [c for c in batch.columns if c not in (key, ts, tie)]
-        batch = batch.persist()
-        try:
-            first = batch.filter(watermark.isNull() | (F.col(ts) >= watermark)).groupBy(key).agg(
-                F.min(F.struct(ts, tie, *rest)).alias("_first"))
-            new = first.join(live.distinct(), F.col(key).eqNullSafe(F.col("_passed")), "left_anti").select(
-                *[key if c == key else F.col("_first")[c].alias(c) for c in batch.columns])
-            new.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
-            seen = spark.read.schema(log.schema).parquet(f"{folder}/out/batch={batch_id}")
-            greatest = F.greatest(batch.agg(F.max(ts)).scalar(), newest)
-            # a mark keeps the newest time of batches that pass nothing on
-            mark = spark.range(1).select(F.lit(None).cast(log.schema[key].dataType).alias(key),
-                                         greatest.alias(ts), greatest.alias("newest"), F.lit(True).alias("is_mark"))
-            seen.select(key, ts, greatest.alias("newest"), F.lit(False).alias("is_mark")).unionByName(mark).write.mode(
-                "overwrite").parquet(f"{folder}/passed/batch-{batch_id}")
-        finally:
-            batch.unpersist()
-        if len(deltas) + 1 >= compact_every:
-            both = spark.read.schema(schema).parquet(*tables, f"{folder}/passed/batch-{batch_id}")
-            last = both.agg(F.max("newest")).scalar()
-            both.filter(F.col(ts) + span > last - span).write.mode("overwrite").parquet(
-                f"{folder}/passed/sum-{batch_id}")
-            store.forget(base)
-
-    return _writer(log, folder, trigger).outputMode("append").foreachBatch(pass_on).start()
+    reach_workers(log.sparkSession)
+    delay_ms = _milliseconds(log.sparkSession, delay)
+    # Spark's watermark starts at 1970, and a row at the watermark is late; so times are moved up, and it
+    # stands a millisecond lower
+    moved = F.unix_millis(ts) + state.EPOCH_MS
+    first = log.withColumns({"_ms": moved, "_at": F.timestamp_millis(moved)}).withWatermark("_at", f"{delay_ms + 1} milliseconds").groupBy(
+        key).applyInPandasWithState(
+        state.first_of_key(log.columns, ts, tie, delay_ms), log.schema, "at long", "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return _by_batch(first, folder, trigger)
+
+
+def _milliseconds(spark: SparkSession, delay: str) -> int:
+    at = F.timestamp_seconds(F.lit(0))
+    return int(spark.range(1).select(F.unix_millis(at + F.expr(f"interval {delay}"))).first()[0])
+
+
+def _by_batch(rows: DataFrame, folder: str, trigger: dict | None) -> StreamingQuery:
+    """Write each batch to a table of its own below ``out``; one that runs again replaces it."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    return _writer(rows, folder, trigger).outputMode("append").foreachBatch(write).start()
 
 
 def stream_status_counts(log: DataFrame, folder: str, status: str = "status",
@@ -99,72 +86,19 @@ def stream_status_counts(log: DataFrame, folder: str, status: str = "status",
     return _writer(totals, folder, trigger).outputMode("complete").foreachBatch(replace).start()
 
 
-def stream_retry_state(failures: DataFrame, folder: str, key_type: T.DataType = T.LongType(),
-                       max_retries: int = fetchlog.MAX_RETRIES, compact_every: int = 20,
+def stream_retry_state(failures: DataFrame, folder: str, max_retries: int = fetchlog.MAX_RETRIES,
                        trigger: dict | None = None) -> StreamingQuery:
-    """Retry schedule over a stream of failures (url, ts, event_id), with one counter per URL
-    kept between batches.
+    """Retry schedule over a stream of failures (url, ts, event_id), with one counter per URL in the state
+    store.
 
-    A batch is scheduled by the batch job. It writes the number of its own failures per URL, and reads
-    those numbers of the URLs in it from the batches before; every ``compact_every`` batches they are
-    added up into one table and the summed ones deleted. Both outputs are named by the batch, so a
-    batch that is run again replaces its own output and starts from the batches before it.
+    The failures of a URL in one batch are numbered in one task, from where the batch before ended; how many come
+    in one batch is up to the stream's source (``max_files``). Counters are kept for good, as a URL may fail
+    again at any time. Outputs are named by the batch, so a batch that runs again replaces its own.
     """
-    schema = T.StructType([T.StructField("url", key_type), T.StructField("failed", T.LongType())])
-
-    def schedule(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        store = Folder(spark, f"{folder}/counters")
-        base, deltas = counter_tables(store.names(), batch_id)
-        tables = [f"{folder}/counters/{name}" for name in (*base, *deltas)]
-        counters = spark.read.schema(schema).parquet(*tables) if tables else spark.createDataFrame([], schema)
-        batch = batch.persist()
-        try:
-            asked = batch.select(F.col("url").alias("_asked")).distinct()
-            known = counters.join(asked, F.col("url").eqNullSafe(F.col("_asked")), "left_semi")
-            fetchlog.continue_schedule(
-                batch, fetchlog.add_counters(known), max_retries=max_retries
-            ).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
-            fetchlog.count_failures(batch).write.mode("overwrite").parquet(
-                f"{folder}/counters/batch-{batch_id}")
-        finally:
-            batch.unpersist()
-        if len(deltas) + 1 >= compact_every:
-            both = spark.read.schema(schema).parquet(*tables, f"{folder}/counters/batch-{batch_id}")
-            fetchlog.add_counters(both).write.mode("overwrite").parquet(f"{folder}/counters/sum-{batch_id}")
-            store.forget(base)
-
-    return _writer(failures, folder, trigger).outputMode("append").foreachBatch(schedule).start()
-
-
-def counter_tables(names: list[str], batch_id: int) -> tuple[list[str], list[str]]:
-    """Of the tables ``sum-n`` and ``batch-n``, those that hold each batch before ``batch_id`` once: the
-    last sum and the batches behind it."""
-    number = {name: int(name.split("-")[1]) for name in names}
-    sums = sorted((n, name) for name, n in number.items() if name.startswith("sum-") and n < batch_id)
-    last = sums[-1][0] if sums else -1
-    deltas = [name for name, n in number.items() if name.startswith("batch-") and last < n < batch_id]
-    return [sums[-1][1]] if sums else [], sorted(deltas, key=number.get)
-
-
-class Folder:
-    """The tables in a folder of the shared file system."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        self._new = spark._jvm.org.apache.hadoop.fs.Path
-        self._system = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def names(self) -> list[str]:
-        """Names of the tables that are complete."""
-        if not self._system.exists(self._path):
-            return []
-        found = [f.getPath() for f in self._system.listStatus(self._path)]
-        return [p.getName() for p in found if self._system.exists(self._new(p, "_SUCCESS"))]
-
-    def forget(self, base: list[str]) -> None:
-        """Delete what went into the last sum but one, of which ``base`` is the name; the tables behind
-        it stay for a batch that runs again."""
-        for name in self.names() if base else []:
-            if int(name.split("-")[1]) < int(base[0].split("-")[1]):
-                self._system.delete(self._new(self._path, name), True)
+    reach_workers(failures.sparkSession)
+    order = ["ts", "event_id"]
+    rows = failures.select("url", *order)
+    schema = T.StructType([*rows.schema.fields, T.StructField("attempt", T.LongType())])
+    numbered = rows.groupBy("url").applyInPandasWithState(
+        state.numbered_failures("url", order), schema, "failed long", "append", GroupStateTimeout.NoTimeout)
+    return _by_batch(fetchlog.scheduled(numbered, max_retries), folder, trigger)

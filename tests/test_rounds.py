@@ -118,31 +118,35 @@ def batches(spark, log, folder, n, start):
         start(jobs.read_parquet_stream(spark, source, log.schema), folder).awaitTermination()
 
 
-def test_retry_state_over_many_batches_reads_sums(spark, log):
+def test_retry_state_over_many_batches(spark, log):
     log, folder = log.filter("event_id < 3000"), scratch_path(spark, "retry")
     assert log.filter("url is null").count() > 5
-    batches(spark, log, folder, 9, lambda s, f: jobs.stream_retry_state(s, f, compact_every=3))
+    batches(spark, log, folder, 9, jobs.stream_retry_state)
     want = fetchlog.retry_schedule(log)
     got = spark.read.parquet(f"{folder}/out").select(*want.columns)
     assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
-    names = jobs.Folder(spark, f"{folder}/counters").names()
-    assert len(names) <= 8 and any(n.startswith("sum-") for n in names)
-    last = max((n for n in names if n.startswith("batch-")), key=lambda n: int(n.split("-")[1]))
-    rows = spark.read.parquet(f"{folder}/counters/{last}").count()
-    assert rows == log.filter("unix_seconds(ts) * 9 >= 8000").select("url").distinct().count()
 
 
 def test_a_stream_passes_on_the_first_row_of_each_key(spark, log):
     log, folder = log.filter("event_id < 3000"), scratch_path(spark, "dedup")
-    batches(spark, log, folder, 5, lambda s, f: jobs.stream_dedup(s, f, delay="1 hour", compact_every=2))
+    batches(spark, log, folder, 5, lambda s, f: jobs.stream_dedup(s, f, delay="1 hour"))
     got = {r.url: r.event_id for r in spark.read.parquet(f"{folder}/out").collect()}
     first = log.groupBy("url").agg(F.min(F.struct("ts", "event_id")).alias("first")).collect()
     assert got == {r.url: r["first"].event_id for r in first}
     assert spark.read.parquet(f"{folder}/out").count() == len(got)
 
 
-def test_a_dedup_batch_that_runs_again_gives_the_same(spark):
-    names = ["batch-0", "batch-1", "sum-1", "batch-2", "batch-3", "sum-3"]
-    assert jobs.counter_tables(names, 3) == (["sum-1"], ["batch-2"])
-    assert jobs.counter_tables(names, 4) == (["sum-3"], [])
-    assert jobs.counter_tables(names, 1) == ([], ["batch-0"])
+def test_rows_behind_the_watermark_and_keys_that_return(spark):
+    """Batches of (url, minute): the watermark stands ten minutes behind the newest row of those before."""
+    folder, source = scratch_path(spark, "dedup"), scratch_path(spark, "source")
+    landed = [[("a", 100), ("b", 100)], [("a", 105), ("late", 80), ("c", 95)], [("a", 130)], [("a", 131), ("b", 121)],
+              [("late", 119), ("late", 125)]]
+    for rows in landed:
+        df = spark.createDataFrame(rows, "url string, minute long").coalesce(1).select(
+            "url", F.timestamp_seconds(F.col("minute") * 60).alias("ts"), F.col("minute").alias("event_id"))
+        df.write.mode("append").parquet(source)
+        stream = jobs.read_parquet_stream(spark, source, df.schema)
+        jobs.stream_dedup(stream, folder, delay="10 minutes").awaitTermination()
+    got = sorted((r.url, r.event_id) for r in spark.read.parquet(f"{folder}/out").collect())
+    # at 130 a is still known, since the watermark stands at 95; then it stands at 120, and a and b are forgotten
+    assert got == [("a", 100), ("a", 131), ("b", 100), ("b", 121), ("c", 95), ("late", 125)]

@@ -1,5 +1,7 @@
 """Streams that take several batches and a restart."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,13 +74,19 @@ def test_dedup_forgets_a_url_behind_the_watermark(spark, log):
 
 
 def test_a_batch_that_runs_again_replaces_its_output(spark, log):
+    """A run that is lost after its output was written, before it was noted, is done again from the state before."""
     source, folder = scratch_path(spark, "source"), scratch_path(spark, "retry")
-    land(log, source, 0)
-    failures = spark.read.parquet(source).filter("status = 'error'").select("url", "ts", "event_id")
-    empty = spark.createDataFrame([], "url long, failed long")
-    for _ in range(2):
-        fetchlog.continue_schedule(failures, empty).write.mode("overwrite").parquet(f"{folder}/out/batch=0")
-    assert spark.read.parquet(f"{folder}/out").count() == failures.count()
+    for number in range(2):
+        land(log, source, number)
+        stream = jobs.read_parquet_stream(spark, source, log.schema).filter("status = 'error'")
+        jobs.stream_retry_state(stream.select("url", "ts", "event_id"), folder).awaitTermination()
+    for name in ("1", ".1.crc"):
+        os.remove(f"{folder}/progress/commits/{name}")
+    stream = jobs.read_parquet_stream(spark, source, log.schema).filter("status = 'error'")
+    jobs.stream_retry_state(stream.select("url", "ts", "event_id"), folder).awaitTermination()
+    want = fetchlog.retry_schedule(spark.read.parquet(source).filter("status = 'error'").select("url", "ts", "event_id"))
+    got = spark.read.parquet(f"{folder}/out").select(*want.columns)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
 
 
 def test_page_walk_runs_on_a_stream(spark):
