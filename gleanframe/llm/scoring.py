@@ -13,36 +13,40 @@ predicts bin and symbol in turn, so that a prediction touches its bin and the li
 
 Counts cover all words of all documents, combined in every task, and stay a table. Words of classes meet
 their counts there: tasks send the words of a group of texts to the parts of the table, which send back
-sums per text. Training goes over every place of every document: in each of ``rounds`` passes every
-task starts from the same weights, trains on its share of that pass's documents (dealt by a hash of their
-id), and the weights are averaged by the words seen, first among groups of tasks. The driver gets no more
+sums per text. Training goes over every place of every document. Their symbols are stored once, in stretches, and
+dealt to shards by a hash of what they hold; how many shards there are follows from the number of words. In each of
+``rounds`` passes every shard starts from the same weights, trains on its stretches of that pass in a fixed order, and
+the weights are averaged by the words seen, first among groups of shards. The driver gets no more
 words than there are symbols, ``TAILS`` counts and ``AVERAGES`` sets of weights.
 
 A word is a run of bytes other than 9 to 13 and 32; A-Z count as lower case. The places before the
 first and behind the last word hold a mark. Null texts and texts without words have no places and
 score 0. Rows that repeat score alike, and a null id is one like any other. Other columns are not read;
-no rows give no rows. Weights depend on how tasks split the documents, by rounding and order only.
+no rows give no rows. How the documents are split into files and tasks makes no difference but for rounding.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import isqrt
+from math import ceil, isqrt, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanframe.llm.tables import id_and_text, shown_id, stored
+from gleanframe.llm.tables import discard, id_and_text, shown_id, stored
 from gleanframe.llm.texts import LOWER, groups, mix, per_text, span_hashes, utf8, words
 
 BINS, BIN, TAILS = 32, 32, 256
 SYMBOLS = BINS * BIN
 EDGE = SYMBOLS  # the mark around a text
 SIDE, WIDTH, HIDDEN = 2, 8, 24
-BATCH, RATE, AVERAGES = 2048, 0.004, 32
+BATCH, RATE, AVERAGES = 8192, 0.02, 32  # the rate goes with the root of the batch, LEAST_RATE at least
+LEAST_RATE = 0.004
+SHARD_WORDS, SHARDS = 1 << 21, 512  # words of a shard; beyond so many shards both grow alike
+STRETCH, TAKE = 1 << 18, 1 << 18  # words of a stretch at most; places that are shuffled together
 DISTINCT = 32  # a bin for so much of the square root of the distinct words, BINS at least
 PART_WORDS, PARTS = 1 << 17, 256  # of the table of counts: words in a part, and parts at least
 
@@ -128,6 +132,15 @@ def choose_symbols(counts: DataFrame) -> Symbols:
                    -np.log(n + 1), bins)
 
 
+def n_shards(words: int) -> int:
+    """Shards for so many words, whoever reads them."""
+    plain = ceil(words / SHARD_WORDS)
+    return max(1, plain if plain <= SHARDS else ceil(sqrt(plain * SHARDS)))
+
+
+_OFFSETS = np.array([k for k in range(-SIDE, SIDE + 1) if k])
+
+
 def places(column: pa.Array, symbols: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All words of the texts with marks around each text, where the words stand in there, their texts
     and their costs without their counts."""
@@ -165,55 +178,73 @@ class Network:
         return new
 
     def _hidden(self, line: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        around = np.stack([line[at + k] for k in range(-SIDE, SIDE + 1) if k], axis=1)
-        seen = self.embed[around].reshape(len(at), -1)
-        return around, seen, np.tanh(seen @ self.into + self.shift)
+        """What stands around each place, as symbols and as vectors, and the hidden layer: a column a place."""
+        around = line[at[None, :] + _OFFSETS[:, None]]
+        seen = np.ascontiguousarray(self.embed[around].transpose(0, 2, 1)).reshape(-1, len(at))
+        return around, seen, np.tanh(self.into.T @ seen + self.shift[:, None])
 
     def logs(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Logarithm of the probability of the word at each place."""
-        _, _, hidden = self._hidden(line, at)
+        order, spans = _in_bins(line[at])
+        at = at[order]
         bin_, inner = np.divmod(line[at], BIN)
-        logits = hidden @ self.bins + self.bin_bias
-        out = logits[np.arange(len(at)), bin_] - _log_sum(logits)
-        for b, rows in _by_bin(bin_):
-            logits = hidden[rows] @ self.words[b] + self.word_bias[b]
-            out[rows] += logits[np.arange(len(rows)), inner[rows]] - _log_sum(logits)
+        _, _, hidden = self._hidden(line, at)
+        found = _picked(self.bins.T @ hidden + self.bin_bias[:, None], bin_)
+        for b, first, last in spans:
+            found[first:last] += _picked(
+                self.words[b].T @ hidden[:, first:last] + self.word_bias[b][:, None], inner[first:last])
+        out = np.empty(len(at), found.dtype)
+        out[order] = found
         return out
 
     def slope(self, line: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Gradient of the mean negative logarithm."""
         n = len(at)
         down = Network(np.zeros_like(self.vector, np.float32))
-        around, seen, hidden = self._hidden(line, at)
+        order, spans = _in_bins(line[at])
+        at = at[order]
         bin_, inner = np.divmod(line[at], BIN)
-        off = _soft(hidden @ self.bins + self.bin_bias)
-        off[np.arange(n), bin_] -= 1
+        around, seen, hidden = self._hidden(line, at)
+        off = _soft(self.bins.T @ hidden + self.bin_bias[:, None])
+        off[bin_, np.arange(n)] -= 1
         off /= n
-        down.bins[:], down.bin_bias[:] = hidden.T @ off, off.sum(axis=0)
-        back = off @ self.bins.T
-        for b, rows in _by_bin(bin_):
-            off = _soft(hidden[rows] @ self.words[b] + self.word_bias[b])
-            off[np.arange(len(rows)), inner[rows]] -= 1
+        down.bins[:], down.bin_bias[:] = hidden @ off.T, off.sum(axis=1)
+        back = self.bins @ off
+        for b, first, last in spans:
+            part = hidden[:, first:last]
+            off = _soft(self.words[b].T @ part + self.word_bias[b][:, None])
+            off[inner[first:last], np.arange(last - first)] -= 1
             off /= n
-            down.words[b], down.word_bias[b] = hidden[rows].T @ off, off.sum(axis=0)
-            back[rows] += off @ self.words[b].T
+            down.words[b], down.word_bias[b] = part @ off.T, off.sum(axis=1)
+            back[:, first:last] += self.words[b] @ off
         back *= 1 - hidden * hidden
-        down.into[:], down.shift[:] = seen.T @ back, back.sum(axis=0)
-        at_embed = (back @ self.into.T).reshape(-1, WIDTH)
+        down.into[:], down.shift[:] = seen @ back.T, back.sum(axis=1)
+        at_embed = (self.into @ back).reshape(2 * SIDE, WIDTH, n)
         which = around.reshape(-1)
         for k in range(WIDTH):
-            down.embed[:, k] = np.bincount(which, at_embed[:, k], len(self.embed))
+            down.embed[:, k] = np.bincount(which, at_embed[:, k].reshape(-1), len(self.embed))
         return down.vector
 
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+def _picked(logits: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Of each column the logarithm of the share of one row."""
+    top = logits.max(axis=0)
+    return logits[rows, np.arange(len(rows))] - top - np.log(np.exp(logits - top).sum(axis=0))
 
 
 def _soft(logits: np.ndarray) -> np.ndarray:
-    out = np.exp(logits - logits.max(axis=1, keepdims=True))
-    return out / out.sum(axis=1, keepdims=True)
+    """Shares of the rows in each column."""
+    out = np.exp(logits - logits.max(axis=0))
+    out /= out.sum(axis=0)
+    return out
+
+
+def _in_bins(symbols: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by bins, and each bin that occurs with its begin and end in it."""
+    order = np.argsort((symbols // BIN).astype(np.uint16), kind="stable")
+    found = symbols[order] // BIN
+    edges = np.flatnonzero(np.diff(found, prepend=-1, append=-1))
+    return order, [(int(found[a]), int(a), int(b)) for a, b in zip(edges[:-1], edges[1:])]
 
 
 def _by_bin(bins: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -229,6 +260,7 @@ class Trainer:
 
     def __init__(self, network: Network, batch: int = BATCH):
         self.network, self.batch, self.steps = network, batch, 0
+        self.rate = max(LEAST_RATE, RATE * sqrt(batch / BATCH))
         self.mean, self.square = (np.zeros(len(network.vector), np.float32) for _ in range(2))
 
     def take(self, line: np.ndarray, at: np.ndarray) -> None:
@@ -238,7 +270,7 @@ class Trainer:
             self.steps += 1
             self.mean += 0.1 * (slope - self.mean)
             self.square += 0.01 * (slope * slope - self.square)
-            rate = RATE * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
+            rate = self.rate * np.sqrt(1 - 0.99**self.steps) / (1 - 0.9**self.steps)
             self.network.vector -= rate * self.mean / (np.sqrt(self.square) + 1e-6)
 
 
@@ -249,19 +281,86 @@ class Model:
     counts: DataFrame  # of every word
 
 
-def _average(rows: DataFrame) -> DataFrame:
+def _symbol_type(symbols: Symbols) -> type:
+    return np.uint16 if symbols.edge < 1 << 16 else np.uint32
+
+
+def stretches(docs: DataFrame, symbols: Symbols, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The symbols of all texts, in pieces of at most STRETCH words with their neighbours or marks on both
+    sides: ``id, place, line``, ``place`` counting the pieces of a text."""
+    kind = _symbol_type(symbols)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = 0.0, 0
-        for batch in batches:
-            for size, weights in zip(batch.column("n").to_pylist(), batch.column("weights")):
-                total = total + size * np.frombuffer(weights.as_buffer(), np.float32).astype(float)
-                n += size
-        if n:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([n]), pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())],
-                ["n", "weights"])
+        for batch in groups(batches):
+            line, at, text, _ = places(batch.column("text"), symbols)
+            line, ids = line.astype(kind), batch.column("id").to_pylist()
+            # the first place of each text, and of each further piece
+            n = np.bincount(text, minlength=batch.num_rows)
+            rows = []
+            for number, (first, size) in enumerate(zip(np.cumsum(n) - n, n)):
+                for place, start in enumerate(range(0, int(size), STRETCH)):
+                    begin = at[first + start]
+                    end = begin + min(STRETCH, size - start)
+                    rows.append((ids[number], place, line[begin - SIDE:end + SIDE].tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
+                ["id", "place", "line"])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "id bigint, place bigint, line binary")
+
+
+_WEIGHTS = "shard int, n bigint, weights binary"
+
+
+def _weight_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.binary()))],
+        ["shard", "n", "weights"])
 
-    return rows.mapInArrow(run, "n bigint, weights binary")
+
+def _trained(weights: np.ndarray, batch_places: int, kind: type):
+    """Weights of each shard, from stretches in the order of shards."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, trainer, n, held, size = None, None, 0, [], 0
+
+        def take() -> None:
+            if held:
+                lines = [np.frombuffer(x, kind) for x in held]
+                ends = np.cumsum([len(x) for x in lines])
+                inside = [np.arange(end - len(x) + SIDE, end - SIDE) for x, end in zip(lines, ends)]
+                trainer.take(np.concatenate(lines).astype(np.int64), np.concatenate(inside))
+                held.clear()
+
+        for batch in batches:
+            for number, line in zip(batch.column("shard").to_pylist(), batch.column("line").to_pylist()):
+                if number != shard:
+                    if trainer:
+                        take()
+                        yield _weight_rows([(shard, n, trainer.network.vector.tobytes())])
+                    shard, trainer, n, size = number, Trainer(Network(weights.copy()), batch_places), 0, 0
+                words = len(line) // np.dtype(kind).itemsize - 2 * SIDE
+                held.append(line)
+                n, size = n + words, size + words
+                if size >= TAKE:
+                    take()
+                    size = 0
+        if trainer:
+            take()
+            yield _weight_rows([(shard, n, trainer.network.vector.tobytes())])
+
+    return run
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One set of weights of a group of shards, in their order."""
+    total, n, first = 0.0, 0, None
+    for batch in batches:
+        for shard, size, weights in zip(*(batch.column(c).to_pylist() for c in ("shard", "n", "weights"))):
+            first = shard if first is None else first
+            total = total + size * np.frombuffer(weights, np.float32).astype(float)
+            n += size
+    if n:
+        yield _weight_rows([(first, n, (total / n).astype(np.float32).tobytes())])
 
 
 def train(docs: DataFrame, rounds: int = 2, epochs: int = 1, batch_places: int = BATCH,
@@ -269,27 +368,22 @@ def train(docs: DataFrame, rounds: int = 2, epochs: int = 1, batch_places: int =
     """Symbols and weights from all documents, each of which is seen ``epochs`` times."""
     counts = stored(count_words(docs, id_col, text_col), "words")
     symbols = choose_symbols(counts)
-    rows = id_and_text(docs, id_col, text_col)
+    shards = n_shards(counts.agg(F.sum("n")).first()[0] or 0)
+    dealt = F.xxhash64("id", "place", "line")
+    lines = stored(stretches(docs, symbols, id_col, text_col).select(
+        dealt.alias("dealt"), F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"), "line"), "symbols")
     weights = Network.fresh(symbols.bins).vector
     for number in range(rounds * epochs):
-
-        def run(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
-            trainer, n = Trainer(Network(weights.copy()), batch_places), 0
-            for batch in groups(batches):
-                line, at, _, _ = places(batch.column("text"), symbols)
-                trainer.take(line, at)
-                n += len(at)
-            if n:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([n]), pa.array([trainer.network.vector.tobytes()], pa.binary())],
-                    ["n", "weights"])
-
-        share = rows.filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(rounds)) == number % rounds)
-        trained = share.mapInArrow(run, "n bigint, weights binary")
-        found = _average(trained.repartition(AVERAGES, F.xxhash64("weights"))).toPandas()
+        share = lines.filter(F.pmod(F.xxhash64("dealt", F.lit(7)), F.lit(rounds)) == number % rounds)
+        trained = share.repartition(shards, "shard").sortWithinPartitions("shard", "dealt").select(
+            "shard", "line").mapInArrow(_trained(weights, batch_places, _symbol_type(symbols)), _WEIGHTS)
+        found = trained.withColumn("_group", F.pmod("shard", F.lit(AVERAGES))).repartition(
+            AVERAGES, "_group").sortWithinPartitions("_group", "shard").drop("_group").mapInArrow(
+            _averaged, _WEIGHTS).toPandas().sort_values("shard")
         if len(found):
             weights = np.average(np.stack([np.frombuffer(w, np.float32) for w in found["weights"]]),
                                  axis=0, weights=found["n"]).astype(np.float32)
+    discard(docs.sparkSession, lines)
     return Model(symbols, weights, counts)
 
 
@@ -397,7 +491,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             hashes, tails, firsts = _words(batch.column("text"))
             line, at, text, cost = _places(hashes, tails, firsts, symbols)
             logs = np.concatenate([np.zeros(0), *(
-                network.logs(line, at[k:k + 4 * BATCH]) for k in range(0, len(at), 4 * BATCH))]) + cost
+                network.logs(line, at[k:k + 2 * BATCH]) for k in range(0, len(at), 2 * BATCH))]) + cost
             n = np.bincount(text, minlength=batch.num_rows).astype(np.int64)
             total = np.bincount(text, logs, batch.num_rows).astype(float)
             asked = np.flatnonzero(cost)

@@ -152,3 +152,32 @@ def test_symbols_grow_with_the_distinct_words(spark, table, monkeypatch):
     assert model.symbols.bins == 40 and len(model.weights) == s.n_weights(40) > s.WEIGHTS
     assert len(model.symbols.hashes) == 40 * s.BIN - s.TAILS
     assert s.score(docs(table, rows), model).filter("log_likelihood < 0 and n_words = 1600").count() == 2
+
+
+def test_the_split_into_tasks_makes_no_difference(table, monkeypatch):
+    """Several shards and takes, whatever the files."""
+    monkeypatch.setattr(s, "SHARD_WORDS", 4000)
+    monkeypatch.setattr(s, "TAKE", 500)
+    rows = [*sentences(5, 400), (None, "a b c"), (None, "d e"), (3, "a b"), (1000, "a b " * 700)]
+    found = []
+    for parts in (1, 4, 16):
+        model = s.train(docs(table, rows, parts), batch_places=64)
+        found.append(sorted((r.doc_id or -1, r.n_words, r.per_word) for r in s.score(docs(table, rows, parts), model).collect()))
+    assert s.n_shards(sum(r[1] for r in found[0])) > 2
+    for other in found[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in found[0]]
+        assert max(abs(a[2] - b[2]) for a, b in zip(other, found[0])) < 0.01
+
+
+def test_stretches_hold_every_place_once(table, monkeypatch):
+    monkeypatch.setattr(s, "STRETCH", 7)
+    rows = [(1, " ".join("abcde"[k % 5] for k in range(40))), (2, None), (3, "a"), (4, "b c d e a b c")]
+    symbols = s.choose_symbols(s.count_words(docs(table, rows)))
+    got = {}
+    for r in s.stretches(docs(table, rows), symbols).orderBy("id", "place").collect():
+        got.setdefault(r.id, []).append(np.frombuffer(r.line, np.uint16).astype(int))
+    for doc_id, text in rows:
+        line, at, _, _ = s.places(pa.array([text]), symbols)
+        want = [(line[p], tuple(line[p + s._OFFSETS])) for p in at]
+        assert [(x[k], tuple(x[k + s._OFFSETS])) for x in got.get(doc_id, []) for k in range(2, len(x) - 2)] == want
+        assert all(len(x) <= 11 for x in got.get(doc_id, []))
