@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -18,12 +19,13 @@ from fixtures.oracles import ORACLES  # noqa: E402
 from gleanframe.functions import urls  # noqa: E402
 from gleanframe.functions.html import Step  # noqa: E402
 from gleanframe.operators import details as d  # noqa: E402
-from gleanframe.operators import fetchlog, frontier, listing, pages, paging, records, strict  # noqa: E402
+from gleanframe.operators import fetchlog, frontier, listing, pages, paging, phrases, records, strict  # noqa: E402
 from gleanframe.operators.columns import with_once  # noqa: E402
+from gleanframe.operators.seen import SeenStore  # noqa: E402
 from gleanframe.plans import flows  # noqa: E402
 from gleanframe.plans.counters import RunCounters  # noqa: E402
-from gleanframe.schemas import DETAIL_16  # noqa: E402
-from gleanframe.session import scratch_path  # noqa: E402
+from gleanframe.schemas import DETAIL_16, DETAIL_8, LISTING_14  # noqa: E402
+from gleanframe.session import Stored, scratch_path  # noqa: E402
 from gleanframe.sources import csv_table, payloads  # noqa: E402
 from gleanframe.streaming import jobs  # noqa: E402
 
@@ -202,6 +204,15 @@ def block_detect(i: Inputs) -> DataFrame:
         "doc_id", "blocked")
 
 
+def phrase_hits(i: Inputs) -> DataFrame:
+    """Pairs of neighbouring words of the benchmark, in all documents."""
+    words = F.filter(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda k: F.array_join(F.slice("words", k, 2), " "))
+    table = i.table("benchmark").select(words.alias("words")).filter("size(words) > 1").select(
+        F.explode(pairs).alias("phrase"))
+    return phrases.phrase_hits(i.table("documents"), table)
+
+
 def retryable_filter(i: Inputs) -> DataFrame:
     return fetchlog.retryable_filter(i.log(), status="http_status").select(
         "event_id", "url", "http_status")
@@ -290,6 +301,18 @@ def frontier_unseen(i: Inputs) -> DataFrame:
     return frontier.frontier_unseen_marked(links, F.col("on_listing"))
 
 
+def frontier_increment(i: Inputs) -> DataFrame:
+    """The same against a store that the links of the listing pages came to in three appends."""
+    links = i.links().withColumn("on_listing", frontier.has_page_parameter(F.col("url")))
+    links = with_once(links, "url", urls.resolve(F.col("url"), F.col("href")))
+    store = SeenStore(i.spark, f"seen_{uuid.uuid4().hex}", scratch_path(i.spark, "seen"), buckets=8)
+    for part in range(3):
+        store.add(links.filter(F.col("on_listing") & (F.col("page_id") % 3 == part)))
+    found = Stored(store.unseen(links), "unseen").rows
+    store.drop()
+    return found
+
+
 def dedup_keep_first(i: Inputs) -> DataFrame:
     return records.dedup_keep_first(i.record_14()).withColumn("pos", _long("pos"))
 
@@ -428,8 +451,8 @@ def page_gap_report(i: Inputs) -> DataFrame:
     return paging.page_gap_report(_responses(i))
 
 
-def next_pointer_closure(i: Inputs) -> DataFrame:
-    """All chains, from the pages that nothing points to. Every third listing has a page limit that comes
+def _pointers(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Pointers and the pages that nothing points to. Every third listing has a page limit that comes
     before its last pointer."""
     part = i.table("part")
     last = part.agg(F.max("p_partkey")).scalar()
@@ -441,7 +464,24 @@ def next_pointer_closure(i: Inputs) -> DataFrame:
         F.when(F.col("p_partkey") % 250 % 3 == 0, 3).otherwise(1_000_000_000).alias("total_pages"))
     led_to = pointers.select(F.col("next_page").alias("page")).dropna()
     seeds = pointers.select("page").join(led_to, "page", "left_anti")
-    return paging.next_pointer_closure(pointers, seeds)
+    return pointers, seeds
+
+
+def next_pointer_closure(i: Inputs) -> DataFrame:
+    """All chains."""
+    return paging.next_pointer_closure(*_pointers(i))
+
+
+def next_pointer_increment(i: Inputs) -> DataFrame:
+    """The same when the pages come in three parts, of which each goes on where the chains ended before."""
+    pointers, seeds = _pointers(i)
+    last = pointers.agg(F.max("page_num") + 1).scalar()
+    parts = [pointers.filter(F.floor(F.col("page_num") * 3 / last) == n) for n in range(3)]
+    reached, known = paging.next_pointer_closure(parts[0], seeds), parts[0]
+    for part in parts[1:]:
+        reached = paging.next_pointer_increment(reached, known, part)
+        known = known.unionByName(part)
+    return reached
 
 
 # ---- whole flows
@@ -499,6 +539,21 @@ def stream_dedup(i: Inputs) -> DataFrame:
         i.log_stream(), folder, delay="60 days")).select("url", "event_id")
 
 
+def stream_enrich(i: Inputs) -> DataFrame:
+    """Adverts are listed a minute apart; their pages come half an hour later, some once more."""
+    listed = i.record_14().filter("property_url is not null").withColumns({
+        "url": urls.prefix(r.SITE, F.col("property_url")),
+        "listed_at": r.at_minute(F.col("page_num") * 20 - 20 + F.col("pos"))})
+    number = F.regexp_extract("url", r"(\d+)$", 1).cast("bigint")
+    detail = d.detail_fields_8(i.arrived(), r.STAT_PHRASE, keep=("fetched",)).withColumn(
+        "fetched_at", r.at_minute(number, 30) + F.make_interval(hours="fetched"))
+    left, right = Stored(listed, "listed"), Stored(detail, "fetched")
+    sides = [jobs.read_parquet_stream(i.spark, side.path, side.rows.schema) for side in (left, right)]
+    folder = scratch_path(i.spark, "enrich")
+    jobs.stream_enrich(*sides, folder, wait="1 day", delay="30 days").awaitTermination()
+    return jobs.enriched(i.spark, folder, [*LISTING_14, *DETAIL_8], ("page_num", "pos", "fetched"))
+
+
 def stream_status_counts(i: Inputs) -> DataFrame:
     return _finished(i, "status", lambda folder: jobs.stream_status_counts(i.log_stream(), folder))
 
@@ -543,8 +598,10 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         union_records, merge_records, best_of_n_partial, partial_rejects, json_defaults_strict,
         listing_record_raw, strict_rejects, detail_rejects, detail_accepted, flow_counters,
         page_number, next_page_url, page_plan, page_gap_report, next_pointer_closure,
+        next_pointer_increment,
         rent_listing_flow, sale_listing_flow, account_flow, account_links, account_texts, link_flow,
-        stream_extract, stream_dedup, stream_status_counts, stream_retry_state,
+        stream_extract, stream_dedup, stream_enrich, stream_status_counts, stream_retry_state,
+        frontier_increment, phrase_hits,
     )
 }
 

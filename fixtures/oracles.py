@@ -430,3 +430,14 @@ union all select 'missing_region', count(*) from record_14 where region is null
 union all select 'duplicates', count(ukey) - count(distinct ukey) from record_14""",
 }
 ORACLES["rent_listing_flow"] = ORACLES["enrich_listing_with_detail"]
+ORACLES["frontier_increment"] = ORACLES["frontier_unseen"]
+ORACLES["next_pointer_increment"] = ORACLES["next_pointer_closure"]
+ORACLES["stream_enrich"] = ORACLES["enrich_listing_with_detail"]
+ORACLES["phrase_hits"] = r"""with words as (
+  select item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from benchmark),
+phrases as (
+  select distinct w[k] || ' ' || w[k + 1] as phrase
+  from (select w, unnest(range(1, len(w))) as k from words where len(w) > 1)),
+texts as (select doc_id, lower(text) as t from documents)
+select doc_id, phrase, ((length(t) - length(replace(t, phrase, ''))) / length(phrase))::bigint as hits
+from texts join phrases on contains(t, phrase)"""

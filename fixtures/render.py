@@ -246,6 +246,11 @@ def broken_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.select("url", "attempt", "html", failed.cast("int").alias("failed_at"))
 
 
+def at_minute(number, later: int = 0):
+    """A time that goes up with a key."""
+    return F.timestamp_seconds(F.lit(1_700_000_000) + (number + later) * 60)
+
+
 # An account listing holds twenty links a page; every fifth page holds none, some links come twice, and
 # attribute values are written in all forms that HTML has.
 ACCOUNT_PAGE = "(cast(floor(p_partkey / 20.0) as bigint) + 1)"

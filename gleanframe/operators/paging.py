@@ -109,3 +109,79 @@ def next_pointer_closure(pointers: DataFrame, seeds: DataFrame, page: str = "pag
     if pointer:
         pointer.delete()
     return reached.rows
+
+
+def _effective(pointers: DataFrame, page: str, next_page: str, page_num: str, total_pages: str) -> DataFrame:
+    """The one page that a page points to, as (_from, _to)."""
+    counts = F.col(next_page).isNotNull()
+    if {page_num, total_pages} <= set(pointers.columns):
+        counts &= F.col(page_num) < F.col(total_pages)
+    return pointers.filter(counts).groupBy(F.col(page).alias("_from")).agg(F.min(next_page).alias("_to"))
+
+
+def _nearest(starts: DataFrame, jump: DataFrame, page: str) -> DataFrame:
+    """Pages that the starts (page, depth) lead to, with their least depth. The step doubles each round;
+    a round that improves nothing ends it, as then no longer step would either."""
+    reached, pointer, length = Stored(starts.groupBy(page).agg(F.min("depth").alias("depth")), "nearest"), None, 1
+    while True:
+        ahead = reached.rows.join(jump, F.col(page) == F.col("_from")).select(
+            F.col("_to").alias(page), (F.col("depth") + length).alias("depth"), F.lit(True).alias("_new"))
+        both = reached.rows.withColumn("_new", F.lit(False)).unionByName(ahead).groupBy(page).agg(
+            F.min("depth").alias("depth"), F.min(F.struct("depth", "_new")).alias("_first"))
+        found = Stored(both.select(page, "depth", F.col("_first._new").alias("_new")), "nearest")
+        reached.delete()
+        reached = found
+        if reached.rows.filter("_new").isEmpty():
+            break
+        reached.rows = reached.rows.drop("_new")
+        second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
+        twice = Stored(join_hot(jump, second, "_to").select("_from", F.col("_end").alias("_to")), "pointers")
+        if pointer:
+            pointer.delete()
+        pointer, length = twice, 2 * length
+        jump = pointer.rows
+    if pointer:
+        pointer.delete()
+    return reached.rows.drop("_new")
+
+
+def next_pointer_increment(reached: DataFrame, pointers: DataFrame, added: DataFrame, seeds: DataFrame | None = None,
+                           page: str = "page", next_page: str = "next_page", page_num: str = "page_num",
+                           total_pages: str = "total_pages") -> DataFrame:
+    """The closure (page, depth) after ``added`` pointers and further ``seeds`` have come to the ``pointers`` that
+    ``reached`` was made from; equal to next_pointer_closure over all of them.
+
+    New pages are found along added pointers and those of pages that were not reached before; chains that were
+    reached are only followed again where a new way to one of their pages is shorter, and then their depths
+    are made smaller. A copy that gives a page another next page than it had takes an old way away, so then
+    the closure is made anew from the seeds.
+    """
+    names = (page, next_page, page_num, total_pages)
+    old, new = _effective(pointers, *names), Stored(_effective(added, *names), "added")
+    starts = reached.select(page).limit(0).withColumn("depth", F.lit(0).cast("bigint"))
+    if seeds is not None:
+        starts = seeds.select(page).distinct().withColumn("depth", F.lit(0).cast("bigint"))
+    both = new.rows.join(old.select("_from", F.col("_to").alias("_was")), "_from", "left")
+    if not both.filter("_to < _was").isEmpty():
+        new.delete()
+        everything = pointers.unionByName(added, allowMissingColumns=True)
+        return next_pointer_closure(
+            everything, reached.filter("depth = 0").select(page).union(starts.select(page)), *names)
+    fresh = Stored(both.filter("_was is null").select("_from", "_to"), "added")
+    new.delete()
+    # ways out of pages that were reached before, which had none
+    before = reached.select(F.col(page).alias("_from"), "depth")
+    out = fresh.rows.join(before, "_from").select(F.col("_to").alias(page), (F.col("depth") + 1).alias("depth"))
+    starts = Stored(out.unionByName(starts), "starts")
+    beyond = fresh.rows.unionByName(old).join(before.select("_from"), "_from", "left_anti")
+    near = Stored(_nearest(starts.rows, beyond, page), "near")
+    known = reached.select(F.col(page).alias("_page"), F.col("depth").alias("_depth"))
+    shorter = near.rows.join(known, F.col(page) == F.col("_page")).filter("depth < _depth").select(page, "depth")
+    found = near.rows
+    if not shorter.isEmpty():
+        found = found.unionByName(_nearest(shorter, fresh.rows.unionByName(old), page))
+    result = Stored(reached.select(page, "depth").unionByName(found).groupBy(page).agg(
+        F.min("depth").alias("depth")), "reached")
+    for table in (near, starts, fresh):
+        table.delete()
+    return result.rows

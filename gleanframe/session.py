@@ -76,9 +76,9 @@ class Stored:
 
     def __init__(self, rows: DataFrame, label: str):
         self._spark, self._label = rows.sparkSession, label
-        self._path = scratch_path(self._spark, label)
-        rows.write.parquet(self._path)
-        self.rows = self._spark.read.schema(rows.schema).parquet(self._path)
+        self.path = scratch_path(self._spark, label)
+        rows.write.parquet(self.path)
+        self.rows = self._spark.read.schema(rows.schema).parquet(self.path)
 
     def replaced(self, rows: DataFrame) -> Stored:
         """New rows, made from these, in their place."""
@@ -87,5 +87,5 @@ class Stored:
         return new
 
     def delete(self) -> None:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -74,6 +74,31 @@ def _by_batch(rows: DataFrame, folder: str, trigger: dict | None) -> StreamingQu
     return _writer(rows, folder, trigger).outputMode("append").foreachBatch(write).start()
 
 
+def stream_enrich(listing: DataFrame, detail: DataFrame, folder: str, wait: str = "1 day", delay: str = "1 day",
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Listing records (``url``, ``listed_at``) and detail fields (``url``, ``fetched_at``) as they arrive, in any
+    order, joined where the page came within ``wait`` of the listing.
+
+    Both sides wait in the state store: a page until no listing older than the watermark can ask for it, a
+    listing until its page can no longer come; then it passes with ``arrived`` false. Rows that come later than
+    ``delay`` behind the newest of their side are left out. ``out`` holds a row per listing row and page: a URL
+    that was listed twice, or whose page came twice, has several (see enriched).
+    """
+    left = listing.withWatermark("listed_at", delay)
+    right = detail.withColumnRenamed("url", "_url").withWatermark("fetched_at", delay)
+    joined = left.join(right, (F.col("url") == F.col("_url")) & F.expr(
+        f"fetched_at >= listed_at and fetched_at <= listed_at + interval {wait}"), "left_outer")
+    rows = joined.withColumn("arrived", F.col("_url").isNotNull()).drop("_url")
+    return _writer(rows, folder, trigger).format("parquet").outputMode("append").start(f"{folder}/out")
+
+
+def enriched(spark: SparkSession, folder: str, columns: list[str], order: tuple[str, ...]) -> DataFrame:
+    """What stream_enrich has joined so far: one record per URL, of its first listing and page by ``order``."""
+    rows = spark.read.parquet(f"{folder}/out").filter("arrived")
+    first = rows.groupBy("url").agg(F.min(F.struct(*order, *[c for c in columns if c not in order])).alias("_first"))
+    return first.select(*[F.col("_first")[c].alias(c) for c in columns])
+
+
 def stream_status_counts(log: DataFrame, folder: str, status: str = "status",
                          trigger: dict | None = None) -> StreamingQuery:
     """Running counts per status; after each batch ``out`` holds the present totals (a handful of
