@@ -166,8 +166,13 @@ OP10_SQL = """
 with d as (
   select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n_bytes
   from documents),
-places as (select doc_id, h, unnest(range(0, n_bytes - 49)) as p from d),
-strings as (select doc_id, p, min(doc_id) over (partition by substr(h, 2 * p + 1, 100)) as first from places),
+-- texts are cut into stretches first, since each look into a long one walks it
+cuts as (select doc_id, h, n_bytes, unnest(range(0, n_bytes - 49, 512)) as cut from d),
+stretches as (
+  select doc_id, cut, substr(h, 2 * cut + 1, 1122) as s, least(512, n_bytes - 49 - cut) as n from cuts),
+places as (select doc_id, cut, s, unnest(range(0, n)) as q from stretches),
+strings as (
+  select doc_id, cut + q as p, min(doc_id) over (partition by md5_number(substr(s, 2 * q + 1, 100))) as first from places),
 gone as (
   select doc_id, p, p > lag(p, 1, -99) over (partition by doc_id order by p) + 50 as opens
   from strings where first < doc_id),
