@@ -122,6 +122,8 @@ def _effective(pointers: DataFrame, page: str, next_page: str, page_num: str, to
 def _nearest(starts: DataFrame, jump: DataFrame, page: str) -> DataFrame:
     """Pages that the starts (page, depth) lead to, with their least depth. The step doubles each round;
     a round that improves nothing ends it, as then no longer step would either."""
+    # where no two pages point to the same one, none do so over longer steps either
+    no_merging = jump.groupBy("_to").agg(F.count("*").alias("_n")).filter("_n > 1").isEmpty()
     reached, pointer, length = Stored(starts.groupBy(page).agg(F.min("depth").alias("depth")), "nearest"), None, 1
     while True:
         ahead = reached.rows.join(jump, F.col(page) == F.col("_from")).select(
@@ -135,7 +137,8 @@ def _nearest(starts: DataFrame, jump: DataFrame, page: str) -> DataFrame:
             break
         reached.rows = reached.rows.drop("_new")
         second = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
-        twice = Stored(join_hot(jump, second, "_to").select("_from", F.col("_end").alias("_to")), "pointers")
+        twice = jump.join(second, "_to") if no_merging else join_hot(jump, second, "_to")
+        twice = Stored(twice.select("_from", F.col("_end").alias("_to")), "pointers")
         if pointer:
             pointer.delete()
         pointer, length = twice, 2 * length
