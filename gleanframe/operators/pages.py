@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from gleanframe.functions import html as H
 from gleanframe.functions import text as t
 from gleanframe.functions import urls
+from gleanframe.operators.columns import with_once
 
 # the walk travels to the executors with the job, so that nothing has to be installed there
 cloudpickle.register_pickle_by_value(H)
@@ -133,13 +134,19 @@ def _plain_elements(text: Column, tag: str) -> Column:
     return starts == F.regexp_count(text, F.lit(rf"(?i)<{tag}{_ATTRIBUTES}>[^<]*</{tag}\s*>"))
 
 
-def _or_walked(pages: DataFrame, plain: Column, native: dict[str, Column], walked: dict[str, tuple[H.Field, Column]],
-               keep: list[str], html: str) -> DataFrame:
+def _visible(pages: DataFrame, keep: list[str], html: str) -> DataFrame:
+    """The kept columns, the page as ``_page`` and its visible markup, which is made once, as ``_text``."""
+    return with_once(pages.select(*keep, F.col(html).alias("_page")), "_text", visible_markup(F.col("_page")))
+
+
+def _or_walked(visible: DataFrame, plain: Column, native: dict[str, Column], walked: dict[str, tuple[H.Field, Column]],
+               keep: list[str]) -> DataFrame:
     """The native columns where a page is plain, else those made from the walk."""
     names = {name: f"_native_{name}" for name in native}
-    rows = pages.select(*keep, F.col(html).alias("_page"), plain.alias("_plain"),
-                        *[F.when(plain, column).alias(names[name]) for name, column in native.items()])
-    rows = rows.withColumn("_page", F.when(~F.coalesce("_plain", F.lit(True)), F.col("_page")))
+    tested = with_once(visible, "_plain", F.coalesce(plain, F.lit(True)))
+    rows = tested.select(
+        *keep, "_plain", F.when(~F.col("_plain"), F.col("_page")).alias("_page"),
+        *[F.when(F.col("_plain"), column).alias(names[name]) for name, column in native.items()])
     found = walk_pages(rows, [field for field, _ in walked.values()], (*keep, "_plain", *names.values()), "_page")
     return found.select(*keep, *[
         F.when(F.col("_plain"), F.col(names[name])).otherwise(column).alias(name)
@@ -163,38 +170,38 @@ def extract_first_text(pages: DataFrame, columns: dict[str, tuple[str, str | Non
                        keep: Iterable[str] = ("page_id",), html: str = "html") -> DataFrame:
     """One column per (tag, class): the first direct text of the first such element that has any, stripped;
     null without one or where it is blank."""
-    text = visible_markup(F.col(html))
+    text, keep = F.col("_text"), list(keep)
     plain = reduce(lambda a, b: a & b, [_plain_elements(text, tag) for tag in {tag for tag, _ in columns.values()}])
     walked = {
         name: (H.Field(f"_walked_{name}", "texts", ((H.Step(tag, cls),),)),
                t.strip(t.first(F.col(f"_walked_{name}"))))
         for name, (tag, cls) in columns.items()}
     native = {name: first_text(text, tag, cls) for name, (tag, cls) in columns.items()}
-    return _or_walked(pages, plain & ~_other_entities(text), native, walked, list(keep), html)
+    return _or_walked(_visible(pages, keep, html), plain & ~_other_entities(text), native, walked, keep)
 
 
 def extract_all_texts(pages: DataFrame, tag: str, cls: str | None = None,
                       keep: Iterable[str] = ("page_id",), html: str = "html") -> DataFrame:
     """All direct texts of such elements, stripped, blank ones left out."""
-    text = visible_markup(F.col(html))
+    text, keep = F.col("_text"), list(keep)
     field = H.Field("_walked", "texts", ((H.Step(tag, cls),),))
     return _or_walked(
-        pages, _plain_elements(text, tag) & ~_other_entities(text), {"texts": all_texts(text, tag, cls)},
-        {"texts": (field, t.strip_all(F.col("_walked")))}, list(keep), html)
+        _visible(pages, keep, html), _plain_elements(text, tag) & ~_other_entities(text),
+        {"texts": all_texts(text, tag, cls)}, {"texts": (field, t.strip_all(F.col("_walked")))}, keep)
 
 
 def extract_links(pages: DataFrame, keep: Iterable[str] = ("page_id", "url"),
                   html: str = "html") -> DataFrame:
     """One row per anchor with a link, in document order."""
-    keep, text = list(keep), visible_markup(F.col(html))
+    keep, text = list(keep), F.col("_text")
     found = F.regexp_extract_all(text, F.lit(r'(?i)<a\s(?:[^<>]*?\s)?href="([^"]*)"'), F.lit(1))
     # each anchor has a link, and all its values are in double quotes
     anchors = F.regexp_count(text, F.lit(r"(?i)<a(?=[\s/>])"))
     plain = (anchors == F.regexp_count(text, F.lit(rf'(?i)<a(?=\s[^<>]*?\bhref="){_ATTRIBUTES}>'))) & (
         anchors == F.size(found)) & ~_other_entities(text)
     rows = _or_walked(
-        pages, plain, {"_hrefs": F.transform(found, t.unescape)},
-        {"_hrefs": (H.Field("_walked", "attr", ((H.Step("a"),),), "href"), F.col("_walked"))}, keep, html)
+        _visible(pages, keep, html), plain, {"_hrefs": F.transform(found, t.unescape)},
+        {"_hrefs": (H.Field("_walked", "attr", ((H.Step("a"),),), "href"), F.col("_walked"))}, keep)
     return rows.select(*keep, F.posexplode("_hrefs").alias("pos", "href"))
 
 
