@@ -143,7 +143,7 @@ def _or_walked(visible: DataFrame, plain: Column, native: dict[str, Column], wal
                keep: list[str]) -> DataFrame:
     """The native columns where a page is plain, else those made from the walk."""
     names = {name: f"_native_{name}" for name in native}
-    tested = with_once(visible, "_plain", F.coalesce(plain, F.lit(True)))
+    tested = with_once(visible, "_plain", F.coalesce(plain, F.lit(False)))  # no page, no plain page
     rows = tested.select(
         *keep, "_plain", F.when(~F.col("_plain"), F.col("_page")).alias("_page"),
         *[F.when(F.col("_plain"), column).alias(names[name]) for name, column in native.items()])
