@@ -8,12 +8,14 @@
    the text does not.
 3. Over windows of ``WINDOW`` lines the counts are summed. The text surges where a window first holds
    ``ENOUGH`` characters (one, if only such elements count), and dives behind the last window
-   that does. All lines between that count are the text; where no window holds enough, all that count.
-
-Marks are whole names or words in them; "with-sidebar" marks nothing, nor does a header named after its
-article, nor the id of a heading. Within an article or main element a name must be made of marks and
-words of layout altogether, as "ad-box" is and "related-work" is not; headings and parts of sentences are
-not marked there, and sections, paragraphs, items and cells not by an id. Where nothing is left of a page, but marked elements hold ``MISTAKEN`` characters or more, they
+   that does. All lines between that count are the text, and where no article or main element decides, linked
+   paragraphs and headings among them and a linked first heading before them; where no window holds enough, all
+   that count.
+
+A name marks if it is made of marks and words of layout altogether, as "ad-box" is and "related-work" or
+"social-history" is not; "with-sidebar" marks nothing, nor does a header named after its article, nor the
+id of a heading. Within an article or main element headings and parts of sentences are
+not marked, sections only by an id that says reader comments, and paragraphs, items and cells not by an id. Where nothing is left of a page, but marked elements hold ``MISTAKEN`` characters or more, they
 were containers, and only element names count.
 
 Character references are decoded once. White space within a line, no-break spaces and line breaks
@@ -52,7 +54,7 @@ BLOCKS = frozenset(
     .split())  # raw- stands for a script and the like
 VOID = frozenset("area base br col embed hr img input link meta param raw- source track wbr".split())
 # their content is no markup
-RAW = "script|style|textarea|title|template|iframe|noscript|noembed|noframes|svg|math|object|canvas|xmp"
+RAW = "script|style|textarea|title|template|iframe|noscript|noembed|noframes|svg|canvas"
 DROPPED = frozenset("nav footer aside form fieldset button select dialog menu head search label datalist "
                     "audio video applet".split())
 MARKS = frozenset(
@@ -70,7 +72,20 @@ STEMS = re.compile(
 # words that turn a mark into a word about a neighbour, and what may be a title's own header
 LAYOUT = frozenset(
     "area bar block box btn button buttons container content form group holder inner item items link links "
-    "list panel row section slot unit wrap wrapper left right top bottom main article post page".split())
+    "list panel row section slot unit wrap wrapper left right top bottom main article post page "
+    "user users reader readers visitor visitors thread threads".split())
+# with these a name outside of an article may be made of marks, too
+SITE = LAYOUT | frozenset(
+    "site global primary secondary tertiary sub mini mobile desktop sticky fixed inline inside outer module component "
+    "region zone col column columns grid card cards wide narrow large small big full first last text icon icons icontext "
+    "image images logo title titles text posts articles stories story news more also read view click here go to the and "
+    "for of your our us my on in by with a content div element object hook area start end before after middle center "
+    "body head foot level one two three settings policy text message messages info hint tip tips form field fields input "
+    "count counter toggle trigger open close closed active js css wp ui uk tw md sm lg xl new old".split())
+# what an id may say of a section within an article
+READERS = frozenset("comment comments disqus replies respond".split())
+# lines of these are text even where they are links, if they stand among the text
+PROSE = frozenset("p blockquote pre figcaption h1 h2 h3 h4 h5 h6".split())
 BESIDE = frozenset("has have with without no not show hide enable enabled".split())
 HEADERS = frozenset("header masthead topbar".split())
 OWN = frozenset("article post entry story content title page main".split())
@@ -111,13 +126,16 @@ class Line(NamedTuple):
     text: str
     linked: int  # characters of it in links
     inside: bool  # within an article or main element
+    block: str  # the element that it began in
 
 
-def _whole(words: list[str]) -> bool:
-    """Are all of these words marks or words of layout, some of them marks?"""
-    joined = [any(w.endswith(x) and w[:-len(x)] in MARKS for x in LAYOUT) for w in words]
+def _whole(words: list[str], layout: frozenset[str] = LAYOUT, stems: bool = False) -> bool:
+    """Are all of these words marks or words of layout, some of them marks? ``stems`` counts words that hold a
+    mark as such."""
+    joined = [any(w.endswith(x) and w[:-len(x)] in MARKS for x in LAYOUT)
+              or stems and w not in OWN and bool(STEMS.search(w)) for w in words]
     return any(j or w in MARKS for w, j in zip(words, joined)) and all(
-        j or w in MARKS or w in LAYOUT for w, j in zip(words, joined))
+        j or w in MARKS or w in layout for w, j in zip(words, joined))
 
 
 def _marked(element: str, attributes: str, rooted: bool) -> bool:
@@ -126,7 +144,7 @@ def _marked(element: str, attributes: str, rooted: bool) -> bool:
         return False
     for found in _MARK.finditer(attributes):
         by_id = found[0][:2].lower() == "id"
-        if by_id and element in (_BY_CLASS if rooted else _HEADS):
+        if by_id and element in (_BY_CLASS if rooted else _HEADS) and element != "section":
             continue
         for name in (found[1] or found[2] or found[3] or "").split():
             listed = _NAME.findall(_CASE.sub("-", name).lower())
@@ -135,10 +153,11 @@ def _marked(element: str, attributes: str, rooted: bool) -> bool:
                 continue
             if words & HEADERS and (rooted or words & OWN):
                 words -= HEADERS
-            if rooted:
-                if _whole([w for w in listed if w in words]):
+            listed = [w for w in listed if w in words]
+            if not rooted:
+                if _whole(listed, SITE, stems=True):
                     return True
-            elif words & MARKS or any(STEMS.search(w) for w in words - OWN):
+            elif _whole(listed) and (not by_id or element != "section" or words & READERS):
                 return True
     return False
 
@@ -214,6 +233,7 @@ def lines(page: str, marks: bool = True) -> list[Line]:
     parts: list[str] = []
     linked = 0
     inside = False  # an article or main element, when the line began
+    block = ""  # the element in which the line began
     open_ = _Open()
     seen = False  # any article or main element
     in_link = False
@@ -221,18 +241,19 @@ def lines(page: str, marks: bool = True) -> list[Line]:
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                out.append(Line(text, linked, inside))
+                out.append(Line(text, linked, inside, block))
             parts.clear()
         linked = 0
 
     def take(text: str) -> None:
         nonlocal linked
         if text and open_.cut < 0:
+            text = html.unescape(text)  # a reference does not reach over a tag
             parts.append(text)
             if in_link:
-                linked += len(html.unescape(text).strip())
+                linked += len(text.strip())
 
     at = 0
     for tag in _TAG.finditer(page):
@@ -262,6 +283,7 @@ def lines(page: str, marks: bool = True) -> list[Line]:
                 continue
         if name in BLOCKS:
             flush()
+            block = "" if closing else name
         elif name == "br":
             parts.append(" ")
         if closing:
@@ -297,6 +319,11 @@ def main_text(page: str | None) -> str:
     enough = 1 if rooted else ENOUGH  # such an element has no short lines around its text
     full = [n for n in range(last) if sums[min(n + WINDOW, last)] - sums[n] >= enough]
     surge, dive = (full[0], min(full[-1] + WINDOW, last)) if full else (0, last)
+    counted = [n for n in range(surge, dive) if counts[n]]
+    if not rooted and counted:
+        # a linked title before the text, and linked lines of prose within it, are of the text
+        counts = [n or (line.block == "h1" and k < counted[0] or line.block in PROSE and counted[0] < k < counted[-1])
+                  for k, (line, n) in enumerate(zip(found, counts))]
     return "\n".join(line.text for line, n in zip(found[surge:dive], counts[surge:dive]) if n)
 
 

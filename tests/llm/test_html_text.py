@@ -112,3 +112,42 @@ def test_time_is_linear_with_many_open_elements():
         start = time.perf_counter()
         h.main_text(bad * 20_000)
         assert time.perf_counter() - start < 5
+
+
+BODY = "<p>First paragraph, long enough to count as text.</p><p>Second one, as long as the first of them.</p>"
+PLAIN = "First paragraph, long enough to count as text.\nSecond one, as long as the first of them."
+
+
+@pytest.mark.parametrize("page, want", [
+    # reader comments within an article
+    (f"<article>{BODY}<section id=comments><p>I liked this very much, thank you.</section></article>", PLAIN),
+    (f"<main>{BODY}<div class='user-comments'><p>I liked this very much, thank you.</div></main>", PLAIN),
+    (f"<main>{BODY}<div class='reader comment-thread user-comment'><p>I liked this.</div></main>", PLAIN),
+    # elements that hold text
+    (f"<article>{BODY}<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</article>", PLAIN + "\nLet x=2 hold."),
+    (f"<article>{BODY}<object data=x>No picture here</object></article>", PLAIN + "\nNo picture here"),
+    # pages without article and main
+    (f"<ul><li><a href=1>Home</a></ul><h1><a href=2>A linked title</a></h1>{BODY}", "A linked title\n" + PLAIN),
+    (f"<div>{BODY}<p><a href=3>A paragraph that is a link, all of it</a></p>{BODY}</div>",
+     PLAIN + "\nA paragraph that is a link, all of it\n" + PLAIN),
+    (f"<div class=social-history>{BODY}</div>", PLAIN), (f"<div class=share-prices>{BODY}</div>", PLAIN),
+    (f"<div id=comment-period>{BODY}</div>", PLAIN),
+    (f"<div class=site-header>Name of the site, and what it is</div>{BODY}<div id=siteFooter>All rights are ours</div>", PLAIN),
+    (f"<div class='primary-sidebar widget-area'><p>Much text at the side of it</div>{BODY}<ul class=related-articles><li>Other</ul>", PLAIN),
+    # references end with their text
+    ("<article>AT&<b>amp;</b>T and R&amp;D &lt;x&gt; &am<i>p;</i></article>", "AT&amp;T and R&D <x> &amp;"),
+])
+def test_comments_go_and_the_text_stays(page, want):
+    assert h.main_text(page) == want
+
+
+def test_windows_decide_where_no_element_does():
+    """Short lines far from the text are left out, those near it are kept; sums equal plain loops."""
+    short = "".join(f"<div>no {k}</div>" for k in range(6))
+    page = f"{short}{BODY}<div>end</div>{short}"
+    found = h.lines(page)
+    counts = [len(line.text) for line in found]
+    full = [n for n in range(len(counts)) if sum(counts[n:n + h.WINDOW]) >= h.ENOUGH]
+    want = "\n".join(line.text for line in found[full[0]:full[-1] + h.WINDOW])
+    assert h.main_text(page) == want
+    assert want == "no 4\nno 5\n" + PLAIN + "\nend\nno 0"
