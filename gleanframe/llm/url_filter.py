@@ -4,6 +4,9 @@ URLs that redirect to each other, or name each other as canonical, are aliases:
 of those links. The longest rule that fits a URL decides on it. A URL without a rule takes what is
 decided on its aliases: allowed if a rule allows one of them, else blocked if a rule blocks one,
 else allowed.
+
+Aliases are told apart by their names: scheme and host in lower case, without the scheme's own port and
+without fragment, an empty path as /. Links in comments, scripts and styles are none.
 """
 
 from __future__ import annotations
@@ -13,9 +16,12 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanframe.functions import text as t
 from gleanframe.functions import urls
 from gleanframe.llm.components import components
 from gleanframe.llm.tables import stored
+from gleanframe.operators.columns import with_once
+from gleanframe.operators.pages import visible_markup
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -55,26 +61,48 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits, nothing)
 
 
+def _decoded(text: Column) -> Column:
+    """Character references as characters: those of functions.text, and all numbers below 128, which are
+    what a URL can hold."""
+    for pattern, digits, base in ((r"&#([0-9]{1,3});", r"([0-9]+)", 10), (r"(?i)&#x([0-9a-f]{1,2});", r"(?i)x([0-9a-f]+)", 16)):
+        def put(url: Column, found: Column, digits=digits, base=base) -> Column:
+            number = F.conv(F.regexp_extract(found, digits, 1), base, 10).cast("int")
+            return F.when(number < 128, F.replace(url, found, F.char(number))).otherwise(url)
+
+        text = F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), text, put)
+    return t.unescape(text)
+
+
 def _target(html: Column, pattern: str, groups: int) -> Column:
     found = F.concat(*[F.regexp_extract(html, pattern, n + 1) for n in range(groups)])
-    found = F.replace(F.trim(found), F.lit("&amp;"), F.lit("&"))
+    found = F.trim(_decoded(found))
     return F.when(found != "", found)
 
 
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``a, b``: a page and the URL that it names as canonical or moves its readers to, both without
-    fragment. Only pages that mention such a link are searched for it."""
+    """``a, b``: a page and the URL that it names as canonical or moves its readers to, as names. Only pages that
+    mention such a link are searched for it."""
     html = F.col("html")
     rows = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).filter(
         F.lower(html).rlike("canonical|refresh") & F.col("url").isNotNull())
+    rows = with_once(rows, "html", visible_markup(html))
     found = rows.select("url", F.explode(F.array(
         _target(html, _CANONICAL, 3), _target(html, _REFRESH, 2))).alias("to")).dropna()
-    return found.select(_bare(F.col("url")).alias("a"),
-                        _bare(urls.resolve(F.col("url"), F.col("to"))).alias("b"))
+    return found.select(name_of(F.col("url")).alias("a"),
+                        name_of(urls.resolve(F.col("url"), F.col("to"))).alias("b"))
+
+
+_WHOLE = r"(?s)^([A-Za-z][-A-Za-z0-9+.]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
 
 
-def _bare(url: Column) -> Column:
-    return F.regexp_extract(url, r"^([^#]*)", 1)
+def name_of(url: Column) -> Column:
+    """The name of a URL among its aliases; what is no whole URL only loses its fragment."""
+    scheme, host, path, query = (F.regexp_extract(url, _WHOLE, n) for n in (1, 2, 3, 4))
+    scheme, host = (F.translate(x, CAPITALS, SMALL) for x in (scheme, host))
+    own = F.when(scheme == "http", F.regexp_replace(host, ":(?:80)?$", "")).when(
+        scheme == "https", F.regexp_replace(host, ":(?:443)?$", "")).otherwise(host)
+    whole = F.concat(scheme, F.lit("://"), own, F.when(path == "", "/").otherwise(path), query)
+    return F.when(scheme != "", whole).otherwise(F.regexp_extract(url, r"(?s)^([^#]*)", 1))
 
 
 def judge(pages: DataFrame, rules: list[Rule], links: DataFrame, id_col: str = "page_id",
@@ -82,7 +110,7 @@ def judge(pages: DataFrame, rules: list[Rule], links: DataFrame, id_col: str = "
     """Per row: id, host, path, rule and verdict. ``links`` holds the ends ``a, b`` of alias links
     of any source. A null url has an empty host and path and no aliases; rows that repeat are
     judged alike; no links leave each URL alone. Other columns are not read."""
-    aliases = components(links)
+    aliases = components(links.select(name_of(F.col("a")).alias("a"), name_of(F.col("b")).alias("b")))
     ruled = aliases.select("component", rule_of(
         host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"].alias("said"))
     decided = ruled.dropna().groupBy("component").agg(F.min("said").alias("said"))  # allow < block
@@ -91,7 +119,7 @@ def judge(pages: DataFrame, rules: list[Rule], links: DataFrame, id_col: str = "
     rows = pages.select(F.col(id_col), F.col(url_col).alias("_url"))
     rows = rows.withColumn("host", host_of(F.col("_url"))).withColumn("path", path_of(F.col("_url")))
     rows = rows.withColumn("_own", rule_of(F.col("host"), F.col("path"), rules))
-    rows = rows.withColumn("_node", _bare(F.col("_url"))).join(
+    rows = rows.withColumn("_node", name_of(F.col("_url"))).join(
         said, F.col("_node") == F.col("node"), "left")
     return rows.select(id_col, "host", "path", F.col("_own.rule").alias("rule"),
                        F.coalesce("_own.verdict", "said", F.lit("allow")).alias("verdict"))

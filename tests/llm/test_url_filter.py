@@ -63,3 +63,26 @@ def test_long_and_repeated_urls(table):
     long = "http://a.net/es/" + "x" * 200_000
     got = judged(table, [(1, long, None), (1, long, None), (None, "http://b.com/", "<link rel=canonical href=" + long)])
     assert got[1][2:] == ("net/es/", "block") and got[None][2:] == ("com/", "allow")
+
+
+def test_names_of_aliases(spark):
+    names = {"HTTP://Other.ORG/Path?Q#f": "http://other.org/Path?Q", "http://a.org:80": "http://a.org/",
+             "https://a.org:443/x": "https://a.org/x", "https://a.org:80/x": "https://a.org:80/x",
+             "http://a.org?q": "http://a.org/?q", "/relative#f": "/relative", "": "", None: None}
+    rows = spark.createDataFrame([(n,) for n in names], "url string").select("url", u.name_of(u.F.col("url")).alias("name"))
+    assert {r.url: r.name for r in rows.collect()} == names
+
+
+def test_one_alias_however_it_is_written(table):
+    canonical = '<link rel="canonical" href="{}">'
+    got = judged(table, [
+        (1, "HTTP://OTHER.org/p", None),  # named by 2, which names a blocked one, too
+        (2, "http://x.org/1", canonical.format("http://other.org/p")),
+        (3, "http://x.org/1", canonical.format("http://b.net/es/")),
+        (4, "http://y.org/", canonical.format("http://b.net/&#102;&#x72;&#x2F;?a=1&amp;b=2")),
+        (5, "http://c.org", canonical.format("http://d.org:80")),
+        (6, "http://d.org/#top", canonical.format("http://b.net/fr/")),
+        (7, "http://free.org/", "<!-- " + canonical.format("http://b.net/fr/") + " -->"),
+        (8, "http://also.org/", "<script>var x = '" + canonical.format("http://b.net/fr/") + "';</script>")])
+    assert {n: v[3] for n, v in got.items()} == {
+        1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "block", 7: "allow", 8: "allow"}
