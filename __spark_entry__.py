@@ -422,8 +422,7 @@ def retry_schedule_exception(i: Inputs) -> DataFrame:
 
 
 def frontier_ordered(i: Inputs) -> DataFrame:
-    retried = fetchlog.retry_schedule(i.failures()).filter(~F.col("gave_up"))
-    return frontier.frontier_ordered(retried, 100, discovery=("ts", "event_id")).select(
+    return frontier.frontier_ordered(fetchlog.retries_due(i.failures()), 100, discovery=("ts", "event_id")).select(
         "url", "event_id", "priority")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanframe.operators.skew import exact_rank
+from gleanframe.operators.skew import capped_rank, exact_rank
 
 # Retried status codes (fixed values).
 RETRY_CODES = [429, 500, 502, 503, 504, 408, 522, 524]
@@ -73,6 +73,17 @@ def retry_schedule(failures: DataFrame, key: str = "url", order: tuple[str, ...]
         _schedule(F.col("attempt"), F.col("_base"), max_retries, cap, mode)).drop("_base")
 
 
+def retries_due(failures: DataFrame, key: str = "url", order: tuple[str, ...] = ("ts", "event_id"),
+                max_retries: int = MAX_RETRIES, cap: int = DELAY_CAP_SECONDS, mode: str = "response",
+                priority: Column | None = None) -> DataFrame:
+    """The rows of retry_schedule that are not given up. Only the first ``max_retries`` failures of a URL are
+    ranked: each task keeps no more of one, and the log is read once."""
+    base = F.lit(0) if priority is None else priority
+    rows = failures.select(key, *order, base.alias("_base"))
+    first = capped_rank(rows, [key], list(order), max_retries, "attempt").filter(F.col("attempt") <= max_retries)
+    return first.withColumns(_schedule(F.col("attempt"), F.col("_base"), max_retries, cap, mode)).drop("_base")
+
+
 def retry_schedule_exception(failures: DataFrame, **options) -> DataFrame:
     """The schedule after an exception in a page callback."""
     return retry_schedule(failures, mode="exception", **options)

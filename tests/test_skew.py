@@ -111,3 +111,13 @@ def test_failure_report_has_one_row_per_url(spark, log):
     assert rows.filter("url = 0").first().failures == 10_000
     total = fetchlog.failure_totals(failures).first()
     assert (total.failures, total.urls) == (30_000, rows.count())
+
+
+def test_retries_due_are_the_schedule_without_what_was_given_up(spark):
+    from gleanframe.operators import fetchlog
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("url"), F.col("id").alias("event_id"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(100))).alias("ts"))
+    want = fetchlog.retry_schedule(rows).filter("not gave_up")
+    got = fetchlog.retries_due(rows).select(want.columns)
+    assert got.exceptAll(want).count() == 0 == want.exceptAll(got).count()
