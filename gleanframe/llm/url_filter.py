@@ -61,16 +61,20 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return F.coalesce(*fits, nothing)
 
 
+def _with_numbers(text: Column, pattern: str, digits: str, base: int) -> Column:
+    """The references of a pattern as the characters of their numbers."""
+    def put(url: Column, found: Column) -> Column:
+        number = F.conv(F.regexp_extract(found, digits, 1), base, 10).cast("int")
+        return F.when(number < 128, F.replace(url, found, F.char(number))).otherwise(url)
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), text, put)
+
+
 def _decoded(text: Column) -> Column:
     """Character references as characters: those of functions.text, and all numbers below 128, which are
     what a URL can hold."""
-    for pattern, digits, base in ((r"&#([0-9]{1,3});", r"([0-9]+)", 10), (r"(?i)&#x([0-9a-f]{1,2});", r"(?i)x([0-9a-f]+)", 16)):
-        def put(url: Column, found: Column, digits=digits, base=base) -> Column:
-            number = F.conv(F.regexp_extract(found, digits, 1), base, 10).cast("int")
-            return F.when(number < 128, F.replace(url, found, F.char(number))).otherwise(url)
-
-        text = F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), text, put)
-    return t.unescape(text)
+    text = _with_numbers(text, r"&#[0-9]{1,3};", r"([0-9]+)", 10)
+    return t.unescape(_with_numbers(text, r"(?i)&#x[0-9a-f]{1,2};", r"(?i)x([0-9a-f]+)", 16))
 
 
 def _target(html: Column, pattern: str, groups: int) -> Column:
