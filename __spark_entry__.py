@@ -305,6 +305,7 @@ def frontier_increment(i: Inputs) -> DataFrame:
     """The same against a store that the links of the listing pages came to in three appends."""
     links = i.links().withColumn("on_listing", frontier.has_page_parameter(F.col("url")))
     links = with_once(links, "url", urls.resolve(F.col("url"), F.col("href")))
+    links = Stored(links.select("page_id", "url", "on_listing"), "links").rows
     store = SeenStore(i.spark, f"seen_{uuid.uuid4().hex}", scratch_path(i.spark, "seen"), buckets=8)
     for part in range(3):
         store.add(links.filter(F.col("on_listing") & (F.col("page_id") % 3 == part)))
