@@ -33,6 +33,8 @@ from gleanframe.llm.texts import groups, mix, per_text, span_hashes, utf8
 # two substituted, of 15 or 16 with three and of 20 with four holds a seed of some mask (tried out).
 MASKS = ("11111", "110111", "111011", "1111011")
 BLOCK_BYTES = 8 << 20
+HITS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 21
 FILTER_BITS = 22
 WORD_BYTES = np.zeros(256, bool)
 for _first, _last in ((48, 57), (65, 90), (97, 122), (128, 255)):
@@ -79,7 +81,7 @@ class Items:
                  min_share: float):
         self.ids, self.words, self.firsts = ids, words, firsts
         self.min_words, self.percent = min_words, round(100 * min_share)
-        texts = per_text(firsts)
+        self.owner = per_text(firsts)  # item of each word
         found, places = [], []
         for mask in MASKS:
             values = seeds(words, mask)
@@ -101,7 +103,6 @@ class Items:
             places.append(np.array(at))
         order = np.argsort(values := np.concatenate(found), kind="stable")
         self.seeds, self.places = values[order], np.concatenate(places)[order]
-        self.texts = texts[self.places] if len(self.places) else self.places
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self._slot(self.seeds)] = True
 
@@ -110,53 +111,101 @@ class Items:
         return (values >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
     def look_up(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (number of the value, number of the seed) of all equal ones."""
-        maybe = np.flatnonzero(self.filter[self._slot(values)])
-        low = np.searchsorted(self.seeds, values[maybe], "left")
-        n = np.searchsorted(self.seeds, values[maybe], "right") - low
-        out = np.repeat(maybe, n)
-        return out, np.repeat(low, n) + np.arange(len(out)) - np.repeat(np.cumsum(n) - n, n)
-
-
-def longest_stretch(agree: np.ndarray, percent: int) -> tuple[int, int]:
-    """Begin and end of the longest stretch of which at least so many per cent agree, the last among
-    equals."""
-    sums = np.concatenate([[0], np.cumsum(100 * agree.astype(np.int64) - percent)])
+        """The first seed that equals each value, and how many do."""
+        low = np.searchsorted(self.seeds, values, "left")
+        return low, np.searchsorted(self.seeds, values, "right") - low
+
+
+def longest_stretches(agree: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end, within each of the runs laid one behind the other, of the longest stretch of which
+    at least so many per cent agree, the last among equals. No run is empty."""
+    run = np.repeat(np.arange(len(sizes)), sizes + 1)
+    first = np.cumsum(sizes + 1) - (sizes + 1)  # place of each run's empty sum
+    sums = np.zeros(len(run), np.int64)
+    steps = np.ones(len(run), bool)
+    steps[first] = False
+    sums[steps] = 100 * agree.astype(np.int64) - percent
+    # running sums of each run, which lie below each other, so that one ascending row holds their minima
+    apart = 400 * int(sizes.max()) + 1
+    sums = np.cumsum(sums)
+    sums += -sums[first][run] - run * apart
     lowest = np.minimum.accumulate(sums)
     begin = np.searchsorted(-lowest, -sums, "left")  # the first place that is no higher
-    lengths = np.arange(len(sums)) - begin
-    end = len(sums) - 1 - int(np.argmax(lengths[::-1]))
-    return int(begin[end]), end
-
-
-def search(items: Items, words: np.ndarray, firsts: np.ndarray) -> list[tuple[int, ...]]:
-    """``(text, item, from, to, item from, item to, agreeing words)``, the best per text and item."""
+    lengths = np.arange(len(run)) - begin
+    most = np.maximum.reduceat(lengths, first)
+    at = np.where(lengths == most[run], np.arange(len(run)), -1)
+    end = np.maximum.reduceat(at, first)
+    return begin[end] - first, end - first
+
+
+def _compared(items: Items, words: np.ndarray, firsts: np.ndarray, texts: np.ndarray, one: np.ndarray,
+              two: np.ndarray) -> np.ndarray:
+    """The passages on diagonals that begin at these words of the texts and of the items: rows of text,
+    item, agreeing words, place in the words of the texts, place in those of the items, and length."""
+    text, item = texts[one], items.owner[two]
+    sizes = np.minimum(firsts[text + 1] - one, items.firsts[item + 1] - two)
+    needed = np.minimum(items.min_words, np.diff(items.firsts)[item])
+    at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    agree = words[np.repeat(one, sizes) + at] == items.words[np.repeat(two, sizes) + at]
+    sums = np.concatenate([[0], np.cumsum(agree)])
+    ends = np.cumsum(sizes)
+    # most diagonals hold no more than a common phrase: too few words agree on all of it
+    enough = (sizes >= needed) & (100 * (sums[ends] - sums[ends - sizes]) >= items.percent * needed)
+    if not enough.any():
+        return np.zeros((6, 0), np.int64)
+    agree = agree[np.repeat(enough, sizes)]
+    text, item, one, two, sizes, needed = (x[enough] for x in (text, item, one, two, sizes, needed))
+    begin, end = longest_stretches(agree, sizes, items.percent)
+    sums = np.concatenate([[0], np.cumsum(agree)])
+    start = np.cumsum(sizes) - sizes
+    same = sums[start + end] - sums[start + begin]
+    long = end - begin >= needed
+    return np.stack([text, item, same, one + begin, two + begin, end - begin])[:, long]
+
+
+def _best(found: np.ndarray) -> np.ndarray:
+    """One passage per text and item: the one with the most agreeing words, then the first in the text
+    and in the item."""
+    order = np.lexsort((found[4], found[3], -found[2], found[1], found[0]))
+    found = found[:, order]
+    new = np.ones(found.shape[1], bool)
+    new[1:] = (np.diff(found[0]) != 0) | (np.diff(found[1]) != 0)
+    return found[:, new]
+
+
+def search(items: Items, words: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Columns of text, item, from, to, item from, item to and agreeing words, the best per text and item.
+
+    A phrase that is frequent on both sides gives many diagonals. Hits are taken a bounded number at a
+    time, each diagonal is compared in one pass with all others, and only the best passages are kept
+    from one such part to the next."""
     texts = per_text(firsts)
-    pairs = []
+    best = np.zeros((6, 0), np.int64)
     for mask in items.masks:
         values = seeds(words, mask)
-        at, seed = items.look_up(values)
-        inside = whole(firsts, len(values), len(mask))[at]
-        pairs.append((at[inside], seed[inside]))
-    at, seed = (np.concatenate(x) for x in zip(*pairs))
-    if not len(at):
-        return []
-    # one comparison per text, item and diagonal
-    runs = np.unique(np.stack([texts[at], items.texts[seed], at - items.places[seed]]), axis=1)
-    best: dict[tuple[int, int], tuple[int, ...]] = {}
-    for text, item, shift in runs.T.tolist():
-        first, last = int(items.firsts[item]), int(items.firsts[item + 1])
-        low = max(first, int(firsts[text]) - shift)
-        high = min(last, int(firsts[text + 1]) - shift)
-        agree = words[low + shift:high + shift] == items.words[low:high]
-        begin, end = longest_stretch(agree, items.percent)
-        n, same = end - begin, int(agree[begin:end].sum())
-        if n < min(items.min_words, last - first):
-            continue
-        found = (same, low + shift + begin - int(firsts[text]), low + begin - first, n)
-        if found[0] > best.get((text, item), (0,))[0]:
-            best[text, item] = found
-    return [(text, item, d, d + n, i, i + n, same) for (text, item), (same, d, i, n) in best.items()]
+        at = np.flatnonzero(items.filter[items._slot(values)] & whole(firsts, len(values), len(mask)))
+        low, hits = items.look_up(values[at])
+        at, low, hits = at[hits > 0], low[hits > 0], hits[hits > 0]
+        ends = np.cumsum(hits)
+        done, total = 0, int(ends[-1]) if len(ends) else 0
+        while done < total:
+            number = np.arange(done, min(done + HITS_AT_ONCE, total))
+            done += len(number)
+            value = np.searchsorted(ends, number, "right")
+            seed = low[value] + number - (ends[value] - hits[value])
+            one, two = at[value], items.places[seed]
+            # where the diagonals of the hits begin, each once
+            back = np.minimum(one - firsts[texts[one]], two - items.firsts[items.owner[two]])
+            key = np.unique((one - back) * len(items.words) + two - back)
+            one, two = np.divmod(key, len(items.words))
+            step = np.cumsum(np.diff(items.firsts)[items.owner[two]]) // WORDS_AT_ONCE
+            for part in np.split(np.arange(len(key)), np.flatnonzero(np.diff(step)) + 1):
+                found = _compared(items, words, firsts, texts, one[part], two[part])
+                if found.size:
+                    best = _best(np.concatenate([best, found], axis=1))
+    text, item, same, d, i, n = best
+    d, i = d - firsts[text], i - items.firsts[item]
+    return np.stack([text, item, d, d + n, i, i + n, same])
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, min_words: int,
@@ -186,11 +235,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13, min_sha
         def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in groups(batches):
                 words, firsts = word_hashes(batch.column("text"))
-                found = search(items, words, firsts)
-                if found:
-                    text, item, *rest = zip(*found)
+                text, item, *rest = search(items, words, firsts)
+                if len(text):
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").take(pa.array(text)), pa.array(items.ids[list(item)]),
+                        [batch.column("id").take(pa.array(text)), pa.array(items.ids[item]),
                          *(pa.array(c, pa.int64()) for c in rest)], names)
 
         out = out.unionByName(texts.mapInArrow(run, HITS))
@@ -209,7 +257,7 @@ def without_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 13,
             for batch in groups(batches, text_col):
                 words, firsts = word_hashes(batch.column(text_col))
                 clean = np.ones(batch.num_rows, bool)
-                clean[[found[0] for found in search(items, words, firsts)]] = False
+                clean[search(items, words, firsts)[0]] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, schema)

@@ -1,4 +1,8 @@
 import random
+import time
+
+import numpy as np
+import pyarrow as pa
 
 from gleanframe.llm import decontaminate as d
 
@@ -70,3 +74,52 @@ def test_long_text(table):
     item = " ".join(f"q{k}" for k in range(30))
     got = found(table, [(1, "pad " * 300_000 + item)], [(5, item)])
     assert got[1, 5].doc_from == 300_000
+
+
+def hashed(texts):
+    return d.word_hashes(pa.array(texts))
+
+
+def test_a_frequent_phrase_on_both_sides():
+    rng = random.Random(8)
+    phrase = "which of the following is the most"
+    own = [" ".join(f"i{n}w{rng.randrange(10**6)}" for _ in range(12)) for n in range(4000)]
+    words, firsts = hashed([f"{phrase} {x}" for x in own])
+    items = d.Items(np.arange(4000), words, firsts, 13, 0.8)
+    pad = [" ".join(f"p{rng.randrange(10**6)}" for _ in range(9)) for _ in range(100)]
+    text = " ".join(f"{x} {phrase}" for x in pad)
+    start = time.perf_counter()
+    assert not d.search(items, *hashed([text])).size
+    assert time.perf_counter() - start < 3
+    got = d.search(items, *hashed([text + " " + own[17] + " end", None, own[3]]))
+    assert got[:2].T.tolist() == [[0, 17]] and got[6].tolist() == [19]
+
+
+def test_hits_in_parts_give_the_same(monkeypatch):
+    rng = random.Random(9)
+    words = [f"v{n}" for n in range(6)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 60))) for _ in range(20)]
+    benchmark = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 30))) for _ in range(30)]
+    hashes, firsts = hashed(benchmark)
+    items = d.Items(np.arange(30), hashes, firsts, 13, 0.8)
+    whole = d.search(items, *hashed(texts)).T.tolist()
+    assert len(whole) > 15
+    for text, item, low, high, item_low, item_high, same in whole:
+        a, b = texts[text].split()[low:high], benchmark[item].split()[item_low:item_high]
+        assert same == sum(x == y for x, y in zip(a, b, strict=True)) >= 0.8 * len(a)
+        assert len(a) >= min(13, len(benchmark[item].split()))
+    monkeypatch.setattr(d, "HITS_AT_ONCE", 7)
+    monkeypatch.setattr(d, "WORDS_AT_ONCE", 50)
+    assert d.search(items, *hashed(texts)).T.tolist() == whole
+
+
+def test_longest_stretches_equal_plain_loops():
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 40, 300)
+    agree = rng.random(sizes.sum()) < np.repeat(rng.random(300), sizes)
+    begin, end = d.longest_stretches(agree, sizes, 80)
+    for low, n, b, e in zip(np.cumsum(sizes) - sizes, sizes, begin, end):
+        run = agree[low:low + n]
+        fine = [(j - i, j) for i in range(n) for j in range(i, n + 1) if run[i:j].sum() * 100 >= 80 * (j - i)]
+        most = max(fine)[0]
+        assert e - b == most and (not most or run[b:e].sum() * 100 >= 80 * most)
