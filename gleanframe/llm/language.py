@@ -5,10 +5,12 @@ n-grams, learns to predict that bit; bits that held-out margins show to be unsur
 gets the language whose codeword has the least weighted exponential loss against its margins, and is
 flagged as ambiguous where the second is about as near.
 
-A text whose least loss is nearer to that of a text that shows nothing, which is 1, than to the largest
-among training texts, each decoded by classifiers that were not fitted on it, is in none of the languages
-(``Model.rejects``). Texts shorter than nearly all that were learnt from are not judged so, as a clean
-short text can look like that, nor are any where such losses come near 1 or there is one language only.
+Losses compare languages with each other and say little of a text in none of them. So a text is rejected
+(``Model.rejects``) for want of evidence: by how many bits a byte n-gram of it is more likely in the language
+that fits it best than by chance, on average. Training texts, each measured without its own share in the
+counts, have about two bits; a text with less than ``LEAST`` of their median is in none of the languages.
+The measure counts as though ``BEFORE`` bytes with the usual evidence stood before each text, so that a word
+or two do not decide, with no switch at any size.
 
 Training sees at most ``sample_rows`` labelled texts, the same number of each language, chosen by a
 hash of their id. That is all that reaches the driver, as one row of ``DIMENSIONS`` counts each.
@@ -36,7 +38,9 @@ DIMENSIONS = 1 << 12
 GRAMS = (2, 3, 4)
 RIDGE = 0.05
 UNKNOWN = "und"
-SHORT = 0.05  # of the training texts are shorter than any text that is rejected
+LEAST = 0.1  # of the usual evidence is the least of a text in one of the languages
+BEFORE = 16
+CHANCE = 0.05  # of all n-grams are as likely as any other, in every language
 ROWS = 128  # texts whose counts are held at once
 # letters of ASCII and all bytes of other characters stay, the rest is one kind of gap
 _SEEN = np.full(256, 32, np.uint64)
@@ -84,22 +88,19 @@ class Model:
     weights: np.ndarray  # dimension by bit
     trust: np.ndarray  # per bit
     scale: float
-    bound: float = np.inf  # of the least loss of a text in one of the languages
-    judged: float = 0.0  # bytes that a text needs to be rejected
+    likely: np.ndarray  # dimension by language: bits against chance
+    usual: float = 0.0  # evidence of a text in one of the languages; nothing is rejected where it is not above 0
 
     def losses(self, rows: np.ndarray) -> np.ndarray:
         """Weighted loss of each row against each codeword."""
-        return self.against(rows @ self.weights)
-
-    def against(self, margins: np.ndarray) -> np.ndarray:
-        margins = np.clip(self.scale * margins, -8, 8)
+        margins = np.clip(self.scale * (rows @ self.weights), -8, 8)
         return (np.exp(-margins[:, None, :] * self.codes[None]) * self.trust).sum(axis=2)
 
     def rejects(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Is a text of so many bytes in none of the languages?"""
-        if not np.isfinite(self.bound):
-            return np.zeros(len(rows), bool)
-        return (self.losses(rows).min(axis=1) > self.bound) & (sizes >= self.judged)
+        """Is a text of so many bytes in none of the languages? One without n-grams is not judged."""
+        evidence = (np.square(rows) @ self.likely).max(axis=1)
+        smooth = (sizes * evidence + BEFORE * self.usual) / (sizes + BEFORE)
+        return (smooth < LEAST * self.usual) & rows.any(axis=1) & (self.usual > 0)
 
     def decode(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the nearest language, a score from 0 to 1, and whether it is ambiguous."""
@@ -112,15 +113,33 @@ class Model:
         return order[:, 0], 1 / shares.sum(axis=1), least[:, 1] < 1.25 * least[:, 0]
 
 
-def fit(rows: np.ndarray, labels: list[str], sizes: np.ndarray | None = None) -> Model:
+def bits(counts: np.ndarray) -> np.ndarray:
+    """How much likelier each n-gram is than by chance, in bits, from a language's counts."""
+    shares = counts / counts.sum()
+    return np.log2((1 - CHANCE) * DIMENSIONS * shares + CHANCE)
+
+
+def evidence_of(rows: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, float]:
+    """Bits of each language, and the median evidence of its own texts, each left out of the counts; 0
+    where every language has one text only."""
+    shares = np.square(rows, dtype=float)
+    counts = np.stack([shares[number == k].sum(axis=0) + 1e-9 for k in range(number.max() + 1)])
+    texts = np.bincount(number)
+    found = [shares[k] @ bits(np.maximum(counts[n] - shares[k], 0))
+             for k, n in enumerate(number) if texts[n] > 1 and rows[k].any()]
+    return np.stack([bits(c) for c in counts], axis=1).astype(np.float32), float(np.median(found or [0.0]))
+
+
+def fit(rows: np.ndarray, labels: list[str]) -> Model:
     """Ridge classifiers for all bits, in closed form; margins with each text left out tell how far
-    to trust a bit, and what loss a text of these languages can have."""
+    to trust a bit."""
     languages = sorted(set(labels))
     codes = codewords(len(languages))
-    number = {x: n for n, x in enumerate(languages)}
-    wanted = codes[[number[x] for x in labels]]
+    number = np.array([languages.index(x) for x in labels])
+    evidence = evidence_of(rows, number)
+    wanted = codes[number]
     if len(languages) == 1:
-        return Model(languages, codes, np.zeros((rows.shape[1], 0), np.float32), np.ones(0), 1.0)
+        return Model(languages, codes, np.zeros((rows.shape[1], 0), np.float32), np.ones(0), 1.0, *evidence)
     alike = (rows @ rows.T).astype(float)
     alike[np.diag_indices(len(rows))] += RIDGE
     inverse = np.linalg.inv(alike)
@@ -128,14 +147,8 @@ def fit(rows: np.ndarray, labels: list[str], sizes: np.ndarray | None = None) ->
     left_out = wanted - alpha / np.diag(inverse)[:, None]
     wrong = np.clip((left_out * wanted < 0).mean(axis=0), 0.01, 0.49)
     trust = np.log((1 - wrong) / wrong)
-    model = Model(languages, codes, rows.T @ alpha.astype(np.float32), trust / trust.sum(),
-                  float(2 / max(1e-6, np.abs(left_out).mean())))
-    most = max(model.against(left_out[k:k + 16]).min(axis=1).max() for k in range(0, len(rows), 16))
-    if most < 1:
-        model.bound = (1 + most) / 2
-    if sizes is not None:
-        model.judged = float(np.quantile(sizes, SHORT))
-    return model
+    return Model(languages, codes, rows.T @ alpha.astype(np.float32), trust / trust.sum(),
+                 float(2 / max(1e-6, np.abs(left_out).mean())), *evidence)
 
 
 def learnable(id_col: str = "doc_id") -> Column:
@@ -166,23 +179,19 @@ def train(docs: DataFrame, sample_rows: int = 1200, id_col: str = "doc_id", text
         for batch in _slices(batches):
             counts = features(batch.column("text"))
             yield pa.RecordBatch.from_arrays([
-                batch.column("id"), batch.column("lang"), _sizes(batch.column("text")),
-                pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "lang", "size", "counts"])
+                batch.column("id"), batch.column("lang"),
+                pa.array([x.tobytes() for x in counts], pa.binary())], ["id", "lang", "counts"])
 
-    found = texts.mapInArrow(run, "id bigint, lang string, size bigint, counts binary").limit(2 * sample_rows).toArrow()
+    found = texts.mapInArrow(run, "id bigint, lang string, counts binary").limit(2 * sample_rows).toArrow()
     found = found.sort_by([("id", "ascending"), ("lang", "ascending")])
     if not found.num_rows:
         return None
     counts = np.empty((found.num_rows, DIMENSIONS), np.float32)
     for n, row in enumerate(found.column("counts")):
         counts[n] = np.frombuffer(row.as_buffer(), np.float32)
-    labels, sizes = found.column("lang").to_pylist(), found.column("size").to_numpy()
+    labels = found.column("lang").to_pylist()
     del found
-    return fit(counts, labels, sizes)
-
-
-def _sizes(column: pa.Array) -> pa.Array:
-    return pc.binary_length(column).cast(pa.int64())
+    return fit(counts, labels)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -202,8 +211,8 @@ def with_language(rows: DataFrame, model: Model | None, text_col: str = "text")
         for batch in _slices(batches, text_col):
             column = pc.fill_null(batch.column(text_col), "")
             keep = _letters(column)
-            if model is not None and np.isfinite(model.bound):
-                keep = keep & ~model.rejects(features(column), _sizes(column).to_numpy())
+            if model is not None:
+                keep = keep & ~model.rejects(features(column), pc.binary_length(column).to_numpy())
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     reach_workers(rows.sparkSession)

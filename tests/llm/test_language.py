@@ -95,3 +95,36 @@ def test_texts_in_no_language_are_rejected(table):
     short = [(1002, "qx zk", None), (1003, "the", None), (1004, "1 2", None), (1005, None, None)]
     kept = {r.doc_id for r in la.with_language(docs(table, data + strange + short), model).collect()}
     assert kept == {k for k, *_ in data} | {1002, 1003}
+
+
+HELD_OUT = {  # sentences in languages and scripts that no document has
+    "pl": "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+    "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki",
+    "ru": "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+    "ar": "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق وقد وهبوا عقلا وضميرا",
+    "ja": "すべての人間は 生まれながらにして 自由であり かつ 尊厳と 権利とについて 平等である"}
+
+
+def test_unseen_languages_go_and_labelled_texts_stay(spark):
+    docs_ = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = la.train(docs_)
+    rng = random.Random(6)
+    strange = [" ".join(rng.choices(t.split(), k=k)) for t in HELD_OUT.values() for k in (40, 120, 600)]
+    strange += [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(k))
+                for k in (10, 40, 120, 600)]
+    odd = docs_.limit(0).unionByName(spark.createDataFrame(
+        [(10**9 + n, t, None, "s", len(t)) for n, t in enumerate(strange)], docs_.schema))
+    assert la.with_language(odd, model).count() == 0
+    labelled = docs_.filter("lang is not null and text rlike '[[:alpha:]]'".replace("[[:alpha:]]", "\\\\p{L}"))
+    assert la.with_language(labelled, model).count() == labelled.count() > 500
+
+
+def test_a_word_or_two_is_not_rejected(table):
+    model = la.train(docs(table, rows(5, 400)))
+    few = [(n, t, None) for n, t in enumerate(["the", "nicht", "qx zk", "x"])]
+    assert la.with_language(docs(table, few), model).count() == 4
+
+
+def test_one_text_of_each_language_bounds_nothing(table):
+    model = la.train(docs(table, [(2, "the of and", "xx"), (3, "der die das", "yy"), (1, "le la", "zz")]))
+    assert la.with_language(docs(table, [(1, "qqq www zzz " * 9, None)]), model).count() == 1
