@@ -5,12 +5,22 @@ space behind another character, so words are encoded alone, and equal words once
 Words of one length advance together: at each end, the substrings of all lengths are looked up by
 their hashes in the sorted keys of the pieces, and the best predecessor is stored as a back pointer.
 
-The models are of the BPE kind. There a path is as good as it is possible: a piece may follow another
-only if merging the text of both, by score and from the left, ends in just these two. Merges of other
-words' parts do not interfere, so the encoding of a word is the path all of whose neighbours may
-follow each other; each end has one such predecessor. Whether two pieces may is found by merging
+Each end keeps the best sum of scores of a path to it. In a unigram model a step scores as its piece does,
+in the library's precision; of equal sums the longest last piece wins. The library adds up from the begin of
+the text and not of the word, so it may order the pieces of equally good paths otherwise.
+
+In a BPE model a path is as good as it is possible: a piece may follow another only if merging the text of
+both, by score and from the left, ends in just these two. Such a step scores 0, any other minus infinity.
+Merges of other words' parts do not interfere, so the encoding of a word is the path all of whose neighbours
+may follow each other; each end has one such predecessor. Whether two pieces may is found by merging
 their text, again for many pairs at once, and remembered.
 
+That also lets a long word without spaces be cut: windows of it that overlap are encoded like words of one
+length, and joined at a piece that both have in the same place. All neighbours in the joined path may
+follow each other, so it is the encoding of the whole. Where two windows share no piece, the windows from there
+on are laid anew from an end of a piece of the first; where that fails, the word is encoded at one go. So are long
+words in unigram models, whose best path may depend on text far away.
+
 A model's file is read where the plan is made; the tables made from it (a few MB) travel with the
 tasks.
 """
@@ -35,6 +45,8 @@ GROUPS_LEARNT = 12  # whose new words are encoded together
 FILTER_BITS = 22
 MEMORY_BITS = 21  # of the table of pairs that were tried
 WORDS_AT_ONCE = 1 << 14
+STEP = 720  # of the windows of a long word: a multiple of the lengths of most pieces, for runs of one character
+OVERLAP = 96
 WORDS_KEPT = 1 << 20  # words whose pieces are remembered; with more the memory starts afresh
 
 
@@ -75,10 +87,14 @@ class Vocabulary:
         with open(model_file, "rb") as file:
             model.ParseFromString(file.read())
         norm = model.normalizer_spec
-        if model.trainer_spec.model_type != proto.TrainerSpec.BPE or norm.precompiled_charsmap or (
+        kind, known = model.trainer_spec.model_type, proto.TrainerSpec
+        if kind not in (known.BPE, known.UNIGRAM) or norm.precompiled_charsmap or (
                 norm.remove_extra_whitespaces or not norm.escape_whitespaces):
-            raise ValueError("only BPE models that keep their text as it is")
+            raise ValueError("only BPE and unigram models that keep their text as it is")
         kinds = proto.ModelProto.SentencePiece
+        self.merges = kind == known.BPE
+        if not self.merges and any(piece.type == kinds.USER_DEFINED for piece in model.pieces):
+            raise ValueError("a unigram model with pieces of the user's own")
         self.prefix = norm.add_dummy_prefix
         self.surface: list[bytes] = []
         self.bytes = np.full(256, -1, np.int32)
@@ -100,7 +116,10 @@ class Vocabulary:
             score.append(piece.score)
         if any(chr(SPACE) in name.lstrip(chr(SPACE)) for name in names):
             raise ValueError("a piece spans a space")
+        if not self.merges and not set("".join(names)) <= set(names):
+            raise ValueError("a unigram model with a character that is no piece")
         self.longest = max(map(len, names))
+        self.scores = np.array(score, np.float32)
         ids = np.array(list(names.values()))
         # sorted keys of the pieces
         keys = np.array([_word_hash(_points(name)) for name in names], np.uint64)
@@ -246,34 +265,90 @@ class Encoder:
         other, and how many each word has. All characters must be pieces."""
         vocabulary = self.vocabulary
         n, length = rows.shape
-        sums, inverse = _hash_rows(rows), _powers(length, INVERSE)
-        last = np.full((length + 1, n), -1, np.int32)  # best piece that ends here
-        back = np.zeros((length + 1, n), np.uint8)  # and its length
+        sums, inverse = np.ascontiguousarray(_hash_rows(rows).T), _powers(length, INVERSE)
+        best = np.full((length + 1, n), -np.inf, np.float32)  # sum of scores of the path to each end
+        best[0] = 0
+        last = np.full((length + 1, n), -1, np.int32)  # its last piece
+        back = np.zeros((length + 1, n), np.int32)  # and the length of that
+        every = np.arange(n)
         for end in range(1, length + 1):
-            for size in range(1, min(end, vocabulary.longest) + 1):
-                begin = end - size
-                piece = vocabulary.find(mix((sums[:, end] - sums[:, begin]) * inverse[begin]))
-                if begin:
-                    at = np.flatnonzero((piece >= 0) & (last[begin] >= 0))
-                    at = at[vocabulary.alone[piece[at]]]
-                    at = at[self.may_follow(last[begin, at], piece[at])]
-                else:
-                    at = np.flatnonzero(piece >= 0)
-                    at = at[vocabulary.alone[piece[at]]]
-                last[end, at] = piece[at]
-                back[end, at] = size
+            low = max(0, end - vocabulary.longest)  # the longest piece comes first
+            piece = vocabulary.find(mix((sums[end] - sums[low:end]) * inverse[low:end, None]))
+            score = np.full(piece.shape, -np.inf, np.float32)
+            begin, row = np.nonzero((piece >= 0) & (best[low:end] > -np.inf))
+            found = piece[begin, row]
+            if vocabulary.merges:
+                fits = vocabulary.alone[found]
+                begin, row, found = begin[fits], row[fits], found[fits]
+                fits = begin + low == 0
+                inner = np.flatnonzero(~fits)
+                fits[inner] = self.may_follow(last[begin[inner] + low, row[inner]], found[inner])
+                score[begin[fits], row[fits]] = 0
+            else:
+                score[begin, row] = best[begin + low, row] + vocabulary.scores[found]
+            top = np.argmax(score, axis=0)
+            best[end] = score[top, every]
+            last[end] = piece[top, every]
+            back[end] = end - low - top
         # follow the back pointers of all words at once
         ids = np.full((n, length), -1, np.int32)
-        at, row = np.full(n, length), np.arange(n)
+        at = np.full(n, length)
         for step in range(length - 1, -1, -1):
-            live = at > 0
-            ids[live, step] = last[at[live], row[live]]
-            at[live] -= back[at[live], row[live]]
-            if not live.any():
+            live = np.flatnonzero(at > 0)
+            if not len(live):
                 break
+            ids[live, step] = last[at[live], live]
+            at[live] -= back[at[live], live]
         used = ids >= 0
         return ids[used], used.sum(axis=1)
 
+    def long_words(self, words: list[np.ndarray], again: int = 0) -> list[np.ndarray]:
+        """Pieces of each of the words, which are longer than a window; ``again`` counts how often a
+        word's windows have been laid anew."""
+        if not self.vocabulary.merges:
+            return [self.words(word[None])[0] for word in words]
+        size = STEP + OVERLAP
+        begins = [np.append(np.arange(0, len(word) - size, STEP), len(word) - size) for word in words]
+        windows = [(word, begin) for word, at in zip(words, begins) for begin in at.tolist()]
+        parts: list[np.ndarray] = []
+        for k in range(0, len(windows), 1024):
+            ids, counts = self.words(np.stack([word[at:at + size] for word, at in windows[k:k + 1024]]))
+            parts += np.split(ids, np.cumsum(counts)[:-1])
+        own = iter(parts)
+        return [self._joined(word, at.tolist(), [next(own) for _ in at], again) for word, at in zip(words, begins)]
+
+    def _places(self, ids: np.ndarray, begin: int) -> np.ndarray:
+        """Where each piece begins."""
+        size = self.vocabulary.lengths[ids]
+        return begin + np.cumsum(size) - size
+
+    def _joined(self, word: np.ndarray, begins: list[int], parts: list[np.ndarray], again: int) -> np.ndarray:
+        """The encoding of a word from those of its windows."""
+        out = []
+        ids, at = parts[0], self._places(parts[0], begins[0])
+        for begin, more in zip(begins[1:], parts[1:]):
+            there = self._places(more, begin)
+            _, one, two = np.intersect1d(at, there, assume_unique=True, return_indices=True)
+            same = np.flatnonzero(ids[one] == more[two])
+            if not len(same):
+                rest = self._laid_anew(word, ids, at, begin, again)
+                return self.words(word[None])[0] if rest is None else np.concatenate([*out, rest])
+            out.append(ids[:one[same[0]]])
+            ids, at = more[two[same[0]]:], there[two[same[0]]:]
+        return np.concatenate([*out, ids])
+
+    def _laid_anew(self, word: np.ndarray, ids: np.ndarray, at: np.ndarray, begin: int,
+                   again: int) -> np.ndarray | None:
+        """The pieces from the first of these on, where the window from ``begin`` shares none with them:
+        the windows of what is left begin at an end of one of them. None if no end serves."""
+        for k in np.flatnonzero((at >= begin) & (at > at[0]))[::-1].tolist() if again < 3 else ():
+            rest = word[at[k]:]
+            if self.may_follow(ids[k - 1:k], self.words(rest[None, :STEP + OVERLAP])[0][:1])[0]:
+                rest = self.long_words([rest], again + 1)[0] if len(rest) > 2 * STEP else self.words(rest[None])[0]
+                if self.may_follow(ids[k - 1:k], rest[:1])[0]:
+                    return np.concatenate([ids[:k], rest])
+        return None
+
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Characters of the texts, which of them are pieces, and where texts and words begin."""
         vocabulary = self.vocabulary
@@ -351,6 +426,11 @@ class Encoder:
                     counts[w] = len(ids)
                     parts.append((np.array([w]), ids))
                 group = group[known[begin[group]]]
+            if length > 2 * STEP:
+                found = self.long_words([points[begin[w]:begin[w] + length] for w in group])
+                counts[group] = [len(ids) for ids in found]
+                parts.append((group, np.concatenate(found)))
+                continue
             step = max(1, WORDS_AT_ONCE * 8 // length)
             for part in (group[k:k + step] for k in range(0, len(group), step)):
                 ids, n = self.words(points[begin[part][:, None] + np.arange(length)])
