@@ -9,6 +9,9 @@ not depend on the order of rows or tasks, and a text passes or fails the same wa
 
 The threshold lies where the labelled texts that had no part in the trusted counts are told apart best;
 losing a trusted text weighs ``TRUST`` times as much as keeping a rejected one.
+
+Every label counts. The half of the texts whose ids may be learnt from is shuffled to the labels, so that no
+task holds them all; the other texts stay where they are.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ from gleanframe.session import reach_workers
 
 BUCKETS = 1 << 16  # for single words, and as many for pairs
 PSEUDO = 20
-LABEL_ROWS = 1 << 20
 TRUST = 10
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -159,7 +161,7 @@ def _judge(weight: np.ndarray | None):
             if weight is not None:
                 np.add.at(total, text, weight[bucket])
             rows = {
-                "doc_id": group.column("doc_id"), "labelled": group.column("labelled"),
+                "doc_id": group.column("doc_id"),
                 "n_words": np.diff(found.firsts).astype(np.int64), "word_chars": found.word_chars(),
                 "n_symbols": found.symbols(),
                 "n_dup_lines": np.array([duplicate_lines(x.as_py()) for x in group.column("text")], np.int64),
@@ -168,11 +170,16 @@ def _judge(weight: np.ndarray | None):
     return judge
 
 
-def label_classes(labels: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
+def _half(id_col: str) -> Column:
+    """Half of the ids, by a hash; not a null one."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 2 == 0, F.lit(False))
+
+
+def label_classes(labels: DataFrame, rows: int | None = None) -> DataFrame:
     """One row per labelled id: ``labelled`` is 1 where all its rows say good quality and none says toxic, 0 where
     all say poor quality; others say nothing. ``learn`` marks half of the trusted ones, by a hash of the id.
 
-    Of more than ``rows`` ids, about ``rows`` chosen by a hash: the bound of what is broadcast.
+    All ids, unless a caller asks for about ``rows`` of them, chosen by a hash.
     """
     per_id = labels.filter("doc_id is not null and quality is not null").groupBy(
         F.col("doc_id").cast("bigint").alias("_id")).agg(
@@ -180,10 +187,11 @@ def label_classes(labels: DataFrame, rows: int = LABEL_ROWS) -> DataFrame:
         F.coalesce(F.max("toxic"), F.lit(0)).alias("toxic"))
     kind = F.when((F.col("least") > 0) & (F.col("toxic") == 0), 1).when(F.col("most") <= 0, 0)
     known = per_id.select("_id", kind.alias("labelled")).filter("labelled is not null")
-    share = rows / max(rows, known.count())
-    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 20))
-    return known.filter(place < math.ceil(share * (1 << 20))).withColumn(
-        "learn", (F.col("labelled") == 1) & (F.crc32(F.col("_id").cast("string")) % 2 == 0))
+    if rows is not None:
+        share = rows / max(rows, known.count())
+        place = F.pmod(F.xxhash64("_id"), F.lit(1 << 20))
+        known = known.filter(place < math.ceil(share * (1 << 20)))
+    return known.withColumn("learn", (F.col("labelled") == 1) & _half("_id"))
 
 
 def base_failed(min_words: int = MIN_WORDS, repeat_percent: int = REPEAT_PERCENT) -> Column:
@@ -210,7 +218,16 @@ def threshold(steps: list[tuple[int, int, int]]) -> int | None:
     return best[1]
 
 
-def judge_documents(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS, id_col: str = "doc_id",
+def _with_learn(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Every text, and whether it is counted as a trusted one."""
+    half = _half("doc_id")
+    learn = classes.filter("learn").select("_id", "learn").hint("merge")
+    first = texts.filter(half).join(learn, F.col("doc_id") == F.col("_id"), "left").select(
+        "text", F.coalesce("learn", F.lit(False)).alias("learn"))
+    return first.unionByName(texts.filter(~half).select("text", F.lit(False).alias("learn")))
+
+
+def judge_documents(docs: DataFrame, labels: DataFrame, rows: int | None = None, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per document: the counts, ``base_failed``, ``score`` (mean logarithm per n-gram) and ``kept``.
 
@@ -220,20 +237,18 @@ def judge_documents(docs: DataFrame, labels: DataFrame, rows: int = LABEL_ROWS,
     """
     spark = docs.sparkSession
     reach_workers(spark)
-    classes = F.broadcast(label_classes(labels, rows))
+    classes = stored(label_classes(labels, rows), "labels")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = texts.join(classes, F.col("doc_id") == F.col("_id"), "left").select(
-        "doc_id", "text", "labelled", F.coalesce("learn", F.lit(False)).alias("learn"))
     with storing(spark):
-        counts = marked.select("text", "learn").mapInArrow(
+        counts = _with_learn(texts, classes).mapInArrow(
             _count_grams, "bucket int, raw long, trusted long").groupBy("bucket").agg(
             F.sum("raw"), F.sum("trusted")).collect()  # at most 2 * BUCKETS rows
-    judged = stored(marked.select(
-        "doc_id", "text", F.when(~F.col("learn"), F.col("labelled")).alias("labelled")).mapInArrow(
+    judged = stored(texts.mapInArrow(
         _judge(weights([tuple(c) for c in counts])),
-        "doc_id long, labelled int, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
         "n_repeat_words long, n_grams long, total long"), "quality")
-    steps = judged.filter("labelled is not null").filter(~base_failed()).groupBy(_step().alias("step")).agg(
+    tested = classes.filter("not learn").select("_id", "labelled").hint("merge")
+    steps = judged.filter(~base_failed()).join(tested, F.col("doc_id") == F.col("_id")).groupBy(_step().alias("step")).agg(
         F.count_if(F.col("labelled") == 1), F.count_if(F.col("labelled") == 0)).collect()  # a row per step
     least = threshold([tuple(s) for s in steps])
     passes = F.lit(True) if least is None else _step() >= least

@@ -123,6 +123,17 @@ def test_bounded_labels(table):
     assert len(found(table, docs, labels, rows=30)) == len(docs)
 
 
+def test_every_label_counts(spark, table):
+    """Labels of 2.3 million ids that no document has; half of the labels went where they were bounded."""
+    docs, labels = corpus()
+    more = spark.range(10**6, 33 * 10**5).selectExpr("id as doc_id", "1 as quality", "0 as toxic", "'z' as text")
+    all_labels = table([(*x, "z") for x in labels], LABELS, 2).unionByName(more)
+    assert q.label_classes(more).count() == 23 * 10**5
+    rows = table([(n, text, 5, True, "x", "y") for n, text in docs], DOCS, 3)
+    got = q.judge_documents(rows, all_labels).select("doc_id", *q.COUNTS, "base_failed", "score", "kept").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == by_hand(docs, labels)
+
+
 def test_long_texts(table):
     text = "x" * 300_000 + " " + " ".join(f"a{k}" for k in range(150_000)) + "\n#\n#\n"
     got = found(table, [(1, text), (2, "é" * 100_000)], [])
