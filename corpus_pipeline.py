@@ -15,9 +15,10 @@ from gleanframe.llm.tables import stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language go: null ones, those without a letter and those that the classifier
-    rejects. An ambiguous text stays, since a short clean one can be that; where there is nothing to
-    learn from, all texts with a letter stay."""
+    """Each text gets the language that its codeword decodes to, and texts without one go: null ones, those
+    without a letter and those that show no evidence of it. An ambiguous text stays if it shows evidence of a
+    language about as near, since a short clean one can be that; where there is nothing to learn from, all texts
+    with a letter stay."""
     return language.with_language(docs, language.train(docs))
 
 

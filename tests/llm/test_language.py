@@ -128,3 +128,29 @@ def test_a_word_or_two_is_not_rejected(table):
 def test_one_text_of_each_language_bounds_nothing(table):
     model = la.train(docs(table, [(2, "the of and", "xx"), (3, "der die das", "yy"), (1, "le la", "zz")]))
     assert la.with_language(docs(table, [(1, "qqq www zzz " * 9, None)]), model).count() == 1
+
+
+def test_a_text_is_judged_by_the_language_it_decodes_to(table):
+    data = [x for x in rows(5, 400) if len(x[1]) > 60]
+    model = la.train(docs(table, data))
+    clear = [r.doc_id for r in la.identify(docs(table, data), model).filter("not ambiguous and score > 0.9").collect()]
+    assert len(clear) > 100
+    model.likely = np.roll(model.likely, 1, axis=1)  # now each shows evidence of another language only
+    left = {r.doc_id for r in la.with_language(docs(table, data), model).collect()}
+    assert not left & set(clear)
+
+
+def test_rejected_texts_have_no_language(table):
+    data = rows(5, 400)
+    model = la.train(docs(table, data))
+    more = [(1000, "qwx zkj vvqh jxz kwq zzx qjk wvx hqz " * 4, None), (1001, "12 !?", None), (1002, None, None)]
+    got = {r.doc_id: r for r in la.identify_rows(docs(table, data + more), model, reject=True).collect()}
+    plain = {r.doc_id: r for r in la.identify(docs(table, data + more), model).collect()}
+    assert all((got[k].lang_pred, got[k].score, got[k].ambiguous) == ("und", 0.0, False) for k in (1000, 1001, 1002))
+    assert plain[1000].lang_pred in SAMPLES
+    assert all(got[k][-3:] == plain[k][-3:] for k, *_ in data)
+
+
+def test_a_language_may_be_called_und(table):
+    data = [(k, t, "und" if lang == "xx" else lang) for k, t, lang in rows(5, 400)]
+    assert la.with_language(docs(table, data), la.train(docs(table, data))).count() == 400

@@ -124,3 +124,19 @@ def test_the_classifier_decides_and_its_lack_deletes_nothing(spark, folder):
     assert {r.doc_id for r in left.collect()} == {r[0] for r in rows}
     unlabelled = [(*r[:2], None, *r[3:]) for r in rows[:20]] + [(2000, "12 !?", None, "s", 1, None)]
     assert c.identify_language(spark, spark.createDataFrame(unlabelled, DOCS), folder).count() == 20
+
+
+def test_the_first_stage_decodes(spark, folder, monkeypatch):
+    """A model whose codewords point at languages that the texts show nothing of keeps none of them."""
+    train = c.language.train
+
+    def turned(docs, **more):
+        model = train(docs, **more)
+        model.codes = c.language.np.roll(model.codes, 1, axis=0)
+        return model
+
+    docs = spark.createDataFrame([(k, t, lang, "s", 1, None) for k, t, lang in test_language.rows(5, 400) if len(t) > 60], DOCS)
+    n = docs.count()
+    assert n > 100 and c.identify_language(spark, docs, folder).count() == n
+    monkeypatch.setattr(c.language, "train", turned)
+    assert c.identify_language(spark, docs, folder).count() < 0.1 * n
